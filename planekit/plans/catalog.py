@@ -22,7 +22,10 @@ from planekit.operators.join import (
     spatial_join,
     spatial_join_mixed,
 )
+from planekit.operators.hull import convex_hull, farthest_pairs
+from planekit.operators.pairs import closest_pairs, distinct_points
 from planekit.operators.range import range_query
+from planekit.operators.union import rect_union_vertices
 from planekit.plans.views import cte, table, view
 from planekit.sources.text import parse_shapes, read_matches
 
@@ -97,6 +100,60 @@ def q_spatial_count_left(spark: SparkSession, d: str) -> DataFrame:
     return spatial_count(view(spark, d, "pts"), view(spark, d, "win"), "within", how="left")
 
 
+def q_convex_hull(spark: SparkSession, d: str) -> DataFrame:
+    return convex_hull(view(spark, d, "pts"))
+
+
+def q_convex_hull_by_group(spark: SparkSession, d: str) -> DataFrame:
+    return convex_hull(view(spark, d, "ptsg"), group_by="grp")
+
+
+def q_farthest_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return farthest_pairs(view(spark, d, "iso"))
+
+
+def q_farthest_pairs_pts(spark: SparkSession, d: str) -> DataFrame:
+    return farthest_pairs(view(spark, d, "pts"))
+
+
+def q_closest_pairs(spark: SparkSession, d: str) -> DataFrame:
+    return closest_pairs(view(spark, d, "iso"))
+
+
+def q_closest_pairs_pts(spark: SparkSession, d: str) -> DataFrame:
+    return closest_pairs(view(spark, d, "pts"))
+
+
+def q_distinct_points(spark: SparkSession, d: str) -> DataFrame:
+    # the corners of all part rectangles, as a set
+    r = view(spark, d, "rects")
+    corners = r.select(F.explode(F.array(
+        F.struct(F.col("x1").alias("x"), F.col("y1").alias("y")),
+        F.struct(F.col("x1").alias("x"), F.col("y2").alias("y")),
+        F.struct(F.col("x2").alias("x"), F.col("y1").alias("y")),
+        F.struct(F.col("x2").alias("x"), F.col("y2").alias("y")))).alias("p")).select("p.x", "p.y")
+    return distinct_points(corners)
+
+
+def q_pair_distance(spark: SparkSession, d: str) -> DataFrame:
+    # distance from each matched point to its window's lower-left corner
+    p = view(spark, d, "pts")
+    w = view(spark, d, "win")
+    pairs = spatial_join(p, w, "within")
+    j = (pairs.join(p.select(F.col("id").alias("probe_id"), "x", "y"), "probe_id")
+         .join(w.select(F.col("id").alias("window_id"), "x1", "y1"), "window_id"))
+    return j.select("probe_id", "window_id", sq_dist("x", "y", "x1", "y1").alias("d2"),
+                    euclidean("x", "y", "x1", "y1").alias("dist"))
+
+
+def q_rect_union_vertices(spark: SparkSession, d: str) -> DataFrame:
+    return rect_union_vertices(view(spark, d, "rects"))
+
+
+def q_rect_union_boundary_points(spark: SparkSession, d: str) -> DataFrame:
+    return rect_union_vertices(view(spark, d, "rects"), keep_collinear=True)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query": q_range_query,
     "range_query_raw": q_range_query_raw,
@@ -110,6 +167,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "spatial_count_point": q_spatial_count_point,
     "spatial_count_rect": q_spatial_count_rect,
     "spatial_count_left": q_spatial_count_left,
+    "convex_hull": q_convex_hull,
+    "convex_hull_by_group": q_convex_hull_by_group,
+    "farthest_pairs": q_farthest_pairs,
+    "farthest_pairs_pts": q_farthest_pairs_pts,
+    "closest_pairs": q_closest_pairs,
+    "closest_pairs_pts": q_closest_pairs_pts,
+    "distinct_points": q_distinct_points,
+    "pair_distance": q_pair_distance,
+    "rect_union_vertices": q_rect_union_vertices,
+    "rect_union_boundary_points": q_rect_union_boundary_points,
 }
 
 _W = RANGE_WINDOW
@@ -154,3 +221,82 @@ ORACLE: dict[str, str] = {
         "SELECT p.id AS probe_id, count(DISTINCT w.id) AS n_matches "
         f"FROM pts p LEFT JOIN win w ON {_PT_IN_WIN} GROUP BY p.id"),
 }
+
+
+def _hull_sql(src: str, key: str | None) -> str:
+    """Slope form: per x the lowest and highest point; a top point is an upper
+    vertex iff every slope to the right is below every slope from the left
+    (mirror for the bottom).  Quadratic in distinct x per group: oracle only."""
+    k = f"{key}, " if key else ""
+    on = f"a.{key} = b.{key}" if key else "TRUE"
+    ka = f"a.{key}, " if key else ""
+    return (
+        f"P AS (SELECT DISTINCT {k}x, y FROM {src}),\n"
+        f"C AS (SELECT {k}x, min(y) AS lo, max(y) AS hi FROM P GROUP BY {k}x),\n"
+        f"U AS (SELECT {ka}a.x, a.hi AS y,"
+        " max(CASE WHEN b.x > a.x THEN (b.hi - a.hi) / (b.x - a.x) END) AS rs,"
+        " min(CASE WHEN b.x < a.x THEN (a.hi - b.hi) / (a.x - b.x) END) AS ls"
+        f" FROM C a JOIN C b ON {on} GROUP BY {ka}a.x, a.hi),\n"
+        f"L AS (SELECT {ka}a.x, a.lo AS y,"
+        " min(CASE WHEN b.x > a.x THEN (b.lo - a.lo) / (b.x - a.x) END) AS rs,"
+        " max(CASE WHEN b.x < a.x THEN (a.lo - b.lo) / (a.x - b.x) END) AS ls"
+        f" FROM C a JOIN C b ON {on} GROUP BY {ka}a.x, a.lo)\n"
+        f"SELECT {k}x, y FROM U WHERE rs IS NULL OR ls IS NULL OR rs < ls\n"
+        f"UNION SELECT {k}x, y FROM L WHERE rs IS NULL OR ls IS NULL OR rs > ls"
+    )
+
+
+def _pairs_sql(src: str, agg: str) -> str:
+    """Brute force over all pairs of distinct points, ties kept."""
+    return (
+        f"P AS (SELECT DISTINCT x, y FROM {src}),\n"
+        "D AS (SELECT a.x AS ax, a.y AS ay, b.x AS bx, b.y AS \"by\","
+        " (a.x - b.x) * (a.x - b.x) + (a.y - b.y) * (a.y - b.y) AS d2"
+        " FROM P a JOIN P b ON a.x < b.x OR (a.x = b.x AND a.y < b.y))\n"
+        f"SELECT ax, ay, bx, \"by\", d2, sqrt(d2) AS dist FROM D WHERE d2 = (SELECT {agg}(d2) FROM D)"
+    )
+
+
+def _union_sql(collinear: bool) -> str:
+    keep = "mask IN (1, 2, 4, 8, 7, 11, 13, 14, 5, 10)"
+    if collinear:
+        keep += " OR (mask IN (3, 6, 12, 9) AND corner = 1)"
+    return (
+        "R AS (SELECT least(x1, x2) AS x1, least(y1, y2) AS y1, greatest(x1, x2) AS x2,"
+        " greatest(y1, y2) AS y2 FROM rects WHERE x1 <> x2 AND y1 <> y2),\n"
+        "V AS (SELECT x1 AS x, y1, y2 FROM R UNION ALL SELECT x2, y1, y2 FROM R),\n"
+        "H AS (SELECT y1 AS y, x1, x2 FROM R UNION ALL SELECT y2, x1, x2 FROM R),\n"
+        "C AS (SELECT x1 AS x, y1 AS y, 1 AS corner FROM R UNION ALL SELECT x1, y2, 1 FROM R"
+        " UNION ALL SELECT x2, y1, 1 FROM R UNION ALL SELECT x2, y2, 1 FROM R"
+        " UNION ALL SELECT v.x, h.y, 0 FROM V v JOIN H h"
+        " ON h.x1 <= v.x AND v.x <= h.x2 AND v.y1 <= h.y AND h.y <= v.y2),\n"
+        "D AS (SELECT x, y, max(corner) AS corner FROM C GROUP BY x, y),\n"
+        "M AS (SELECT d.x, d.y, d.corner, bit_or("
+        "(CASE WHEN r.x1 <= d.x AND d.x < r.x2 AND r.y1 <= d.y AND d.y < r.y2 THEN 1 ELSE 0 END)"
+        " | (CASE WHEN r.x1 < d.x AND d.x <= r.x2 AND r.y1 <= d.y AND d.y < r.y2 THEN 2 ELSE 0 END)"
+        " | (CASE WHEN r.x1 < d.x AND d.x <= r.x2 AND r.y1 < d.y AND d.y <= r.y2 THEN 4 ELSE 0 END)"
+        " | (CASE WHEN r.x1 <= d.x AND d.x < r.x2 AND r.y1 < d.y AND d.y <= r.y2 THEN 8 ELSE 0 END)"
+        ") AS mask FROM D d JOIN R r"
+        " ON r.x1 <= d.x AND d.x <= r.x2 AND r.y1 <= d.y AND d.y <= r.y2 GROUP BY d.x, d.y, d.corner)\n"
+        f"SELECT x, y FROM M WHERE {keep}"
+    )
+
+
+ORACLE.update({
+    "convex_hull": cte("pts") + ", " + _hull_sql("pts", None),
+    "convex_hull_by_group": cte("ptsg") + ", " + _hull_sql("ptsg", "grp"),
+    "farthest_pairs": cte("iso") + ", " + _pairs_sql("iso", "max"),
+    "farthest_pairs_pts": cte("pts") + ", " + _pairs_sql("pts", "max"),
+    "closest_pairs": cte("iso") + ", " + _pairs_sql("iso", "min"),
+    "closest_pairs_pts": cte("pts") + ", " + _pairs_sql("pts", "min"),
+    "distinct_points": cte("rects") + (
+        "SELECT DISTINCT x, y FROM (SELECT x1 AS x, y1 AS y FROM rects UNION ALL SELECT x1, y2 FROM rects"
+        " UNION ALL SELECT x2, y1 FROM rects UNION ALL SELECT x2, y2 FROM rects)"),
+    "pair_distance": cte("pts", "win") + (
+        "SELECT p.id AS probe_id, w.id AS window_id,"
+        " (p.x - w.x1) * (p.x - w.x1) + (p.y - w.y1) * (p.y - w.y1) AS d2,"
+        " sqrt((p.x - w.x1) * (p.x - w.x1) + (p.y - w.y1) * (p.y - w.y1)) AS dist"
+        f" FROM pts p JOIN win w ON {_PT_IN_WIN}"),
+    "rect_union_vertices": cte("rects") + ", " + _union_sql(False),
+    "rect_union_boundary_points": cte("rects") + ", " + _union_sql(True),
+})
