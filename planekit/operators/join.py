@@ -18,13 +18,13 @@ from pyspark.sql import functions as F
 
 from planekit.functions.geom import point_in_rect, rects_intersect, valid_coords
 from planekit.plans.grid import (
+    SideStats,
+    base_cell,
     cell_of,
     cell_side,
-    choose_cell,
     level_of,
     point_cells,
     rect_extent,
-    rect_levels,
 )
 
 PREDICATES = ("within", "within_closed", "intersects")
@@ -44,9 +44,10 @@ def join_points_rects(points: DataFrame, rects: DataFrame, px: str, py: str,
     DataFrame: cell size and levels come from the static rectangle side.
     """
     rx1, ry1, rx2, ry2 = rcols
-    g = cell or choose_cell(rects, cols=rcols)
+    stats = SideStats(rects, rcols)
+    g = cell or base_cell(stats)
     R = rects.withColumn("_glvl", level_of(rect_extent(rx1, ry1, rx2, ry2), g))
-    levels = rect_levels(R, "_glvl")
+    levels = stats.levels(g)
     side = cell_side(g, F.col("_glvl"))
     Rc = (R.withColumn("_grcx", F.explode(F.sequence(cell_of(rx1, side), cell_of(rx2, side))))
            .withColumn("_grcy", F.explode(F.sequence(cell_of(ry1, side), cell_of(ry2, side)))))
@@ -76,11 +77,11 @@ def _rect_cells_multi(df: DataFrame, g: float, own: str, other_levels: list[int]
 def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str],
                      bcols: tuple[str, str, str, str], cell: float | None = None) -> DataFrame:
     """All (a row, b row) pairs of intersecting rectangles (closed borders), once each."""
-    g = cell or choose_cell(a.select(*[F.col(c).alias(n) for c, n in zip(acols, ("x1", "y1", "x2", "y2"))]),
-                            b.select(*[F.col(c).alias(n) for c, n in zip(bcols, ("x1", "y1", "x2", "y2"))]))
+    sa, sb = SideStats(a, acols), SideStats(b, bcols)
+    g = cell or base_cell(sa, sb)
     A = a.withColumn("_galvl", level_of(rect_extent(*acols), g))
     B = b.withColumn("_gblvl", level_of(rect_extent(*bcols), g))
-    la, lb = rect_levels(A, "_galvl"), rect_levels(B, "_gblvl")
+    la, lb = sa.levels(g), sb.levels(g)
     Ac = _rect_cells_multi(A, g, "_galvl", lb, acols, "a")
     Bc = _rect_cells_multi(B, g, "_gblvl", la, bcols, "b")
     ax1, ay1, ax2, ay2 = acols

@@ -16,6 +16,8 @@ same expression for ``cs``.  The grid changes cost, never results.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -40,44 +42,89 @@ def rect_extent(x1, y1, x2, y2) -> Column:
     return F.greatest(c[2] - c[0], c[3] - c[1])
 
 
+def extent_exponent(extent: Column) -> Column:
+    """``ceil(log2(extent))`` for positive extents, else null.
+
+    The per-side level set (an aggregate) and every row's level are computed
+    from this one expression, so they agree bit for bit (Spark's log2 is
+    StrictMath-based, identical on every executor).
+    """
+    e = extent.cast("double")
+    return F.ceil(F.log2(F.when(e > 0, e)))
+
+
 def level_of(extent: Column, g: float) -> Column:
-    """Grid level of a rectangle with the given extent (0 for points and small ones)."""
-    raw = F.ceil(F.log2(extent / F.lit(float(g))))
+    """Grid level of a rectangle with the given extent (0 for points and small ones).
+
+    ``g`` is a power of two ``2**k``: level = clamp(exponent - k, 0, MAX_LEVEL).
+    """
+    k = int(round(math.log2(g)))
+    raw = extent_exponent(extent) - F.lit(k)
     return F.least(F.greatest(F.coalesce(raw, F.lit(0)), F.lit(0)), F.lit(MAX_LEVEL)).cast("int")
 
 
-def choose_cell(*rect_sides: DataFrame, cols=("x1", "y1", "x2", "y2")) -> float:
-    """Base cell side from the data: the median rectangle extent.
+class SideStats:
+    """What the grid needs to know about one rectangle side, from ONE aggregate.
 
-    One distributed aggregate per side (partial + final, no shuffle of rows);
-    only a handful of scalars come back to the driver.  Falls back to the
-    bounding-box side over sqrt(n) when the rectangles are degenerate.
+    ``median``: approximate median extent (a quantile sketch, merged
+    map-side); ``exponents``: the distinct ``ceil(log2(extent))`` values, a
+    set bounded by the double exponent range (in practice a handful).
+    Only the four coordinate columns are read.
     """
-    x1, y1, x2, y2 = cols
-    meds, n, lo, hi = [], 0, None, None
-    for df in rect_sides:
-        ext = rect_extent(x1, y1, x2, y2)
+
+    def __init__(self, df: DataFrame, cols=("x1", "y1", "x2", "y2")):
+        x1, y1, x2, y2 = cols
+        ext = rect_extent(x1, y1, x2, y2).cast("double")
+        pos = F.when(ext > 0, ext)
         r = df.agg(
-            F.percentile_approx(F.when(ext > 0, ext), 0.5).alias("med"),
+            F.percentile_approx(pos, 0.5).alias("med"),
+            F.collect_set(extent_exponent(ext)).alias("exps"),
             F.count(F.lit(1)).alias("n"),
+            F.max(F.when(ext <= 0, 1)).alias("flat"),
             F.least(F.min(x1), F.min(y1)).alias("lo"),
             F.greatest(F.max(x2), F.max(y2)).alias("hi"),
         ).first()
-        if r["med"] is not None:
-            meds.append(float(r["med"]))
-        n += r["n"]
-        if r["lo"] is not None:
-            lo = float(r["lo"]) if lo is None else min(lo, float(r["lo"]))
-            hi = float(r["hi"]) if hi is None else max(hi, float(r["hi"]))
+        self.median = None if r["med"] is None else float(r["med"])
+        self.exponents = sorted(int(e) for e in (r["exps"] or []))
+        self.has_flat = r["flat"] is not None
+        self.n = int(r["n"])
+        self.lo = None if r["lo"] is None else float(r["lo"])
+        self.hi = None if r["hi"] is None else float(r["hi"])
+
+    def levels(self, g: float) -> list[int]:
+        """Distinct levels of this side's rectangles for base cell ``g`` (a power of two)."""
+        k = int(round(math.log2(g)))
+        out = {min(MAX_LEVEL, max(0, e - k)) for e in self.exponents}
+        if self.has_flat or not out:
+            out.add(0)
+        return sorted(out)
+
+
+def base_cell(*sides: SideStats) -> float:
+    """Base cell side: the power of two at or above the largest side median.
+
+    A power of two keeps every cell side an exact binary fraction, so cell
+    indices of both sides are computed identically.  Falls back to the
+    bounding-box side over sqrt(n) for degenerate input.
+    """
+    meds = [s.median for s in sides if s.median]
     if meds:
-        return max(meds)
-    if lo is not None and hi > lo:
-        return (hi - lo) / max(1.0, n ** 0.5)
-    return 1.0
+        target = max(meds)
+    else:
+        los = [s.lo for s in sides if s.lo is not None]
+        his = [s.hi for s in sides if s.hi is not None]
+        n = sum(s.n for s in sides)
+        target = (max(his) - min(los)) / max(1.0, n ** 0.5) if los and max(his) > min(los) else 1.0
+    return 2.0 ** math.ceil(math.log2(target))
+
+
+def choose_cell(*rect_sides: DataFrame, cols=("x1", "y1", "x2", "y2")) -> float:
+    """Base cell side for the given rectangle sides (one aggregate each)."""
+    return base_cell(*[SideStats(df, cols) for df in rect_sides])
 
 
 def rect_levels(df: DataFrame, level_col: str = "_lvl") -> list[int]:
-    """Distinct levels present on a side: a bounded set (<= MAX_LEVEL + 1 values)."""
+    """Distinct levels present on a side (a bounded set); prefer ``SideStats.levels``."""
     return sorted(r[0] for r in df.select(level_col).distinct().collect())
 
 
