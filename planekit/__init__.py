@@ -5,3 +5,29 @@ counts, convex hulls, closest and farthest pairs with all ties, and the
 boundary vertices of a union of rectangles — each a DataFrame-in,
 DataFrame-out function that runs distributed.
 """
+
+from planekit.functions import euclidean, normalize_rect, point_in_rect, rects_intersect, sq_dist  # noqa: E402,F401
+from planekit.operators import (  # noqa: E402,F401
+    closest_pairs,
+    coincident_points,
+    collect_matches,
+    convex_hull,
+    distinct_points,
+    farthest_pairs,
+    match_counts,
+    range_query,
+    rect_union_vertices,
+    spatial_count,
+    spatial_join,
+    spatial_join_mixed,
+)
+from planekit.sources import (  # noqa: E402,F401
+    pairs_as_points,
+    parse_shapes,
+    read_matches,
+    read_points,
+    read_rects,
+    read_shapes,
+    take_window,
+    write_csv,
+)

@@ -76,12 +76,26 @@ def _rect_cells_multi(df: DataFrame, g: float, own: str, other_levels: list[int]
 
 def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str],
                      bcols: tuple[str, str, str, str], cell: float | None = None) -> DataFrame:
-    """All (a row, b row) pairs of intersecting rectangles (closed borders), once each."""
-    sa, sb = SideStats(a, acols), SideStats(b, bcols)
-    g = cell or base_cell(sa, sb)
-    A = a.withColumn("_galvl", level_of(rect_extent(*acols), g))
+    """All (a row, b row) pairs of intersecting rectangles (closed borders), once each.
+
+    ``a`` may be a streaming DataFrame: then its levels cannot be gathered
+    up front, so they are clamped to the highest level of ``b`` (a larger
+    ``a`` rectangle covers more cells on that level) and ``b`` is emitted on
+    every level from its own up to that one.
+    """
+    sb = SideStats(b, bcols)
+    sa = None if a.isStreaming else SideStats(a, acols)
+    g = cell or (base_cell(sb) if sa is None else base_cell(sa, sb))
+    lb = sb.levels(g)
+    a_level = level_of(rect_extent(*acols), g)
+    if sa is None:
+        top = max(lb)
+        a_level = F.least(a_level, F.lit(top))
+        la = list(range(0, top + 1))
+    else:
+        la = sa.levels(g)
+    A = a.withColumn("_galvl", a_level)
     B = b.withColumn("_gblvl", level_of(rect_extent(*bcols), g))
-    la, lb = sa.levels(g), sb.levels(g)
     Ac = _rect_cells_multi(A, g, "_galvl", lb, acols, "a")
     Bc = _rect_cells_multi(B, g, "_gblvl", la, bcols, "b")
     ax1, ay1, ax2, ay2 = acols
