@@ -36,7 +36,7 @@ def _drop_helpers(df: DataFrame) -> DataFrame:
 
 def join_points_rects(points: DataFrame, rects: DataFrame, px: str, py: str,
                       rcols: tuple[str, str, str, str], closed: bool,
-                      cell: float | None = None) -> DataFrame:
+                      cell: float | None = None, stats: SideStats | None = None) -> DataFrame:
     """All (point row, rectangle row) pairs with the point in the rectangle.
 
     Column names of the two inputs must be disjoint; all are kept.  ``rects``
@@ -44,7 +44,7 @@ def join_points_rects(points: DataFrame, rects: DataFrame, px: str, py: str,
     DataFrame: cell size and levels come from the static rectangle side.
     """
     rx1, ry1, rx2, ry2 = rcols
-    stats = SideStats(rects, rcols)
+    stats = stats or SideStats(rects, rcols)
     g = cell or base_cell(stats)
     R = rects.withColumn("_glvl", level_of(rect_extent(rx1, ry1, rx2, ry2), g))
     levels = stats.levels(g)
@@ -75,7 +75,8 @@ def _rect_cells_multi(df: DataFrame, g: float, own: str, other_levels: list[int]
 
 
 def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str],
-                     bcols: tuple[str, str, str, str], cell: float | None = None) -> DataFrame:
+                     bcols: tuple[str, str, str, str], cell: float | None = None,
+                     stats: tuple[SideStats, SideStats] | None = None) -> DataFrame:
     """All (a row, b row) pairs of intersecting rectangles (closed borders), once each.
 
     ``a`` may be a streaming DataFrame: then its levels cannot be gathered
@@ -83,8 +84,12 @@ def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str
     ``a`` rectangle covers more cells on that level) and ``b`` is emitted on
     every level from its own up to that one.
     """
-    sb = SideStats(b, bcols)
-    sa = None if a.isStreaming else SideStats(a, acols)
+    if stats is not None:
+        sa, sb = stats
+    elif a.isStreaming:
+        sa, sb = None, SideStats(b, bcols)
+    else:
+        sa, sb = SideStats.many([(a, acols), (b, bcols)])
     g = cell or (base_cell(sb) if sa is None else base_cell(sa, sb))
     lb = sb.levels(g)
     a_level = level_of(rect_extent(*acols), g)

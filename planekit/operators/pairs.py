@@ -9,9 +9,11 @@
    ``delta / m`` with ``m*m < c`` again force a pair inside one of them, so
    the bound drops by ``m / sqrt(2)``; repeat.  Every step is one aggregate.
 3. Join: any pair at distance <= delta lies in the same or adjacent cells of
-   side delta.  Each point is replicated to its 3 x 3 neighbourhood and
-   equi-joined on the cell; ``a < b`` keeps each unordered pair once.  With at
-   most MAX_CELL points per cell the join is linear in n.
+   side delta.  Each point is replicated to its own cell and 4 of its 8
+   neighbours (a half neighbourhood: every adjacent cell pair is covered in
+   exactly one direction) and equi-joined on the cell; within one cell
+   ``a < b`` keeps each unordered pair once.  With at most MAX_CELL points per
+   cell the join is linear in n.
 4. Ties: the minimum squared distance (an aggregate) is joined back.
 
 Points are a set: repeated coordinates count once (``coincident_points``
@@ -45,6 +47,30 @@ def coincident_points(points: DataFrame, x: str = "x", y: str = "y") -> DataFram
             .agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > 1))
 
 
+def canonical_pairs(pairs: DataFrame) -> DataFrame:
+    """Order the two ends of each pair so that (ax, ay) < (bx, by); drop self-pairs."""
+    swap = point_lt("bx", "by", "ax", "ay")
+    out = pairs.withColumns({
+        "ax": F.when(swap, F.col("bx")).otherwise(F.col("ax")),
+        "ay": F.when(swap, F.col("by")).otherwise(F.col("ay")),
+        "bx": F.when(swap, F.col("ax")).otherwise(F.col("bx")),
+        "by": F.when(swap, F.col("ay")).otherwise(F.col("by")),
+    })
+    return out.where(~((F.col("ax") == F.col("bx")) & (F.col("ay") == F.col("by"))))
+
+
+def extremum_with_ties(df: DataFrame, col: str, how: str = "min") -> DataFrame:
+    """Every row whose ``col`` equals the minimum (or maximum).
+
+    The extremum is a global aggregate (partial per task, one row) joined
+    back by equality under a broadcast of that single row, never a window
+    over the whole input in one partition.
+    """
+    agg = F.min(col) if how == "min" else F.max(col)
+    best = df.agg(agg.alias(col))
+    return df.join(F.broadcast(best), col)
+
+
 def _cell_pair_bound(P: DataFrame, side: float, ox: float, oy: float) -> tuple[float | None, int]:
     """(min squared distance over (min, max) pairs of shared cells, max points per cell)."""
     cx = F.floor((F.col("x") - F.lit(ox)) / F.lit(side))
@@ -67,9 +93,14 @@ def closest_pairs(points: DataFrame, x: str = "x", y: str = "y",
 
     ``(ax, ay) < (bx, by)``; fewer than two distinct points give no row.
     """
-    # the distinct set is read by several small aggregates and the join:
-    # write it once to the checkpoint folder (cuts lineage, survives executor loss)
+    # the distinct set is read by a few small aggregates and by the final
+    # join: write it once to the shared checkpoint folder (spark.checkpoint.dir),
+    # which cuts the lineage and survives the loss of any executor
     P = cut_lineage(distinct_points(points, x, y).select(F.col(x).alias("x"), F.col(y).alias("y")))
+    return _closest(P, max_cell)
+
+
+def _closest(P: DataFrame, max_cell: int) -> DataFrame:
     ctype = dict(P.dtypes)["x"]
     st = P.agg(F.count(F.lit(1)).alias("n"), F.min("x").alias("x0"), F.max("x").alias("x1"),
                F.min("y").alias("y0"), F.max("y").alias("y1")).first()
@@ -104,27 +135,30 @@ def closest_pairs(points: DataFrame, x: str = "x", y: str = "y",
         best = sub
     delta = math.sqrt(best) * _WIDEN
 
-    # 3. neighbourhood join on delta-cells
+    # 3. half-neighbourhood join on delta-cells: a guest copy of q goes to
+    # cell(q) - o for o in {(0,0), (1,0), (-1,1), (0,1), (1,1)}; for any two
+    # adjacent cells exactly one of them receives the other's copy
     cx = F.floor((F.col("x") - F.lit(ox)) / F.lit(delta))
     cy = F.floor((F.col("y") - F.lit(oy)) / F.lit(delta))
     home = P.select(F.col("x").alias("ax"), F.col("y").alias("ay"),
                     cx.alias("hcx"), cy.alias("hcy"))
     offs = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j"))
-                     for i in (-1, 0, 1) for j in (-1, 0, 1)])
+                     for i, j in ((0, 0), (1, 0), (-1, 1), (0, 1), (1, 1))])
     guest = (P.select(F.col("x").alias("bx"), F.col("y").alias("by"), cx.alias("cx"), cy.alias("cy"),
                       F.explode(offs).alias("o"))
-             .select("bx", "by", (F.col("cx") + F.col("o.i")).alias("gcx"),
-                     (F.col("cy") + F.col("o.j")).alias("gcy")))
+             .select("bx", "by", (F.col("cx") - F.col("o.i")).alias("gcx"),
+                     (F.col("cy") - F.col("o.j")).alias("gcy"),
+                     ((F.col("o.i") == 0) & (F.col("o.j") == 0)).alias("same")))
     # pruning bound only (the minimum is taken exactly below): never under the seed
     if ctype in ("double", "float"):
         bound = F.lit(best * (1.0 + 1e-12))
     else:
         bound = F.lit(int(math.ceil(best * (1.0 + 1e-12))) + 1)
-    cand = (home.join(guest, (F.col("hcx") == F.col("gcx")) & (F.col("hcy") == F.col("gcy")))
-            .where(point_lt("ax", "ay", "bx", "by"))
-            .select("ax", "ay", "bx", "by", sq_dist("ax", "ay", "bx", "by").alias("d2"))
+    joined = (home.join(guest, (F.col("hcx") == F.col("gcx")) & (F.col("hcy") == F.col("gcy")))
+              .where(~F.col("same") | point_lt("ax", "ay", "bx", "by")))
+    cand = (canonical_pairs(joined.select("ax", "ay", "bx", "by"))
+            .withColumn("d2", sq_dist("ax", "ay", "bx", "by"))
             .where(F.col("d2") <= bound))
-    # 4. all ties at the minimum (1-row aggregate joined back by equality)
-    low = cand.agg(F.min("d2").alias("d2"))
-    return (cand.join(F.broadcast(low), "d2")
+    # 4. all ties at the minimum
+    return (extremum_with_ties(cand, "d2", "min")
             .select("ax", "ay", "bx", "by", "d2", F.sqrt(F.col("d2")).alias("dist")))

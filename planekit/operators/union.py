@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from planekit.functions.geom import valid_coords
 from planekit.operators.join import join_points_rects, join_rects_rects
+from planekit.plans.grid import SideStats
 
 NE, NW, SW, SE = 1, 2, 4, 8
 CORNER_MASKS = (1, 2, 4, 8, 7, 11, 13, 14, NE | SW, NW | SE)
@@ -38,7 +39,19 @@ def _rects(df: DataFrame, cols) -> DataFrame:
     return d.where((F.col("rx1") < F.col("rx2")) & (F.col("ry1") < F.col("ry2")))
 
 
-def boundary_candidates(R: DataFrame, cell: float | None = None) -> DataFrame:
+def _edges(R: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Vertical edges as zero-width rectangles, horizontal ones as zero-height."""
+    V = R.select(F.explode(F.array("rx1", "rx2")).alias("vx"), "ry1", "ry2").select(
+        F.col("vx").alias("vx1"), F.col("ry1").alias("vy1"), F.col("vx").alias("vx2"), F.col("ry2").alias("vy2"))
+    H = R.select(F.explode(F.array("ry1", "ry2")).alias("hy"), "rx1", "rx2").select(
+        F.col("rx1").alias("hx1"), F.col("hy").alias("hy1"), F.col("rx2").alias("hx2"), F.col("hy").alias("hy2"))
+    return V, H
+
+
+VCOLS, HCOLS, RCOLS = ("vx1", "vy1", "vx2", "vy2"), ("hx1", "hy1", "hx2", "hy2"), ("rx1", "ry1", "rx2", "ry2")
+
+
+def boundary_candidates(R: DataFrame, cell: float | None = None, stats=None) -> DataFrame:
     """Distinct candidate points ``x, y, corner`` (corner = 1 if a rectangle corner)."""
     corners = R.select(F.explode(F.array(
         F.struct(F.col("rx1").alias("x"), F.col("ry1").alias("y")),
@@ -46,17 +59,13 @@ def boundary_candidates(R: DataFrame, cell: float | None = None) -> DataFrame:
         F.struct(F.col("rx2").alias("x"), F.col("ry1").alias("y")),
         F.struct(F.col("rx2").alias("x"), F.col("ry2").alias("y")),
     )).alias("p")).select("p.x", "p.y", F.lit(1).alias("corner"))
-    # vertical edges as zero-width rectangles, horizontal as zero-height ones
-    V = R.select(F.explode(F.array("rx1", "rx2")).alias("vx"), "ry1", "ry2").select(
-        F.col("vx").alias("vx1"), F.col("ry1").alias("vy1"), F.col("vx").alias("vx2"), F.col("ry2").alias("vy2"))
-    H = R.select(F.explode(F.array("ry1", "ry2")).alias("hy"), "rx1", "rx2").select(
-        F.col("rx1").alias("hx1"), F.col("hy").alias("hy1"), F.col("rx2").alias("hx2"), F.col("hy").alias("hy2"))
-    cross = join_rects_rects(V, H, ("vx1", "vy1", "vx2", "vy2"), ("hx1", "hy1", "hx2", "hy2"), cell=cell)
+    V, H = _edges(R)
+    cross = join_rects_rects(V, H, VCOLS, HCOLS, cell=cell, stats=stats)
     crossings = cross.select(F.col("vx1").alias("x"), F.col("hy1").alias("y"), F.lit(0).alias("corner"))
     return corners.unionByName(crossings).groupBy("x", "y").agg(F.max("corner").alias("corner"))
 
 
-def quadrant_masks(R: DataFrame, cand: DataFrame, cell: float | None = None) -> DataFrame:
+def quadrant_masks(R: DataFrame, cand: DataFrame, cell: float | None = None, stats=None) -> DataFrame:
     """``x, y, corner, mask``: which quadrants around each candidate are covered."""
     px, py = F.col("x"), F.col("y")
     x1, y1, x2, y2 = F.col("rx1"), F.col("ry1"), F.col("rx2"), F.col("ry2")
@@ -66,7 +75,7 @@ def quadrant_masks(R: DataFrame, cand: DataFrame, cell: float | None = None) ->
             .bitwiseOR(F.when(west & north, NW).otherwise(0))
             .bitwiseOR(F.when(west & south, SW).otherwise(0))
             .bitwiseOR(F.when(east & south, SE).otherwise(0)))
-    hits = join_points_rects(cand, R, "x", "y", ("rx1", "ry1", "rx2", "ry2"), closed=True, cell=cell)
+    hits = join_points_rects(cand, R, "x", "y", RCOLS, closed=True, cell=cell, stats=stats)
     return hits.groupBy("x", "y", "corner").agg(F.bit_or(bits).alias("mask"))
 
 
@@ -75,7 +84,10 @@ def rect_union_vertices(rects: DataFrame, x1: str = "x1", y1: str = "y1", x2: st
                         cell: float | None = None) -> DataFrame:
     """Distinct vertices ``x, y`` of the union's boundary (shells and holes)."""
     R = _rects(rects, (x1, y1, x2, y2))
-    m = quadrant_masks(R, boundary_candidates(R, cell), cell)
+    V, H = _edges(R)
+    # grid statistics of edges and rectangles: one job
+    sv, sh, sr = SideStats.many([(V, VCOLS), (H, HCOLS), (R, RCOLS)])
+    m = quadrant_masks(R, boundary_candidates(R, cell, (sv, sh)), cell, sr)
     keep = F.col("mask").isin(*CORNER_MASKS)
     if keep_collinear:
         keep = keep | (F.col("mask").isin(*STRAIGHT_MASKS) & (F.col("corner") == 1))

@@ -64,32 +64,55 @@ def level_of(extent: Column, g: float) -> Column:
 
 
 class SideStats:
-    """What the grid needs to know about one rectangle side, from ONE aggregate.
+    """What the grid needs to know about one rectangle side.
 
     ``median``: approximate median extent (a quantile sketch, merged
     map-side); ``exponents``: the distinct ``ceil(log2(extent))`` values, a
     set bounded by the double exponent range (in practice a handful).
-    Only the four coordinate columns are read.
+    Only the four coordinate columns are read.  ``SideStats.many`` gathers
+    the statistics of several sides in ONE job (one row per side).
     """
 
-    def __init__(self, df: DataFrame, cols=("x1", "y1", "x2", "y2")):
-        x1, y1, x2, y2 = cols
-        ext = rect_extent(x1, y1, x2, y2).cast("double")
+    def __init__(self, df: DataFrame | None = None, cols=("x1", "y1", "x2", "y2"), row=None):
+        if row is None:
+            row = SideStats._rows([(df, cols)])[0]
+        self.median = None if row["med"] is None else float(row["med"])
+        self.exponents = sorted(int(e) for e in (row["exps"] or []))
+        self.has_flat = row["flat"] is not None
+        self.n = int(row["n"] or 0)
+        self.lo = None if row["lo"] is None else float(row["lo"])
+        self.hi = None if row["hi"] is None else float(row["hi"])
+
+    @staticmethod
+    def _rows(sides) -> list:
+        parts = []
+        for i, (df, cols) in enumerate(sides):
+            x1, y1, x2, y2 = cols
+            parts.append(df.select(
+                F.lit(i).alias("_side"),
+                rect_extent(x1, y1, x2, y2).cast("double").alias("_ext"),
+                F.least(x1, y1).cast("double").alias("_lo"),
+                F.greatest(x2, y2).cast("double").alias("_hi")))
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        ext = F.col("_ext")
         pos = F.when(ext > 0, ext)
-        r = df.agg(
+        got = {r["_side"]: r for r in u.groupBy("_side").agg(
             F.percentile_approx(pos, 0.5).alias("med"),
             F.collect_set(extent_exponent(ext)).alias("exps"),
             F.count(F.lit(1)).alias("n"),
             F.max(F.when(ext <= 0, 1)).alias("flat"),
-            F.least(F.min(x1), F.min(y1)).alias("lo"),
-            F.greatest(F.max(x2), F.max(y2)).alias("hi"),
-        ).first()
-        self.median = None if r["med"] is None else float(r["med"])
-        self.exponents = sorted(int(e) for e in (r["exps"] or []))
-        self.has_flat = r["flat"] is not None
-        self.n = int(r["n"])
-        self.lo = None if r["lo"] is None else float(r["lo"])
-        self.hi = None if r["hi"] is None else float(r["hi"])
+            F.min("_lo").alias("lo"),
+            F.max("_hi").alias("hi"),
+        ).collect()}
+        empty = {"med": None, "exps": [], "n": 0, "flat": None, "lo": None, "hi": None}
+        return [got.get(i, empty) for i in range(len(sides))]
+
+    @staticmethod
+    def many(sides) -> list["SideStats"]:
+        """Statistics of several ``(df, cols)`` sides from one aggregate job."""
+        return [SideStats(row=r) for r in SideStats._rows(sides)]
 
     def levels(self, g: float) -> list[int]:
         """Distinct levels of this side's rectangles for base cell ``g`` (a power of two)."""
