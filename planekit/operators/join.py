@@ -29,6 +29,40 @@ from planekit.plans.grid import (
 
 PREDICATES = ("within", "within_closed", "intersects")
 
+# a rectangle covers at most 2 x 2 cells on its level (3 x 3 allowing for
+# rounding at cell borders): the bound used to size a side before broadcasting
+CELLS_PER_RECT = 9
+
+_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
+          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
+
+
+def _threshold_bytes(spark) -> int:
+    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: broadcasting off)."""
+    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
+    num = raw.rstrip("abcdefghijklmnopqrstuvwxyz")
+    unit = raw[len(num):] or "b"
+    try:
+        return int(float(num) * _UNITS.get(unit, 1))
+    except ValueError:
+        return -1
+
+
+def _size_guard(df: DataFrame, max_rows: int, force_hint: bool = True) -> DataFrame:
+    """Broadcast ``df`` only if ``max_rows`` (a proven upper bound) fits the threshold.
+
+    The bound comes from the exact row count of the side (its statistics
+    job) times the fixed replication per row; the byte size assumes
+    fixed-width columns (UnsafeRow: 8-byte header + 8 bytes per field,
+    doubled for the hash relation).  Beyond it the join is forced to a
+    sort-merge join, which spills instead of failing.
+    """
+    limit = _threshold_bytes(df.sparkSession)
+    row_bytes = 2 * (8 + 8 * len(df.columns))
+    if limit > 0 and max_rows * row_bytes <= limit:
+        return F.broadcast(df)
+    return df.hint("merge") if force_hint else df
+
 
 def _drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_g")])
@@ -51,6 +85,7 @@ def join_points_rects(points: DataFrame, rects: DataFrame, px: str, py: str,
     side = cell_side(g, F.col("_glvl"))
     Rc = (R.withColumn("_grcx", F.explode(F.sequence(cell_of(rx1, side), cell_of(rx2, side))))
            .withColumn("_grcy", F.explode(F.sequence(cell_of(ry1, side), cell_of(ry2, side)))))
+    Rc = _size_guard(Rc, stats.n * CELLS_PER_RECT)
     Pc = point_cells(points, g, levels, px, py, prefix="_gp")
     j = Pc.join(
         Rc,
@@ -103,6 +138,13 @@ def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str
     B = b.withColumn("_gblvl", level_of(rect_extent(*bcols), g))
     Ac = _rect_cells_multi(A, g, "_galvl", lb, acols, "a")
     Bc = _rect_cells_multi(B, g, "_gblvl", la, bcols, "b")
+    # broadcast the side with the smaller proven size, if it fits at all
+    rows_b = sb.n * CELLS_PER_RECT * (1 + len(la))
+    rows_a = None if sa is None else sa.n * CELLS_PER_RECT * (1 + len(lb))
+    if rows_a is not None and rows_a < rows_b:
+        Ac = _size_guard(Ac, rows_a)
+    else:
+        Bc = _size_guard(Bc, rows_b)
     ax1, ay1, ax2, ay2 = acols
     bx1, by1, bx2, by2 = bcols
     side = cell_side(g, F.col("_gaL"))

@@ -34,3 +34,21 @@ def test_no_single_partition_funnel_in_joins(spark):
     for name in ("spatial_count_point", "collect_matches", "rect_union_vertices"):
         p = _plan(QUERIES[name](spark, SF01))
         assert "SinglePartition" not in p, name
+
+
+def test_broadcast_guard_falls_back_to_merge_join(spark):
+    from planekit.plans.catalog import QUERIES as Q
+    small = Q["join_rect_rect"](spark, SF01)
+    assert "BroadcastHashJoin" in _plan(small)
+    expect = sorted(small.collect())
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        big = Q["join_rect_rect"](spark, SF01)
+        p = _plan(big)
+        assert "SortMergeJoin" in p and "BroadcastHashJoin" not in p
+        assert sorted(big.collect()) == expect
+        pts = Q["join_point_rect"](spark, SF01)
+        assert "SortMergeJoin" in _plan(pts)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
