@@ -2,18 +2,20 @@
 
 Plan, all distributed:
 
-1. Catalyst: 8 extreme points per group (``min_by``/``max_by`` of x, y, x+y,
-   x-y: a partial + final aggregate) and a filter dropping points strictly
-   inside that octagon.  On ordinary data this removes nearly every row
-   before any Python runs.
-2. ``mapInPandas``: exact monotone-chain hull of the survivors, per group,
-   per partition (a streaming fold over the Arrow batches of the partition).
-3. Tree reduction: while there are many partitions, the partial hulls are
+1. ``mapInPandas`` over the input partitions, in ONE pass and with no
+   shuffle: each Arrow batch (two numeric columns) is pruned by the octagon
+   of its own 8 extreme points (vectorised numpy), and the survivors are
+   folded into an exact monotone-chain hull per group of the partition.
+   (Optionally, ``catalyst_prefilter=True`` first drops points strictly
+   inside the global/per-group octagon in the JVM; that costs an extra
+   aggregate pass, and per group a shuffle of all points by key, so it only
+   pays when Arrow transfer is the bottleneck.)
+2. Tree reduction: while there are many partitions, the partial hulls are
    re-shuffled into ``P / FANIN`` partitions (salted by source partition,
    hashed with the group key) and hulled again.  So no task ever receives
    more than ``FANIN`` partial hulls of a group, even for a group holding a
    third of all rows.
-4. ``groupBy(keys).applyInPandas``: the final hull per group (or, for
+3. ``groupBy(keys).applyInPandas``: the final hull per group (or, for
    farthest pairs, rotating calipers on it).
 
 Coordinates keep their type: integer columns give exact results; doubles are
@@ -34,8 +36,8 @@ from planekit.operators._geom_local import farthest_on_hull, hull_ccw
 
 FANIN = 64
 _KEY = "_hk"
-# flush the per-partition buffer into its hull past this many rows
-_BUFFER_ROWS = 200_000
+# fold the per-partition buffer into its hull past this many rows
+_BUFFER_ROWS = 50_000
 
 _DIRS = [  # counter-clockwise order of the octagon's extreme points
     ("min", "x"), ("min", "s"), ("min", "y"), ("max", "t"),
@@ -152,20 +154,20 @@ def _partial_hulls(points: DataFrame, keys: list[str], x: str, y: str, fanin: in
     return cand
 
 
-def _prepare(points: DataFrame, x: str, y: str, keys: list[str]) -> DataFrame:
+def _prepare(points: DataFrame, x: str, y: str, keys: list[str], catalyst_prefilter: bool) -> DataFrame:
     pts = points.where(valid_coords(points, x, y)).select(*keys, x, y)
-    return octagon_filter(pts, x, y, keys)
+    return octagon_filter(pts, x, y, keys) if catalyst_prefilter else pts
 
 
 def convex_hull(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
-                fanin: int = FANIN) -> DataFrame:
+                fanin: int = FANIN, catalyst_prefilter: bool = False) -> DataFrame:
     """Strict hull vertices (``[group cols,] x, y``), distinct; sort with ``orderBy``.
 
     Points interior to a hull edge are not vertices; one point is its own
     hull; collinear input gives the two ends; no point gives no row.
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
-    cand = _partial_hulls(_prepare(points, x, y, keys), keys, x, y, fanin)
+    cand = _partial_hulls(_prepare(points, x, y, keys, catalyst_prefilter), keys, x, y, fanin)
     schema = _schema(cand, keys, x, y)
     gkeys = keys or [_KEY]
     if not keys:
@@ -182,7 +184,7 @@ def convex_hull(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
 
 
 def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
-                   fanin: int = FANIN) -> DataFrame:
+                   fanin: int = FANIN, catalyst_prefilter: bool = False) -> DataFrame:
     """All pairs of distinct points at maximum distance: ``ax ay bx by d2 dist``.
 
     ``(ax, ay) < (bx, by)`` in (x, y) order; ``d2`` is the squared distance
@@ -191,7 +193,7 @@ def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
     never by an all-pairs join.
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
-    cand = _partial_hulls(_prepare(points, x, y, keys), keys, x, y, fanin)
+    cand = _partial_hulls(_prepare(points, x, y, keys, catalyst_prefilter), keys, x, y, fanin)
     t = dict(cand.dtypes)
     integral = t[x] not in ("double", "float") and t[y] not in ("double", "float")
     ctype = "bigint" if integral else "double"

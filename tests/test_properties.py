@@ -100,3 +100,11 @@ def _raster_vertices(rects):
 def test_union_vs_raster(spark, rects):
     df = spark.createDataFrame(rects, "x1 long, y1 long, x2 long, y2 long")
     assert rows(rect_union_vertices(df)) == _raster_vertices(rects)
+
+
+@SETTINGS
+@given(st.lists(point, min_size=0, max_size=80), st.integers(1, 4))
+def test_hull_catalyst_prefilter_same(spark, pts, nparts):
+    df = spark.createDataFrame([(p[0] % 2, p[0], p[1]) for p in pts], "g long, x long, y long").repartition(nparts)
+    assert rows(convex_hull(df, group_by="g", catalyst_prefilter=True)) == rows(convex_hull(df, group_by="g"))
+    assert rows(convex_hull(df, catalyst_prefilter=True)) == rows(convex_hull(df))
