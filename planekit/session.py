@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 
 from pyspark.sql import SparkSession
 
@@ -59,9 +60,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def cut_lineage(df):
-    """Materialise ``df`` into the reliable checkpoint folder (never local)."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Materialise ``df`` as a Parquet table in the shared checkpoint folder.
+
+    One job writes it (``Dataset.checkpoint`` would compute the data twice:
+    once for the eager count, once more to write the files), and the
+    returned DataFrame reads it back: columnar, lineage cut at the files,
+    so a lost executor costs a re-read, never a recomputation.
+    """
+    spark = df.sparkSession
+    path = f"{checkpoint_dir(spark).rstrip('/')}/planekit-{uuid.uuid4().hex}"
+    df.write.mode("errorifexists").parquet(path)
+    return spark.read.parquet(path)
 
 
 def is_local(spark: SparkSession) -> bool:
