@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planekit.functions.geom import point_in_rect, rects_intersect, valid_coords
+from planekit.plans.guard import size_guard as _size_guard
 from planekit.plans.grid import (
     SideStats,
     base_cell,
@@ -33,36 +34,6 @@ PREDICATES = ("within", "within_closed", "intersects")
 # rounding at cell borders): the bound used to size a side before broadcasting
 CELLS_PER_RECT = 9
 
-_UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
-          "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
-
-
-def _threshold_bytes(spark) -> int:
-    """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: broadcasting off)."""
-    raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
-    num = raw.rstrip("abcdefghijklmnopqrstuvwxyz")
-    unit = raw[len(num):] or "b"
-    try:
-        return int(float(num) * _UNITS.get(unit, 1))
-    except ValueError:
-        return -1
-
-
-def _size_guard(df: DataFrame, max_rows: int, force_hint: bool = True) -> DataFrame:
-    """Broadcast ``df`` only if ``max_rows`` (a proven upper bound) fits the threshold.
-
-    The bound comes from the exact row count of the side (its statistics
-    job) times the fixed replication per row; the byte size assumes
-    fixed-width columns (UnsafeRow: 8-byte header + 8 bytes per field,
-    doubled for the hash relation).  Beyond it the join is forced to a
-    sort-merge join, which spills instead of failing.
-    """
-    limit = _threshold_bytes(df.sparkSession)
-    row_bytes = 2 * (8 + 8 * len(df.columns))
-    if limit > 0 and max_rows * row_bytes <= limit:
-        return F.broadcast(df)
-    return df.hint("merge") if force_hint else df
-
 
 def _drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_g")])

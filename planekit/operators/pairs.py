@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planekit.functions.geom import point_lt, sq_dist, valid_coords
+from planekit.plans.guard import size_guard
 from planekit.session import cut_lineage
 
 MAX_CELL = 64
@@ -149,6 +150,7 @@ def _closest(P: DataFrame, max_cell: int) -> DataFrame:
              .select("bx", "by", (F.col("cx") - F.col("o.i")).alias("gcx"),
                      (F.col("cy") - F.col("o.j")).alias("gcy"),
                      ((F.col("o.i") == 0) & (F.col("o.j") == 0)).alias("same")))
+    guest = size_guard(guest, 5 * n)  # n is exact: 5 copies per point
     # pruning bound only (the minimum is taken exactly below): never under the seed
     if ctype in ("double", "float"):
         bound = F.lit(best * (1.0 + 1e-12))
