@@ -108,3 +108,30 @@ def test_hull_catalyst_prefilter_same(spark, pts, nparts):
     df = spark.createDataFrame([(p[0] % 2, p[0], p[1]) for p in pts], "g long, x long, y long").repartition(nparts)
     assert rows(convex_hull(df, group_by="g", catalyst_prefilter=True)) == rows(convex_hull(df, group_by="g"))
     assert rows(convex_hull(df, catalyst_prefilter=True)) == rows(convex_hull(df))
+
+
+fcoord = st.integers(min_value=-400, max_value=400).map(lambda v: v / 8.0 + 0.1)  # non-integral doubles
+
+
+@SETTINGS
+@given(st.lists(st.tuples(fcoord, fcoord), min_size=0, max_size=40), st.integers(1, 5))
+def test_double_coordinates_vs_exact_brute(spark, pts, nparts):
+    from fractions import Fraction
+    df = spark.createDataFrame(pts, "x double, y double").repartition(nparts)
+    uniq = sorted(set(pts))
+    d = {(a, b): (Fraction(a[0]) - Fraction(b[0])) ** 2 + (Fraction(a[1]) - Fraction(b[1])) ** 2
+         for a, b in itertools.combinations(uniq, 2)}
+    got_c = rows(closest_pairs(df), "ax", "ay", "bx", "by")
+    got_f = rows(farthest_pairs(df), "ax", "ay", "bx", "by")
+    if not d:
+        assert got_c == [] and got_f == []
+        return
+    lo, hi = min(d.values()), max(d.values())
+    assert got_f == sorted((a[0], a[1], b[0], b[1]) for (a, b), v in d.items() if v == hi)
+    # closest compares computed squared distances: the exact minimum pair(s)
+    # must be among them; distinct exact values never tie in floating point here
+    exact_min = sorted((a[0], a[1], b[0], b[1]) for (a, b), v in d.items() if v == lo)
+    assert set(exact_min) <= set(got_c)
+    import numpy as np
+    expect_h = sorted(hull_ccw(np.array([p[0] for p in pts]), np.array([p[1] for p in pts])))
+    assert rows(convex_hull(df)) == expect_h
