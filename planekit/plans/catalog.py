@@ -27,7 +27,7 @@ from planekit.operators.pairs import closest_pairs, distinct_points
 from planekit.operators.range import range_query
 from planekit.operators.union import rect_union_vertices
 from planekit.plans.views import cte, table, view
-from planekit.sources.text import parse_shapes, read_matches
+from planekit.sources.text import parse_shapes, read_matches, read_points
 
 # the range-query window, corners deliberately given in reversed order
 RANGE_WINDOW = (20_000_000, 20_000_000, 5_000_000, 5_000_000)
@@ -154,6 +154,28 @@ def q_rect_union_boundary_points(spark: SparkSession, d: str) -> DataFrame:
     return rect_union_vertices(view(spark, d, "rects"), keep_collinear=True)
 
 
+def q_join_point_rect_closed(spark: SparkSession, d: str) -> DataFrame:
+    return spatial_join(view(spark, d, "pts"), view(spark, d, "win"), "within_closed")
+
+
+def q_collect_matches_left(spark: SparkSession, d: str) -> DataFrame:
+    # every probe, matched or not: unmatched probes get an empty list
+    p = view(spark, d, "pts")
+    m = collect_matches(spatial_join(p, view(spark, d, "win"), "within"), probes=p)
+    return m.select("probe_id", F.array_join("matches", ",").alias("matches"))
+
+
+def q_range_query_text(spark: SparkSession, d: str) -> DataFrame:
+    # points rendered as "id,x,y" text rows, read back by position, then queried
+    lines = view(spark, d, "pts").select(F.concat_ws(",", "id", "x", "y").alias("value"))
+    pts = read_points(lines, with_id=True, id_type="bigint")
+    return range_query(pts, RANGE_WINDOW).select("id")
+
+
+def q_convex_hull_iso(spark: SparkSession, d: str) -> DataFrame:
+    return convex_hull(view(spark, d, "iso"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query": q_range_query,
     "range_query_raw": q_range_query_raw,
@@ -177,6 +199,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "pair_distance": q_pair_distance,
     "rect_union_vertices": q_rect_union_vertices,
     "rect_union_boundary_points": q_rect_union_boundary_points,
+    "join_point_rect_closed": q_join_point_rect_closed,
+    "collect_matches_left": q_collect_matches_left,
+    "range_query_text": q_range_query_text,
+    "convex_hull_iso": q_convex_hull_iso,
 }
 
 _W = RANGE_WINDOW
@@ -300,3 +326,16 @@ ORACLE.update({
     "rect_union_vertices": cte("rects") + ", " + _union_sql(False),
     "rect_union_boundary_points": cte("rects") + ", " + _union_sql(True),
 })
+
+_PT_IN_WIN_CLOSED = "p.x >= w.x1 AND p.x <= w.x2 AND p.y >= w.y1 AND p.y <= w.y2"
+
+ORACLE.update({
+    "join_point_rect_closed": cte("pts", "win") + (
+        f"SELECT p.id AS probe_id, w.id AS window_id FROM pts p JOIN win w ON {_PT_IN_WIN_CLOSED}"),
+    "collect_matches_left": cte("pts", "win") + (
+        "SELECT p.id AS probe_id,"
+        " coalesce(array_to_string(list_sort(list_distinct(list(w.id))), ','), '') AS matches"
+        f" FROM pts p LEFT JOIN win w ON {_PT_IN_WIN} GROUP BY p.id"),
+    "range_query_text": ORACLE["range_query"],
+    "convex_hull_iso": cte("iso") + ", " + _hull_sql("iso", None),
+})
