@@ -26,9 +26,16 @@ def _lines(spark_or_df, path: str | None) -> DataFrame:
     return spark_or_df.read.text(path)
 
 
-def _parse(lines: DataFrame, names: list[str], types: list[str], strict: bool) -> DataFrame:
-    parts = F.split(F.col("value"), ",")
-    df = lines.where(F.trim("value") != "").select(
+def _split(lines: DataFrame) -> DataFrame:
+    """One ``_parts`` array per non-blank line: the line is split once and
+    every field, filter and arity test reads the array."""
+    return lines.select(F.split(F.col("value"), ",").alias("_parts")).where(
+        (F.size("_parts") > 1) | (F.trim(F.col("_parts")[0]) != ""))
+
+
+def _parse(parts_df: DataFrame, names: list[str], types: list[str], strict: bool) -> DataFrame:
+    parts = F.col("_parts")
+    df = parts_df.select(
         *[_field(parts, i, t, strict).alias(n) for i, (n, t) in enumerate(zip(names, types))])
     if strict:
         return df
@@ -41,7 +48,7 @@ def read_points(spark: SparkSession | DataFrame, path: str | None = None,
     """``x,y`` or ``id,x,y`` rows -> columns ``[id,] x, y`` (doubles)."""
     names = (["id"] if with_id else []) + ["x", "y"]
     types = ([id_type] if with_id else []) + ["double", "double"]
-    return _parse(_lines(spark, path), names, types, strict)
+    return _parse(_split(_lines(spark, path)), names, types, strict)
 
 
 def read_rects(spark: SparkSession | DataFrame, path: str | None = None,
@@ -50,7 +57,7 @@ def read_rects(spark: SparkSession | DataFrame, path: str | None = None,
     """``x1,y1,x2,y2`` or ``id,x1,y1,x2,y2`` rows; corners in any order."""
     names = (["id"] if with_id else []) + ["x1", "y1", "x2", "y2"]
     types = ([id_type] if with_id else []) + ["double"] * 4
-    df = _parse(_lines(spark, path), names, types, strict)
+    df = _parse(_split(_lines(spark, path)), names, types, strict)
     return normalize_rect(df) if normalize else df
 
 
@@ -60,10 +67,10 @@ def parse_shapes(lines: DataFrame, strict: bool = True,
 
     Returns ``(points, rects)``; both come from one scan of ``lines``.
     """
-    lines = _lines(lines, None)
-    n = F.size(F.split(F.col("value"), ","))
-    pts = _parse(lines.where(n == 3), ["id", "x", "y"], ["bigint", coord_type, coord_type], strict)
-    rct = _parse(lines.where(n == 5), ["id", "x1", "y1", "x2", "y2"],
+    parts = _split(_lines(lines, None))
+    n = F.size("_parts")
+    pts = _parse(parts.where(n == 3), ["id", "x", "y"], ["bigint", coord_type, coord_type], strict)
+    rct = _parse(parts.where(n == 5), ["id", "x1", "y1", "x2", "y2"],
                  ["bigint"] + [coord_type] * 4, strict)
     return pts, normalize_rect(rct)
 
@@ -74,9 +81,8 @@ def read_shapes(spark: SparkSession, path: str, strict: bool = True) -> tuple[Da
 
 def read_matches(spark: SparkSession | DataFrame, path: str | None = None) -> DataFrame:
     """``id,m1,m2,...`` rows -> ``probe_id bigint, matches array<bigint>``."""
-    lines = _lines(spark, path)
-    parts = F.split(F.col("value"), ",")
-    return lines.where(F.trim("value") != "").select(
+    parts = F.col("_parts")
+    return _split(_lines(spark, path)).select(
         F.trim(parts[0]).cast("bigint").alias("probe_id"),
         F.transform(F.slice(parts, 2, F.size(parts) - 1),
                     lambda v: F.trim(v).cast("bigint")).alias("matches"),
