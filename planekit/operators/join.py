@@ -67,6 +67,38 @@ def join_points_rects(points: DataFrame, rects: DataFrame, px: str, py: str,
     return _drop_helpers(j)
 
 
+def points_outside_rects(points: DataFrame, rects: DataFrame, px: str, py: str,
+                         rcols: tuple[str, str, str, str], closed: bool = False,
+                         cell: float | None = None, stats: SideStats | None = None) -> DataFrame:
+    """Rows of ``points`` inside no rectangle (anti-join; open borders by default).
+
+    A point can only meet a rectangle on that rectangle's grid level, so it
+    is anti-joined once per level present among the rectangles (a handful):
+    it survives only if no level finds a containing rectangle.  An anti-join
+    emits no pairs, so cost does not grow with how many rectangles cover a
+    point.
+    """
+    rx1, ry1, rx2, ry2 = rcols
+    stats = stats or SideStats(rects, rcols)
+    g = cell or base_cell(stats)
+    R = rects.withColumn("_glvl", level_of(rect_extent(rx1, ry1, rx2, ry2), g))
+    side = cell_side(g, F.col("_glvl"))
+    Rc = (R.withColumn("_grcx", F.explode(F.sequence(cell_of(rx1, side), cell_of(rx2, side))))
+           .withColumn("_grcy", F.explode(F.sequence(cell_of(ry1, side), cell_of(ry2, side)))))
+    out = points
+    for lv in stats.levels(g):
+        pside = cell_side(g, lv)
+        pc = out.withColumn("_gpcx", cell_of(px, pside)).withColumn("_gpcy", cell_of(py, pside))
+        rl = _size_guard(Rc.where(F.col("_glvl") == lv), stats.n * CELLS_PER_RECT)
+        out = pc.join(
+            rl,
+            (F.col("_gpcx") == F.col("_grcx")) & (F.col("_gpcy") == F.col("_grcy"))
+            & point_in_rect(px, py, rx1, ry1, rx2, ry2, closed=closed),
+            "left_anti",
+        ).drop("_gpcx", "_gpcy")
+    return out
+
+
 def _rect_cells_multi(df: DataFrame, g: float, own: str, other_levels: list[int],
                       cols: tuple[str, str, str, str], tag: str) -> DataFrame:
     """Cells of each rectangle on its own level and on each higher level of the other side."""

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planekit.functions.geom import valid_coords
-from planekit.operators.join import join_points_rects, join_rects_rects
+from planekit.operators.join import join_points_rects, join_rects_rects, points_outside_rects
 from planekit.plans.grid import SideStats
 
 NE, NW, SW, SE = 1, 2, 4, 8
@@ -81,13 +81,24 @@ def quadrant_masks(R: DataFrame, cand: DataFrame, cell: float | None = None, sta
 
 def rect_union_vertices(rects: DataFrame, x1: str = "x1", y1: str = "y1", x2: str = "x2",
                         y2: str = "y2", keep_collinear: bool = False,
-                        cell: float | None = None) -> DataFrame:
-    """Distinct vertices ``x, y`` of the union's boundary (shells and holes)."""
+                        cell: float | None = None, prune_interior: bool = False) -> DataFrame:
+    """Distinct vertices ``x, y`` of the union's boundary (shells and holes).
+
+    ``prune_interior=True`` first drops candidates strictly inside some
+    rectangle with a per-level anti-join (no pair rows), so the mask join
+    only sees boundary candidates; it pays off when rectangles overlap
+    deeply and costs one extra join per grid level otherwise.
+    """
     R = _rects(rects, (x1, y1, x2, y2))
     V, H = _edges(R)
     # grid statistics of edges and rectangles: one job
     sv, sh, sr = SideStats.many([(V, VCOLS), (H, HCOLS), (R, RCOLS)])
-    m = quadrant_masks(R, boundary_candidates(R, cell, (sv, sh)), cell, sr)
+    cand = boundary_candidates(R, cell, (sv, sh))
+    if prune_interior:
+        # a candidate strictly inside any rectangle is interior (mask 15): drop
+        # it by anti-join first, so the mask join only sees boundary candidates
+        cand = points_outside_rects(cand, R, "x", "y", RCOLS, closed=False, cell=cell, stats=sr)
+    m = quadrant_masks(R, cand, cell, sr)
     keep = F.col("mask").isin(*CORNER_MASKS)
     if keep_collinear:
         keep = keep | (F.col("mask").isin(*STRAIGHT_MASKS) & (F.col("corner") == 1))

@@ -7,6 +7,7 @@ from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
 
 from conftest import rows
+from planekit.operators.join import points_outside_rects
 from planekit import (
     closest_pairs,
     convex_hull,
@@ -99,7 +100,9 @@ def _raster_vertices(rects):
 @given(st.lists(rect, max_size=10))
 def test_union_vs_raster(spark, rects):
     df = spark.createDataFrame(rects, "x1 long, y1 long, x2 long, y2 long")
-    assert rows(rect_union_vertices(df)) == _raster_vertices(rects)
+    expect = _raster_vertices(rects)
+    assert rows(rect_union_vertices(df)) == expect
+    assert rows(rect_union_vertices(df, prune_interior=True)) == expect
 
 
 @SETTINGS
@@ -135,3 +138,15 @@ def test_double_coordinates_vs_exact_brute(spark, pts, nparts):
     import numpy as np
     expect_h = sorted(hull_ccw(np.array([p[0] for p in pts]), np.array([p[1] for p in pts])))
     assert rows(convex_hull(df)) == expect_h
+
+
+@SETTINGS
+@given(st.lists(point, max_size=30), st.lists(rect, max_size=12), st.booleans())
+def test_points_outside_vs_brute(spark, pts, rects, closed):
+    p = spark.createDataFrame([(i, x, y) for i, (x, y) in enumerate(pts)], "id long, x long, y long")
+    w = spark.createDataFrame(rects, "rx1 long, ry1 long, rx2 long, ry2 long")
+    def inside(a, b, r):
+        return (r[0] <= a <= r[2] and r[1] <= b <= r[3]) if closed else (r[0] < a < r[2] and r[1] < b < r[3])
+    expect = sorted((i,) for i, (a, b) in enumerate(pts) if not any(inside(a, b, r) for r in rects))
+    got = points_outside_rects(p, w, "x", "y", ("rx1", "ry1", "rx2", "ry2"), closed=closed)
+    assert rows(got, "id") == expect
