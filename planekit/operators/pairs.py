@@ -116,11 +116,15 @@ def _closest(P: DataFrame, max_cell: int) -> DataFrame:
     # 1. seed: k*k < n cells over the bounding box
     k = max(1, math.isqrt(n - 1))
     side = span / (k - 0.5) if k > 1 else span * 2.0 + 1.0
-    best, _ = _cell_pair_bound(P, side, ox, oy)
+    best, seed_cmax = _cell_pair_bound(P, side, ox, oy)
     if best is None:  # cannot happen for n >= 2 distinct points; stay safe
         best = span * span * 2.0
+    # a delta-cell (delta <= sqrt(2) * side) overlaps at most 3 x 3 seed cells,
+    # so the seed's fullest cell already bounds every delta-cell: when that
+    # bound is small the separate check is skipped
+    crowded = 9 * seed_cmax > max_cell
     # 2. refine while some delta-cell is crowded
-    while True:
+    while crowded:
         delta = math.sqrt(best) * _WIDEN
         if delta == 0:
             break
