@@ -141,26 +141,6 @@ def base_cell(*sides: SideStats) -> float:
     return 2.0 ** math.ceil(math.log2(target))
 
 
-def choose_cell(*rect_sides: DataFrame, cols=("x1", "y1", "x2", "y2")) -> float:
-    """Base cell side for the given rectangle sides (one aggregate each)."""
-    return base_cell(*[SideStats(df, cols) for df in rect_sides])
-
-
-def rect_levels(df: DataFrame, level_col: str = "_lvl") -> list[int]:
-    """Distinct levels present on a side (a bounded set); prefer ``SideStats.levels``."""
-    return sorted(r[0] for r in df.select(level_col).distinct().collect())
-
-
-def explode_rect_cells(df: DataFrame, g: float, level: Column, x1, y1, x2, y2,
-                       prefix: str = "_") -> DataFrame:
-    """One row per grid cell that the rectangle covers on ``level``."""
-    lv, cx, cy = f"{prefix}L", f"{prefix}cx", f"{prefix}cy"
-    out = df.withColumn(lv, level)
-    side = cell_side(g, F.col(lv))
-    out = out.withColumn(cx, F.explode(F.sequence(cell_of(x1, side), cell_of(x2, side))))
-    return out.withColumn(cy, F.explode(F.sequence(cell_of(y1, side), cell_of(y2, side))))
-
-
 def point_cells(df: DataFrame, g: float, levels: list[int], x, y, prefix: str = "_") -> DataFrame:
     """One row per level in ``levels``: the cell holding the point on that level."""
     lv, cx, cy = f"{prefix}L", f"{prefix}cx", f"{prefix}cy"

@@ -7,7 +7,6 @@ driver entry only.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -71,14 +70,3 @@ def cut_lineage(df):
     path = f"{checkpoint_dir(spark).rstrip('/')}/planekit-{uuid.uuid4().hex}"
     df.write.mode("errorifexists").parquet(path)
     return spark.read.parquet(path)
-
-
-def is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
-
-
-def env_cpus(default: int = 8) -> int:
-    try:
-        return int(os.environ.get("BENCH_CPUS", default))
-    except ValueError:
-        return default

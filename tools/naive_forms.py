@@ -42,6 +42,19 @@ def main():
         pdf = pd.concat(frames) if frames else pd.DataFrame({"x": [], "y": []})
         h = hull_ccw(pdf["x"].to_numpy(), pdf["y"].to_numpy())
         yield pd.DataFrame(h, columns=["x", "y"]).astype(np.int64)
+    # rectangle union with plain theta joins (the oracle's shape run in Spark)
+    R = r.select("x1", "y1", "x2", "y2")
+    V = R.select(F.col("x1").alias("vx"), "y1", "y2").union(R.select("x2", "y1", "y2"))
+    H = R.select(F.col("y1").alias("hy"), "x1", "x2").union(R.select("y2", "x1", "x2"))
+    cross = V.alias("v").join(H.alias("h"), (F.col("h.x1") <= F.col("v.vx")) & (F.col("v.vx") <= F.col("h.x2"))
+                              & (F.col("v.y1") <= F.col("h.hy")) & (F.col("h.hy") <= F.col("v.y2"))) \
+        .select(F.col("v.vx").alias("px"), F.col("h.hy").alias("py"))
+    corners = R.select(F.col("x1").alias("px"), F.col("y1").alias("py")).union(R.select("x1", "y2")) \
+        .union(R.select("x2", "y1")).union(R.select("x2", "y2"))
+    cand = corners.union(cross).distinct()
+    hits = cand.join(R, (F.col("x1") <= F.col("px")) & (F.col("px") <= F.col("x2"))
+                     & (F.col("y1") <= F.col("py")) & (F.col("py") <= F.col("y2")))
+    run("theta rect_union (masks)", hits.groupBy("px", "py").count())
     run("one-task convex_hull", p.select("x", "y").coalesce(1).mapInPandas(one_task_hull, "x long, y long"))
     if "sf0.1" not in d:
         q = iso.select("x", "y").distinct()
