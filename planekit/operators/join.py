@@ -210,10 +210,23 @@ def spatial_join(probes: DataFrame, windows: DataFrame, predicate: str = "within
 def spatial_join_mixed(points: DataFrame, rects: DataFrame, windows: DataFrame,
                        probe_id: str = "id", window_id: str = "id",
                        cell: float | None = None) -> DataFrame:
-    """Mixed probe kinds: points use the open point join, rectangles intersection."""
-    pp = spatial_join(points, windows, "within", probe_id, window_id, cell=cell)
-    rr = spatial_join(rects, windows, "intersects", probe_id, window_id, cell=cell)
-    return pp.unionByName(rr)
+    """Mixed probe kinds: points use the open point join, rectangles intersection.
+
+    The grid statistics of the rectangle probes and of the windows come from
+    one job and serve both joins.
+    """
+    W = _prep_rects(windows, window_id, ("x1", "y1", "x2", "y2"), "w")
+    R = _prep_rects(rects, probe_id, ("x1", "y1", "x2", "y2"), "p")
+    P = _prep_points(points, probe_id, "x", "y")
+    wcols, rcols = ("_wx1", "_wy1", "_wx2", "_wy2"), ("_px1", "_py1", "_px2", "_py2")
+    if rects.isStreaming or points.isStreaming:
+        sr, sw = None, SideStats(W, wcols)
+    else:
+        sr, sw = SideStats.many([(R, rcols), (W, wcols)])
+    pp = join_points_rects(P, W, "_px", "_py", wcols, closed=False, cell=cell, stats=sw)
+    rr = join_rects_rects(R, W, rcols, wcols, cell=cell, stats=(sr, sw))
+    out = [j.select(F.col("_pid").alias("probe_id"), F.col("_wid").alias("window_id")) for j in (pp, rr)]
+    return out[0].unionByName(out[1])
 
 
 def _with_unmatched(pairs: DataFrame, probes: DataFrame | None, probe_id: str) -> DataFrame:
