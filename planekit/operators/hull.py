@@ -28,12 +28,18 @@ import math
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planekit.functions.geom import cross, valid_coords
+from planekit.operators import _geom_local
 from planekit.operators._geom_local import farthest_on_hull, hull_ccw
 
+# the in-task helpers travel with the Pandas UDFs (pickled by value), so the
+# Python workers never need this package installed or on their path
+cloudpickle.register_pickle_by_value(_geom_local)
+
 FANIN = 64
 _KEY = "_hk"
 # fold the per-partition buffer into its hull past this many rows

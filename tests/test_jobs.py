@@ -47,3 +47,18 @@ def test_jobs_end_to_end(spark, tmpdir_path):
     main(["union", rects, f"{d}/union"], spark=spark)
     assert _lines(spark, f"{d}/union") == ["0.0,0.0", "0.0,2.0", "1.0,2.0", "1.0,3.0",
                                            "2.0,0.0", "2.0,1.0", "3.0,1.0", "3.0,3.0"]
+
+
+def test_python_workers_need_no_package_on_path(spark, tmpdir_path):
+    """Pandas-UDF code is shipped by value: a worker whose path lacks the
+    package (a cluster without it installed) still runs the hull."""
+    import subprocess
+    import sys
+    d = tmpdir_path
+    pts = _write(f"{d}/p.csv", "0,0\n0,10\n10,0\n10,10\n5,5\n")
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    r = subprocess.run([sys.executable, os.path.join(repo, "planekit", "jobs.py"), "convex-hull", pts, f"{d}/h"],
+                       cwd="/", env=env, capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert sorted(_lines(spark, f"{d}/h")) == ["0.0,0.0", "0.0,10.0", "10.0,0.0", "10.0,10.0"]
