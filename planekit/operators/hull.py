@@ -102,7 +102,7 @@ def _with_one_row(points: DataFrame, one: DataFrame) -> DataFrame:
     """Attach the single row of a global aggregate as literals (8 bounded points)."""
     r = one.first()
     if r is None:
-        return points.limit(0)
+        return points.where(F.lit(False))
     return points.withColumns({c: F.lit(r[c]) for c in one.columns})
 
 

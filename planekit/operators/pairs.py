@@ -109,7 +109,7 @@ def _closest(P: DataFrame, max_cell: int) -> DataFrame:
     out_cols = ["ax", "ay", "bx", "by", "d2", "dist"]
     if n < 2:
         return P.select(*[F.lit(None).cast(ctype if c != "dist" else "double").alias(c)
-                          for c in out_cols]).limit(0)
+                          for c in out_cols]).where(F.lit(False))
     ox, oy = float(st["x0"]), float(st["y0"])
     span = max(float(st["x1"]) - ox, float(st["y1"]) - oy)
 

@@ -16,7 +16,7 @@ def window_bounds(window) -> tuple:
     bounded row is taken to the driver, as a query constant.
     """
     if isinstance(window, DataFrame):
-        row = window.select("x1", "y1", "x2", "y2").limit(1).first()
+        row = window.select("x1", "y1", "x2", "y2").first()
         if row is None:
             raise ValueError("window DataFrame is empty")
         window = tuple(row)

@@ -91,7 +91,7 @@ def read_matches(spark: SparkSession | DataFrame, path: str | None = None) -> Da
 
 def take_window(spark: SparkSession | DataFrame, path: str | None = None) -> tuple:
     """The query window: the first row of a rectangle file (file order)."""
-    r = read_rects(spark, path).limit(1).first()
+    r = read_rects(spark, path).first()
     if r is None:
         raise ValueError("empty window file")
     return (r["x1"], r["y1"], r["x2"], r["y2"])
