@@ -17,8 +17,11 @@ _ORIENT_BOUND = 3.3306690738754716e-16
 
 def orient(ax, ay, bx, by, cx, cy):
     """> 0 if a -> b -> c turns counter-clockwise, < 0 clockwise, 0 collinear (exact sign)."""
-    if isinstance(ax, int) and isinstance(bx, int) and isinstance(cx, int) \
-            and isinstance(ay, int) and isinstance(by, int) and isinstance(cy, int):
+    vals = (ax, ay, bx, by, cx, cy)
+    if all(isinstance(v, int) for v in vals):
+        return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
+    if not all(isinstance(v, (int, float)) for v in vals):  # e.g. Decimal: exact
+        ax, ay, bx, by, cx, cy = (Fraction(v) for v in vals)
         return (bx - ax) * (cy - ay) - (by - ay) * (cx - ax)
     left = (bx - ax) * (cy - ay)
     right = (by - ay) * (cx - ax)

@@ -201,11 +201,15 @@ def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
     cand = _partial_hulls(_prepare(points, x, y, keys, catalyst_prefilter), keys, x, y, fanin)
     t = dict(cand.dtypes)
-    integral = t[x] not in ("double", "float") and t[y] not in ("double", "float")
-    ctype = "bigint" if integral else "double"
+    ints = ("tinyint", "smallint", "int", "bigint")
+    integral = t[x] in ints and t[y] in ints
+    floating = t[x] in ("double", "float") or t[y] in ("double", "float")
+    # integers -> bigint (exact d2); doubles -> double; decimals keep their type
+    ctype = "bigint" if integral else ("double" if floating or t[x] != t[y] else t[x])
+    dtype = "bigint" if integral else "double"
     schema = ", ".join([f"`{k}` {t[k]}" for k in keys]
                        + [f"ax {ctype}", f"ay {ctype}", f"bx {ctype}", f"by {ctype}",
-                          f"d2 {ctype}", "dist double"])
+                          f"d2 {dtype}", "dist double"])
     gkeys = keys or [_KEY]
     if not keys:
         cand = cand.withColumn(_KEY, F.lit(0))
@@ -221,8 +225,10 @@ def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
         out = pd.DataFrame(rows, columns=cols)
         if integral:
             out = out.astype({c: np.int64 for c in cols[:5]})
-        else:
+        elif ctype == "double":
             out = out.astype({c: np.float64 for c in cols[:5]})
+        else:
+            out = out.astype({"d2": np.float64})
         for k in keys:
             out[k] = pdf[k].iloc[0]
         return out[keys + cols]

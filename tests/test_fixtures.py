@@ -196,3 +196,20 @@ def test_null_nan_dropped(spark):
     df = spark.createDataFrame([(0.0, 0.0), (None, 1.0), (float("nan"), 2.0), (4.0, 4.0)], "x double, y double")
     assert rows(convex_hull(df)) == [(0.0, 0.0), (4.0, 4.0)]
     assert rows(range_query(df, (0, 0, 10, 10)), "x") == [(0.0,), (4.0,)]
+
+
+def test_decimal_coordinates(spark):
+    from decimal import Decimal as D
+    rows_in = [(D("0.10"), D("0.10")), (D("0.10"), D("10.10")), (D("10.10"), D("0.10")),
+               (D("10.10"), D("10.10")), (D("5.10"), D("5.10")), (D("5.10"), D("5.20"))]
+    df = spark.createDataFrame(rows_in, "x decimal(10,2), y decimal(10,2)")
+    assert rows(convex_hull(df)) == [(D("0.10"), D("0.10")), (D("0.10"), D("10.10")),
+                                     (D("10.10"), D("0.10")), (D("10.10"), D("10.10"))]
+    assert rows(farthest_pairs(df), "ax", "ay", "bx", "by") == [
+        (D("0.10"), D("0.10"), D("10.10"), D("10.10")), (D("0.10"), D("10.10"), D("10.10"), D("0.10"))]
+    (c,) = closest_pairs(df).collect()
+    assert (c["ax"], c["ay"], c["bx"], c["by"]) == (D("5.10"), D("5.10"), D("5.10"), D("5.20"))
+    w = spark.createDataFrame([(1, D("0.00"), D("0.00"), D("5.15"), D("5.15"))],
+                              "id long, x1 decimal(10,2), y1 decimal(10,2), x2 decimal(10,2), y2 decimal(10,2)")
+    p = df.withColumn("id", F.monotonically_increasing_id())
+    assert spatial_join(p, w, "within").count() == 2  # (0.10,0.10) and (5.10,5.10)
