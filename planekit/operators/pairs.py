@@ -14,7 +14,9 @@
    exactly one direction) and equi-joined on the cell; within one cell
    ``a < b`` keeps each unordered pair once.  With at most MAX_CELL points per
    cell the join is linear in n.
-4. Ties: the minimum squared distance (an aggregate) is joined back.
+4. Ties: the candidate pairs (within delta) are written once to the
+   checkpoint folder; their minimum squared distance (an aggregate) is
+   joined back to them.
 
 Points are a set: repeated coordinates count once (``coincident_points``
 reports them).  Integer coordinates are exact; doubles compare computed
@@ -68,8 +70,10 @@ def extremum_with_ties(df: DataFrame, col: str, how: str = "min") -> DataFrame:
     over the whole input in one partition.
     """
     agg = F.min(col) if how == "min" else F.max(col)
-    best = df.agg(agg.alias(col))
-    return df.join(F.broadcast(best), col)
+    best = df.agg(agg.alias("_best"))
+    # null-safe equality adds no inferred ``isnotnull`` filter to ``df``, so
+    # both branches keep one plan and Spark reuses their shuffles
+    return df.join(F.broadcast(best), F.col(col).eqNullSafe(F.col("_best"))).drop("_best")
 
 
 def _cell_pair_bound(P: DataFrame, side: float, ox: float, oy: float) -> tuple[float | None, int]:
@@ -165,6 +169,10 @@ def _closest(P: DataFrame, max_cell: int) -> DataFrame:
     cand = (canonical_pairs(joined.select("ax", "ay", "bx", "by"))
             .withColumn("d2", sq_dist("ax", "ay", "bx", "by"))
             .where(F.col("d2") <= bound))
-    # 4. all ties at the minimum
+    # 4. all ties at the minimum.  The candidates (pairs within delta) are
+    # written once: with AQE on, Spark does not reuse the neighbourhood
+    # join's shuffles across the two branches of the extremum, so without
+    # this the largest shuffle of the operator would run twice
+    cand = cut_lineage(cand)
     return (extremum_with_ties(cand, "d2", "min")
             .select("ax", "ay", "bx", "by", "d2", F.sqrt(F.col("d2")).alias("dist")))
