@@ -17,7 +17,8 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bo
     for name, dtype in df.dtypes:
         c = F.col(name)
         if dtype.startswith("array"):
-            c = F.concat_ws(",", F.transform(c, lambda v: v.cast("string")))
+            # elements inline (an empty list adds nothing): "id,m1,m2" / "id"
+            c = F.transform(c, lambda v: v.cast("string"))
         else:
             c = c.cast("string")
         cols.append(c)

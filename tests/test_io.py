@@ -65,7 +65,7 @@ def test_io2_write_overwrite_twice(spark, tmpdir_path):
     out = f"{tmpdir_path}/o"
     write_csv(df, out)
     write_csv(df, out)
-    assert sorted(r.value for r in spark.read.text(out).collect()) == ["1,2,3", "4,"]
+    assert sorted(r.value for r in spark.read.text(out).collect()) == ["1,2,3", "4"]
     with pytest.raises(Exception):
         write_csv(df, out, mode="errorifexists")
     pts = spark.createDataFrame([(1.5, 2.0)], "x double, y double")
