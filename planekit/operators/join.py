@@ -6,9 +6,11 @@ exact residual predicate.  Every pair is produced exactly once: a point has
 one cell per level and meets a window only on the window's level; two
 rectangles meet only on the coarser of their two levels and, within it, only
 in the cell holding the reference corner ``(max(a.x1, b.x1), max(a.y1, b.y1))``
-of their intersection.  So no ``distinct`` shuffle is needed, and no side is
-broadcast unless Spark's own size check (AQE, autoBroadcastJoinThreshold)
-picks it.
+of their intersection.  So no ``distinct`` shuffle is needed.  A side is
+broadcast only when its size is proven small (exact row count from the
+statistics job times the bounded replication, against
+``spark.sql.autoBroadcastJoinThreshold``); otherwise the join is a
+sort-merge join (``planekit.plans.guard``).
 """
 
 from __future__ import annotations
