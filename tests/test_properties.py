@@ -150,3 +150,13 @@ def test_points_outside_vs_brute(spark, pts, rects, closed):
     expect = sorted((i,) for i, (a, b) in enumerate(pts) if not any(inside(a, b, r) for r in rects))
     got = points_outside_rects(p, w, "x", "y", ("rx1", "ry1", "rx2", "ry2"), closed=closed)
     assert rows(got, "id") == expect
+
+
+@SETTINGS
+@given(st.lists(rect, max_size=10))
+def test_union_double_coordinates(spark, rects):
+    # the same rectangles at a non-integral scale: vertices scale with them
+    scaled = [tuple(v * 0.375 for v in r) for r in rects]
+    df = spark.createDataFrame(scaled, "x1 double, y1 double, x2 double, y2 double")
+    expect = sorted((x * 0.375, y * 0.375) for x, y in _raster_vertices(rects))
+    assert rows(rect_union_vertices(df)) == expect
