@@ -4,12 +4,18 @@ Closest: an exact x-sorted sweep (independent of the grid algorithm).
 Farthest: all pairs over the hull vertices found by the DuckDB slope form.
 Usage: python tools/check_pairs.py [sf_dir]
 """
-import sys, itertools
-sys.path.insert(0, __import__('os').path.dirname(__import__('os').path.dirname(__import__('os').path.abspath(__file__))))
-import duckdb
-from planekit.session import local_session
-from planekit.plans.catalog import QUERIES, _hull_sql
-from planekit.plans.views import cte
+import itertools
+import os
+import sys
+
+sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+
+import duckdb  # noqa: E402
+
+from planekit.plans.catalog import QUERIES, _hull_sql  # noqa: E402
+from planekit.plans.views import cte  # noqa: E402
+from planekit.session import local_session  # noqa: E402
+
 d = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
 con = duckdb.connect()
 for t in ("orders",):
