@@ -8,13 +8,17 @@ DataFrame-out function that runs distributed.
 
 from planekit.functions import euclidean, normalize_rect, point_in_rect, rects_intersect, sq_dist  # noqa: E402,F401
 from planekit.operators import (  # noqa: E402,F401
+    canonical_pairs,
     closest_pairs,
     coincident_points,
     collect_matches,
     convex_hull,
     distinct_points,
+    extremum_with_ties,
     farthest_pairs,
     match_counts,
+    matches_text,
+    points_outside_rects,
     range_query,
     rect_union_vertices,
     spatial_count,

@@ -3,12 +3,19 @@ from planekit.operators.join import (  # noqa: F401
     collect_matches,
     join_points_rects,
     join_rects_rects,
+    points_outside_rects,
     match_counts,
     matches_text,
     spatial_count,
     spatial_join,
     spatial_join_mixed,
 )
-from planekit.operators.pairs import closest_pairs, coincident_points, distinct_points  # noqa: F401
+from planekit.operators.pairs import (  # noqa: F401
+    canonical_pairs,
+    closest_pairs,
+    coincident_points,
+    distinct_points,
+    extremum_with_ties,
+)
 from planekit.operators.range import range_query, window_bounds  # noqa: F401
 from planekit.operators.union import rect_union_vertices  # noqa: F401
