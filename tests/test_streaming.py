@@ -28,3 +28,25 @@ def test_stream_point_and_rect_probes(spark, tmpdir_path):
     q3.awaitTermination(120)
     expect = rows(spatial_join(probes, w, "intersects"))
     assert rows(spark.read.parquet(f"{tmpdir_path}/out3")) == expect == [(100, 1), (100, 2), (101, 1), (101, 2)]
+
+
+def test_stream_equals_batch_random(spark, tmpdir_path):
+    """Random probes of random sizes (some far larger than every window):
+    the streaming path, with levels clamped to the windows', equals batch."""
+    import random
+    rnd = random.Random(11)
+    wins = [(i, float(x), float(y), float(x + rnd.randint(1, 30)), float(y + rnd.randint(1, 30)))
+            for i, (x, y) in enumerate((rnd.randint(0, 200), rnd.randint(0, 200)) for _ in range(60))]
+    w = spark.createDataFrame(wins, "id long, x1 double, y1 double, x2 double, y2 double")
+    pts = spark.createDataFrame([(i, float(rnd.randint(0, 230)), float(rnd.randint(0, 230))) for i in range(300)],
+                                "id long, x double, y double")
+    rects = spark.createDataFrame(
+        [(i, float(x), float(y), float(x + rnd.choice([1, 5, 40, 300])), float(y + rnd.choice([1, 5, 40, 300])))
+         for i, (x, y) in enumerate((rnd.randint(-50, 230), rnd.randint(-50, 230)) for _ in range(120))],
+        "id long, x1 double, y1 double, x2 double, y2 double")
+    for name, df, pred in (("p", pts, "within"), ("r", rects, "intersects")):
+        df.write.parquet(f"{tmpdir_path}/{name}")
+        stream = spark.readStream.schema(df.schema).parquet(f"{tmpdir_path}/{name}")
+        q = write_stream(join_stream(stream, w, pred), f"{tmpdir_path}/{name}_out", f"{tmpdir_path}/{name}_ck")
+        q.awaitTermination(180)
+        assert rows(spark.read.parquet(f"{tmpdir_path}/{name}_out")) == rows(spatial_join(df, w, pred))
