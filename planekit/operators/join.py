@@ -201,7 +201,11 @@ def spatial_join(probes: DataFrame, windows: DataFrame, predicate: str = "within
     wcols = ("_wx1", "_wy1", "_wx2", "_wy2")
     if predicate == "intersects":
         P = _prep_rects(probes, probe_id, probe_rect, "p")
-        j = join_rects_rects(P, W, ("_px1", "_py1", "_px2", "_py2"), wcols, cell=cell)
+        stats = None
+        if probes is windows and tuple(probe_rect) == tuple(window_rect) and not probes.isStreaming:
+            sw = SideStats(W, wcols)  # a self-join: one side's statistics serve both
+            stats = (sw, sw)
+        j = join_rects_rects(P, W, ("_px1", "_py1", "_px2", "_py2"), wcols, cell=cell, stats=stats)
     else:
         P = _prep_points(probes, probe_id, x, y)
         j = join_points_rects(P, W, "_px", "_py", wcols,
