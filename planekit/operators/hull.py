@@ -35,6 +35,7 @@ from pyspark.sql import functions as F
 from planekit.functions.geom import cross, valid_coords
 from planekit.operators import _geom_local
 from planekit.operators._geom_local import farthest_on_hull, hull_ccw
+from planekit.plans.guard import size_guard
 
 # the in-task helpers travel with the Pandas UDFs (pickled by value), so the
 # Python workers never need this package installed or on their path
@@ -89,9 +90,9 @@ def octagon_filter(points: DataFrame, x: str = "x", y: str = "y", keys=()) -> Da
     double = types[x] in ("double", "float") or types[y] in ("double", "float")
     octo = _octagon(points, keys, x, y)
     if keys:
-        # one row per group; Spark broadcasts it only under its size threshold,
-        # else a shuffle join (AQE splits a hot group's side)
-        joined = points.join(octo, on=keys, how="inner")
+        # one row per group: broadcast only under the proven bound (the exact
+        # group count), else a sort-merge join (AQE splits a hot group's side)
+        joined = points.join(size_guard(octo, octo.count()), on=keys, how="inner")
     else:
         joined = _with_one_row(points, octo)
     kept = joined.where(~_strictly_inside(x, y, double))
