@@ -7,7 +7,6 @@ driver entry only.
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -33,33 +32,27 @@ def local_session(cpus: int | str = 8, shuffle_partitions: int | None = None,
     )
 
 
-def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder named by ``spark.checkpoint.dir`` (or set on the context).
+def shared_dir(spark: SparkSession) -> str:
+    """A folder that the driver and every executor share, private to this application.
 
-    On a cluster this must be set by the caller (a shared filesystem).  Only
-    in local mode, where no executor can be lost independently of the driver,
-    a private folder under the system temp dir is created when it is unset.
+    It lies under the checkpoint folder (``spark.checkpoint.dir``, or the one
+    set on the context); where that is unset, under the SQL warehouse, the
+    other folder that a Spark deployment shares.  The folder is removed when
+    the application ends (Hadoop's ``deleteOnExit``).
     """
     sc = spark.sparkContext
-    current = sc.getCheckpointDir()
-    if current:
-        return current
-    conf_dir = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get(
-        "spark.checkpoint.dir", None)
-    if conf_dir:
-        sc.setCheckpointDir(conf_dir)
-        return sc.getCheckpointDir() or conf_dir
-    if not sc.master.startswith("local"):
-        raise RuntimeError(
-            "spark.checkpoint.dir is not set; iterative operators need a shared "
-            "folder to cut lineage on a cluster")
-    path = tempfile.mkdtemp(prefix="planekit-ckpt-")
-    sc.setCheckpointDir(path)
-    return sc.getCheckpointDir() or path
+    base = (sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
+            or spark.conf.get("spark.sql.warehouse.dir"))
+    path = f"{base.rstrip('/')}/planekit-work-{sc.applicationId}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
+    if fs.mkdirs(hadoop):
+        fs.deleteOnExit(hadoop)
+    return path
 
 
-def cut_lineage(df):
-    """Materialise ``df`` as a Parquet table in the shared checkpoint folder.
+def cut_lineage(df, partition_by: str | None = None):
+    """Materialise ``df`` as a Parquet table in the shared folder.
 
     One job writes it (``Dataset.checkpoint`` would compute the data twice:
     once for the eager count, once more to write the files), and the
@@ -67,6 +60,9 @@ def cut_lineage(df):
     so a lost executor costs a re-read, never a recomputation.
     """
     spark = df.sparkSession
-    path = f"{checkpoint_dir(spark).rstrip('/')}/planekit-{uuid.uuid4().hex}"
-    df.write.mode("errorifexists").parquet(path)
-    return spark.read.parquet(path)
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    writer = df.write.mode("errorifexists")
+    if partition_by:
+        writer = writer.partitionBy(partition_by)
+    writer.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
