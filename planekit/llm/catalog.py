@@ -8,8 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from planekit.llm.common import text_at
+from planekit.llm.decontaminate import judge
 from planekit.llm.exact_dedup import dedup_exact
 from planekit.llm.line_dedup import dedup_lines
+from planekit.llm.simhash import hex_fingerprint, near_duplicates
 
 
 def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -21,8 +23,19 @@ def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
+    out = near_duplicates(text_at("documents", spark, d))
+    return out.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
+
+
+def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
+    out = judge(text_at("documents", spark, d), text_at("benchmark", spark, d))
+    return out.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                      F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op5_line_dedup)}
+    f.__name__: f for f in (op1_exact_dedup, op5_line_dedup, op9_simhash, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""
@@ -53,4 +66,32 @@ marked AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (gone) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
 FROM marked GROUP BY doc_id""",
+    "op10_decontamination": r"""
+WITH d AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM documents),
+b AS (
+  SELECT item_id, list_filter(string_split_regex(translate(coalesce(text, ''),
+      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[\x00-\x2F\x3A-\x60\x7B-\x7F]+'), lambda w: w <> '') AS words FROM benchmark),
+bw AS (
+  SELECT DISTINCT item_id, size, array_to_string(words[i:i + size - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i
+        FROM (SELECT *, least(len(words), 13) AS size FROM b WHERE len(words) > 0))),
+sizes AS (SELECT DISTINCT size FROM bw),
+dw AS (
+  SELECT doc_id, size, i, array_to_string(words[i:i + size - 1], ' ') AS win
+  FROM (SELECT *, unnest(range(1, len(words) - size + 2)) AS i FROM d CROSS JOIN sizes WHERE len(words) >= size)),
+hits AS (SELECT doc_id, item_id, i, size FROM dw JOIN bw USING (size, win)),
+per AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(i, i + size)) AS p FROM hits) GROUP BY doc_id),
+its AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS item FROM hits) GROUP BY doc_id)
+SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_hit,
+       coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
+       coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
+FROM d LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id)""",
 }
