@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from planekit.llm.common import text_at
 from planekit.llm.decontaminate import judge
 from planekit.llm.exact_dedup import dedup_exact
+from planekit.llm.langid import identify
 from planekit.llm.line_dedup import dedup_lines
 from planekit.llm.simhash import hex_fingerprint, near_duplicates
 
@@ -23,6 +24,10 @@ def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+def op6_language_id(spark: SparkSession, d: str) -> DataFrame:
+    return identify(text_at("documents", spark, d))
+
+
 def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
     out = near_duplicates(text_at("documents", spark, d))
     return out.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -35,7 +40,7 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op5_line_dedup, op9_simhash, op10_decontamination)}
+    f.__name__: f for f in (op1_exact_dedup, op5_line_dedup, op6_language_id, op9_simhash, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""
