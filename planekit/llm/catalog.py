@@ -12,6 +12,7 @@ from planekit.llm.decontaminate import judge
 from planekit.llm.exact_dedup import dedup_exact
 from planekit.llm.langid import identify
 from planekit.llm.line_dedup import dedup_lines
+from planekit.llm.piece_coding import encode
 from planekit.llm.simhash import hex_fingerprint, near_duplicates
 
 
@@ -19,6 +20,10 @@ def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup_exact(text_at("documents", spark, d))
 
 
+def op3_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
+    return encode(text_at("documents", spark, d), with_ids=False)
+
+
 def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     out = dedup_lines(text_at("documents", spark, d))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -40,7 +45,7 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op5_line_dedup, op6_language_id, op9_simhash, op10_decontamination)}
+    f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op5_line_dedup, op6_language_id, op9_simhash, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""

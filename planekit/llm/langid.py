@@ -61,7 +61,7 @@ def _edge_probs(ids: np.ndarray, probs: np.ndarray) -> np.ndarray:
     out = probs[:, np.maximum(ids, 0)]
     if (lost := ids < 0).any():
         floor = probs[:, :-1].min(axis=1)[:, None]
-        out[:, lost] = floor ** (-1.0 - ids[lost])
+        out[:, lost] = floor ** -ids[lost].astype(float)
     return out
 
 

@@ -11,6 +11,8 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
@@ -30,6 +32,12 @@ class Pieces:
         self.byte_ids = [byte[i] for i in range(256)]
         self.ids = {sp.id_to_piece(i).replace(MARK, " "): i for i in range(n) if i not in special}
         self.longest = max(map(len, self.ids))
+        hashes, owners = [], []
+        for length, group in by_length(self.ids).items():
+            hashes.append(_span_hashes(group, length, [(0, length)])[0])
+            owners += [self.ids[w] for w in group]
+        self.hashes = np.concatenate(hashes)
+        self.owners = np.array(owners, np.int32)
         self.texts = [b""] * n
         for piece, i in self.ids.items():
             self.texts[i] = piece.encode()
@@ -53,16 +61,35 @@ def by_length(words: Iterable[str]) -> dict[int, list[str]]:
     return out
 
 
+def _span_hashes(words: list[str], n: int, at: list[tuple[int, int]]) -> np.ndarray:
+    """``(spans, words)``: a 64-bit hash of each span's characters."""
+    chars = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    chars = chars.reshape(len(words), n).T.astype(np.uint64)
+    out, wanted = np.empty((len(at), len(words)), np.uint64), {span: e for e, span in enumerate(at)}
+    reach: dict[int, int] = {}
+    for i, j in at:
+        reach[i] = max(j, reach.get(i, 0))
+    for i in reach:
+        h = np.full(len(words), 0x9E3779B97F4A7C15, np.uint64)
+        for j in range(i, reach[i]):
+            h = (h ^ chars[j]) * np.uint64(0xD6E8FEB86659FD93)
+            h ^= h >> np.uint64(32)
+            if (e := wanted.get((i, j + 1))) is not None:
+                out[e] = h
+    return out
+
+
 def edge_ids(words: list[str], n: int, pieces: Pieces, missing: int) -> np.ndarray:
     """``(words, edges)``: the piece on each of ``spans(n)``, or ``missing``.
 
-    A character without a piece gets ``-1 - k``, where ``k`` is how many bytes it has.
+    Spans are looked up by a 64-bit hash.  A character without a piece gets
+    ``-k``, minus the number of its bytes.
     """
-    get, longest = pieces.ids.get, pieces.longest
-    at = spans(n, longest)
-    ids = np.array([[get(w[i:j], missing) for i, j in at] for w in words], np.int32).reshape(len(words), len(at))
+    at = spans(n, pieces.longest)
+    found = pc.index_in(pa.array(_span_hashes(words, n, at).ravel()), value_set=pa.array(pieces.hashes))
+    found = found.fill_null(-1).to_numpy()
+    ids = np.where(found < 0, missing, pieces.owners[found]).reshape(len(at), len(words)).T.copy()
     single = [e for e, (i, j) in enumerate(at) if j - i == 1]
-    lost = ids[:, single] == missing
-    for r, c in zip(*np.nonzero(lost)):
-        ids[r, single[c]] = -1 - len(words[r][at[single[c]][0]].encode("utf-8", "surrogatepass"))
+    for r, c in zip(*np.nonzero(ids[:, single] == missing)):
+        ids[r, single[c]] = -len(words[r][at[single[c]][0]].encode("utf-8", "surrogatepass"))
     return ids
