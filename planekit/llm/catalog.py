@@ -13,6 +13,7 @@ from planekit.llm.exact_dedup import dedup_exact
 from planekit.llm.langid import identify
 from planekit.llm.line_dedup import dedup_lines
 from planekit.llm.piece_coding import encode
+from planekit.llm.pii import BASE, find_personal_data, spans_text
 from planekit.llm.simhash import hex_fingerprint, near_duplicates
 
 
@@ -24,6 +25,14 @@ def op3_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return encode(text_at("documents", spark, d), with_ids=False)
 
 
+def op4_pii(spark: SparkSession, d: str) -> DataFrame:
+    found = find_personal_data(text_at("documents", spark, d))
+    kinds = F.transform("base", lambda s: s["kind"])
+    counts = [(F.size(kinds) - F.size(F.array_remove(kinds, k))).cast("long").alias(f"n_{k}") for k in BASE]
+    return found.select("doc_id", *counts, F.sha2(spans_text(F.col("base")), 256).alias("base_sha256"),
+                        spans_text(F.array_sort(F.concat("base", "further"))).alias("spans"))
+
+
 def op5_line_dedup(spark: SparkSession, d: str) -> DataFrame:
     out = dedup_lines(text_at("documents", spark, d))
     return out.select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
@@ -45,7 +54,7 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op5_line_dedup, op6_language_id, op9_simhash, op10_decontamination)}
+    f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op4_pii, op5_line_dedup, op6_language_id, op9_simhash, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""
