@@ -15,6 +15,7 @@ from planekit.llm.line_dedup import dedup_lines
 from planekit.llm.piece_coding import encode
 from planekit.llm.pii import BASE, find_personal_data, spans_text
 from planekit.llm.simhash import hex_fingerprint, near_duplicates
+from planekit.llm.url_filter import judge_urls
 
 
 def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
@@ -42,6 +43,10 @@ def op6_language_id(spark: SparkSession, d: str) -> DataFrame:
     return identify(text_at("documents", spark, d))
 
 
+def op8_url_filter(spark: SparkSession, d: str) -> DataFrame:
+    return judge_urls(text_at("pages", spark, d))
+
+
 def op9_simhash(spark: SparkSession, d: str) -> DataFrame:
     out = near_duplicates(text_at("documents", spark, d))
     return out.select("doc_id", hex_fingerprint(F.col("fp")).alias("fingerprint"), "component_id")
@@ -54,7 +59,7 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op4_pii, op5_line_dedup, op6_language_id, op9_simhash, op10_decontamination)}
+    f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op4_pii, op5_line_dedup, op6_language_id, op8_url_filter, op9_simhash, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""
