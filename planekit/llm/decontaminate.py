@@ -13,7 +13,7 @@ built by doubling: hashes of 1, 2, 4, 8 consecutive words, then two
 overlapping ones for any width; they fold case by ``lower``, which never
 separates what the contract's A-Z folding joins.  The scan explodes them into
 the join, and each find is verified, word by word and with A-Z folded, before
-it counts.  Finds per document are
+it counts.  Finds are joined back to their document to be verified and
 merged into word positions, so overlapping windows count a word once.
 
 Null text has no words; a text without words is not contaminated.  Finds are
@@ -30,6 +30,7 @@ from pyspark.sql import functions as F
 
 from planekit.llm.common import id_and_text
 from planekit.plans.guard import threshold_bytes
+from planekit.session import cut_lineage
 
 WIDTH = 13
 #: contaminated if n_hit * SHARE >= n_words
@@ -93,9 +94,13 @@ def _window_sets(benchmark: DataFrame, width: int, item_col: str, text_col: str)
     return out
 
 
-def find_windows(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, item_col: str = "item_id",
-                 bench_text: str = "text") -> DataFrame:
-    """Verified finds of ``doc_id, text``: ``doc_id, text_hash, at, size, items`` (``at`` counts words from 0)."""
+def find_candidates(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, item_col: str = "item_id",
+                    bench_text: str = "text") -> DataFrame:
+    """``doc_id, text_hash, found`` of ``doc_id, text``: an array of ``at, size, window, items``.
+
+    Finds by hash, not verified yet; ``at`` counts words from 0.  The exploded
+    rows carry no text and go straight into the join, in one generated stage.
+    """
     sets = _window_sets(benchmark, width, item_col, bench_text)
     base = docs.select("doc_id", F.xxhash64("text").alias("text_hash"), words_of(F.col("text")).alias("words"))
     base = with_window_hashes(base, "words", [size for size, _, _ in sets])
@@ -103,39 +108,41 @@ def find_windows(docs: DataFrame, benchmark: DataFrame, width: int = WIDTH, item
     for size, windows, small in sets:
         # outer: an inner explode makes Catalyst push a size filter, with the
         # whole chain of hash expressions in it, down to the scan
-        scan = base.select("doc_id", "text_hash", "words", F.posexplode_outer(f"w{size}").alias("at", "hash"))
+        scan = base.select("doc_id", "text_hash", F.posexplode_outer(f"w{size}").alias("at", "hash"))
         found = scan.join(F.broadcast(windows) if small else windows, "hash")
-        found = found.where(_folded(F.slice("words", F.col("at") + 1, F.lit(size))) == F.col("window"))
-        found = found.select("doc_id", "text_hash", "at", F.lit(size).alias("size"), "items")
+        found = found.select("doc_id", "text_hash",
+                             F.struct("at", F.lit(size).alias("size"), "window", "items").alias("find"))
         out = found if out is None else out.unionByName(found)
     if out is None:
         item = benchmark.schema[item_col].dataType.simpleString()
-        out = base.select("doc_id", "text_hash", F.lit(0).alias("at"), F.lit(0).alias("size"),
-                          F.lit(None).cast(f"array<{item}>").alias("items")).where("false")
-    return out
+        out = base.select("doc_id", "text_hash", F.lit(None).cast(
+            f"struct<at:int,size:int,window:array<string>,items:array<{item}>>").alias("find")).where("false")
+    # bounded by the document: one find a word and window size
+    return out.groupBy("doc_id", "text_hash").agg(F.collect_set("find").alias("found"))
 
 
 def judge(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
           item_col: str = "item_id", bench_text: str = "text", width: int = WIDTH, share: int = SHARE) -> DataFrame:
     """``doc_id, text_hash, n_words, n_hit, items`` (sorted ids as strings), ``hit_words`` (positions), ``contaminated``."""
     docs = id_and_text(docs, id_col, text_col)
-    finds = find_windows(docs, benchmark, width, item_col, bench_text)
-    # positions and items are sets: their size is bounded by the document and the benchmark
-    per_doc = finds.groupBy("doc_id", "text_hash").agg(
-        F.collect_set(F.struct("at", "size")).alias("finds"), F.collect_set("items").alias("items"))
+    # a table, so that its measured size decides whether the join broadcasts it
+    found = cut_lineage(find_candidates(docs, benchmark, width, item_col, bench_text)
+                        .withColumnsRenamed({"doc_id": "d", "text_hash": "t"}))
+    rows = docs.withColumn("text_hash", F.xxhash64("text"))
+    rows = rows.join(found, rows.doc_id.eqNullSafe(found.d) & (rows.text_hash == found.t), "left")
+    rows = rows.select("doc_id", "text_hash", "found", words_of(F.col("text")).alias("words"))
+    verified = F.filter("found", lambda f: _folded(F.slice("words", f["at"] + 1, f["size"])) == f["window"])
+    rows = rows.select("doc_id", "text_hash", F.size("words").cast("long").alias("n_words"), verified.alias("found"))
     covered = F.array_distinct(F.flatten(F.transform(
-        "finds", lambda f: F.sequence(f["at"], f["at"] + f["size"] - 1))))
-    per_doc = per_doc.select(
-        F.col("doc_id").alias("d"), F.col("text_hash").alias("t"), F.array_sort(covered).alias("hit_words"),
-        F.array_sort(F.transform(F.array_distinct(F.flatten("items")), lambda i: i.cast("string"))).alias("items"))
-    rows = docs.select("doc_id", F.xxhash64("text").alias("text_hash"),
-                       F.size(words_of(F.col("text"))).cast("long").alias("n_words"))
-    out = rows.join(per_doc, rows.doc_id.eqNullSafe(per_doc.d) & (rows.text_hash == per_doc.t), "left")
-    n_hit = F.coalesce(F.size("hit_words"), F.lit(0)).cast("long")
-    return out.select("doc_id", "text_hash", "n_words", n_hit.alias("n_hit"),
-                      F.coalesce("items", F.array().cast("array<string>")).alias("items"),
-                      F.coalesce("hit_words", F.array().cast("array<int>")).alias("hit_words")
-                      ).withColumn("contaminated", F.expr(f"n_hit > 0 and {int(share)} * n_hit >= n_words"))
+        "found", lambda f: F.sequence(f["at"], f["at"] + f["size"] - 1))))
+    items = F.array_distinct(F.flatten(F.transform("found", lambda f: f["items"])))
+    rows = rows.select(
+        "doc_id", "text_hash", "n_words",
+        F.array_sort(F.coalesce(covered, F.array().cast("array<int>"))).alias("hit_words"),
+        F.array_sort(F.coalesce(F.transform(items, lambda i: i.cast("string")),
+                                F.array().cast("array<string>"))).alias("items"))
+    return rows.withColumn("n_hit", F.size("hit_words").cast("long")).withColumn(
+        "contaminated", F.expr(f"n_hit > 0 and {int(share)} * n_hit >= n_words"))
 
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -143,5 +150,6 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
     """The rows of ``docs``, all columns, whose text is not contaminated."""
     bad = (judge(docs, benchmark, id_col, text_col, **kw).where("contaminated")
            .select(F.col("doc_id").alias("_d"), F.col("text_hash").alias("_t")).distinct())
+    bad = cut_lineage(bad)
     mine = docs[id_col].cast("long").eqNullSafe(bad["_d"]) & (F.xxhash64(docs[text_col]) == bad["_t"])
     return docs.join(bad, mine, "left_anti")
