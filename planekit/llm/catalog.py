@@ -12,6 +12,7 @@ from planekit.llm.decontaminate import judge
 from planekit.llm.exact_dedup import dedup_exact
 from planekit.llm.langid import identify
 from planekit.llm.line_dedup import dedup_lines
+from planekit.llm.lm_scoring import score
 from planekit.llm.piece_coding import encode
 from planekit.llm.pii import BASE, find_personal_data, spans_text
 from planekit.llm.simhash import hex_fingerprint, near_duplicates
@@ -43,6 +44,10 @@ def op6_language_id(spark: SparkSession, d: str) -> DataFrame:
     return identify(text_at("documents", spark, d))
 
 
+def op7_lm_scoring(spark: SparkSession, d: str) -> DataFrame:
+    return score(text_at("documents", spark, d))
+
+
 def op8_url_filter(spark: SparkSession, d: str) -> DataFrame:
     return judge_urls(text_at("pages", spark, d))
 
@@ -59,7 +64,7 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op4_pii, op5_line_dedup, op6_language_id, op8_url_filter, op9_simhash, op10_decontamination)}
+    f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op4_pii, op5_line_dedup, op6_language_id, op7_lm_scoring, op8_url_filter, op9_simhash, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""
