@@ -11,6 +11,7 @@ from planekit.llm.common import text_at
 from planekit.llm.decontaminate import judge
 from planekit.llm.exact_dedup import dedup_exact
 from planekit.llm.langid import identify
+from planekit.llm.license_scan import scan_licenses
 from planekit.llm.line_dedup import dedup_lines
 from planekit.llm.lm_scoring import score
 from planekit.llm.piece_coding import encode
@@ -23,6 +24,10 @@ def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
     return dedup_exact(text_at("documents", spark, d))
 
 
+def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
+    return scan_licenses(text_at("documents", spark, d))
+
+
 def op3_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
     return encode(text_at("documents", spark, d), with_ids=False)
 
@@ -64,7 +69,7 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op3_sentencepiece, op4_pii, op5_line_dedup, op6_language_id, op7_lm_scoring, op8_url_filter, op9_simhash, op10_decontamination)}
+    f.__name__: f for f in (op1_exact_dedup, op2_license_scan, op3_sentencepiece, op4_pii, op5_line_dedup, op6_language_id, op7_lm_scoring, op8_url_filter, op9_simhash, op10_decontamination)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""
