@@ -24,14 +24,18 @@ from planekit.operators import (  # noqa: E402,F401
     spatial_count,
     spatial_join,
     spatial_join_mixed,
+    spatial_join_shapes,
 )
 from planekit.sources import (  # noqa: E402,F401
     pairs_as_points,
+    parse_probes,
     parse_shapes,
     read_matches,
     read_points,
+    read_probes,
     read_rects,
     read_shapes,
+    row_text,
     take_window,
     write_csv,
 )

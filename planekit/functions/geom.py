@@ -65,7 +65,10 @@ def valid_coords(df: DataFrame, *cols: str) -> Column:
     """Row filter: every coordinate present and not NaN (our null/NaN policy).
 
     NaN is only tested on floating columns, so integer coordinates keep a
-    plain ``IS NOT NULL`` that Parquet can push down.
+    plain ``IS NOT NULL`` that Parquet can push down.  Infinite coordinates
+    are kept here: a window may have infinite borders, while points at
+    infinity are dropped where a distance or a hull is asked for
+    (``finite_coords``).
     """
     types = dict(df.dtypes)
     cond = None
@@ -75,3 +78,20 @@ def valid_coords(df: DataFrame, *cols: str) -> Column:
             term = term & ~F.isnan(F.col(c))
         cond = term if cond is None else cond & term
     return cond if cond is not None else F.lit(True)
+
+
+def finite_coords(df: DataFrame, *cols: str) -> Column:
+    """``valid_coords`` and no infinity: points that have distances."""
+    types = dict(df.dtypes)
+    cond = valid_coords(df, *cols)
+    for c in cols:
+        if types.get(c) in ("double", "float"):
+            cond = cond & (F.abs(F.col(c)) < float("inf"))
+    return cond
+
+
+def widened(c, dtype: str) -> Column:
+    """A coordinate in the widest type of its kind: integers as bigint, floats as double."""
+    if dtype in ("tinyint", "smallint", "int"):
+        return _c(c).cast("bigint")
+    return _c(c).cast("double") if dtype == "float" else _c(c)

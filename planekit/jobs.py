@@ -10,7 +10,7 @@
 | convex-hull | points `x,y` | `x,y` hull vertices, sorted |
 | farthest-pair | points `x,y` | two rows `x,y` per pair |
 | closest-pair | points `x,y` | two rows `x,y` per pair |
-| union | rectangles `x1,y1,x2,y2` | `x,y` boundary vertices, sorted |
+| union | rectangles `x1,y1,x2,y2` | `x,y` boundary vertices, sorted (`--keep-collinear`: with corners on straight stretches) |
 
 Each job is the library operator between a text source and a text sink;
 outputs are sorted with a distributed ``orderBy`` (range partitioning), never
@@ -32,18 +32,16 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from planekit.operators.hull import convex_hull, farthest_pairs  # noqa: E402
-from planekit.operators.join import collect_matches, spatial_join  # noqa: E402
+from planekit.operators.join import collect_matches, spatial_join_shapes  # noqa: E402
 from planekit.operators.pairs import closest_pairs  # noqa: E402
 from planekit.operators.range import range_query  # noqa: E402
 from planekit.operators.union import rect_union_vertices  # noqa: E402
 from planekit.sources.sinks import pairs_as_points, write_csv  # noqa: E402
-from planekit.sources.text import read_points, read_rects, read_shapes, take_window  # noqa: E402
+from planekit.sources.text import read_points, read_probes, read_rects, take_window  # noqa: E402
 
 
 def _pairs(spark: SparkSession, windows: str, probes: str) -> DataFrame:
-    w = read_rects(spark, windows, with_id=True)
-    pts, rects = read_shapes(spark, probes)
-    return spatial_join(pts, w, "within").unionByName(spatial_join(rects, w, "intersects"))
+    return spatial_join_shapes(read_probes(spark, probes), read_rects(spark, windows, with_id=True))
 
 
 def run_range_query(spark, points, window, out, overwrite=True):
@@ -57,9 +55,9 @@ def run_join(spark, windows, probes, out, overwrite=False):
 
 
 def run_aggregation(spark, windows, probes, out, overwrite=False):
-    m = collect_matches(_pairs(spark, windows, probes))
-    counts = m.select("probe_id", F.size("matches").alias("n")).orderBy("probe_id")
-    write_csv(counts, out, "overwrite" if overwrite else "errorifexists")
+    pairs = _pairs(spark, windows, probes)
+    counts = pairs.groupBy("probe_id").agg(F.count_distinct("window_id").alias("n"))
+    write_csv(counts.orderBy("probe_id"), out, "overwrite" if overwrite else "errorifexists")
 
 
 def run_convex_hull(spark, points, out, overwrite=True):
@@ -80,8 +78,8 @@ def run_closest_pair(spark, points, out, overwrite=True):
     _write_pairs(closest_pairs(read_points(spark, points)), out, overwrite)
 
 
-def run_union(spark, rects, out, overwrite=True):
-    res = rect_union_vertices(read_rects(spark, rects)).orderBy("x", "y")
+def run_union(spark, rects, out, overwrite=True, keep_collinear=False):
+    res = rect_union_vertices(read_rects(spark, rects), keep_collinear=keep_collinear).orderBy("x", "y")
     write_csv(res, out, "overwrite" if overwrite else "errorifexists")
 
 
@@ -106,10 +104,15 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
         p.add_argument("output")
         p.add_argument("--overwrite", action="store_true", default=None,
                        help="replace an existing output (default for all but join/aggregation)")
+        if name == "union":
+            p.add_argument("--keep-collinear", action="store_true",
+                           help="also keep input corners on a straight stretch of the boundary")
     args = parser.parse_args(argv)
     fn, inputs = JOBS[args.job]
     spark = spark or SparkSession.builder.appName(f"planekit-{args.job}").getOrCreate()
     kwargs = {} if args.overwrite is None else {"overwrite": True}
+    if getattr(args, "keep_collinear", False):
+        kwargs["keep_collinear"] = True
     fn(spark, *[getattr(args, i) for i in inputs], args.output, **kwargs)
 
 

@@ -9,6 +9,7 @@ from planekit.operators.join import (  # noqa: F401
     spatial_count,
     spatial_join,
     spatial_join_mixed,
+    spatial_join_shapes,
 )
 from planekit.operators.pairs import (  # noqa: F401
     canonical_pairs,

@@ -41,16 +41,29 @@ def sq_dist_exact(ax, ay, bx, by):
     return dx * dx + dy * dy
 
 
+def _from_origin(v: np.ndarray) -> np.ndarray | None:
+    """Coordinates as doubles without loss: integers as offsets from their minimum.
+
+    None where that would round: offsets of 2**52 and more, or Decimals.
+    """
+    if v.dtype.kind == "f":
+        return v.astype(np.float64)
+    if v.dtype.kind != "i" or int(v.max()) - int(v.min()) >= 1 << 52:
+        return None
+    return (v - v.min()).astype(np.float64)
+
+
 def prefilter(xs: np.ndarray, ys: np.ndarray) -> np.ndarray:
     """Mask of points NOT strictly inside the octagon of 8 extreme points.
 
     Vectorised Akl-Toussaint step; floating with a safety margin, so it only
-    ever drops points that are inside by more than the rounding error.
+    ever drops points that are inside by more than the rounding error.  Where
+    doubles cannot hold the coordinates exactly, nothing is dropped.
     """
     n = len(xs)
-    if n < 16:
+    fx, fy = (_from_origin(xs), _from_origin(ys)) if n else (None, None)
+    if fx is None or fy is None:
         return np.ones(n, dtype=bool)
-    fx, fy = xs.astype(np.float64), ys.astype(np.float64)
     s, t = fx + fy, fx - fy
     idx = [int(np.argmin(fx)), int(np.argmin(s)), int(np.argmin(fy)), int(np.argmax(t)),
            int(np.argmax(fx)), int(np.argmax(s)), int(np.argmax(fy)), int(np.argmin(t))]

@@ -10,16 +10,18 @@ Plan, all distributed:
    inside the global/per-group octagon in the JVM; that costs an extra
    aggregate pass, and per group a shuffle of all points by key, so it only
    pays when Arrow transfer is the bottleneck.)
-2. Tree reduction: while there are many partitions, the partial hulls are
-   re-shuffled into ``P / FANIN`` partitions (salted by source partition,
-   hashed with the group key) and hulled again.  So no task ever receives
-   more than ``FANIN`` partial hulls of a group, even for a group holding a
-   third of all rows.
+2. Reduction: the partial hulls are re-shuffled by group key and a salt of
+   ``FANIN`` values (source partition modulo ``FANIN``) and hulled again, so
+   that of P source partitions no salted group receives more than P / FANIN
+   partial hulls, and no final group more than ``FANIN``, even for a group
+   holding a third of all rows.
 3. ``groupBy(keys).applyInPandas``: the final hull per group (or, for
    farthest pairs, rotating calipers on it).
 
 Coordinates keep their type: integer columns give exact results; doubles are
-exact too (orientation has a rational fallback), ties decided exactly.
+exact too (orientation has a rational fallback), ties decided exactly.  Group
+keys pass Python as strings and come back in their own type unaltered (a
+bigint key never becomes a float, with or without null keys).
 """
 
 from __future__ import annotations
@@ -32,7 +34,7 @@ from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planekit.functions.geom import cross, valid_coords
+from planekit.functions.geom import cross, finite_coords
 from planekit.operators import _geom_local
 from planekit.operators._geom_local import farthest_on_hull, hull_ccw
 from planekit.plans.guard import size_guard
@@ -112,57 +114,91 @@ def _schema(df: DataFrame, keys: list[str], x: str, y: str) -> str:
     return ", ".join([f"`{k}` {t[k]}" for k in keys] + [f"`{x}` {t[x]}", f"`{y}` {t[y]}"])
 
 
+def _key_to_text(name: str, dtype: str):
+    if dtype == "binary":
+        return F.hex(name).alias(name)
+    if dtype == "timestamp":
+        return F.unix_micros(name).cast("string").alias(name)
+    return F.col(name).cast("string").alias(name)
+
+
+def _text_to_key(name: str, dtype: str):
+    if dtype == "binary":
+        return F.unhex(name).alias(name)
+    if dtype == "timestamp":
+        return F.timestamp_micros(F.col(name).cast("bigint")).alias(name)
+    return F.col(name).cast(dtype).alias(name)
+
+
+def _groups(pdf: pd.DataFrame, keys: list[str], x: str, y: str):
+    """``(key values, xs, ys)`` of each group, from one sort."""
+    if not keys:
+        yield (), pdf[x].to_numpy(), pdf[y].to_numpy()
+        return
+    code = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+    order = np.argsort(code, kind="stable")
+    firsts = np.flatnonzero(np.diff(code[order], prepend=-1))
+    values = list(zip(*(pdf[k].to_numpy()[order[firsts]].tolist() for k in keys)))
+    xs, ys = pdf[x].to_numpy()[order], pdf[y].to_numpy()[order]
+    for key, lo, hi in zip(values, firsts, np.append(firsts[1:], len(order))):
+        yield key, xs[lo:hi], ys[lo:hi]
+
+
+def _hulls(pdf: pd.DataFrame, keys: list[str], x: str, y: str) -> pd.DataFrame:
+    """The rows of ``pdf`` that are hull vertices of their group, once each."""
+    rows, own = [], []
+    for key, xs, ys in _groups(pdf, keys, x, y):
+        hull = hull_ccw(xs, ys) if len(xs) > 1 else list(zip(xs.tolist(), ys.tolist()))
+        rows += hull
+        own += [key] * len(hull)
+    out = pd.DataFrame({x: pd.Series([r[0] for r in rows], dtype=pdf[x].dtype),
+                        y: pd.Series([r[1] for r in rows], dtype=pdf[y].dtype)})
+    for i, k in enumerate(keys):
+        out[k] = pd.Series([key[i] for key in own], dtype=object)
+    return out[keys + [x, y]]
+
+
 def _partial_hull_fn(keys: list[str], x: str, y: str):
-    """mapInPandas body: fold the partition's batches into one hull per group."""
+    """mapInPandas body: fold the partition's batches into one hull per group.
+
+    The buffer is folded when it has doubled since the last fold; a fold that
+    does not halve it (points on a curve, or as many groups as points) is
+    passed on instead of being held and folded again.  So the work is linear
+    in the rows (up to the sort) and the memory bounded.
+    """
     def run(batches):
         buf: list[pd.DataFrame] = []
-        rows = 0
-
-        def reduce(frames):
-            pdf = pd.concat(frames, ignore_index=True)
-            out = []
-            groups = pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]
-            for key, g in groups:
-                hull = hull_ccw(g[x].to_numpy(), g[y].to_numpy())
-                if not hull:
-                    continue
-                part = pd.DataFrame(hull, columns=[x, y])
-                key = key if isinstance(key, tuple) else (key,)
-                for k, v in zip(keys, key):
-                    part[k] = v
-                out.append(part)
-            if not out:
-                return pdf.iloc[0:0][keys + [x, y]]
-            res = pd.concat(out, ignore_index=True)
-            return res.astype({c: pdf[c].dtype for c in [x, y]})[keys + [x, y]]
-
+        rows, fold_at = 0, _BUFFER_ROWS
         for b in batches:
             if len(b) == 0:
                 continue
             buf.append(b[keys + [x, y]])
             rows += len(b)
-            if rows > _BUFFER_ROWS:
-                merged = reduce(buf)
-                buf, rows = [merged], len(merged)
+            if rows >= fold_at:
+                folded = _hulls(pd.concat(buf, ignore_index=True), keys, x, y)
+                if 2 * len(folded) > rows:
+                    yield folded
+                    buf, rows, fold_at = [], 0, _BUFFER_ROWS
+                else:
+                    buf, rows = [folded], len(folded)
+                    fold_at = max(_BUFFER_ROWS, 2 * rows)
         if buf:
-            yield reduce(buf)
+            yield _hulls(pd.concat(buf, ignore_index=True), keys, x, y)
     return run
 
 
 def _partial_hulls(points: DataFrame, keys: list[str], x: str, y: str, fanin: int = FANIN) -> DataFrame:
-    schema = _schema(points, keys, x, y)
+    """Partial hulls with text keys; at most ``fanin`` of them per group."""
+    types = dict(points.dtypes)
+    text = points.select(*[_key_to_text(k, types[k]) for k in keys], x, y)
+    schema = _schema(text, keys, x, y)
     fn = _partial_hull_fn(keys, x, y)
-    cand = points.select(*keys, x, y).mapInPandas(fn, schema)
-    parts = cand.rdd.getNumPartitions()
-    while parts > fanin:
-        parts = -(-parts // fanin)
-        salted = cand.withColumn("_salt", (F.spark_partition_id() / F.lit(fanin)).cast("int"))
-        cand = (salted.repartition(parts, *keys, "_salt").drop("_salt").mapInPandas(fn, schema))
-    return cand
+    salted = text.mapInPandas(fn, schema).withColumn("_salt", F.spark_partition_id() % fanin)
+    return salted.repartition(*keys, "_salt").drop("_salt").mapInPandas(fn, schema)
 
 
 def _prepare(points: DataFrame, x: str, y: str, keys: list[str], catalyst_prefilter: bool) -> DataFrame:
-    pts = points.where(valid_coords(points, x, y)).select(*keys, x, y)
+    pts = points.where(finite_coords(points, x, y)).select(*keys, x, y)
     return octagon_filter(pts, x, y, keys) if catalyst_prefilter else pts
 
 
@@ -174,6 +210,7 @@ def convex_hull(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
     hull; collinear input gives the two ends; no point gives no row.
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
+    types = dict(points.dtypes)
     cand = _partial_hulls(_prepare(points, x, y, keys, catalyst_prefilter), keys, x, y, fanin)
     schema = _schema(cand, keys, x, y)
     gkeys = keys or [_KEY]
@@ -181,13 +218,10 @@ def convex_hull(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
         cand = cand.withColumn(_KEY, F.lit(0))
 
     def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        hull = hull_ccw(pdf[x].to_numpy(), pdf[y].to_numpy())
-        out = pd.DataFrame(hull, columns=[x, y]).astype({x: pdf[x].dtype, y: pdf[y].dtype})
-        for k in keys:
-            out[k] = pdf[k].iloc[0]
-        return out[keys + [x, y]]
+        return _hulls(pdf, keys, x, y)
 
-    return cand.groupBy(*gkeys).applyInPandas(final, schema)
+    out = cand.groupBy(*gkeys).applyInPandas(final, schema)
+    return out.select(*[_text_to_key(k, types[k]) for k in keys], x, y)
 
 
 def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
@@ -200,6 +234,7 @@ def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
     never by an all-pairs join.
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
+    types = dict(points.dtypes)
     cand = _partial_hulls(_prepare(points, x, y, keys, catalyst_prefilter), keys, x, y, fanin)
     t = dict(cand.dtypes)
     ints = ("tinyint", "smallint", "int", "bigint")
@@ -234,4 +269,5 @@ def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
             out[k] = pdf[k].iloc[0]
         return out[keys + cols]
 
-    return cand.groupBy(*gkeys).applyInPandas(final, schema)
+    out = cand.groupBy(*gkeys).applyInPandas(final, schema)
+    return out.select(*[_text_to_key(k, types[k]) for k in keys], *cols)

@@ -18,14 +18,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planekit.functions.geom import point_in_rect, rects_intersect, valid_coords
+from planekit.functions.geom import point_in_rect, rects_intersect, valid_coords, widened
 from planekit.plans.guard import size_guard as _size_guard
 from planekit.plans.grid import (
     SideStats,
-    base_cell,
     cell_of,
     cell_side,
     level_of,
+    open_ended,
     point_cells,
     rect_extent,
 )
@@ -41,6 +41,15 @@ def _drop_helpers(df: DataFrame) -> DataFrame:
     return df.drop(*[c for c in df.columns if c.startswith("_g")])
 
 
+def _own_cells(rects: DataFrame, cols: tuple[str, str, str, str], levels: list[int]) -> DataFrame:
+    """Each rectangle once per cell that it covers on its own level."""
+    x1, y1, x2, y2 = cols
+    side = cell_side(F.col("_glvl"))
+    return (rects.withColumn("_glvl", level_of(rect_extent(*cols), levels))
+            .withColumn("_grcx", F.explode(F.sequence(cell_of(x1, side), cell_of(x2, side))))
+            .withColumn("_grcy", F.explode(F.sequence(cell_of(y1, side), cell_of(y2, side)))))
+
+
 def join_points_rects(points: DataFrame, rects: DataFrame, px: str, py: str,
                       rcols: tuple[str, str, str, str], closed: bool,
                       cell: float | None = None, stats: SideStats | None = None) -> DataFrame:
@@ -52,14 +61,10 @@ def join_points_rects(points: DataFrame, rects: DataFrame, px: str, py: str,
     """
     rx1, ry1, rx2, ry2 = rcols
     stats = stats or SideStats(rects, rcols)
-    g = cell or base_cell(stats)
-    R = rects.withColumn("_glvl", level_of(rect_extent(rx1, ry1, rx2, ry2), g))
-    levels = stats.levels(g)
-    side = cell_side(g, F.col("_glvl"))
-    Rc = (R.withColumn("_grcx", F.explode(F.sequence(cell_of(rx1, side), cell_of(rx2, side))))
-           .withColumn("_grcy", F.explode(F.sequence(cell_of(ry1, side), cell_of(ry2, side)))))
+    levels = stats.levels(cell)
+    Rc = _own_cells(rects, rcols, levels)
     Rc = _size_guard(Rc, stats.n * CELLS_PER_RECT)
-    Pc = point_cells(points, g, levels, px, py, prefix="_gp")
+    Pc = point_cells(points, levels, px, py, prefix="_gp")
     j = Pc.join(
         Rc,
         (F.col("_gpL") == F.col("_glvl"))
@@ -82,14 +87,11 @@ def points_outside_rects(points: DataFrame, rects: DataFrame, px: str, py: str,
     """
     rx1, ry1, rx2, ry2 = rcols
     stats = stats or SideStats(rects, rcols)
-    g = cell or base_cell(stats)
-    R = rects.withColumn("_glvl", level_of(rect_extent(rx1, ry1, rx2, ry2), g))
-    side = cell_side(g, F.col("_glvl"))
-    Rc = (R.withColumn("_grcx", F.explode(F.sequence(cell_of(rx1, side), cell_of(rx2, side))))
-           .withColumn("_grcy", F.explode(F.sequence(cell_of(ry1, side), cell_of(ry2, side)))))
+    levels = stats.levels(cell)
+    Rc = _own_cells(rects, rcols, levels)
     out = points
-    for lv in stats.levels(g):
-        pside = cell_side(g, lv)
+    for lv in levels:
+        pside = cell_side(lv)
         pc = out.withColumn("_gpcx", cell_of(px, pside)).withColumn("_gpcy", cell_of(py, pside))
         rl = _size_guard(Rc.where(F.col("_glvl") == lv), stats.n * CELLS_PER_RECT)
         out = pc.join(
@@ -101,28 +103,27 @@ def points_outside_rects(points: DataFrame, rects: DataFrame, px: str, py: str,
     return out
 
 
-def _rect_cells_multi(df: DataFrame, g: float, own: str, other_levels: list[int],
+def _rect_cells_multi(df: DataFrame, own: str, other_levels: list[int],
                       cols: tuple[str, str, str, str], tag: str) -> DataFrame:
     """Cells of each rectangle on its own level and on each higher level of the other side."""
     x1, y1, x2, y2 = cols
     lv = f"_g{tag}L"
-    higher = F.filter(F.array(*[F.lit(int(v)) for v in other_levels] or [F.lit(-1)]),
-                      lambda v: v > F.col(own))
+    higher = F.filter(F.array(*[F.lit(int(v)) for v in other_levels]), lambda v: v > F.col(own))
     out = df.withColumn(lv, F.explode(F.array_union(F.array(F.col(own)), higher)))
-    side = cell_side(g, F.col(lv))
+    side = cell_side(F.col(lv))
     out = out.withColumn(f"_g{tag}cx", F.explode(F.sequence(cell_of(x1, side), cell_of(x2, side))))
     return out.withColumn(f"_g{tag}cy", F.explode(F.sequence(cell_of(y1, side), cell_of(y2, side))))
 
 
 def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str],
                      bcols: tuple[str, str, str, str], cell: float | None = None,
-                     stats: tuple[SideStats, SideStats] | None = None) -> DataFrame:
+                     stats: tuple[SideStats, SideStats] | None = None, meets=None) -> DataFrame:
     """All (a row, b row) pairs of intersecting rectangles (closed borders), once each.
 
-    ``a`` may be a streaming DataFrame: then its levels cannot be gathered
-    up front, so they are clamped to the highest level of ``b`` (a larger
-    ``a`` rectangle covers more cells on that level) and ``b`` is emitted on
-    every level from its own up to that one.
+    ``a`` may be a streaming DataFrame: then its sizes cannot be gathered up
+    front, so its levels are those of ``b`` and ever coarser ones (a dozen at
+    most), on which ``b`` is emitted too: no rectangle covers more cells than
+    on its own level.
     """
     if stats is not None:
         sa, sb = stats
@@ -130,19 +131,12 @@ def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str
         sa, sb = None, SideStats(b, bcols)
     else:
         sa, sb = SideStats.many([(a, acols), (b, bcols)])
-    g = cell or (base_cell(sb) if sa is None else base_cell(sa, sb))
-    lb = sb.levels(g)
-    a_level = level_of(rect_extent(*acols), g)
-    if sa is None:
-        top = max(lb)
-        a_level = F.least(a_level, F.lit(top))
-        la = list(range(0, top + 1))
-    else:
-        la = sa.levels(g)
-    A = a.withColumn("_galvl", a_level)
-    B = b.withColumn("_gblvl", level_of(rect_extent(*bcols), g))
-    Ac = _rect_cells_multi(A, g, "_galvl", lb, acols, "a")
-    Bc = _rect_cells_multi(B, g, "_gblvl", la, bcols, "b")
+    lb = sb.levels(cell)
+    la = open_ended(lb) if sa is None else sa.levels(cell)
+    A = a.withColumn("_galvl", level_of(rect_extent(*acols), la))
+    B = b.withColumn("_gblvl", level_of(rect_extent(*bcols), lb))
+    Ac = _rect_cells_multi(A, "_galvl", lb, acols, "a")
+    Bc = _rect_cells_multi(B, "_gblvl", la, bcols, "b")
     # broadcast the side with the smaller proven size, if it fits at all
     rows_b = sb.n * CELLS_PER_RECT * (1 + len(la))
     rows_a = None if sa is None else sa.n * CELLS_PER_RECT * (1 + len(lb))
@@ -152,7 +146,7 @@ def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str
         Bc = _size_guard(Bc, rows_b)
     ax1, ay1, ax2, ay2 = acols
     bx1, by1, bx2, by2 = bcols
-    side = cell_side(g, F.col("_gaL"))
+    side = cell_side(F.col("_gaL"))
     j = Ac.join(
         Bc,
         (F.col("_gaL") == F.col("_gbL"))
@@ -161,7 +155,7 @@ def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str
     ).where(
         # meet on the coarser of the two levels only
         ((F.col("_galvl") == F.col("_gaL")) | (F.col("_gblvl") == F.col("_gbL")))
-        & rects_intersect(ax1, ay1, ax2, ay2, bx1, by1, bx2, by2)
+        & (rects_intersect(ax1, ay1, ax2, ay2, bx1, by1, bx2, by2) if meets is None else meets)
         # and only in the cell of the reference corner
         & (cell_of(F.greatest(F.col(ax1), F.col(bx1)), side) == F.col("_gacx"))
         & (cell_of(F.greatest(F.col(ay1), F.col(by1)), side) == F.col("_gacy"))
@@ -170,13 +164,16 @@ def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str
 
 
 def _prep_points(df: DataFrame, pid: str, x: str, y: str) -> DataFrame:
+    t = dict(df.dtypes)
     return df.where(valid_coords(df, x, y)).select(
-        F.col(pid).alias("_pid"), F.col(x).alias("_px"), F.col(y).alias("_py"))
+        F.col(pid).alias("_pid"), widened(x, t[x]).alias("_px"), widened(y, t[y]).alias("_py"))
 
 
 def _prep_rects(df: DataFrame, rid: str, cols, tag: str) -> DataFrame:
     x1, y1, x2, y2 = cols
+    t = dict(df.dtypes)
     d = df.where(valid_coords(df, x1, y1, x2, y2))
+    x1, y1, x2, y2 = (widened(c, t[c]) for c in cols)
     return d.select(
         F.col(rid).alias(f"_{tag}id"),
         F.least(x1, x2).alias(f"_{tag}x1"), F.least(y1, y2).alias(f"_{tag}y1"),
@@ -235,6 +232,22 @@ def spatial_join_mixed(points: DataFrame, rects: DataFrame, windows: DataFrame,
     return out[0].unionByName(out[1])
 
 
+def spatial_join_shapes(shapes: DataFrame, windows: DataFrame, window_id: str = "id",
+                        cell: float | None = None) -> DataFrame:
+    """Mixed probes in one frame (``parse_probes``), one scan and one join.
+
+    A point is a rectangle without extent that meets a window only strictly
+    inside; a rectangle meets it by closed intersection.
+    """
+    W = _prep_rects(windows, window_id, ("x1", "y1", "x2", "y2"), "w")
+    P = _prep_rects(shapes.withColumn("_shape", F.struct("id", "is_point")), "_shape", ("x1", "y1", "x2", "y2"), "p")
+    pcols, wcols = ("_px1", "_py1", "_px2", "_py2"), ("_wx1", "_wy1", "_wx2", "_wy2")
+    meets = F.when(F.col("_pid.is_point"), point_in_rect("_px1", "_py1", *wcols, closed=False)).otherwise(
+        rects_intersect(*pcols, *wcols))
+    j = join_rects_rects(P, W, pcols, wcols, cell=cell, meets=meets)
+    return j.select(F.col("_pid.id").alias("probe_id"), F.col("_wid").alias("window_id"))
+
+
 def _with_unmatched(pairs: DataFrame, probes: DataFrame | None, probe_id: str) -> DataFrame:
     """Left form without a join: every probe id contributes a (id, null) row."""
     if probes is None:

@@ -16,18 +16,21 @@ from pyspark.sql import functions as F
 from planekit.functions.geom import euclidean, normalize_rect, sq_dist
 from planekit.operators.join import (
     collect_matches,
+    join_points_rects,
     match_counts,
     matches_text,
     spatial_count,
     spatial_join,
     spatial_join_mixed,
+    spatial_join_shapes,
 )
 from planekit.operators.hull import convex_hull, farthest_pairs
-from planekit.operators.pairs import closest_pairs, distinct_points
+from planekit.operators.pairs import closest_pairs, coincident_points, distinct_points
 from planekit.operators.range import range_query
 from planekit.operators.union import rect_union_vertices
 from planekit.plans.views import cte, table, view
-from planekit.sources.text import parse_shapes, read_matches, read_points
+from planekit.sources.sinks import pairs_as_points, row_text
+from planekit.sources.text import parse_probes, parse_shapes, read_matches, read_points, read_rects, take_window
 
 # the range-query window, corners deliberately given in reversed order
 RANGE_WINDOW = (20_000_000, 20_000_000, 5_000_000, 5_000_000)
@@ -70,8 +73,7 @@ def _mixed_lines(spark: SparkSession, d: str) -> DataFrame:
 
 
 def q_join_mixed(spark: SparkSession, d: str) -> DataFrame:
-    pts, rects = parse_shapes(_mixed_lines(spark, d), coord_type="bigint")
-    return spatial_join_mixed(pts, rects, view(spark, d, "win"))
+    return spatial_join_shapes(parse_probes(_mixed_lines(spark, d), coord_type="bigint"), view(spark, d, "win"))
 
 
 def q_collect_matches(spark: SparkSession, d: str) -> DataFrame:
@@ -82,8 +84,7 @@ def q_collect_matches(spark: SparkSession, d: str) -> DataFrame:
 
 def q_match_counts(spark: SparkSession, d: str) -> DataFrame:
     # join -> match rows as text -> parsed back -> counted (the reference's chain)
-    pts, rects = parse_shapes(_mixed_lines(spark, d), coord_type="bigint")
-    pairs = spatial_join_mixed(pts, rects, view(spark, d, "win"))
+    pairs = spatial_join_shapes(parse_probes(_mixed_lines(spark, d), coord_type="bigint"), view(spark, d, "win"))
     return match_counts(read_matches(matches_text(collect_matches(pairs))))
 
 
@@ -137,13 +138,11 @@ def q_distinct_points(spark: SparkSession, d: str) -> DataFrame:
 
 def q_pair_distance(spark: SparkSession, d: str) -> DataFrame:
     # distance from each matched point to its window's lower-left corner
-    p = view(spark, d, "pts")
-    w = view(spark, d, "win")
-    pairs = spatial_join(p, w, "within")
-    j = (pairs.join(p.select(F.col("id").alias("probe_id"), "x", "y"), "probe_id")
-         .join(w.select(F.col("id").alias("window_id"), "x1", "y1"), "window_id"))
-    return j.select("probe_id", "window_id", sq_dist("x", "y", "x1", "y1").alias("d2"),
-                    euclidean("x", "y", "x1", "y1").alias("dist"))
+    p = view(spark, d, "pts").select(F.col("id").alias("probe_id"), F.col("x").alias("px"), F.col("y").alias("py"))
+    w = normalize_rect(view(spark, d, "win")).withColumnRenamed("id", "window_id")
+    j = join_points_rects(p, w, "px", "py", ("x1", "y1", "x2", "y2"), closed=False)
+    return j.select("probe_id", "window_id", sq_dist("px", "py", "x1", "y1").alias("d2"),
+                    euclidean("px", "py", "x1", "y1").alias("dist"))
 
 
 def q_rect_union_vertices(spark: SparkSession, d: str) -> DataFrame:
@@ -176,6 +175,79 @@ def q_convex_hull_iso(spark: SparkSession, d: str) -> DataFrame:
     return convex_hull(view(spark, d, "iso"))
 
 
+def _text(df: DataFrame, *fields) -> DataFrame:
+    return df.select(F.concat_ws(",", *[F.col(f).cast("string") for f in fields]).alias("value"))
+
+
+def q_join_mixed_split(spark: SparkSession, d: str) -> DataFrame:
+    # the two kinds as two frames, each joined by its own operator
+    pts, rects = parse_shapes(_mixed_lines(spark, d), coord_type="bigint")
+    return spatial_join_mixed(pts, rects, view(spark, d, "win"))
+
+
+def q_read_points_text(spark: SparkSession, d: str) -> DataFrame:
+    # "x,y" rows with a field too many, read by position
+    return read_points(_text(view(spark, d, "iso"), "x", "y", "id"))
+
+
+def q_read_rects_text(spark: SparkSession, d: str) -> DataFrame:
+    return read_rects(_text(view(spark, d, "cbox"), "x1", "y1", "x2", "y2"))
+
+
+def q_read_rects_id_text(spark: SparkSession, d: str) -> DataFrame:
+    return read_rects(_text(view(spark, d, "cbox"), "id", "x1", "y1", "x2", "y2"), with_id=True)
+
+
+def q_range_query_window_text(spark: SparkSession, d: str) -> DataFrame:
+    # the window is the first row of a file of rectangles: here the smallest id's
+    rows = view(spark, d, "cbox").orderBy("id")
+    return range_query(view(spark, d, "pts"), take_window(_text(rows, "x1", "y1", "x2", "y2"))).select("id")
+
+
+def q_pairs_as_points(spark: SparkSession, d: str) -> DataFrame:
+    # the two-line form of the farthest pairs, as row text; pair_no is an arbitrary number
+    return row_text(pairs_as_points(farthest_pairs(view(spark, d, "iso"))).select("end", "x", "y"))
+
+
+def q_row_text_nulls(spark: SparkSession, d: str) -> DataFrame:
+    # null fields stay empty fields
+    return row_text(view(spark, d, "far").select("id", "grp", F.lit(3).alias("three")))
+
+
+def q_coincident_points(spark: SparkSession, d: str) -> DataFrame:
+    return coincident_points(view(spark, d, "lattice"), id_col="id")
+
+
+def q_closest_pairs_ties(spark: SparkSession, d: str) -> DataFrame:
+    return closest_pairs(view(spark, d, "lattice"))
+
+
+def q_farthest_pairs_ties(spark: SparkSession, d: str) -> DataFrame:
+    return farthest_pairs(view(spark, d, "lattice"))
+
+
+def q_convex_hull_far(spark: SparkSession, d: str) -> DataFrame:
+    return convex_hull(view(spark, d, "far"))
+
+
+def q_closest_pairs_far(spark: SparkSession, d: str) -> DataFrame:
+    return closest_pairs(view(spark, d, "far"))
+
+
+def q_convex_hull_nullkey(spark: SparkSession, d: str) -> DataFrame:
+    # shown as text: a nullable bigint would pass through a float on its way to pandas
+    return convex_hull(view(spark, d, "far"), group_by="grp").withColumn("grp", F.col("grp").cast("string"))
+
+
+def q_join_mixed_scale(spark: SparkSession, d: str) -> DataFrame:
+    return spatial_join(view(spark, d, "iso"), view(spark, d, "mixwin"), "within")
+
+
+def q_join_mixed_scale_rects(spark: SparkSession, d: str) -> DataFrame:
+    w = view(spark, d, "mixwin")
+    return spatial_count(w, w, "intersects")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query": q_range_query,
     "range_query_raw": q_range_query_raw,
@@ -203,6 +275,21 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "collect_matches_left": q_collect_matches_left,
     "range_query_text": q_range_query_text,
     "convex_hull_iso": q_convex_hull_iso,
+    "join_mixed_split": q_join_mixed_split,
+    "read_points_text": q_read_points_text,
+    "read_rects_text": q_read_rects_text,
+    "read_rects_id_text": q_read_rects_id_text,
+    "range_query_window_text": q_range_query_window_text,
+    "pairs_as_points": q_pairs_as_points,
+    "row_text_nulls": q_row_text_nulls,
+    "coincident_points": q_coincident_points,
+    "closest_pairs_ties": q_closest_pairs_ties,
+    "farthest_pairs_ties": q_farthest_pairs_ties,
+    "convex_hull_far": q_convex_hull_far,
+    "closest_pairs_far": q_closest_pairs_far,
+    "convex_hull_nullkey": q_convex_hull_nullkey,
+    "join_mixed_scale": q_join_mixed_scale,
+    "join_mixed_scale_rects": q_join_mixed_scale_rects,
 }
 
 _W = RANGE_WINDOW
@@ -339,3 +426,40 @@ ORACLE.update({
     "range_query_text": ORACLE["range_query"],
     "convex_hull_iso": cte("iso") + ", " + _hull_sql("iso", None),
 })
+
+# far views: the hull and distances are taken of the offsets, which doubles hold exactly
+_NEAR = ("near AS (SELECT grp, x - 1700000000000000000 AS x, y + 1700000000000000000 AS y FROM far)")
+_BACK = "x + 1700000000000000000 AS x, y - 1700000000000000000 AS y"
+_BOX = ("least(x1, x2)::DOUBLE AS x1, least(y1, y2)::DOUBLE AS y1, "
+        "greatest(x1, x2)::DOUBLE AS x2, greatest(y1, y2)::DOUBLE AS y2")
+
+ORACLE.update({
+    "join_mixed_split": ORACLE["join_mixed"],
+    "read_points_text": cte("iso") + "SELECT x::DOUBLE AS x, y::DOUBLE AS y FROM iso",
+    "read_rects_text": cte("cbox") + f"SELECT {_BOX} FROM cbox",
+    "read_rects_id_text": cte("cbox") + f"SELECT id, {_BOX} FROM cbox",
+    "range_query_window_text": cte("pts", "cbox") + (
+        "SELECT p.id FROM pts p, (SELECT * FROM cbox ORDER BY id LIMIT 1) w"
+        " WHERE p.x BETWEEN least(w.x1, w.x2) AND greatest(w.x1, w.x2)"
+        " AND p.y BETWEEN least(w.y1, w.y2) AND greatest(w.y1, w.y2)"),
+    "pairs_as_points": cte("iso") + ", F AS (WITH " + _pairs_sql("iso", "max") + ")\n" + (
+        "SELECT '0,' || ax || ',' || ay AS value FROM F UNION ALL SELECT '1,' || bx || ',' || \"by\" FROM F"),
+    "row_text_nulls": cte("far") + "SELECT id || ',' || coalesce(grp::VARCHAR, '') || ',3' AS value FROM far",
+    "coincident_points": cte("lattice") + (
+        "SELECT x, y, n, id FROM (SELECT x, y, id, count(*) OVER (PARTITION BY x, y) AS n FROM lattice) WHERE n > 1"),
+    "closest_pairs_ties": cte("lattice") + ", " + _pairs_sql("lattice", "min"),
+    "farthest_pairs_ties": cte("lattice") + ", " + _pairs_sql("lattice", "max"),
+    "convex_hull_far": cte("far") + f", {_NEAR}, H AS (WITH " + _hull_sql("near", None) + f") SELECT {_BACK} FROM H",
+    "closest_pairs_far": cte("far") + f", {_NEAR}, H AS (WITH " + _pairs_sql("near", "min") + (
+        ") SELECT ax + 1700000000000000000 AS ax, ay - 1700000000000000000 AS ay, bx + 1700000000000000000 AS bx,"
+        " \"by\" - 1700000000000000000 AS \"by\", d2, dist FROM H"),
+    # null is a group of its own: joined as a value that no key has
+    "convex_hull_nullkey": cte("far") + (
+        f", {_NEAR}, keyed AS (SELECT coalesce(grp, -1) AS grp, x, y FROM near), H AS (WITH "
+        + _hull_sql("keyed", "grp") + f") SELECT nullif(grp, -1)::VARCHAR AS grp, {_BACK} FROM H"),
+    "join_mixed_scale": cte("iso", "mixwin") + (
+        f"SELECT p.id AS probe_id, w.id AS window_id FROM iso p JOIN mixwin w ON {_PT_IN_WIN}"),
+    "join_mixed_scale_rects": cte("mixwin") + (
+        "SELECT a.id AS probe_id, count(DISTINCT b.id) AS n_matches "
+        f"FROM mixwin a JOIN mixwin b ON {_RR} GROUP BY a.id"),
+})

@@ -1,12 +1,18 @@
 """Multi-level uniform grid: turns spatial theta joins into equi-joins.
 
-A rectangle of extent ``e`` (its longer side) lives on level
-``L = max(0, ceil(log2(e / g)))``, where cells have side ``g * 2**L``; on its
-own level and on every coarser level it covers at most 2 x 2 cells.  So a
-rectangle is replicated into a bounded number of cells however large it is,
-and no broadcast of a side of unknown size is ever needed: the join is a hash
-(or sort-merge) equi-join on ``(level, cx, cy)`` followed by the exact
-residual predicate.
+A rectangle of extent ``e`` (its longer side) has the exponent
+``ceil(log2(e))``; the levels of a join are a set of such exponents, and a
+rectangle lives on the smallest level not below its own exponent, where cells
+have side ``2**level``.  So on its own level and on every coarser one it
+covers at most 2 x 2 cells: a rectangle is replicated into a bounded number of
+cells however large it is, and no broadcast of a side of unknown size is ever
+needed.  The join is a hash (or sort-merge) equi-join on ``(level, cx, cy)``
+followed by the exact residual predicate.
+
+Levels follow the rectangles' own sizes, small ones too: a level is kept if
+at least one in ``RARE`` rectangles live there; rarer sizes move up to the next
+level that is kept (the largest always is).  So cells fit their rectangles
+whatever else the table holds, and points are replicated to few levels.
 
 Exactness rests on monotone floating division: for a fixed positive cell
 side ``cs``, ``a <= b`` implies ``floor(a / cs) <= floor(b / cs)``, so a point
@@ -21,67 +27,75 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# no level above this: 2**62 cells of side g cover any bigint range
-MAX_LEVEL = 62
+#: a size that fewer than one in RARE rectangles have gets no level of its own
+RARE = 100
+#: exponents of doubles: the largest cell holds every finite coordinate
+LOWEST, HIGHEST = -1074, 1024
+_LARGEST = 1.7976931348623157e308
 
 
-def cell_side(g: float, level) -> Column:
+def cell_side(level) -> Column:
     """Side of a cell on ``level`` (a column or an int); exact power-of-two scaling."""
     lv = level if isinstance(level, Column) else F.lit(int(level))
-    return F.lit(float(g)) * F.pow(F.lit(2.0), lv)
+    return F.pow(F.lit(2.0), lv.cast("double"))
+
+
+def _finite(v: Column) -> Column:
+    return F.greatest(F.least(v.cast("double"), F.lit(_LARGEST)), F.lit(-_LARGEST))
 
 
 def cell_of(v, side: Column) -> Column:
-    """Cell index of coordinate ``v`` for cells of ``side`` (floor, not truncation)."""
+    """Cell index of coordinate ``v`` for cells of ``side`` (floor, not truncation).
+
+    Infinite borders count as the largest double; a quotient beyond bigint
+    saturates, which keeps the order.
+    """
     v = F.col(v) if isinstance(v, str) else v
-    return F.floor(v / side)
+    return F.floor(_finite(v) / side)
 
 
 def rect_extent(x1, y1, x2, y2) -> Column:
-    c = [F.col(a) if isinstance(a, str) else a for a in (x1, y1, x2, y2)]
+    """The longer side, in double (integer spans cannot overflow)."""
+    c = [(F.col(a) if isinstance(a, str) else a).cast("double") for a in (x1, y1, x2, y2)]
     return F.greatest(c[2] - c[0], c[3] - c[1])
 
 
 def extent_exponent(extent: Column) -> Column:
     """``ceil(log2(extent))`` for positive extents, else null.
 
-    The per-side level set (an aggregate) and every row's level are computed
-    from this one expression, so they agree bit for bit (Spark's log2 is
-    StrictMath-based, identical on every executor).
+    The level set (an aggregate) and every row's level are computed from this
+    one expression, so they agree bit for bit (Spark's log2 is StrictMath-based,
+    identical on every executor).
     """
-    e = extent.cast("double")
-    return F.ceil(F.log2(F.when(e > 0, e)))
-
+    return F.ceil(F.log2(F.when(extent > 0, F.least(extent, F.lit(_LARGEST))))).cast("int")
 
-def level_of(extent: Column, g: float) -> Column:
-    """Grid level of a rectangle with the given extent (0 for points and small ones).
 
-    ``g`` is a power of two ``2**k``: level = clamp(exponent - k, 0, MAX_LEVEL).
-    """
-    k = int(round(math.log2(g)))
-    raw = extent_exponent(extent) - F.lit(k)
-    return F.least(F.greatest(F.coalesce(raw, F.lit(0)), F.lit(0)), F.lit(MAX_LEVEL)).cast("int")
+def level_of(extent: Column, levels: list[int]) -> Column:
+    """The smallest of ``levels`` (ascending) not below the extent's exponent."""
+    own = F.coalesce(extent_exponent(extent), F.lit(LOWEST))
+    out = F.lit(levels[-1])
+    for lv in reversed(levels[:-1]):
+        out = F.when(own <= lv, F.lit(lv)).otherwise(out)
+    return out
 
 
 class SideStats:
     """What the grid needs to know about one rectangle side.
 
-    ``median``: approximate median extent (a quantile sketch, merged
-    map-side); ``exponents``: the distinct ``ceil(log2(extent))`` values, a
-    set bounded by the double exponent range (in practice a handful).
-    Only the four coordinate columns are read.  ``SideStats.many`` gathers
-    the statistics of several sides in ONE job (one row per side).
+    ``counts``: how many rectangles have each exponent (None: no extent), a
+    histogram bounded by the double exponent range (in practice a handful of
+    rows); ``n``, ``lo`` and ``hi``: number of rows and bounds of x.  Only the
+    four coordinate columns are read.  ``SideStats.many`` gathers the
+    statistics of several sides in ONE job.
     """
 
-    def __init__(self, df: DataFrame | None = None, cols=("x1", "y1", "x2", "y2"), row=None):
-        if row is None:
-            row = SideStats._rows([(df, cols)])[0]
-        self.median = None if row["med"] is None else float(row["med"])
-        self.exponents = sorted(int(e) for e in (row["exps"] or []))
-        self.has_flat = row["flat"] is not None
-        self.n = int(row["n"] or 0)
-        self.lo = None if row["lo"] is None else float(row["lo"])
-        self.hi = None if row["hi"] is None else float(row["hi"])
+    def __init__(self, df: DataFrame | None = None, cols=("x1", "y1", "x2", "y2"), rows=None):
+        if rows is None:
+            rows = SideStats._rows([(df, cols)])[0]
+        self.counts = {r["_exp"]: int(r["n"]) for r in rows}
+        self.n = sum(self.counts.values())
+        self.lo = min((r["lo"] for r in rows), default=None)
+        self.hi = max((r["hi"] for r in rows), default=None)
 
     @staticmethod
     def _rows(sides) -> list:
@@ -89,62 +103,52 @@ class SideStats:
         for i, (df, cols) in enumerate(sides):
             x1, y1, x2, y2 = cols
             parts.append(df.select(
-                F.lit(i).alias("_side"),
-                rect_extent(x1, y1, x2, y2).cast("double").alias("_ext"),
-                F.least(x1, y1).cast("double").alias("_lo"),
-                F.greatest(x2, y2).cast("double").alias("_hi")))
+                F.lit(i).alias("_side"), extent_exponent(rect_extent(x1, y1, x2, y2)).alias("_exp"),
+                _finite(F.least(x1, y1)).alias("_lo"), _finite(F.greatest(x2, y2)).alias("_hi")))
         u = parts[0]
         for p in parts[1:]:
             u = u.unionByName(p)
-        ext = F.col("_ext")
-        pos = F.when(ext > 0, ext)
-        got = {r["_side"]: r for r in u.groupBy("_side").agg(
-            F.percentile_approx(pos, 0.5).alias("med"),
-            F.collect_set(extent_exponent(ext)).alias("exps"),
-            F.count(F.lit(1)).alias("n"),
-            F.max(F.when(ext <= 0, 1)).alias("flat"),
-            F.min("_lo").alias("lo"),
-            F.max("_hi").alias("hi"),
-        ).collect()}
-        empty = {"med": None, "exps": [], "n": 0, "flat": None, "lo": None, "hi": None}
-        return [got.get(i, empty) for i in range(len(sides))]
+        got = u.groupBy("_side", "_exp").agg(F.count(F.lit(1)).alias("n"), F.min("_lo").alias("lo"),
+                                             F.max("_hi").alias("hi")).collect()
+        return [[r for r in got if r["_side"] == i] for i in range(len(sides))]
 
     @staticmethod
     def many(sides) -> list["SideStats"]:
         """Statistics of several ``(df, cols)`` sides from one aggregate job."""
-        return [SideStats(row=r) for r in SideStats._rows(sides)]
-
-    def levels(self, g: float) -> list[int]:
-        """Distinct levels of this side's rectangles for base cell ``g`` (a power of two)."""
-        k = int(round(math.log2(g)))
-        out = {min(MAX_LEVEL, max(0, e - k)) for e in self.exponents}
-        if self.has_flat or not out:
-            out.add(0)
-        return sorted(out)
-
-
-def base_cell(*sides: SideStats) -> float:
-    """Base cell side: the power of two at or above the largest side median.
-
-    A power of two keeps every cell side an exact binary fraction, so cell
-    indices of both sides are computed identically.  Falls back to the
-    bounding-box side over sqrt(n) for degenerate input.
-    """
-    meds = [s.median for s in sides if s.median]
-    if meds:
-        target = max(meds)
-    else:
-        los = [s.lo for s in sides if s.lo is not None]
-        his = [s.hi for s in sides if s.hi is not None]
-        n = sum(s.n for s in sides)
-        target = (max(his) - min(los)) / max(1.0, n ** 0.5) if los and max(his) > min(los) else 1.0
-    return 2.0 ** math.ceil(math.log2(target))
-
-
-def point_cells(df: DataFrame, g: float, levels: list[int], x, y, prefix: str = "_") -> DataFrame:
+        return [SideStats(rows=r) for r in SideStats._rows(sides)]
+
+    def levels(self, cell: float | None = None) -> list[int]:
+        """Ascending levels for this side; ``cell`` sets the finest cell side instead."""
+        sizes = sorted(e for e in self.counts if e is not None)
+        if not sizes:
+            # no extent anywhere: the density of the rectangles sets one level
+            span = (self.hi - self.lo) / max(1.0, self.n ** 0.5) if self.n and self.hi > self.lo else 1.0
+            kept = [max(LOWEST, min(HIGHEST, math.ceil(math.log2(min(span, _LARGEST) or 1.0))))]
+        else:
+            kept, waiting = [], 0
+            for e in sizes:
+                waiting += self.counts[e]
+                if waiting * RARE >= self.n or e == sizes[-1]:
+                    kept.append(e)
+                    waiting = 0
+        if cell:
+            finest = math.ceil(math.log2(cell))
+            kept = sorted({max(e, finest) for e in kept})
+        return kept
+
+
+def open_ended(levels: list[int]) -> list[int]:
+    """``levels`` and ever coarser ones, for rectangles whose sizes are not known (a stream)."""
+    out, step = list(levels), 3
+    while out[-1] < HIGHEST:
+        out.append(min(HIGHEST, out[-1] + step))
+        step *= 2
+    return out
+
+
+def point_cells(df: DataFrame, levels: list[int], x, y, prefix: str = "_") -> DataFrame:
     """One row per level in ``levels``: the cell holding the point on that level."""
     lv, cx, cy = f"{prefix}L", f"{prefix}cx", f"{prefix}cy"
-    levels = levels or [0]
     out = df.withColumn(lv, F.explode(F.array(*[F.lit(int(v)) for v in levels])))
-    side = cell_side(g, F.col(lv))
+    side = cell_side(F.col(lv))
     return out.withColumn(cx, cell_of(x, side)).withColumn(cy, cell_of(y, side))

@@ -9,6 +9,10 @@ _UNITS = {"b": 1, "k": 1 << 10, "kb": 1 << 10, "m": 1 << 20, "mb": 1 << 20,
           "g": 1 << 30, "gb": 1 << 30, "t": 1 << 40, "tb": 1 << 40}
 
 
+FIXED_WIDTH = {"boolean", "tinyint", "smallint", "int", "bigint", "float", "double", "date", "timestamp",
+               "timestamp_ntz", "decimal"}
+
+
 def threshold_bytes(spark) -> int:
     """``spark.sql.autoBroadcastJoinThreshold`` in bytes (-1: broadcasting off)."""
     raw = str(spark.conf.get("spark.sql.autoBroadcastJoinThreshold", "10485760b")).strip().lower()
@@ -24,13 +28,15 @@ def size_guard(df: DataFrame, max_rows: int, force_hint: bool = True) -> DataFra
     """Broadcast ``df`` only if ``max_rows`` (a proven upper bound) fits the threshold.
 
     The bound comes from an exact row count (a statistics job) times a fixed
-    replication per row; the byte size assumes fixed-width columns
-    (UnsafeRow: 8-byte header + 8 bytes per field, doubled for the hash
-    relation).  Beyond it the join is forced to a sort-merge join, which
-    spills instead of failing, and AQE can split its skewed partitions.
+    replication per row, and holds for fixed-width columns only (UnsafeRow:
+    8-byte header + 8 bytes per field, doubled for the hash relation): a side
+    with strings or other columns of unknown width is never broadcast here.
+    Beyond the bound the join is forced to a sort-merge join, which spills
+    instead of failing, and AQE can split its skewed partitions.
     """
     limit = threshold_bytes(df.sparkSession)
     row_bytes = 2 * (8 + 8 * len(df.columns))
-    if limit > 0 and max_rows * row_bytes <= limit:
+    fixed = all(t.split("(")[0] in FIXED_WIDTH for _, t in df.dtypes)
+    if fixed and 0 < max_rows * row_bytes <= limit:
         return F.broadcast(df)
     return df.hint("merge") if force_hint else df

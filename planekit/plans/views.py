@@ -47,6 +47,28 @@ VIEWS: dict[str, tuple[str, list[str]]] = {
         "cast(p_size AS bigint) * 100 + 40 + p_partkey % 90 AS x2",
         "cast(round(p_retailprice * 100) AS bigint) + 60 + p_partkey % 70 AS y2",
     ]),
+    # pts moved far beyond what a double can hold exactly; a group key, with
+    # null among them, of neighbouring bigints that a double cannot tell apart
+    "far": ("orders", [
+        "o_orderkey AS id",
+        "CASE WHEN o_orderkey % 3 < 2 THEN cast(9007199254740992 AS bigint) + o_orderkey % 3 END AS grp",
+        "(o_orderkey * 7919 + o_custkey * 104729) % 1000003 + cast(1700000000000000000 AS bigint) AS x",
+        "(cast(round(o_totalprice * 100) AS bigint) * 31) % 1000003 - cast(1700000000000000000 AS bigint) AS y",
+    ]),
+    # a lattice with many ties, and several rows at most places
+    "lattice": ("lineitem", [
+        "l_orderkey * 10 + l_linenumber AS id",
+        "l_orderkey % 23 * 3 AS x",
+        "cast(l_partkey % 29 AS bigint) * 3 AS y",
+    ]),
+    # windows of very different sizes: tiny, small, and a few that span all of iso
+    "mixwin": ("part", [
+        "p_partkey AS id",
+        "(p_partkey * 6151) % 1000003 AS x1",
+        "(p_partkey * 12289) % 1000003 AS y1",
+        "(p_partkey * 6151) % 1000003 + CASE WHEN p_partkey % 50 = 0 THEN 600000 WHEN p_partkey % 3 = 0 THEN 20000 ELSE 900 END AS x2",
+        "(p_partkey * 12289) % 1000003 + CASE WHEN p_partkey % 50 = 0 THEN 600000 WHEN p_partkey % 3 = 0 THEN 20000 ELSE 900 END AS y2",
+    ]),
     # customer boxes in the space of pts; corners stored in reversed order
     "cbox": ("customer", [
         "c_custkey AS id",

@@ -1,8 +1,10 @@
-from planekit.sources.sinks import pairs_as_points, write_csv  # noqa: F401
+from planekit.sources.sinks import pairs_as_points, row_text, write_csv  # noqa: F401
 from planekit.sources.text import (  # noqa: F401
+    parse_probes,
     parse_shapes,
     read_matches,
     read_points,
+    read_probes,
     read_rects,
     read_shapes,
     take_window,

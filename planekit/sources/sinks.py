@@ -6,23 +6,30 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
-    """Headerless comma-separated text.  Arrays become ``a,b,c`` inline.
+def row_text(df: DataFrame) -> DataFrame:
+    """One ``value`` per row: the fields, comma-separated; a null field is empty.
 
-    ``mode='overwrite'`` replaces the target directory (the reference deletes
-    it first); ``'errorifexists'`` fails if present.  ``single_file`` gathers
-    to one output file (``coalesce(1)``) and is off by default.
+    An array's elements stand inline (``id,m1,m2``); an empty or null array
+    adds no field.
     """
     cols = []
     for name, dtype in df.dtypes:
-        c = F.col(name)
         if dtype.startswith("array"):
-            # elements inline (an empty list adds nothing): "id,m1,m2" / "id"
-            c = F.transform(c, lambda v: v.cast("string"))
+            # concat_ws skips a null array, and an empty one adds nothing
+            cols.append(F.transform(name, lambda v: F.coalesce(v.cast("string"), F.lit(""))))
         else:
-            c = c.cast("string")
-        cols.append(c)
-    out = df.select(F.concat_ws(",", *cols).alias("value"))
+            cols.append(F.coalesce(F.col(name).cast("string"), F.lit("")))
+    return df.select(F.concat_ws(",", *cols).alias("value"))
+
+
+def write_csv(df: DataFrame, path: str, mode: str = "overwrite", single_file: bool = False) -> None:
+    """Headerless comma-separated text, one ``row_text`` per row.
+
+    ``mode='overwrite'`` replaces the target directory (the reference deletes
+    it first); ``'errorifexists'`` fails if present.  ``single_file`` gathers
+    to one output file (``coalesce(1)``) and is off by default.
+    """
+    out = row_text(df)
     if single_file:
         out = out.coalesce(1)
     out.write.mode(mode).text(path)

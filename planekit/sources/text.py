@@ -61,24 +61,50 @@ def read_rects(spark: SparkSession | DataFrame, path: str | None = None,
     return normalize_rect(df) if normalize else df
 
 
+def _by_arity(lines: DataFrame) -> DataFrame:
+    """Non-blank lines split, without trailing empty fields: they do not count towards the arity."""
+    lines = _lines(lines, None).select(F.regexp_replace("value", ",+$", "").alias("value"))
+    return _split(lines).withColumn("_n", F.size("_parts"))
+
+
 def parse_shapes(lines: DataFrame, strict: bool = True,
                  coord_type: str = "double") -> tuple[DataFrame, DataFrame]:
     """Mixed probe rows: 5 fields = ``id,x1,y1,x2,y2``, 3 = ``id,x,y``, others match nothing.
 
-    Returns ``(points, rects)``; both come from one scan of ``lines``.
+    Returns ``(points, rects)``, each a filter of ``lines``: reading both
+    scans it twice.  ``parse_probes`` gives both kinds in one frame.
     """
-    parts = _split(_lines(lines, None))
-    n = F.size("_parts")
-    pts = _parse(parts.where(n == 3), ["id", "x", "y"], ["bigint", coord_type, coord_type], strict)
-    rct = _parse(parts.where(n == 5), ["id", "x1", "y1", "x2", "y2"],
+    parts = _by_arity(lines)
+    pts = _parse(parts.where("_n = 3"), ["id", "x", "y"], ["bigint", coord_type, coord_type], strict)
+    rct = _parse(parts.where("_n = 5"), ["id", "x1", "y1", "x2", "y2"],
                  ["bigint"] + [coord_type] * 4, strict)
     return pts, normalize_rect(rct)
 
 
+def parse_probes(lines: DataFrame, strict: bool = True, coord_type: str = "double") -> DataFrame:
+    """The same rows as one frame ``id, x1, y1, x2, y2, is_point``, from one scan.
+
+    A point's corners are the point; see ``spatial_join_shapes``.
+    """
+    parts = _by_arity(lines).where("_n in (3, 5)")
+    far = lambda i: F.get("_parts", F.when(F.col("_n") == 5, i).otherwise(i - 2))
+    fields = F.array(F.col("_parts")[0], F.col("_parts")[1], F.col("_parts")[2], far(3), far(4))
+    probes = parts.select(fields.alias("_parts"), (F.col("_n") == 3).alias("is_point"))
+    names = ["id", "x1", "y1", "x2", "y2"]
+    values = [_field(F.col("_parts"), i, t, strict).alias(n)
+              for i, (n, t) in enumerate(zip(names, ["bigint"] + [coord_type] * 4))]
+    out = probes.select(*values, "is_point")
+    return normalize_rect(out if strict else out.dropna(subset=names))
+
+
 def read_shapes(spark: SparkSession, path: str, strict: bool = True) -> tuple[DataFrame, DataFrame]:
     return parse_shapes(spark.read.text(path), strict=strict)
 
 
+def read_probes(spark: SparkSession, path: str, strict: bool = True) -> DataFrame:
+    return parse_probes(spark.read.text(path), strict=strict)
+
+
 def read_matches(spark: SparkSession | DataFrame, path: str | None = None) -> DataFrame:
     """``id,m1,m2,...`` rows -> ``probe_id bigint, matches array<bigint>``."""
     parts = F.col("_parts")
