@@ -25,11 +25,20 @@ def op1_exact_dedup(spark: SparkSession, d: str) -> DataFrame:
 
 
 def op2_license_scan(spark: SparkSession, d: str) -> DataFrame:
-    return scan_licenses(text_at("documents", spark, d))
+    out = scan_licenses(text_at("documents", spark, d))
+    spans = F.array_join(F.transform("found", lambda f: F.concat_ws(
+        ":", f["license"], f["first"].cast("string"), f["end"].cast("string"))), ",")
+    return out.select("doc_id", "license", "coverage", F.size("found").cast("long").alias("n_found"),
+                      spans.alias("spans"))
 
 
 def op3_sentencepiece(spark: SparkSession, d: str) -> DataFrame:
-    return encode(text_at("documents", spark, d), with_ids=False)
+    out = encode(text_at("documents", spark, d), with_ids=False)
+    hashes = F.array_join(F.transform("n_best", lambda s: s["ids_sha256"]), ",")
+    return out.select("doc_id", "n_chars", "n_pieces", "ids_sha256", "round_trip",
+                      F.element_at("n_best", 1)["score"].alias("best_score"),
+                      F.element_at("n_best", -1)["score"].alias("last_score"),
+                      F.size("n_best").cast("long").alias("n_segmentations"), F.sha2(hashes, 256).alias("n_best_sha256"))
 
 
 def op4_pii(spark: SparkSession, d: str) -> DataFrame:
