@@ -51,6 +51,10 @@ def words_in(text: str | None) -> list[str]:
     """Lower-cased letter runs, with a start mark; very long runs in parts."""
     out = []
     for w in _LETTERS.findall((text or "").lower()):
+        if not w.isalpha():  # numerals such as superscripts are word characters, not letters
+            w = "".join(filter(str.isalpha, w))
+            if not w:
+                continue
         out += [" " + w] if len(w) < LONGEST else [
             (" " if i == 0 else "") + w[i:i + LONGEST - 1] for i in range(0, len(w), LONGEST - 1)]
     return out

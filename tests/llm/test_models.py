@@ -163,7 +163,7 @@ def test_language_id_on_held_out_documents(spark):
 def test_language_id_edge_cases(spark, docs):
     rows = docs([(i, "the cat and the dog") for i in range(8)]).union(
         docs([(i, "le chat et le chien") for i in range(8, 16)], "fr")).union(
-        docs([(20, None), (21, ""), (22, "12 !?"), (None, "THE DOG"), (23, "a" * 20_000), (23, "漢字")], None))
+        docs([(20, None), (21, ""), (22, "12 ²Ⅷ½ !?"), (None, "THE DOG"), (23, "a" * 20_000), (23, "漢字")], None))
     got = langid.identify(rows, per_lang=1000).collect()
     assert len(got) == 22
     pred = {}
