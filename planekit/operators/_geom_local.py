@@ -10,6 +10,7 @@ from __future__ import annotations
 from fractions import Fraction
 
 import numpy as np
+import pandas as pd
 
 # relative error bound of the floating orientation determinant
 _ORIENT_BOUND = 3.3306690738754716e-16
@@ -157,3 +158,31 @@ def farthest_on_hull(hull: list[tuple]) -> tuple[object, list[tuple]]:
         elif d == best:
             pairs.append((a, b))
     return best, sorted(set(pairs))
+
+
+def _groups(pdf: pd.DataFrame, keys: list[str], x: str, y: str):
+    """``(key values, xs, ys)`` of each group, from one sort."""
+    if not keys:
+        yield (), pdf[x].to_numpy(), pdf[y].to_numpy()
+        return
+    code = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
+    order = np.argsort(code, kind="stable")
+    firsts = np.flatnonzero(np.diff(code[order], prepend=-1))
+    values = list(zip(*(pdf[k].to_numpy()[order[firsts]].tolist() for k in keys)))
+    xs, ys = pdf[x].to_numpy()[order], pdf[y].to_numpy()[order]
+    for key, lo, hi in zip(values, firsts, np.append(firsts[1:], len(order))):
+        yield key, xs[lo:hi], ys[lo:hi]
+
+
+def group_hulls(pdf: pd.DataFrame, keys: list[str], x: str, y: str) -> pd.DataFrame:
+    """The rows of ``pdf`` that are hull vertices of their group, once each."""
+    rows, own = [], []
+    for key, xs, ys in _groups(pdf, keys, x, y):
+        hull = hull_ccw(xs, ys) if len(xs) > 1 else list(zip(xs.tolist(), ys.tolist()))
+        rows += hull
+        own += [key] * len(hull)
+    out = pd.DataFrame({x: pd.Series([r[0] for r in rows], dtype=pdf[x].dtype),
+                        y: pd.Series([r[1] for r in rows], dtype=pdf[y].dtype)})
+    for i, k in enumerate(keys):
+        out[k] = pd.Series([key[i] for key in own], dtype=object)
+    return out[keys + [x, y]]

@@ -36,7 +36,7 @@ from pyspark.sql import functions as F
 
 from planekit.functions.geom import cross, finite_coords
 from planekit.operators import _geom_local
-from planekit.operators._geom_local import farthest_on_hull, hull_ccw
+from planekit.operators._geom_local import farthest_on_hull, group_hulls, hull_ccw
 from planekit.plans.guard import size_guard
 
 # the in-task helpers travel with the Pandas UDFs (pickled by value), so the
@@ -130,34 +130,6 @@ def _text_to_key(name: str, dtype: str):
     return F.col(name).cast(dtype).alias(name)
 
 
-def _groups(pdf: pd.DataFrame, keys: list[str], x: str, y: str):
-    """``(key values, xs, ys)`` of each group, from one sort."""
-    if not keys:
-        yield (), pdf[x].to_numpy(), pdf[y].to_numpy()
-        return
-    code = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy()
-    order = np.argsort(code, kind="stable")
-    firsts = np.flatnonzero(np.diff(code[order], prepend=-1))
-    values = list(zip(*(pdf[k].to_numpy()[order[firsts]].tolist() for k in keys)))
-    xs, ys = pdf[x].to_numpy()[order], pdf[y].to_numpy()[order]
-    for key, lo, hi in zip(values, firsts, np.append(firsts[1:], len(order))):
-        yield key, xs[lo:hi], ys[lo:hi]
-
-
-def _hulls(pdf: pd.DataFrame, keys: list[str], x: str, y: str) -> pd.DataFrame:
-    """The rows of ``pdf`` that are hull vertices of their group, once each."""
-    rows, own = [], []
-    for key, xs, ys in _groups(pdf, keys, x, y):
-        hull = hull_ccw(xs, ys) if len(xs) > 1 else list(zip(xs.tolist(), ys.tolist()))
-        rows += hull
-        own += [key] * len(hull)
-    out = pd.DataFrame({x: pd.Series([r[0] for r in rows], dtype=pdf[x].dtype),
-                        y: pd.Series([r[1] for r in rows], dtype=pdf[y].dtype)})
-    for i, k in enumerate(keys):
-        out[k] = pd.Series([key[i] for key in own], dtype=object)
-    return out[keys + [x, y]]
-
-
 def _partial_hull_fn(keys: list[str], x: str, y: str):
     """mapInPandas body: fold the partition's batches into one hull per group.
 
@@ -175,7 +147,7 @@ def _partial_hull_fn(keys: list[str], x: str, y: str):
             buf.append(b[keys + [x, y]])
             rows += len(b)
             if rows >= fold_at:
-                folded = _hulls(pd.concat(buf, ignore_index=True), keys, x, y)
+                folded = group_hulls(pd.concat(buf, ignore_index=True), keys, x, y)
                 if 2 * len(folded) > rows:
                     yield folded
                     buf, rows, fold_at = [], 0, _BUFFER_ROWS
@@ -183,7 +155,7 @@ def _partial_hull_fn(keys: list[str], x: str, y: str):
                     buf, rows = [folded], len(folded)
                     fold_at = max(_BUFFER_ROWS, 2 * rows)
         if buf:
-            yield _hulls(pd.concat(buf, ignore_index=True), keys, x, y)
+            yield group_hulls(pd.concat(buf, ignore_index=True), keys, x, y)
     return run
 
 
@@ -218,7 +190,7 @@ def convex_hull(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
         cand = cand.withColumn(_KEY, F.lit(0))
 
     def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        return _hulls(pdf, keys, x, y)
+        return group_hulls(pdf, keys, x, y)
 
     out = cand.groupBy(*gkeys).applyInPandas(final, schema)
     return out.select(*[_text_to_key(k, types[k]) for k in keys], x, y)

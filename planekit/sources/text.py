@@ -26,20 +26,25 @@ def _lines(spark_or_df, path: str | None) -> DataFrame:
     return spark_or_df.read.text(path)
 
 
-def _split(lines: DataFrame) -> DataFrame:
-    """One ``_parts`` array per non-blank line: the line is split once and
-    every field, filter and arity test reads the array."""
-    return lines.select(F.split(F.col("value"), ",").alias("_parts")).where(
-        (F.size("_parts") > 1) | (F.trim(F.col("_parts")[0]) != ""))
+def _not_blank(lines: DataFrame) -> DataFrame:
+    return lines.where(F.contains("value", F.lit(",")) | (F.trim("value") != ""))
 
 
-def _parse(parts_df: DataFrame, names: list[str], types: list[str], strict: bool) -> DataFrame:
+def _once(df: DataFrame, *cols: Column) -> DataFrame:
+    """``select`` that is computed once a row.
+
+    Every expression above a plain projection that uses its columns may get a
+    copy of the whole text parsing when the optimizer merges the two; a
+    generator of one row is a border it does not cross.
+    """
+    return df.select(F.explode(F.array(F.struct(*cols))).alias("_row")).select("_row.*")
+
+
+def _parse(lines: DataFrame, names: list[str], types: list[str], strict: bool) -> DataFrame:
     parts = F.col("_parts")
-    df = parts_df.select(
-        *[_field(parts, i, t, strict).alias(n) for i, (n, t) in enumerate(zip(names, types))])
-    if strict:
-        return df
-    return df.dropna(subset=names)
+    df = _once(lines.select(F.split("value", ",").alias("_parts")),
+               *[_field(parts, i, t, strict).alias(n) for i, (n, t) in enumerate(zip(names, types))])
+    return df if strict else df.dropna(subset=names)
 
 
 def read_points(spark: SparkSession | DataFrame, path: str | None = None,
@@ -48,7 +53,7 @@ def read_points(spark: SparkSession | DataFrame, path: str | None = None,
     """``x,y`` or ``id,x,y`` rows -> columns ``[id,] x, y`` (doubles)."""
     names = (["id"] if with_id else []) + ["x", "y"]
     types = ([id_type] if with_id else []) + ["double", "double"]
-    return _parse(_split(_lines(spark, path)), names, types, strict)
+    return _parse(_not_blank(_lines(spark, path)), names, types, strict)
 
 
 def read_rects(spark: SparkSession | DataFrame, path: str | None = None,
@@ -57,14 +62,15 @@ def read_rects(spark: SparkSession | DataFrame, path: str | None = None,
     """``x1,y1,x2,y2`` or ``id,x1,y1,x2,y2`` rows; corners in any order."""
     names = (["id"] if with_id else []) + ["x1", "y1", "x2", "y2"]
     types = ([id_type] if with_id else []) + ["double"] * 4
-    df = _parse(_split(_lines(spark, path)), names, types, strict)
+    df = _parse(_not_blank(_lines(spark, path)), names, types, strict)
     return normalize_rect(df) if normalize else df
 
 
 def _by_arity(lines: DataFrame) -> DataFrame:
-    """Non-blank lines split, without trailing empty fields: they do not count towards the arity."""
-    lines = _lines(lines, None).select(F.regexp_replace("value", ",+$", "").alias("value"))
-    return _split(lines).withColumn("_n", F.size("_parts"))
+    """Non-blank lines without trailing empty fields, which do not count towards the arity ``_n``."""
+    lines = _not_blank(_lines(lines, None)).select(F.rtrim("value", F.lit(",")).alias("value"))
+    commas = F.length("value") - F.length(F.replace("value", F.lit(","), F.lit("")))
+    return lines.withColumn("_n", commas + 1)
 
 
 def parse_shapes(lines: DataFrame, strict: bool = True,
@@ -86,14 +92,15 @@ def parse_probes(lines: DataFrame, strict: bool = True, coord_type: str = "doubl
 
     A point's corners are the point; see ``spatial_join_shapes``.
     """
-    parts = _by_arity(lines).where("_n in (3, 5)")
-    far = lambda i: F.get("_parts", F.when(F.col("_n") == 5, i).otherwise(i - 2))
-    fields = F.array(F.col("_parts")[0], F.col("_parts")[1], F.col("_parts")[2], far(3), far(4))
-    probes = parts.select(fields.alias("_parts"), (F.col("_n") == 3).alias("is_point"))
+    rows = _by_arity(lines).where("_n in (3, 5)")
+    # the second corner of a point is its first: "id,x,y" reads as "id,x,y,x,y"
+    twice = F.concat_ws(",", "value", F.substring_index("value", ",", -2))
+    is_point = F.col("_n") == 3
+    parts = F.split(F.when(is_point, twice).otherwise(F.col("value")), ",")
     names = ["id", "x1", "y1", "x2", "y2"]
-    values = [_field(F.col("_parts"), i, t, strict).alias(n)
+    fields = [_field(F.col("_parts"), i, t, strict).alias(n)
               for i, (n, t) in enumerate(zip(names, ["bigint"] + [coord_type] * 4))]
-    out = probes.select(*values, "is_point")
+    out = _once(rows.select(parts.alias("_parts"), is_point.alias("is_point")), *fields, F.col("is_point"))
     return normalize_rect(out if strict else out.dropna(subset=names))
 
 
@@ -108,8 +115,9 @@ def read_probes(spark: SparkSession, path: str, strict: bool = True) -> DataFram
 def read_matches(spark: SparkSession | DataFrame, path: str | None = None) -> DataFrame:
     """``id,m1,m2,...`` rows -> ``probe_id bigint, matches array<bigint>``."""
     parts = F.col("_parts")
-    return _split(_lines(spark, path)).select(
-        F.trim(parts[0]).cast("bigint").alias("probe_id"),
+    lines = _not_blank(_lines(spark, path)).select(F.split("value", ",").alias("_parts"))
+    return _once(
+        lines, F.trim(parts[0]).cast("bigint").alias("probe_id"),
         F.transform(F.slice(parts, 2, F.size(parts) - 1),
                     lambda v: F.trim(v).cast("bigint")).alias("matches"),
     )
