@@ -11,7 +11,8 @@ Texts are equal when identical after deleting every ``[\\x20\\x09-\\x0D]``.
    splits on its next hash bit.  Bucket sizes come from a histogram of hash
    prefixes; the directory grows as representatives / capacity, not with rows.
 3. *Pages.*  Every representative's entry (hash, record pointer) goes to the
-   page of its bucket; pages are written sorted by (bucket, hash).
+   page of its bucket; the task that owns a range of buckets writes its pages
+   sorted by (bucket, hash) and marks hashes that more than one entry has.
 4. *Owners.*  Only entries whose hash occurs more than once need their bytes.
    The task that owns a key range reads them in hash order and keeps, for the
    hash at hand, a chain of distinct texts; each entry's bytes are compared
@@ -28,6 +29,7 @@ from __future__ import annotations
 import hashlib
 import math
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
@@ -134,6 +136,32 @@ def _directory_frame(spark, buckets: list[tuple]) -> tuple[DataFrame, int]:
     return spark.createDataFrame(slots, "slot long, bucket long"), depth
 
 
+def _pages(placed: DataFrame) -> DataFrame:
+    """Entries by bucket and hash; ``shared`` marks those whose hash another entry has too."""
+    ordered = placed.repartition("bucket").sortWithinPartitions("bucket", "h", "rid")
+
+    def run(batches):
+        # an entry is written once its successor, maybe of the next batch, is known
+        held, equal_before = None, False
+        for b in batches:
+            rows = pa.concat_batches([held, b]) if held is not None else b
+            if rows.num_rows:
+                bucket, h = rows.column(0).to_numpy(), rows.column(1).to_numpy()
+                equal = (bucket[1:] == bucket[:-1]) & (h[1:] == h[:-1])
+                shared = np.append(equal, False) | np.insert(equal, 0, equal_before)
+                n = rows.num_rows - 1
+                held, equal_before = rows.slice(n), bool(shared[n])
+                yield _flagged(rows.slice(0, n), shared[:n])
+        if held is not None:
+            yield _flagged(held, np.array([equal_before]))
+
+    return ordered.mapInArrow(run, "bucket long, h long, rid long, part long, shared boolean")
+
+
+def _flagged(rows: pa.RecordBatch, shared: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([*rows.columns, pa.array(shared)], names=[*rows.schema.names, "shared"])
+
+
 def chain_equal(rows: DataFrame, keys: list[str]) -> DataFrame:
     """``rid, head`` of ``keys, rid, body``: equal bodies under equal keys share the smallest rid."""
     ordered = rows.select(*keys, "rid", "body").repartition(*keys).sortWithinPartitions(*keys, "rid")
@@ -172,12 +200,10 @@ def dedup_exact(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     slot = F.shiftrightunsigned("h", 64 - depth) if depth else F.lit(0).cast("long")
     placed = (entries.withColumn("slot", slot).join(size_guard(slots, 1 << depth), "slot")
               .select("bucket", "h", "rid", "part"))
-    pages = cut_lineage(placed.repartition("bucket").sortWithinPartitions("bucket", "h", "rid"))
+    pages = cut_lineage(_pages(placed))
 
-    shared = pages.groupBy("bucket", "h").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n")
     parts = (records.agg(F.max("part")).first()[0] or 0) + 1
-    clash = pages.join(shared, ["bucket", "h"]).withColumn(
-        "salt", F.floor(F.col("part") / math.isqrt(parts)).cast("long"))
+    clash = pages.where("shared").withColumn("salt", F.floor(F.col("part") / math.isqrt(parts)).cast("long"))
     clash = cut_lineage(clash.join(reps.select("rid", "body"), "rid"))
     first = cut_lineage(chain_equal(clash, ["bucket", "h", "salt"]))
     heads = first.select(F.col("head").alias("rid")).distinct()
