@@ -149,7 +149,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
           per_lang: int = PER_LANG, iterations: int = ITERATIONS, vocabulary: str = VOCABULARY) -> LanguageModel:
     """Learn from the rows of ``labelled`` whose language and text are not null."""
     spark = labelled.sparkSession
-    pieces = Pieces(vocabulary)
+    pieces = Pieces.read(vocabulary)
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                            F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MAX_LANGS + 1).collect()
@@ -174,21 +174,21 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     counted = rows.where(keep).select("text", "lang").mapInArrow(count, "lang string, word string, n long")
     words = cut_lineage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
-    shared = spark.sparkContext.broadcast(pieces)
+    shared = spark.sparkContext.broadcast(pieces.tables())
     probs = np.full((len(langs), pieces.size + 1), 1.0 / pieces.size)
     probs[:, -1] = 0.0
     for _ in range(iterations):
         now = spark.sparkContext.broadcast(probs)
 
         def expect(batches):
-            total = np.zeros((len(langs), pieces_size))
+            own, total = Pieces(*shared.value), np.zeros((len(langs), pieces_size))
             for b in batches:
                 lang = np.array(b.column(0).to_pylist())
                 word, n = b.column(1).to_pylist(), b.column(2).to_numpy()
                 for k, name in enumerate(langs):
                     if len(mine := np.flatnonzero(lang == name)):
                         total[k] += _expected_counts([word[i] for i in mine], n[mine].astype(float),
-                                                     shared.value, now.value[k:k + 1])
+                                                     own, now.value[k:k + 1])
             k, piece = np.nonzero(total)
             yield pa.RecordBatch.from_arrays([pa.array(k, pa.int64()), pa.array(piece, pa.int64()),
                                               pa.array(total[k, piece])], names=["k", "piece", "n"])
@@ -205,11 +205,12 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
 def predict(model: LanguageModel, spark, text: Column) -> Column:
     """``struct<lang_pred string, score double>`` of a text column."""
-    shared = spark.sparkContext.broadcast(model)
+    shared = spark.sparkContext.broadcast((model.langs, model.probs, model.pieces.tables()))
 
     @F.pandas_udf("lang_pred string, score double")
     def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
-        own = shared.value
+        langs, probs, tables = shared.value
+        own = LanguageModel(langs, probs, Pieces(*tables))
         for texts in batches:
             langs, scores = own.score([None if t is None else t for t in texts.tolist()])
             yield pd.DataFrame({"lang_pred": langs, "score": scores})

@@ -63,7 +63,8 @@ def chunks_of(text: str) -> list[str]:
 class Coder:
     """Encodes texts with one vocabulary; keeps what it knows of chunks, up to ``CACHE`` of them."""
 
-    def __init__(self, pieces: Pieces, scores: np.ndarray):
+    def __init__(self, pieces: Pieces, scores: np.ndarray | None = None):
+        scores = zipf_scores(pieces) if scores is None else scores
         self.pieces, self.scores = pieces, scores
         self.scored = np.append(scores, -np.inf)
         self.lengths = [0] * pieces.size
@@ -202,12 +203,11 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_be
     ``n_best`` is an array, best first, of ``score, n_pieces, ids_sha256``; a
     hash is over the ids as little-endian 32-bit integers.
     """
-    pieces = Pieces(vocabulary)
-    shared = docs.sparkSession.sparkContext.broadcast((pieces, zipf_scores(pieces)))
+    shared = docs.sparkSession.sparkContext.broadcast(Pieces.read(vocabulary).tables())
     best = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int64()), ("ids_sha256", pa.string())]))
 
     def run(batches):
-        coder = Coder(*shared.value)
+        coder = Coder(Pieces(*shared.value))
         for whole in batches:
             for b in (whole.slice(i, 512) for i in range(0, whole.num_rows, 512)):
                 texts = [t or "" for t in b.column(1).to_pylist()]
@@ -247,11 +247,10 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_be
 
 def decode(coded: DataFrame, id_col: str = "doc_id", ids_col: str = "ids", vocabulary: str = VOCABULARY) -> DataFrame:
     """``doc_id, text`` of piece ids; null ids give null."""
-    pieces = Pieces(vocabulary)
-    shared = coded.sparkSession.sparkContext.broadcast((pieces, zipf_scores(pieces)))
+    shared = coded.sparkSession.sparkContext.broadcast(Pieces.read(vocabulary).tables())
 
     def run(batches):
-        coder = Coder(*shared.value)
+        coder = Coder(Pieces(*shared.value))
         for b in batches:
             texts = [None if ids is None else coder.decode(ids) for ids in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(texts, pa.string())], names=["doc_id", "text"])

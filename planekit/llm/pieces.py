@@ -21,16 +21,8 @@ MARK = "▁"
 class Pieces:
     """``ids``: piece text to id; ``byte_ids``: the ids of the 256 byte pieces."""
 
-    def __init__(self, path: str = VOCABULARY):
-        import sentencepiece
-
-        sp = sentencepiece.SentencePieceProcessor(model_file=path)
-        n = sp.get_piece_size()
-        byte = {int(sp.id_to_piece(i)[1:-1], 16): i for i in range(n) if sp.is_byte(i)}
-        special = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)}
-        self.size = n
-        self.byte_ids = [byte[i] for i in range(256)]
-        self.ids = {sp.id_to_piece(i).replace(MARK, " "): i for i in range(n) if i not in special}
+    def __init__(self, ids: dict[str, int], byte_ids: list[int], size: int):
+        self.ids, self.byte_ids, self.size = ids, byte_ids, size
         self.longest = max(map(len, self.ids))
         hashes, owners = [], []
         for length, group in by_length(self.ids).items():
@@ -38,12 +30,27 @@ class Pieces:
             owners += [self.ids[w] for w in group]
         self.hashes = np.concatenate(hashes)
         self.owners = np.array(owners, np.int32)
-        self.texts = [b""] * n
+        self.texts = [b""] * size
         for piece, i in self.ids.items():
             self.texts[i] = piece.encode()
-        for value, i in byte.items():
+        for value, i in enumerate(byte_ids):
             self.texts[i] = bytes([value])
 
+    @classmethod
+    def read(cls, path: str = VOCABULARY) -> "Pieces":
+        import sentencepiece
+
+        sp = sentencepiece.SentencePieceProcessor(model_file=path)
+        n = sp.get_piece_size()
+        byte = {int(sp.id_to_piece(i)[1:-1], 16): i for i in range(n) if sp.is_byte(i)}
+        special = {i for i in range(n) if sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i)}
+        ids = {sp.id_to_piece(i).replace(MARK, " "): i for i in range(n) if i not in special}
+        return cls(ids, [byte[i] for i in range(256)], n)
+
+    def tables(self) -> tuple:
+        """What the constructor takes: plain data, to broadcast."""
+        return self.ids, self.byte_ids, self.size
+
     def bytes_of(self, char: str) -> list[int]:
         """The byte pieces of a character without a piece of its own."""
         return [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")]

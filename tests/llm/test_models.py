@@ -22,7 +22,7 @@ SF = "/root/testdata/sf0.001"
 
 @pytest.fixture(scope="module")
 def pieces():
-    return Pieces()
+    return Pieces.read()
 
 
 @pytest.fixture(scope="module")
