@@ -24,6 +24,7 @@ from planekit.plans.grid import (
     SideStats,
     cell_of,
     cell_side,
+    copies,
     level_of,
     open_ended,
     point_cells,
@@ -138,8 +139,8 @@ def join_rects_rects(a: DataFrame, b: DataFrame, acols: tuple[str, str, str, str
     Ac = _rect_cells_multi(A, "_galvl", lb, acols, "a")
     Bc = _rect_cells_multi(B, "_gblvl", la, bcols, "b")
     # broadcast the side with the smaller proven size, if it fits at all
-    rows_b = sb.n * CELLS_PER_RECT * (1 + len(la))
-    rows_a = None if sa is None else sa.n * CELLS_PER_RECT * (1 + len(lb))
+    rows_b = copies(sb, lb, la) * CELLS_PER_RECT
+    rows_a = None if sa is None else copies(sa, la, lb) * CELLS_PER_RECT
     if rows_a is not None and rows_a < rows_b:
         Ac = _size_guard(Ac, rows_a)
     else:

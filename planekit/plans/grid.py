@@ -137,6 +137,15 @@ class SideStats:
         return kept
 
 
+def copies(stats: SideStats, own: list[int], other: list[int]) -> int:
+    """How many (rectangle, level) rows a side makes: its own level and the other side's higher ones."""
+    total = 0
+    for e, n in stats.counts.items():
+        level = own[0] if e is None else next((lv for lv in own if e <= lv), own[-1])
+        total += n * (1 + sum(lv > level for lv in other))
+    return total
+
+
 def open_ended(levels: list[int]) -> list[int]:
     """``levels`` and ever coarser ones, for rectangles whose sizes are not known (a stream)."""
     out, step = list(levels), 3
