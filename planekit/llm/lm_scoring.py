@@ -42,9 +42,9 @@ from pyspark.sql import functions as F
 from planekit.llm.common import byte_values, split_of
 from planekit.session import cut_lineage
 
-CHUNK_BYTES = 8 << 20
+CHUNK_BYTES = 4 << 20
 #: tokens per range task; a task holds about 30 bytes for each
-RANGE_TOKENS = 4_000_000
+RANGE_TOKENS = 2_000_000
 DELETED = 32
 ITERATIONS = 10
 BUCKETS = 48
