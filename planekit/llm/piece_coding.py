@@ -44,7 +44,7 @@ from planekit.llm.pieces import VOCABULARY, Pieces, by_length, edge_ids, spans
 
 N_BEST = 3
 #: distinct chunks whose best segmentations a task keeps
-CACHE = 200_000
+CACHE = 500_000
 
 _CHUNK = re.compile(r" *[^ ]+| +$")
 
