@@ -5,18 +5,23 @@ url's path starts with the rule's; the longest fitting rule decides.  Where no
 rule fits, the method does; the pages that a rule decides are its labels.
 
 1. *Templates.*  A path's segments are generalised by form: digit runs become
-   ``{n}``, long hexadecimal words and UUIDs ``{x}``; segments beyond
-   ``depth`` are one.  Pages are counted per host and generalised path, which
-   is all the tree needs: its size does not follow the number of pages.
-2. *Tree*, per host, from the root down.  A node's children become the
-   wildcard ``*`` where the node has at least ``fan_out`` of them and the
-   child's share is below one in ``fan_out`` (a variable segment that its form
-   did not show), or where the child is statistically like its siblings: its
-   share of blocked pages lies within ``z`` standard errors of all the
-   children's together.  What became a wildcard is one branch below.
-3. *Purity.*  A leaf template with ``b`` blocked of ``n`` labelled pages has
-   purity ``(b + weight / 2) / (n + weight)`` and is rejected from
-   ``reject_at``; a template without labels stays at one half, and is allowed.
+   ``{n}``, long hexadecimal words and UUIDs ``{x}``; with a ``depth``, segments
+   beyond it are one (``judge_urls`` cuts none).  Pages are counted per host and
+   generalised path, which is all the tree needs: its size does not follow the
+   number of pages.
+2. *Tree*, per host, from the root down.  A labelled child of a node becomes
+   the wildcard ``*`` where its share of blocked pages, among its labelled ones,
+   lies within ``z`` standard errors of all its siblings' together.  A child
+   is variable where the node has at least ``fan_out`` children and the child's
+   share of pages is below one in ``fan_out`` (a segment that its form did not
+   show).  A variable child without labels joins ``*`` only where at least
+   ``fan_out`` variable labelled siblings have become it; otherwise such
+   children are one branch of their own, ``?``, which no path can hold.  What
+   became a wildcard is one branch below; a path that is alone in its node is
+   taken whole.
+3. *Purity.*  A leaf template with ``b`` blocked of ``n`` labelled pages and
+   ``u`` without a label has purity ``(b + (u + weight) / 2) / (n + u + weight)``
+   and is rejected from ``reject_at``: pages without labels pull it to one half.
 
 Host: after the first ``://`` up to ``/``, ``?``, ``#`` or the end, A-Z
 lower-cased; path: from there up to ``?``, ``#`` or the end; null, or no
@@ -63,13 +68,15 @@ def rule_for(host: Column, path: Column, rules=RULES) -> tuple[Column, Column]:
     return rule, verdict
 
 
-def template_segments(path: Column, depth: int = DEPTH) -> Column:
+def template_segments(path: Column, depth: int | None = DEPTH) -> Column:
     """The path's segments, generalised by form."""
     def form(s: Column) -> Column:
         coded = s.rlike("^(?=.*[0-9])[0-9A-Fa-f]{8,}+$") | s.rlike("^[0-9A-Fa-f]{8}(?:-[0-9A-Fa-f]{4}){3}-[0-9A-Fa-f]{12}$")
         return F.when(coded & ~s.rlike("^[0-9]++$"), "{x}").otherwise(F.regexp_replace(s, "[0-9]++", "{n}"))
 
     parts = F.transform(F.split(F.regexp_replace(path, "^/", ""), "/"), form)
+    if depth is None:
+        return parts
     return F.when(F.size(parts) <= depth, parts).otherwise(F.concat(F.slice(parts, 1, depth - 1), F.array(F.lit("**"))))
 
 
@@ -77,23 +84,35 @@ def _grown(tree: DataFrame, level: int, fan_out: int, z: float) -> DataFrame:
     """Each row's template (``node``) one level longer, children merged where they should be."""
     at = F.get("segments", F.lit(level))
     here = tree.withColumn("child", F.coalesce(at, F.lit("")))
-    child = (here.where(F.size("segments") > level).groupBy("host", "node", "child")
-             .agg(F.sum("n").alias("n"), F.sum("blocked").alias("blocked")))
-    node = child.groupBy("host", "node").agg(F.sum("n").alias("all_n"), F.sum("blocked").alias("all_blocked"),
-                                             F.count(F.lit(1)).alias("children"))
-    rate = F.col("all_blocked") / F.col("all_n")
-    error = F.sqrt(rate * (1 - rate) / F.col("n"))
-    alike = F.abs(F.col("blocked") / F.col("n") - rate) <= z * error
+    below = (F.size("segments") > level) & ~F.col("ended")
+    child = (here.where(below).groupBy("host", "node", "child")
+             .agg(F.sum("n").alias("n"), F.sum("known").alias("known"), F.sum("blocked").alias("blocked"),
+                  F.count(F.lit(1)).alias("paths")))
+    node = child.groupBy("host", "node").agg(
+        F.sum("n").alias("all_n"), F.sum("known").alias("all_known"), F.sum("blocked").alias("all_blocked"),
+        F.count(F.lit(1)).alias("children"), F.count(F.when(F.col("known") > 0, 1)).alias("labelled"),
+        F.sum("paths").alias("paths"))
+    share, rate = (F.try_divide(F.col(b), F.col(k)) for b, k in (("blocked", "known"), ("all_blocked", "all_known")))
+    error = F.sqrt(rate * (1 - rate) / F.nullif(F.col("known"), F.lit(0)))
+    fits = (F.col("labelled") > 1) & F.coalesce(F.abs(share - rate) <= z * error, F.lit(False))
     variable = (F.col("children") >= fan_out) & (F.col("n") * fan_out < F.col("all_n"))
-    named = child.join(node, ["host", "node"]).select(
-        "host", "node", "child", F.when((F.col("children") > 1) & (alike | variable), "*")
+    told = child.drop("paths").join(node, ["host", "node"]).withColumns({"fits": fits, "variable": variable})
+    agreed = told.groupBy("host", "node").agg(F.count(F.when(F.col("fits") & F.col("variable"), 1)).alias("agreed"))
+    named = told.join(agreed, ["host", "node"]).select(
+        "host", "node", "child", "paths",
+        F.when(F.col("fits"), "*")
+        .when(F.col("variable") & (F.col("known") == 0), F.when(F.col("agreed") >= fan_out, "*").otherwise("?"))
         .otherwise(F.col("child")).alias("name"))
     longer = here.join(named, ["host", "node", "child"], "left")
-    return longer.withColumn("node", F.when(F.size("segments") > level, F.concat_ws("/", "node", "name"))
-                             .otherwise(F.col("node"))).select(*tree.columns)
+    alone = below & (F.col("paths") == 1)
+    rest = F.array_join(F.slice("segments", level + 1, F.greatest(F.size("segments") - level, F.lit(0))), "/")
+    return longer.withColumns({
+        "node": F.when(alone, F.concat_ws("/", "node", rest)).when(below, F.concat_ws("/", "node", "name"))
+        .otherwise(F.col("node")),
+        "ended": F.col("ended") | F.coalesce(alone, F.lit(False))}).select(*tree.columns)
 
 
-def templates(labelled: DataFrame, depth: int = DEPTH, fan_out: int = FAN_OUT, z: float = Z,
+def templates(labelled: DataFrame, depth: int | None = DEPTH, fan_out: int = FAN_OUT, z: float = Z,
               weight: float = WEIGHT, reject_at: float = REJECT_AT) -> DataFrame:
     """``host, form, template, purity, rejected`` from ``host, path, label`` (``allow``, ``block`` or null)."""
     forms = labelled.select("host", template_segments(F.col("path"), depth).alias("segments"),
@@ -101,11 +120,13 @@ def templates(labelled: DataFrame, depth: int = DEPTH, fan_out: int = FAN_OUT, z
                             F.coalesce(F.col("label") == "block", F.lit(False)).cast("long").alias("blocked"))
     tree = cut_lineage(forms.groupBy("host", "segments").agg(
         F.count(F.lit(1)).alias("n"), F.sum("known").alias("known"), F.sum("blocked").alias("blocked"))
-        .withColumn("node", F.lit("")))
-    deepest = tree.agg(F.max(F.size("segments"))).first()[0] or 0
-    for level in range(deepest):
+        .withColumns({"node": F.lit(""), "ended": F.lit(False)}))
+    level = 0
+    while (tree.where(~F.col("ended")).agg(F.max(F.size("segments"))).first()[0] or 0) > level:
         tree = cut_lineage(_grown(tree, level, fan_out, z))
-    purity = (F.sum("blocked") + weight / 2) / (F.sum("known") + weight)
+        level += 1
+    unknown = F.sum("n") - F.sum("known")
+    purity = (F.sum("blocked") + (unknown + weight) / 2) / (F.sum("n") + weight)
     leaves = tree.groupBy("host", "node").agg(purity.alias("purity"))
     return tree.join(leaves, ["host", "node"]).select(
         "host", F.array_join("segments", "/").alias("form"), F.col("node").alias("template"), "purity",
@@ -113,7 +134,7 @@ def templates(labelled: DataFrame, depth: int = DEPTH, fan_out: int = FAN_OUT, z
 
 
 def judge_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES,
-               depth: int = DEPTH, **kw) -> DataFrame:
+               depth: int | None = None, **kw) -> DataFrame:
     """``page_id, host, path, rule, verdict, template, purity``, one row per input row."""
     base = with_host_and_path(pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url")), F.col("url"))
     rule, verdict = rule_for(F.col("host"), F.col("path"), rules)

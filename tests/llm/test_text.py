@@ -158,6 +158,34 @@ def test_template_tree(spark):
     assert url_filter.templates(deep).first().form == "a/b/c/d/e/**"
 
 
+def test_labels_spread_to_like_branches_only(spark):
+    few = [("few", f"/{'abcdefgh'[i % 8]}{'ijklm'[i // 8]}/{n}", "block" if i == 3 else None)
+           for i in range(40) for n in range(10)]
+    many = [("many", f"/user/{'abcdefgh'[i % 8]}{'ijklmnop'[i // 8]}x/{n}", None if i < 3 else "block")
+            for i in range(64) for n in range(2)]
+    like = [("like", f"/{s}/{n}", label) for s, label in
+            (("bad", "block"), ("worse", "block"), ("good", "allow"), ("new", None)) for n in range(20)]
+    df = spark.createDataFrame(few + many + like, "host string, path string, label string")
+    got = {}
+    for r in url_filter.templates(df).collect():
+        got.setdefault(r.host, {})[r.form] = (r.template, r.rejected)
+    # one blocked section of forty blocks no other
+    assert [f for f, (_, rejected) in got["few"].items() if rejected] == ["di/{n}"]
+    # sixty-one blocked branches that agree speak for three like them without labels
+    assert set(got["many"].values()) == {("/user/*/{n}", True)}
+    # the host's other pages do not keep a blocked branch from being rejected, nor is a new one blocked
+    assert {f for f, (_, rejected) in got["like"].items() if rejected} == {"bad/{n}", "worse/{n}"}
+
+
+def test_unlabelled_pages_pull_purity_and_no_depth_is_cut(spark):
+    rows = [("h", f"/x/{i}", "block") for i in range(20)] + [("h", f"/x/{i}", None) for i in range(100)]
+    got = url_filter.templates(spark.createDataFrame(rows, "host string, path string, label string")).first()
+    assert got.purity == 72 / 124 and not got.rejected
+    urls = [f"http://m.example.com/{top}/b/c/d/e/f/g/{leaf}" for top in ("de", "a") for leaf in ("p", "q")]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    assert {r.template for r in url_filter.judge_urls(pages).collect()} >= {"/a/b/c/d/e/f/g/p", "/a/b/c/d/e/f/g/q"}
+
+
 def words_brute(text):
     return re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(FOLD))
 
