@@ -17,6 +17,11 @@ chain of chunk lattices, and chunks repeat.
    differ; A-star runs on those, and a queue over their alternatives combines
    them in order of total score.
 
+A chunk of more than ``LONG`` characters (text without spaces) is walked
+instead: position by position, with open ends at most the longest piece ahead,
+keeping per position the best few scores and back-pointers.  Its best,
+second best and N best come from those, so memory is a few bytes a character.
+
 Scores: the vocabulary fixes them (its own file ranks merges, which is no
 lattice score), by Zipf's law over piece ids; bytes score below every piece.
 Ties in score keep the order in which the search makes them, which depends on
@@ -33,10 +38,13 @@ import hashlib
 import heapq
 import math
 import re
+from array import array
+from collections.abc import Iterator
 from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,6 +53,12 @@ from planekit.llm.pieces import VOCABULARY, Pieces, by_length, edge_ids, spans
 N_BEST = 3
 #: distinct chunks whose best segmentations a task keeps
 CACHE = 500_000
+#: and the bytes, of chunks and their pieces, that it keeps
+CACHE_BYTES = 64_000_000
+#: chunks of more characters are walked, not listed span by span
+LONG = 64
+#: bytes of text that are coded at a time (or one text)
+SLICE_BYTES = 4_000_000
 
 _CHUNK = re.compile(r" *[^ ]+| +$")
 
@@ -61,25 +75,33 @@ def chunks_of(text: str) -> list[str]:
 
 
 class Coder:
-    """Encodes texts with one vocabulary; keeps what it knows of chunks, up to ``CACHE`` of them."""
+    """Encodes texts with one vocabulary; keeps what it knows of chunks, up to ``CACHE`` and ``CACHE_BYTES``."""
 
     def __init__(self, pieces: Pieces, scores: np.ndarray | None = None):
         scores = zipf_scores(pieces) if scores is None else scores
         self.pieces, self.scores = pieces, scores
         self.scored = np.append(scores, -np.inf)
+        self.score_of = self.scores.tolist()
         self.lengths = [0] * pieces.size
         for piece, i in pieces.ids.items():
             self.lengths[i] = len(piece)
         self.byte_score = float(scores[pieces.byte_ids[0]])
         # chunk -> (ids of the best as int32 bytes, its score, what the second best loses)
         self.known: dict[str, tuple[bytes, float, float]] = {}
+        self.held = 0
         self.best_of = lru_cache(maxsize=20_000)(self._n_best)
 
     def learn(self, chunks: set[str]) -> None:
         fresh = [c for c in chunks if c not in self.known]
-        if len(self.known) + len(fresh) > CACHE:
-            self.known, fresh = {}, list(chunks)
-        for n, group in by_length(fresh).items():
+        if len(self.known) + len(fresh) > CACHE or self.held + 8 * sum(map(len, fresh)) > CACHE_BYTES:
+            self.known, self.held, fresh = {}, 0, list(chunks)
+        self.held += 8 * sum(map(len, fresh))
+        for c in fresh:
+            if len(c) > LONG:
+                found = self._walk(c, 2)
+                less = found[0][0] - found[1][0] if len(found) > 1 else math.inf
+                self.known[c] = (found[0][1].tobytes(), found[0][0], less)
+        for n, group in by_length([c for c in fresh if len(c) <= LONG]).items():
             step = max(1, min(4096, 200_000 // n))
             for at in range(0, len(group), step):
                 self._viterbi(group[at:at + step], n)
@@ -130,6 +152,51 @@ class Coder:
                 self.known[word] = (raw[4 * start:4 * end], total, less)
             start = end
 
+    def _walk(self, chunk: str, n_best: int) -> list[tuple[float, np.ndarray]]:
+        """The best segmentations of one chunk, keeping ``n_best`` scores and back-pointers per position."""
+        get, longest, n = self.pieces.ids.get, self.pieces.longest, len(chunk)
+        scores = self.score_of
+        back = np.zeros((n + 1, n_best), np.uint16)  # length of the last piece
+        rank = np.zeros((n + 1, n_best), np.min_scalar_type(n_best))  # which of the best at its start
+        # open[k]: the best so far, (score, length, rank), at k characters ahead
+        open_: list[list[tuple[float, int, int]]] = [[(0.0, 0, 0)]] + [[] for _ in range(longest)]
+        for i in range(n):
+            here = open_.pop(0)
+            open_.append([])
+            for r, (_, length, of) in enumerate(here):
+                back[i, r], rank[i, r] = length, of
+            for length in range(1, min(longest, n - i) + 1):
+                piece = get(chunk[i:i + length])
+                if piece is not None:
+                    edge = scores[piece]
+                elif length == 1:
+                    edge = self.byte_score * len(self.pieces.bytes_of(chunk[i]))
+                else:
+                    continue
+                there = open_[length - 1]
+                for r, (score, _, _) in enumerate(here):
+                    total = score + edge
+                    if len(there) == n_best and total <= there[-1][0]:
+                        break
+                    at = len(there)
+                    while at and there[at - 1][0] < total:
+                        at -= 1
+                    there.insert(at, (total, length, r))
+                    del there[n_best:]
+        last = open_[0]
+        for r, (_, length, of) in enumerate(last):
+            back[n, r], rank[n, r] = length, of
+        return [(score, self._traced(chunk, back, rank, r)) for r, (score, _, _) in enumerate(last)]
+
+    def _traced(self, chunk: str, back: np.ndarray, rank: np.ndarray, r: int) -> np.ndarray:
+        own, j = array("i"), len(chunk)
+        while j:
+            i = j - int(back[j, r])
+            piece = self.pieces.ids.get(chunk[i:j])
+            own.extend(reversed(self.pieces.bytes_of(chunk[i])) if piece is None else (piece,))
+            r, j = int(rank[j, r]), i
+        return np.frombuffer(own, np.int32)[::-1].copy()
+
     def _n_best(self, chunk: str, n_best: int) -> list[tuple[float, tuple[int, ...]]]:
         """The best segmentations of one chunk, by A-star from its end."""
         get, longest, n = self.pieces.ids.get, self.pieces.longest, len(chunk)
@@ -176,7 +243,8 @@ class Coder:
         close = heapq.nsmallest(n_best - 1, range(len(chunks)), key=lambda k: (known[chunks[k]][2], k))
         options = []
         for k in sorted(close):
-            found = self.best_of(chunks[k], n_best)
+            # a long chunk's segmentations are too large to keep
+            found = (self.best_of if len(chunks[k]) <= LONG else self._walk)(chunks[k], n_best)
             options.append((k, [(found[0][0] - s, own) for s, own in found]))
         # each state picks one alternative per close chunk; a step worsens one of them
         queue, seen, out = [(0.0, (0,) * len(options))], {(0,) * len(options)}, []
@@ -195,6 +263,19 @@ class Coder:
         return b"".join(map(self.pieces.texts.__getitem__, ids)).decode("utf-8", "surrogatepass")[1:]
 
 
+def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+    """Parts of at most 512 rows and ``SLICE_BYTES`` bytes of text (or one row)."""
+    sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
+    start = held = 0
+    for i, size in enumerate(sizes):
+        if i > start and (i - start == 512 or held + size > SLICE_BYTES):
+            yield batch.slice(start, i - start)
+            start, held = i, 0
+        held += size
+    if start < len(sizes):
+        yield batch.slice(start)
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_best: int = N_BEST,
            vocabulary: str = VOCABULARY, with_ids: bool = True) -> DataFrame:
     """One row per input row: ``doc_id, n_chars, n_pieces, ids, ids_sha256, round_trip, n_best``.
@@ -209,7 +290,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_be
     def run(batches):
         coder = Coder(Pieces(*shared.value))
         for whole in batches:
-            for b in (whole.slice(i, 512) for i in range(0, whole.num_rows, 512)):
+            for b in slices(whole):
                 texts = [t or "" for t in b.column(1).to_pylist()]
                 split = [chunks_of(t) for t in texts]
                 coder.learn({c for chunks in split for c in chunks})

@@ -105,6 +105,50 @@ def test_cache_limit_changes_nothing(pieces, monkeypatch):
         assert full.n_best(chunks_of(t), 3) == small.n_best(chunks_of(t), 3)
 
 
+@pytest.mark.parametrize("n", [1, 3, 7])
+def test_walked_chunks_are_coded_as_listed_ones(pieces, monkeypatch, n):
+    from planekit.llm import piece_coding
+    rng = random.Random(5)
+    texts = [t for t in TEXTS if t] + ["".join(rng.choice("theringéß😀▁") for _ in range(40)) for _ in range(20)]
+    listed, walked = Coder(pieces), Coder(pieces)
+    for t in texts:
+        listed.learn(set(chunks_of(t)))
+    monkeypatch.setattr(piece_coding, "LONG", 0)
+    for t in texts:
+        chunks = chunks_of(t)
+        walked.learn(set(chunks))
+        assert walked.encode(chunks) == listed.encode(chunks)
+        assert np.allclose([walked.known[c][1:] for c in chunks], [listed.known[c][1:] for c in chunks])
+        got = walked.n_best(chunks, n)
+        monkeypatch.setattr(piece_coding, "LONG", 64)
+        want = listed.n_best(chunks, n)
+        monkeypatch.setattr(piece_coding, "LONG", 0)
+        assert np.allclose([s for s, _ in got], [s for s, _ in want])
+
+
+def test_text_without_spaces_needs_bounded_memory(pieces):
+    import resource
+    rng = random.Random(6)
+    text = "".join(rng.choice("theringéß的是不\n") for _ in range(2_000_000))
+    coder, before = Coder(pieces), resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    (chunk,) = chunks_of(text)
+    coder.learn({chunk})
+    ids = np.frombuffer(coder.encode([chunk]), np.int32)
+    assert coder.decode(ids.tolist()) == text
+    assert len({np.array(own).tobytes() for _, changes in coder.n_best([chunk], 3) for _, own in changes}) == 2
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
+
+
+def test_cache_is_bounded_by_bytes(pieces, monkeypatch):
+    from planekit.llm import piece_coding
+    monkeypatch.setattr(piece_coding, "CACHE_BYTES", 10_000)
+    coder = Coder(pieces)
+    for i in range(20):
+        chunks = {f" {i}" + "a" * 300}
+        coder.learn(chunks)
+        assert chunks <= set(coder.known) and sum(map(len, coder.known)) * 8 <= 10_000
+
+
 def test_forward_sums_all_segmentations(pieces):
     rng = np.random.default_rng(0)
     probs = np.append(rng.random((2, pieces.size)), np.zeros((2, 1)), axis=1)
