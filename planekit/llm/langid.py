@@ -15,6 +15,16 @@ below per_lang / n.  Each iteration spreads every word's count over its
 segmentations by forward-backward in the tasks and sums expected piece counts;
 the model is languages x vocabulary numbers, however large the corpus.
 
+``in_known_language`` compares a text's best language with a background model,
+which holds every piece for equally likely.  A text is in a known language iff
+its best language's lead over the background, per letter, and its share of
+letters among characters other than white space each reach a margin: half of
+what all but 0.1 % of the held-out labelled texts have (that itself, where it is
+negative; 0 without such texts).  Both count as if ``TYPICAL`` more characters of
+the held-out median stood in the text, so a short text is not judged by a few.  With few training rows a text in an unlearned
+language, spelled by the same short pieces, can pass.  Without training rows
+every text with a letter passes.
+
 Null text, or text without a letter: ``und`` with score 0.  Without training
 rows every text is ``und``.  Ties go to the first language in sorted order.
 """
@@ -43,6 +53,8 @@ CACHE = 200_000
 #: words longer than this are scored in parts, so that products stay in range
 LONGEST = 24
 UNKNOWN = "und"
+#: usual characters that a text's evidence is mixed with
+TYPICAL = 20
 
 _LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -118,10 +130,10 @@ class LanguageModel:
     def __init__(self, langs: list[str], probs: np.ndarray, pieces: Pieces):
         self.langs, self.probs, self.pieces = langs, probs, pieces
 
-    def score(self, texts) -> tuple[list, list]:
+    def totals(self, texts) -> Iterator[tuple[list[str], np.ndarray | None]]:
+        """Each text's words and the languages' log-likelihoods (null without words or languages)."""
         if not hasattr(self, "_known"):
             self._known, self._table = {}, []
-        langs, scores = [], []
         for part in (texts[i:i + 256] for i in range(0, len(texts), 256)):
             words = [words_in(t) for t in part]
             fresh = list({w for ws in words for w in ws if w not in self._known})
@@ -134,34 +146,43 @@ class LanguageModel:
             if len(self._table) > 1:
                 self._table = [np.concatenate(self._table)]
             for ws in words:
-                if not ws or not self.langs:
-                    langs.append(UNKNOWN)
-                    scores.append(0.0)
-                    continue
-                total = self._table[0][[self._known[w] for w in ws]].sum(axis=0)
-                best = int(total.argmax())
-                langs.append(self.langs[best])
-                scores.append(float(1.0 / np.exp(total - total[best]).sum()))
+                yield ws, (self._table[0][[self._known[w] for w in ws]].sum(axis=0) if ws and self.langs else None)
+
+    def score(self, texts) -> tuple[list, list]:
+        langs, scores = [], []
+        for _, total in self.totals(texts):
+            if total is None:
+                langs.append(UNKNOWN)
+                scores.append(0.0)
+                continue
+            best = int(total.argmax())
+            langs.append(self.langs[best])
+            scores.append(float(1.0 / np.exp(total - total[best]).sum()))
         return langs, scores
 
 
-def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_lang: int = PER_LANG, iterations: int = ITERATIONS, vocabulary: str = VOCABULARY) -> LanguageModel:
-    """Learn from the rows of ``labelled`` whose language and text are not null."""
-    spark = labelled.sparkSession
-    pieces = Pieces.read(vocabulary)
+def _sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int) -> tuple[list, DataFrame]:
+    """The languages, and ``id, text, lang`` of about ``per_lang`` rows of each."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                            F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MAX_LANGS + 1).collect()
     if len(sizes) > MAX_LANGS:
         raise ValueError(f"more than {MAX_LANGS} languages")
-    langs = [r["lang"] for r in sizes]
-    if not langs:
-        return LanguageModel([], np.zeros((0, pieces.size + 1)), pieces)
     keep = F.lit(False)
     unit = (F.xxhash64(F.lit("sample"), "id").bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52))
     for r in sizes:
         keep = keep | ((F.col("lang") == r["lang"]) & (unit < min(1.0, per_lang / r["n"])))
+    return [r["lang"] for r in sizes], rows.where(keep)
+
+
+def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+          per_lang: int = PER_LANG, iterations: int = ITERATIONS, vocabulary: str = VOCABULARY) -> LanguageModel:
+    """Learn from the rows of ``labelled`` whose language and text are not null."""
+    spark = labelled.sparkSession
+    pieces = Pieces.read(vocabulary)
+    langs, sampled = _sample(labelled, id_col, text_col, lang_col, per_lang)
+    if not langs:
+        return LanguageModel([], np.zeros((0, pieces.size + 1)), pieces)
 
     def count(batches):
         for b in batches:
@@ -172,7 +193,7 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 [pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()),
                  pa.array(list(found.values()), pa.int64())], names=["lang", "word", "n"])
 
-    counted = rows.where(keep).select("text", "lang").mapInArrow(count, "lang string, word string, n long")
+    counted = sampled.select("text", "lang").mapInArrow(count, "lang string, word string, n long")
     words = cut_lineage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
     shared = spark.sparkContext.broadcast(pieces.tables())
     probs = np.full((len(langs), pieces.size + 1), 1.0 / pieces.size)
@@ -218,6 +239,44 @@ def predict(model: LanguageModel, spark, text: Column) -> Column:
     return udf(text)
 
 
+def _lead(model: LanguageModel, spark, text: Column) -> Column:
+    """``lead`` per letter, ``share`` of letters (null without a letter) and the counts under them."""
+    probs = np.vstack([model.probs, np.append(np.full(model.pieces.size, 1.0 / model.pieces.size), 0.0)])
+    shared = spark.sparkContext.broadcast((model.langs, probs, model.pieces.tables()))
+
+    @F.pandas_udf("lead double, share double, letters long, size long")
+    def udf(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        langs, probs, tables = shared.value
+        own = LanguageModel(langs + [UNKNOWN], probs, Pieces(*tables))
+        for texts in batches:
+            texts, rows = [t or "" for t in texts.tolist()], []
+            for text, (words, total) in zip(texts, own.totals(texts)):
+                letters = sum(len(w) - w.startswith(" ") for w in words)
+                size = max(letters, sum(map(len, text.split())))
+                rows.append((np.nan, np.nan, 0, size) if total is None else
+                            (float(total[:-1].max() - total[-1]) / letters, letters / size, letters, size))
+            out = pd.DataFrame(rows, columns=["lead", "share", "letters", "size"])
+            yield out.astype({"lead": float, "share": float, "letters": "int64", "size": "int64"})
+
+    return udf(text)
+
+
+def in_known_language(model: LanguageModel, text: Column, held: DataFrame, id_col: str = "doc_id",
+                      text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG) -> Column:
+    """Whether a language of ``model`` explains a text; ``held``, not trained on, sets the margins."""
+    spark = held.sparkSession
+    if not model.langs:
+        return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
+    _, known = _sample(held, id_col, text_col, lang_col, per_lang)
+    seen = known.select(_lead(model, spark, F.col("text")).alias("p")).agg(
+        *[F.percentile_approx(f"p.{c}", [0.001, 0.5]) for c in ("lead", "share")]).first()
+    found, good = _lead(model, spark, text), F.lit(True)
+    for name, size, (lowest, usual) in zip(("lead", "share"), ("letters", "size"), (q or (0.0, 0.0) for q in seen)):
+        held_to = (found[name] * found[size] + TYPICAL * usual) / (found[size] + TYPICAL)
+        good = good & (held_to >= min(lowest, lowest / 2))
+    return F.coalesce(good, F.lit(False))
+
+
 def identify(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
              modulus: int = 4, held: int = 2, **kw) -> DataFrame:
     """``doc_id, held_out, lang_pred, score``: learned from the rows that are not held out."""

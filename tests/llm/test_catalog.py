@@ -54,3 +54,18 @@ def test_pipeline_decisions(spark, docs):
                  (None, "one two three four five")])
     left = corpus_pipeline.drop_near_duplicates(spark, same, SF)
     assert sorted((r.doc_id is None, r.doc_id) for r in left.collect()) == [(False, 1), (False, 2), (True, None)]
+
+
+def test_pipeline_keeps_texts_of_learned_languages(spark, docs):
+    import random
+    from pyspark.sql import functions as F
+    rng, clean = random.Random(2), spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    planted = [(-1, "1234567890" * 2000 + " a"), (-2, "Kaikki ihmiset syntyvät vapaina ja tasavertaisina arvoltaan. " * 5),
+               (-3, "人人生而自由,在尊严和权利上一律平等。" * 10),
+               (-4, " ".join("".join(rng.choice("qxzjkvwbpf") for _ in range(9)) for _ in range(80)))]
+    rows = docs(planted, lang=None).select(clean.columns).union(clean)
+    kept = {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, rows, SF).collect()}
+    assert kept == {r.doc_id for r in clean.where(F.col("text").rlike("[A-Za-z]")).collect()}
+    unlabelled = rows.withColumn("lang", F.lit(None).cast("string"))
+    left = {r.doc_id for r in corpus_pipeline.keep_known_languages(spark, unlabelled, SF).collect()}
+    assert left == kept | {-1, -2, -3, -4}
