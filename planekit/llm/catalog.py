@@ -10,12 +10,14 @@ from pyspark.sql import functions as F
 from planekit.llm.common import text_at
 from planekit.llm.decontaminate import judge
 from planekit.llm.exact_dedup import dedup_exact
+from planekit.llm.hard_negatives import mine_hard_negatives
 from planekit.llm.langid import identify
 from planekit.llm.license_scan import scan_licenses
 from planekit.llm.line_dedup import dedup_lines
 from planekit.llm.lm_scoring import score
 from planekit.llm.piece_coding import encode
 from planekit.llm.pii import BASE, find_personal_data, spans_text
+from planekit.llm.quality_rules import judge_quality
 from planekit.llm.simhash import hex_fingerprint, near_duplicates
 from planekit.llm.url_filter import judge_urls
 
@@ -77,8 +79,20 @@ def op10_decontamination(spark: SparkSession, d: str) -> DataFrame:
                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op11_hard_negatives(spark: SparkSession, d: str) -> DataFrame:
+    rows = text_at("embeddings", spark, d)
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return mine_hard_negatives(rows.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_quality_rules(spark: SparkSession, d: str) -> DataFrame:
+    out = judge_quality(text_at("documents", spark, d))
+    return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_exact_dedup, op2_license_scan, op3_sentencepiece, op4_pii, op5_line_dedup, op6_language_id, op7_lm_scoring, op8_url_filter, op9_simhash, op10_decontamination)}
+    f.__name__: f for f in (op1_exact_dedup, op2_license_scan, op3_sentencepiece, op4_pii, op5_line_dedup, op6_language_id, op7_lm_scoring, op8_url_filter, op9_simhash, op10_decontamination,
+                            op11_hard_negatives, op12_quality_rules)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""
@@ -137,4 +151,55 @@ SELECT d.doc_id, len(words)::BIGINT AS n_words, coalesce(n_hit, 0)::BIGINT AS n_
        coalesce(n_items, 0)::BIGINT AS n_items, sha256(coalesce(items, '')) AS items_sha256,
        coalesce(n_hit, 0) > 0 AND 20 * coalesce(n_hit, 0) >= len(words) AS contaminated
 FROM d LEFT JOIN per USING (doc_id) LEFT JOIN its USING (doc_id)""",
+    "op11_hard_negatives": r"""
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same,
+         list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id OR a.label <> b.label WHERE a.vec_id % 100 = 0),
+p AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5),
+n AS (
+  SELECT anchor_id, positive_id, id AS negative_id, positive_score, score AS negative_score,
+         row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) AS r
+  FROM p JOIN s USING (anchor_id)
+  WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score)
+SELECT anchor_id, positive_id, r::INTEGER AS rank, negative_id, positive_score, negative_score
+FROM n WHERE r <= 10""",
+    "op12_quality_rules": r"""
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t,
+         list_filter(string_split_regex(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w,
+         list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: regexp_matches(l, '[^\x20\x09-\x0D]')) AS l
+  FROM documents),
+wins AS (
+  SELECT doc_id, i, array_to_string(w[i:i + 2], ' ') AS win
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM d)),
+rep AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([i, i + 1, i + 2]) AS p
+        FROM (SELECT *, count(*) OVER (PARTITION BY doc_id, win) AS c FROM wins) WHERE c > 1)
+  GROUP BY doc_id),
+m AS (
+  SELECT doc_id, t, w, l, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^#*$%&|<>]', '', 'g'))::BIGINT AS n_symbols,
+         len(l)::BIGINT AS n_lines, (len(l) - len(list_distinct(l)))::BIGINT AS n_dup_lines,
+         coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words
+  FROM d LEFT JOIN rep USING (doc_id))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+       NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words
+            OR word_chars < 3 * n_words OR word_chars > 10 * n_words OR 10 * n_symbols > n_words
+            OR 10 * n_dup_lines > 3 * n_lines
+            OR len(list_filter(w, lambda x: regexp_matches(x, '\p{L}'))) < 0.8 * n_words
+            OR len(list_filter(l, lambda x: regexp_matches(x, '^[\x20\x09-\x0D]*[-*•‣▪●]'))) > 0.9 * n_lines
+            OR len(list_filter(l, lambda x: regexp_matches(x, '(?:\.\.\.|…)[\x20\x09-\x0D]*$'))) > 0.3 * n_lines
+            OR contains(lower(t), 'lorem ipsum')) AS kept
+FROM m""",
 }
