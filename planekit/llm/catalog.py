@@ -19,6 +19,7 @@ from planekit.llm.piece_coding import encode
 from planekit.llm.pii import BASE, find_personal_data, spans_text
 from planekit.llm.quality_rules import judge_quality
 from planekit.llm.simhash import hex_fingerprint, near_duplicates
+from planekit.llm.spelling import group_variants
 from planekit.llm.url_filter import judge_urls
 
 
@@ -90,9 +91,13 @@ def op12_quality_rules(spark: SparkSession, d: str) -> DataFrame:
     return out.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
 
 
+def op13_spelling_variants(spark: SparkSession, d: str) -> DataFrame:
+    return group_variants(text_at("documents", spark, d))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f for f in (op1_exact_dedup, op2_license_scan, op3_sentencepiece, op4_pii, op5_line_dedup, op6_language_id, op7_lm_scoring, op8_url_filter, op9_simhash, op10_decontamination,
-                            op11_hard_negatives, op12_quality_rules)}
+                            op11_hard_negatives, op12_quality_rules, op13_spelling_variants)}
 
 ORACLE: dict[str, str] = {
     "op1_exact_dedup": r"""

@@ -1,6 +1,8 @@
 """Hard-negative mining, quality rules and spelling variants against brute force."""
 
+import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -10,6 +12,7 @@ from planekit.llm import hard_negatives as hn
 from planekit.llm import quality_rules as qr
 from planekit.llm.hard_negatives import Leaders, Residues, mine_hard_negatives, primes_for, share_of
 from planekit.llm.quality_rules import judge_quality, order_rules
+from planekit.llm.spelling import KdTree, group_variants, near_words
 from pyspark.sql import functions as F
 
 VECTORS = "vec_id long, embedding array<double>, label string, q string, row string, score string, id string"
@@ -142,7 +145,7 @@ def test_order_goes_by_rejection_per_cost():
 
 
 def test_verdicts_do_not_depend_on_the_order(spark, docs):
-    frame = qr.measure(docs(list(enumerate(TEXTS))).select("doc_id", "text"))
+    frame = qr.measure(docs(list(enumerate(TEXTS))).select("doc_id", F.coalesce("text", F.lit("")).alias("text")))
     runs = [by_id(qr.apply_cascade(frame, order), "kept") for order in (list(qr.RULES), list(qr.RULES)[::-1])]
     assert runs[0] == runs[1]
 
@@ -151,3 +154,98 @@ def test_quality_of_an_empty_table_and_without_python_workers(spark, docs):
     assert judge_quality(docs([])).collect() == []
     plan = judge_quality(docs([(1, "a b")]))._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def one_edit(a, b):
+    if len(a) > len(b):
+        a, b = b, a
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def variants(rows):
+    """The contract's result by dictionaries and all pairs."""
+    n = Counter()
+    for i, t in rows:
+        for run in re.findall(r"[A-Za-z\u00C0-\u00FF]+", t or ""):
+            run = "".join(c.lower() if c.isascii() else c for c in run)
+            h = zlib.crc32(f"{'' if i is None else i}:{run}".encode())
+            n[run[:h % len(run)] + run[h % len(run) + 1:] if h % 97 == 0 else run] += 1
+    n = {w: k for w, k in n.items() if len(w) >= 5 and k >= 3}
+    near = {w: sorted((-n[v], v) for v in n if one_edit(v, w)) for w in n}
+    form = {w: v[0][1] if v and -v[0][0] >= 2 * n[w] else None for w, v in near.items()}
+
+    def root(w):
+        return w if form[w] is None else root(form[w])
+    return sorted((w, form[w] or "", root(w), n[w], len(near[w]), n[form[w]] if form[w] else 0) for w in n)
+
+
+def grouped(df):
+    return sorted((r.word, r.form or "", r.root, r.n, r.n_near, r.form_n or 0) for r in df.collect())
+
+
+def prose(rng, letters, words, length):
+    """Texts of words and one-letter slips of them."""
+    base = ["".join(rng.choice(letters) for _ in range(rng.randint(5, length))) for _ in range(words)]
+    out = []
+    for k, w in enumerate(base):
+        texts = [w] * rng.randint(1, 40)
+        for _ in range(6):
+            i, c = rng.randrange(len(w)), rng.choice(letters)
+            texts += [rng.choice([w[:i] + w[i + 1:], w[:i] + c + w[i:], w[:i] + c + w[i + 1:]])] * rng.randint(1, 9)
+        out.append((k, " ".join(texts)))
+    return out
+
+
+@pytest.mark.parametrize("letters,words,box,sample", [
+    ("abcdeéÿ", 60, 16384, 1000), ("ab", 40, 7, 1000), ("abc×Z", 60, 20, 5), ("abcdefghijklmnop", 80, 30, 100_000)])
+def test_variants_match_all_pairs(spark, docs, letters, words, box, sample):
+    rows = prose(random.Random(len(letters) + box), letters, words, 9)
+    rows += [(None, "null identified words null identified words"), (7, None), (8, ""), (8, "1 2 !"), (3, rows[3][1])]
+    assert grouped(group_variants(docs(rows), box=box, sample=sample)) == variants(rows)
+
+
+def test_variants_follow_long_chains_and_long_words(spark, docs):
+    chain = [("a" * k + "b" * (9 - k), 3 * 2 ** k) for k in range(8)]
+    giant = "".join(random.Random(1).choice("abcdefg") for _ in range(30_000))
+    rows = [(1, " ".join(w for w, k in chain for _ in range(k))), (2, " ".join([giant] * 8 + [giant[:777] + giant[778:]] * 3))]
+    got = grouped(group_variants(docs(rows)))
+    assert got == variants(rows) and len({r[2] for r in got if len(r[0]) < 99}) == 1
+
+
+def test_variants_of_anagrams_do_not_meet_pair_by_pair(spark, docs):
+    # all words share two count vectors
+    rng = random.Random(2)
+    words = ["".join(rng.sample("abcdefgh", 8)) for _ in range(300)] + ["".join(rng.sample("abcdefgx", 8)) for _ in range(300)]
+    rows = [(1, " ".join(words * 3)), (2, " ".join(words[:50] * 9))]
+    assert grouped(group_variants(docs(rows), box=64)) == variants(rows)
+
+
+def test_variants_of_nothing(spark, docs):
+    assert group_variants(docs([])).collect() == [] and group_variants(docs([(1, None), (2, "a b c")])).collect() == []
+
+
+def test_tree_reach_equals_a_scan():
+    rng = np.random.default_rng(8)
+    points = np.unique(rng.integers(0, 3, (400, 8)).astype(np.int32), axis=0)
+    queries = rng.integers(0, 3, (60, 8)).astype(np.int32)
+    for regions in (False, True):
+        tree = KdTree(points, 8, regions)
+        assert sorted(np.concatenate(tree.members).tolist()) == list(range(len(points)))
+        home = tree.place(points)
+        assert all((home[m] == leaf).all() for leaf, m in enumerate(tree.members))
+        for up, down in ((1, 1), (1, 0), (0, 1)):
+            got = {(int(q), int(r)) for leaf, idx in tree.reach(queries, up, down) for q in idx for r in tree.members[leaf]}
+            diff = points[None] - queries[:, None]
+            want = (np.maximum(diff, 0).sum(2) <= up) & (np.maximum(-diff, 0).sum(2) <= down)
+            assert set(zip(*map(np.ndarray.tolist, np.nonzero(want)))) <= got
+
+
+def test_near_words_are_exactly_one_edit_apart():
+    rng = random.Random(9)
+    words = sorted({"".join(rng.choice("abc") for _ in range(n)) for n in (5, 6, 7) for _ in range(120)})
+    by = {n: [w for w in words if len(w) == n] for n in (5, 6, 7)}
+    for a, b in ((5, 6), (6, 6), (7, 6)):
+        got = [(by[a][i], by[b][j]) for block in near_words(by[a], by[b]) for i, j in block]
+        assert sorted(got) == sorted((x, y) for x in by[a] for y in by[b] if one_edit(x, y))
