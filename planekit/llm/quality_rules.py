@@ -25,6 +25,7 @@ from __future__ import annotations
 
 import time
 from collections.abc import Callable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -44,11 +45,6 @@ BULLETS = r"^[\x20\x09-\x0D]*[-*•‣▪●]"
 ELLIPSIS = r"(?:\.\.\.|…)[\x20\x09-\x0D]*$"
 
 
-def _bind(value: Column, use: Callable[[Column], Column]) -> Column:
-    """``use(value)`` with ``value`` computed once, however often ``use`` refers to it."""
-    return F.element_at(F.transform(F.array(value), use), 1)
-
-
 def _plain(text: Column) -> Column:
     """All of ``[\\x20\\x09-\\x0D]`` as spaces."""
     for c in _SPACES:
@@ -60,11 +56,6 @@ def _pieces(plain: Column) -> Column:
     return F.array_remove(F.split(plain, " ", -1), "")
 
 
-def words_of(text: Column) -> Column:
-    """The runs of ``[^\\x20\\x09-\\x0D]``."""
-    return _pieces(_plain(text))
-
-
 def lines_of(text: Column) -> Column:
     """The lines that hold a word."""
     return F.filter(F.split(text, "\n", -1), lambda line: line.rlike(_A_WORD))
@@ -89,7 +80,8 @@ def _with_repeated_words(df: DataFrame) -> DataFrame:
     their windows are compared as text.  Each step is a column of its own that the
     next refers to several times, so it is computed once.
     """
-    words, none = F.col("_words"), F.array().cast("array<bigint>")
+    # an empty array whose elements cannot be null: Spark sorts such arrays as plain longs
+    words, none = F.col("_words"), F.slice(F.array(F.lit(0).cast("long")), 1, 0)
     hashes = F.transform(words, lambda x, i: F.xxhash64(x, F.get(words, i + 1), F.get(words, i + 2)))
     df = df.withColumn("_h", F.when(F.size(words) > 3, F.slice(hashes, 1, F.greatest(F.size(words) - 2, F.lit(0)))).otherwise(none))
     packed = F.transform("_h", lambda x, i: x.bitwiseAND(~_PLACE).bitwiseOR(i.cast("long")))
@@ -105,8 +97,17 @@ def _with_repeated_words(df: DataFrame) -> DataFrame:
     return df.withColumn("n_repeat_words", F.aggregate(step, F.lit(0), lambda n, x: n + x)).drop("_h")
 
 
+class Document(NamedTuple):
+    """What a rule looks at: the counts ``m``, the text, its words and its lines with a word."""
+    m: Column
+    text: Column
+    words: Column
+    lines: Column
+
+
 def measure(docs: DataFrame) -> DataFrame:
-    """Add ``m``, the counts of ``text`` (all long): words, their code points, symbols, lines with a word, and repetition."""
+    """Add ``m``, the counts of ``text`` (all long): words, their code points, symbols, lines with a word, and
+    repetition; and ``words`` and ``lines`` themselves."""
     df = docs.withColumn("_plain", _plain(F.coalesce("text", F.lit(""))))
     df = df.withColumn("_words", _pieces(F.col("_plain"))).withColumn("_lines", lines_of(F.coalesce("text", F.lit(""))))
     df = _with_repeated_words(df)
@@ -114,38 +115,38 @@ def measure(docs: DataFrame) -> DataFrame:
         ("n_words", F.size("_words")), ("word_chars", F.char_length(F.replace("_plain", F.lit(" "), F.lit("")))),
         ("n_symbols", F.regexp_count("_plain", F.lit(SYMBOLS))), ("n_lines", F.size("_lines")),
         ("n_dup_lines", F.size("_lines") - F.size(F.array_distinct("_lines"))), ("n_repeat_words", F.col("n_repeat_words")))])
-    return df.select(*docs.columns, counts.alias("m"))
+    return df.select(*docs.columns, counts.alias("m"), F.col("_words").alias("words"), F.col("_lines").alias("lines"))
 
 
-def _share(text: Column, pattern: str, of: Callable[[Column], Column]) -> Column:
+def _share(pieces: Column, pattern: str) -> Column:
     """The share of the pieces of a text that match; 0 without pieces."""
-    return _bind(of(text), lambda a: F.when(F.size(a) > 0, F.size(F.filter(a, lambda x: x.rlike(pattern))) / F.size(a))
-                 .otherwise(F.lit(0.0)))
-
-
-#: name -> whether a document goes; ``m`` are its counts.  Fixed values: Rae et
-#: al. 2021 (few_words to dup_lines), Raffel et al. 2020 (placeholder).
-RULES: dict[str, Callable[[Column, Column], Column]] = {
-    "few_words": lambda m, text: m["n_words"] < 50,
-    "repeated_words": lambda m, text: 100 * m["n_repeat_words"] > 50 * m["n_words"],
-    "word_length": lambda m, text: (m["word_chars"] < 3 * m["n_words"]) | (m["word_chars"] > 10 * m["n_words"]),
-    "symbols": lambda m, text: 10 * m["n_symbols"] > m["n_words"],
-    "dup_lines": lambda m, text: 10 * m["n_dup_lines"] > 3 * m["n_lines"],
-    "letters": lambda m, text: _share(text, r"\p{L}", words_of) < 0.8,
-    "bullets": lambda m, text: _share(text, BULLETS, lines_of) > 0.9,
-    "ellipsis": lambda m, text: _share(text, ELLIPSIS, lines_of) > 0.3,
-    "placeholder": lambda m, text: F.contains(F.lower(text), F.lit("lorem ipsum")),
+    found = F.size(F.filter(pieces, lambda x: x.rlike(pattern)))
+    return F.when(F.size(pieces) > 0, found / F.size(pieces)).otherwise(F.lit(0.0))
+
+
+#: name -> whether a document goes.  Fixed values: Rae et al. 2021 (few_words to
+#: ellipsis), Raffel et al. 2020 (placeholder).
+RULES: dict[str, Callable[[Document], Column]] = {
+    "few_words": lambda d: d.m["n_words"] < 50,
+    "repeated_words": lambda d: 100 * d.m["n_repeat_words"] > 50 * d.m["n_words"],
+    "word_length": lambda d: (d.m["word_chars"] < 3 * d.m["n_words"]) | (d.m["word_chars"] > 10 * d.m["n_words"]),
+    "symbols": lambda d: 10 * d.m["n_symbols"] > d.m["n_words"],
+    "dup_lines": lambda d: 10 * d.m["n_dup_lines"] > 3 * d.m["n_lines"],
+    "letters": lambda d: _share(d.words, r"\p{L}") < 0.8,
+    "bullets": lambda d: _share(d.lines, BULLETS) > 0.9,
+    "ellipsis": lambda d: _share(d.lines, ELLIPSIS) > 0.3,
+    "placeholder": lambda d: F.contains(F.lower(d.text), F.lit("lorem ipsum")),
 }
 #: the rules whose verdict the contract calls base
 BASE_RULES = ("few_words", "repeated_words")
 
 
 def _rejects(name: str, rules) -> Column:
-    return F.coalesce(rules[name](F.col("m"), F.col("text")), F.lit(False))
+    return F.coalesce(rules[name](Document(*map(F.col, Document._fields))), F.lit(False))
 
 
 def estimate(sample: DataFrame, rules=RULES, runs: int = RUNS) -> tuple[dict[str, float], list[tuple[frozenset, int]]]:
-    """Each rule's cost in seconds over ``sample`` (``m``, ``text``), and how many documents each set of rules rejects."""
+    """Each rule's cost in seconds over ``sample`` (measured), and how many documents each set of rules rejects."""
     def seconds(what: Column) -> float:
         began, took = time.perf_counter(), []
         for _ in range(runs):
@@ -154,7 +155,7 @@ def estimate(sample: DataFrame, rules=RULES, runs: int = RUNS) -> tuple[dict[str
             began = time.perf_counter()
         return min(took)
 
-    idle = seconds(F.sum(F.length("text") + F.col("m.n_words") + F.col("m.n_repeat_words")))
+    idle = seconds(F.sum(F.length("text") + F.col("m.n_words") + F.size("words") + F.size("lines")))
     cost = {name: max(LEAST_COST, seconds(F.count_if(_rejects(name, rules))) - idle) for name in rules}
     # at most 2 to the number of rules, and at most the sample's size
     mask = F.concat_ws(",", *[F.when(_rejects(name, rules), F.lit(name)) for name in rules])
@@ -186,12 +187,11 @@ def judge_quality(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
                   sample: int = SAMPLE) -> DataFrame:
     """``doc_id``, the counts of ``measure``, ``base_failed``, ``rejected_by`` and ``kept`` of every row."""
     rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    measured = measure(rows)
     total = rows.count()
-    few = measured.sample(False, min(1.0, sample / total), seed=1) if total else measured
-    order = order_rules(*estimate(cut_lineage(few.select("m", "text")), rules))
-    out = apply_cascade(measured, order, rules)
+    few = rows.sample(False, min(1.0, sample / total), seed=1) if total else rows
+    order = order_rules(*estimate(cut_lineage(measure(few)), rules))
+    out = apply_cascade(measure(rows), order, rules)
     base = F.lit(False)
     for name in BASE_RULES:
-        base = base | RULES[name](F.col("m"), F.col("text"))
+        base = base | _rejects(name, RULES)
     return out.select("doc_id", "m.*", base.alias("base_failed"), "rejected_by", "kept")
