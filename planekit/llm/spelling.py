@@ -38,7 +38,7 @@ from pyspark.sql import functions as F
 from planekit.session import cut_lineage
 
 #: words, or questions, that one group holds at most about
-BOX = 16_384
+BOX = 65_536
 SAMPLE = 100_000
 LEAF = 8
 #: pairs of vectors whose words are compared at once
@@ -114,9 +114,9 @@ class KdTree:
                     waiting += [(left, idx), (right, idx)]
 
 
-def letter_counts(letters: np.ndarray) -> np.ndarray:
-    """``(words, 256)`` counts of an array of words of one length, as Latin-1 bytes."""
-    out, rows = np.zeros((len(letters), 256), np.int32), np.arange(len(letters))
+def letter_counts(letters: np.ndarray, width: int = 256) -> np.ndarray:
+    """``(words, width)`` counts of an array of words of one length, as Latin-1 bytes or other small codes."""
+    out, rows = np.zeros((len(letters), width), np.int32), np.arange(len(letters))
     for column in letters.T:
         out[rows, column] += 1
     return out
@@ -128,24 +128,22 @@ def as_letters(words: list[str]) -> np.ndarray:
 
 
 class Side:
-    """Words of one length: letters, distinct count vectors and their words, prefix hashes."""
+    """Words of one length over ``width`` letters: distinct count vectors and their words, prefix hashes."""
 
-    def __init__(self, words: list[str]):
-        self.letters = as_letters(words)
-        counts = letter_counts(self.letters)
+    def __init__(self, letters: np.ndarray, width: int):
+        self.letters = letters
+        self.counts = counts = letter_counts(letters, width)
         rows = np.ascontiguousarray(counts).view(np.dtype((np.void, counts.shape[1] * 4))).ravel()
         _, first, own = np.unique(rows, return_index=True, return_inverse=True)
         self.vectors = counts[first]
         self.words = np.argsort(own, kind="stable")
         self.size = np.bincount(own, minlength=len(first))
         self.start = np.cumsum(self.size) - self.size
-        self.places = np.argsort(self.letters, axis=1, kind="stable")
-        self.offset = np.cumsum(counts, axis=1) - counts
-        self.counts = counts
-        length = self.letters.shape[1]
-        self.power = _powers(length)
-        self.prefix = np.zeros((len(words), length + 1), np.uint64)
-        np.cumsum(_CODES[self.letters] * self.power[None, :length], axis=1, out=self.prefix[:, 1:])
+        self.places = np.argsort(letters, axis=1, kind="stable").astype(np.int32)
+        self.offset = np.cumsum(counts, axis=1, dtype=np.int32) - counts
+        power = _powers(letters.shape[1])
+        self.prefix = np.zeros((len(letters), letters.shape[1] + 1), np.uint64)
+        np.cumsum(_CODES[letters] * power[None, :letters.shape[1]], axis=1, out=self.prefix[:, 1:])
 
     def of(self, classes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The row of ``classes`` and the word, for each word of each class."""
@@ -190,10 +188,10 @@ def _meet(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return row, order[place]
 
 
-def _verified(asks: Side, has: Side, qc: np.ndarray, rc: np.ndarray, dims: np.ndarray, up: int, down: int) -> np.ndarray:
+def _verified(asks: Side, has: Side, qc: np.ndarray, rc: np.ndarray, up: int, down: int) -> np.ndarray:
     """Near pairs ``(asking word, word)`` among the words of pairs of vectors, each once."""
-    change = has.vectors[rc][:, dims] - asks.vectors[qc][:, dims]
-    gained, lost = dims[change.argmax(axis=1)], dims[change.argmin(axis=1)]
+    change = has.vectors[rc] - asks.vectors[qc]
+    gained, lost = change.argmax(axis=1), change.argmin(axis=1)
     (q_pair, q), (r_pair, r) = asks.of(qc), has.of(rc)
     pair_code = np.arange(len(qc), dtype=np.uint64) * _CODES[0]
     if down:
@@ -230,21 +228,21 @@ def near_words(asking: list[str], words: list[str]) -> Iterator[np.ndarray]:
     """Blocks of index pairs of words exactly one edit apart; each list holds distinct words of one length."""
     more = len(words[0]) - len(asking[0])
     up, down = (1, 1) if more == 0 else (int(more > 0), int(more < 0))
-    asks, has = Side(asking), Side(words)
-    dims = np.flatnonzero(asks.vectors.any(axis=0) | has.vectors.any(axis=0))
-    own, points = (np.ascontiguousarray(v[:, dims]) for v in (asks.vectors, has.vectors))
-    tree, found, size = KdTree(points), [], 0
-    for leaf, idx in tree.reach(own, up, down):
+    both = as_letters(asking), as_letters(words)
+    used = np.unique(np.concatenate([np.unique(x) for x in both]))
+    asks, has = (Side(np.searchsorted(used, x).astype(np.uint8), len(used)) for x in both)
+    tree, found, size = KdTree(has.vectors), [], 0
+    for leaf, idx in tree.reach(asks.vectors, up, down):
         members = tree.members[leaf]
-        apart = np.abs(own[idx][:, None, :] - points[members][None, :, :]).sum(axis=2)
+        apart = np.abs(asks.vectors[idx][:, None, :] - has.vectors[members][None, :, :]).sum(axis=2)
         q, r = np.nonzero(apart == up + down)
         found.append((idx[q], members[r]))
         size += len(q)
         if size >= AT_ONCE:
-            yield _verified(asks, has, *map(np.concatenate, zip(*found)), dims, up, down)
+            yield _verified(asks, has, *map(np.concatenate, zip(*found)), up, down)
             found, size = [], 0
     if size:
-        yield _verified(asks, has, *map(np.concatenate, zip(*found)), dims, up, down)
+        yield _verified(asks, has, *map(np.concatenate, zip(*found)), up, down)
 
 
 def count_words(docs: DataFrame, id_col: str, text_col: str, least_letters: int, least_count: int) -> DataFrame:
@@ -309,13 +307,15 @@ def _search(group: pa.Table) -> pa.Table:
     words, n = np.array(group.column("word").to_pylist(), object), group.column("n").to_numpy()
     has = np.flatnonzero(~asks)
     lengths = np.array([len(w) for w in words])
+    rank = np.empty(len(has), np.int64)
+    rank[np.argsort(words[has], kind="stable")] = np.arange(len(has))
     out_word, out_near, out_n, out_form = [], [], [], []
     for length in np.unique(lengths[asks]).tolist() if len(has) else ():
         own = np.flatnonzero(asks & (lengths == length))
         for pairs in near_words(words[own].tolist(), words[has].tolist()):
             if len(pairs):
                 q, r = own[pairs[:, 0]], has[pairs[:, 1]]
-                order = np.lexsort((words[r].astype(str), -n[r], q))
+                order = np.lexsort((rank[pairs[:, 1]], -n[r], q))
                 q, r = q[order], r[order]
                 first = np.flatnonzero(np.r_[True, q[1:] != q[:-1]])
                 out_word += words[q[first]].tolist()
@@ -340,7 +340,7 @@ def near_summary(words: DataFrame, box: int = BOX, sample: int = SAMPLE) -> Data
     rows = placed.count()
     key = [*home, "a", "b"]
     # the search costs far more than its few bytes: as many tasks as rows ask for, not as bytes do
-    both = live.unionByName(ask).select(*key, "asks", "word", "n").repartition(max(1, min(10_000, rows // 4000)), *key)
+    both = live.unionByName(ask).select(*key, "asks", "word", "n").repartition(max(1, min(10_000, rows // 32_000)), *key)
     found = both.groupBy(*key).applyInArrow(_search, "word string, near long, form_n long, form string")
     alone = words.select("word", F.lit(0).cast("long").alias("near"), F.lit(None).cast("long").alias("form_n"),
                          F.lit(None).cast("string").alias("form"), "n")
