@@ -3,8 +3,10 @@
 Words are runs of letters, lower-cased, with a word-start mark.  A language
 gives each piece of a fixed public vocabulary a probability; a word's
 probability is the sum, over all of its segmentations into pieces, of the
-product of their probabilities, which a forward pass over its lattice adds up.
-A character without a piece is spelled by bytes, each at the vocabulary's
+product of their probabilities, which a forward pass over its lattice adds up in
+logs.  A word of any length is walked whole, position by position, with the
+positions of the longest piece kept; its edges are looked up ``SEGMENT`` positions at
+a time.  A character without a piece is spelled by bytes, each at the vocabulary's
 floor probability.  A text's log-likelihood is the sum over its words; the
 score is the posterior of the best language under equal priors.
 
@@ -13,7 +15,9 @@ sample of about ``per_lang`` labelled documents of each language (all, where
 there are fewer): a language with n documents takes those whose hashed id is
 below per_lang / n.  Each iteration spreads every word's count over its
 segmentations by forward-backward in the tasks and sums expected piece counts;
-the model is languages x vocabulary numbers, however large the corpus.
+the model is languages x vocabulary numbers, however large the corpus, and what a
+task computes with besides is bounded by ``CELLS`` numbers, whatever the number of
+languages.
 
 ``in_known_language`` compares a text's best language with a background model,
 which holds every piece for equally likely.  A text is in a known language iff
@@ -45,13 +49,14 @@ from planekit.session import cut_lineage
 
 PER_LANG = 1000
 ITERATIONS = 3
-MAX_LANGS = 500
 #: added to every expected count; the floor of a piece that a language never uses
 SMOOTHING = 0.1
 #: words whose likelihoods a task keeps
 CACHE = 200_000
-#: words longer than this are scored in parts, so that products stay in range
-LONGEST = 24
+#: positions whose edges are held at once
+SEGMENT = 256
+#: numbers that a block of words' edges, or the kept likelihoods, may take
+CELLS = 2_000_000
 UNKNOWN = "und"
 #: usual characters that a text's evidence is mixed with
 TYPICAL = 20
@@ -60,43 +65,69 @@ _LETTERS = re.compile(r"[^\W\d_]+")
 
 
 def words_in(text: str | None) -> list[str]:
-    """Lower-cased letter runs, with a start mark; very long runs in parts."""
+    """Lower-cased letter runs, with a start mark."""
     out = []
     for w in _LETTERS.findall((text or "").lower()):
         if not w.isalpha():  # numerals such as superscripts are word characters, not letters
             w = "".join(filter(str.isalpha, w))
             if not w:
                 continue
-        out += [" " + w] if len(w) < LONGEST else [
-            (" " if i == 0 else "") + w[i:i + LONGEST - 1] for i in range(0, len(w), LONGEST - 1)]
+        out.append(" " + w)
     return out
 
 
-def _edge_probs(ids: np.ndarray, probs: np.ndarray) -> np.ndarray:
-    """``(langs, words, edges)``; ``probs`` is ``(langs, V + 1)`` and its last column 0."""
-    out = probs[:, np.maximum(ids, 0)]
+def _logs(probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Log-probabilities ``(langs, V + 1)`` and each language's floor."""
+    with np.errstate(divide="ignore"):
+        logs = np.log(probs)
+    return logs, logs[:, :-1].min(axis=1)
+
+
+def _edges(words: list[str], lo: int, hi: int, pieces: Pieces, logs: np.ndarray, floor: np.ndarray):
+    """Of the characters ``lo`` to ``hi``: spans, piece ids ``(words, edges)`` and logs ``(edges, langs, words)``."""
+    ids = edge_ids([w[lo:hi] for w in words], hi - lo, pieces, pieces.size)
+    out = logs[:, np.maximum(ids, 0)]
     if (lost := ids < 0).any():
-        floor = probs[:, :-1].min(axis=1)[:, None]
-        out[:, lost] = floor ** -ids[lost].astype(float)
-    return out
+        out[:, lost] = floor[:, None] * -ids[lost]
+    return spans(hi - lo, pieces.longest), ids, out.transpose(2, 0, 1)
+
+
+def _log_sum(terms: np.ndarray) -> np.ndarray:
+    top = terms.max(axis=0)
+    return top + np.log(np.exp(terms - top).sum(axis=0))
+
+
+def _forward(words: list[str], n: int, pieces: Pieces, logs: np.ndarray, floor: np.ndarray) -> Iterator[np.ndarray]:
+    """Log of the summed probability of all ways to each position 0 to ``n``: ``(langs, words)`` each."""
+    window = [np.zeros((len(logs), len(words)))]
+    yield window[0]
+    for start in range(0, n, SEGMENT):
+        lo, hi = max(0, start - pieces.longest), min(n, start + SEGMENT)
+        at, _, edges = _edges(words, lo, hi, pieces, logs, floor)
+        e = 0
+        for j in range(lo + 1, hi + 1):
+            size = min(j - lo, pieces.longest)
+            if j > start:
+                window.append(_log_sum(np.stack(window[-size:]) + edges[e:e + size]))
+                yield window[-1]
+                del window[:-pieces.longest]
+            e += size
 
 
-def _forward(n: int, longest: int, edges: np.ndarray) -> np.ndarray:
-    alpha = np.zeros((n + 1,) + edges.shape[:2])
-    alpha[0] = 1.0
-    for e, (i, j) in enumerate(spans(n, longest)):
-        alpha[j] += alpha[i] * edges[:, :, e]
-    return alpha
+def _blocks(words: list[str], n: int, langs: int, longest: int) -> Iterator[list[str]]:
+    step = max(1, CELLS // (langs * longest * min(n, SEGMENT)))
+    return (words[at:at + step] for at in range(0, len(words), step))
 
 
 def log_likelihoods(words: list[str], pieces: Pieces, probs: np.ndarray) -> np.ndarray:
     """``(words, langs)`` natural logs of the marginal probabilities."""
     out, place = np.empty((len(words), len(probs))), {w: k for k, w in enumerate(words)}
+    logs, floor = _logs(probs)
     for n, group in by_length(words).items():
-        for at in range(0, len(group), 4096):
-            part = group[at:at + 4096]
-            edges = _edge_probs(edge_ids(part, n, pieces, pieces.size), probs)
-            out[[place[w] for w in part]] = np.log(_forward(n, pieces.longest, edges)[n]).T
+        for part in _blocks(group, n, len(probs), pieces.longest):
+            for last in _forward(part, n, pieces, logs, floor):
+                pass
+            out[[place[w] for w in part]] = last.T
     return out
 
 
@@ -104,23 +135,26 @@ def _expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces, probs
     """Expected piece counts ``(V,)`` of weighted words under one language's ``probs`` ``(1, V + 1)``."""
     total = np.zeros(pieces.size + 1)
     weight = dict(zip(words, counts))
+    logs, floor = _logs(probs)
     for n, group in by_length(words).items():
-        at = spans(n, pieces.longest)
-        for k in range(0, len(group), 4096):
-            part = group[k:k + 4096]
-            ids = edge_ids(part, n, pieces, pieces.size)
-            edges = _edge_probs(ids, probs)
-            alpha = _forward(n, pieces.longest, edges)[:, 0]
-            beta = np.zeros_like(alpha)
-            beta[n] = 1.0
-            for e in range(len(at) - 1, -1, -1):
-                i, j = at[e]
-                beta[i] += edges[0, :, e] * beta[j]
-            scale = np.array([weight[w] for w in part]) / alpha[n]
-            starts, ends = [i for i, _ in at], [j for _, j in at]
-            share = (alpha[starts] * beta[ends]).T * edges[0] * scale[:, None]
-            known = ids >= 0
-            np.add.at(total, ids[known], share[known])
+        for part in _blocks(group, n, 1, pieces.longest):
+            ahead = [a[0] for a in _forward(part, n, pieces, logs, floor)]
+            scale = np.array([weight[w] for w in part])
+            behind = {n: np.zeros(len(part))}
+            for start in range((n - 1) // SEGMENT * SEGMENT, -1, -SEGMENT):
+                end, hi = min(n, start + SEGMENT), min(n, start + SEGMENT + pieces.longest)
+                at, ids, edges = _edges(part, start, hi, pieces, logs, floor)
+                of: dict[int, list[int]] = {}
+                for e, (i, _) in enumerate(at):
+                    of.setdefault(start + i, []).append(e)
+                for i in range(end - 1, start - 1, -1):
+                    terms = edges[of[i], 0] + np.stack([behind[start + at[e][1]] for e in of[i]])
+                    behind[i] = _log_sum(terms)
+                    behind.pop(i + pieces.longest, None)
+                    share = np.exp(ahead[i] + terms - ahead[n]) * scale
+                    own = ids[:, of[i]].T
+                    known = own >= 0
+                    np.add.at(total, own[known], share[known])
     return total[:-1]
 
 
@@ -137,7 +171,7 @@ class LanguageModel:
         for part in (texts[i:i + 256] for i in range(0, len(texts), 256)):
             words = [words_in(t) for t in part]
             fresh = list({w for ws in words for w in ws if w not in self._known})
-            if len(self._known) + len(fresh) > CACHE:
+            if len(self._known) + len(fresh) > min(CACHE, CELLS // max(1, len(self.langs))):
                 self._known, self._table, fresh = {}, [], list({w for ws in words for w in ws})
             if fresh and self.langs:
                 start = len(self._known)
@@ -165,9 +199,7 @@ def _sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_
     """The languages, and ``id, text, lang`` of about ``per_lang`` rows of each."""
     rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                            F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
-    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").limit(MAX_LANGS + 1).collect()
-    if len(sizes) > MAX_LANGS:
-        raise ValueError(f"more than {MAX_LANGS} languages")
+    sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()  # one row a language
     keep = F.lit(False)
     unit = (F.xxhash64(F.lit("sample"), "id").bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52))
     for r in sizes:

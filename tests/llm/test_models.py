@@ -194,6 +194,59 @@ def test_expected_counts_match_enumeration(pieces):
     assert np.allclose(got, want)
 
 
+def _log_total(word, pieces, probs):
+    """The marginal of one language by a plain log-space pass over all positions."""
+    floor, la = math.log(probs[:-1].min()), [0.0]
+    for j in range(1, len(word) + 1):
+        terms = []
+        for i in range(max(0, j - pieces.longest), j):
+            if (p := pieces.ids.get(word[i:j])) is not None:
+                terms.append(la[i] + math.log(probs[p]))
+            elif j == i + 1:
+                terms.append(la[i] + floor * len(word[i].encode()))
+        top = max(terms)
+        la.append(top + math.log(sum(math.exp(t - top) for t in terms)))
+    return la[-1]
+
+
+def test_long_words_and_letters_without_pieces_stay_in_range(pieces):
+    rng = random.Random(4)
+    probs = np.append(np.random.default_rng(2).random((2, pieces.size)), [[0.0], [0.0]], axis=1)
+    probs /= probs.sum(axis=1, keepdims=True)
+    words = [" " + "".join(rng.choice("theringlasoé") for _ in range(10_000)), " " + "\U00010330" * 60, " " + "𝒜𝓫" * 300,
+             " " + "ሀለሐ" * 90, " " + "漢字仮名交じり文" * 200, " the"]
+    got = langid.log_likelihoods(words, pieces, probs)
+    assert np.isfinite(got).all()
+    assert np.allclose(got, [[_log_total(w, pieces, probs[k]) for k in range(2)] for w in words])
+
+
+def test_expected_counts_of_a_long_word_add_up(pieces):
+    probs = np.append(np.random.default_rng(3).random((1, pieces.size)), [[0.0]], axis=1)
+    word = " " + "thering" * 200
+    got = langid._expected_counts([word, " x\U00010330y"], np.array([3.0, 1.0]), pieces, probs)
+    letters = np.zeros(pieces.size)
+    for text, i in pieces.ids.items():
+        letters[i] = len(text)
+    # every segmentation covers each letter once; a letter without a piece has no count
+    assert math.isclose(float(got @ letters), 3 * len(word) + 3)
+
+
+def test_odd_scripts_have_scores(spark, docs):
+    texts = ["\U00010330" * 60, "𝒜" * 40, "ሀ" * 90, "the cat"]
+    rows = docs([(i, "the cat and the dog") for i in range(8)]).union(
+        docs([(i, "le chat et le chien") for i in range(8, 16)], "fr")).union(docs(list(enumerate(texts, 30)), None))
+    got = {r.doc_id: r.score for r in langid.identify(rows).collect()}
+    assert all(v is not None and 0 <= v <= 1 for v in got.values()) and got[33] > 0.5
+
+
+def test_many_languages_fit(spark, docs):
+    frames = [docs([(k, f"word{'abcdefghij'[k % 10] * 3} and {'xyzuvw'[k % 6]}")], f"l{k:03d}") for k in range(40)]
+    rows = frames[0]
+    for f in frames[1:]:
+        rows = rows.union(f)
+    assert rows.count() == len(langid.identify(rows, iterations=1).collect()) == 40
+
+
 def test_language_id_on_held_out_documents(spark):
     rows = spark.read.parquet(f"{SF}/documents.parquet")
     got = langid.identify(rows).collect()
