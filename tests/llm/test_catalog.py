@@ -53,7 +53,28 @@ def test_pipeline_decisions(spark, docs):
     same = docs([(3, "one two three four five"), (1, "ONE two three four five"), (2, "something else entirely here now"),
                  (None, "one two three four five")])
     left = corpus_pipeline.drop_near_duplicates(spark, same, SF)
-    assert sorted((r.doc_id is None, r.doc_id) for r in left.collect()) == [(False, 1), (False, 2), (True, None)]
+    assert sorted(r.doc_id for r in left.collect()) == [1, 2]
+
+
+def test_pipeline_near_dedup_counts_rows_not_ids(spark, docs):
+    text, other = "one two three four five six", "a clean text of its own, with other words"
+    rows = docs([(7, text), (1, text), (7, other), (9, other + " b"), (9, other + " b"), (None, "x y z"), (None, "x y z"),
+                 (None, None), (8, "")])
+    got = corpus_pipeline.drop_near_duplicates(spark, rows, SF)
+    assert got.columns == rows.columns
+    kept = sorted(((r.doc_id, r.text) for r in got.collect()), key=str)
+    alone = other + " b" if (9, other + " b") in kept else None  # may be near the text it extends
+    assert kept == sorted([(1, text), (7, other), (None, "x y z"), (8, "")] + ([(9, alone)] if alone else []), key=str)
+
+
+@pytest.mark.parametrize("stage", [n for n, _ in corpus_pipeline.STAGES])
+def test_pipeline_stages_on_an_empty_table_and_on_repeated_ids(spark, docs, stage):
+    run = dict(corpus_pipeline.STAGES)[stage]
+    cols = ["doc_id", "text", "lang", "source", "n_chars"]
+    assert run(spark, docs([]).select(cols), SF).collect() == []
+    rows = docs([(1, "the cat and the dog sat here"), (1, "le chat et le chien sont la"), (1, None), (None, ""),
+                 (None, "the bird and the tree stood there")]).select(cols)
+    assert {r.doc_id for r in run(spark, rows, SF).collect()} <= {1, None}
 
 
 def test_pipeline_keeps_texts_of_learned_languages(spark, docs):
