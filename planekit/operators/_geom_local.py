@@ -186,3 +186,129 @@ def group_hulls(pdf: pd.DataFrame, keys: list[str], x: str, y: str) -> pd.DataFr
     for i, k in enumerate(keys):
         out[k] = pd.Series([key[i] for key in own], dtype=object)
     return out[keys + [x, y]]
+
+
+#: safety margin of an angle (radians); far above the rounding of differences and arctan2
+ANGLE_MARGIN = 1e-12
+
+
+def _directions(x0, y0, x1, y1) -> np.ndarray:
+    """Angles in (-pi, pi] of the vectors from one array of points to another."""
+    def minus(a, b):
+        if a.dtype.kind == "i" and len(a) and max(map(abs, map(int, (a.max(), a.min(), b.max(), b.min())))) < 1 << 62:
+            return (a - b).astype(np.float64)
+        if a.dtype.kind == "f":
+            return a * 0.5 - b * 0.5  # no overflow; halving both parts keeps the direction
+        return np.array([float(p - q) for p, q in zip(a.tolist(), b.tolist())], np.float64)
+    return np.arctan2(minus(y1, y0) + 0.0, minus(x1, x0) + 0.0)
+
+
+def cones(xs: np.ndarray, ys: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Per vertex the angles of the edges into and out of it; NaN for a hull of one vertex.
+
+    Rows are hulls in counter-clockwise order, one after the other; ``group``
+    numbers them.  A vertex is extreme in the directions of its cone (turned by a
+    quarter), so a hull's cones go round the circle once.
+    """
+    n = len(group)
+    if not n:
+        return np.zeros(0), np.zeros(0)
+    starts = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
+    sizes = np.diff(np.r_[starts, n])
+    following = np.arange(1, n + 1)
+    following[starts + sizes - 1] = starts
+    out = _directions(xs, ys, xs[following], ys[following])
+    out[np.repeat(sizes, sizes) == 1] = np.nan
+    into = np.empty(n)
+    into[following] = out
+    return into, out
+
+
+def buckets_of(into: np.ndarray, out: np.ndarray, cuts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """``row, bucket`` of every angle bucket that a cone touches (all of them for a NaN cone)."""
+    n = len(cuts) + 1
+    first = np.searchsorted(cuts, into - ANGLE_MARGIN, "right")
+    last = np.searchsorted(cuts, out + ANGLE_MARGIN, "right")
+    first = np.where(into - ANGLE_MARGIN < -np.pi, n - 1, first)
+    last = np.where(out + ANGLE_MARGIN > np.pi, 0, last)
+    wraps = (out < into) | (into - ANGLE_MARGIN < -np.pi) | (out + ANGLE_MARGIN > np.pi)
+    count = np.where(wraps, last + n - first + 1, last - first + 1)
+    lone = np.isnan(into)
+    first, count = np.where(lone, 0, first), np.where(lone, n, np.clip(count, 1, n))
+    row = np.repeat(np.arange(len(into)), count)
+    return row, (np.repeat(first, count) + np.arange(len(row)) - np.repeat(np.cumsum(count) - count, count)) % n
+
+
+def opposite(angle: np.ndarray) -> np.ndarray:
+    """The angle of the opposite direction, in (-pi, pi]."""
+    return np.where(angle > 0, angle - np.pi, angle + np.pi)
+
+
+def hull_in_bucket(xs: np.ndarray, ys: np.ndarray, alone: bool, cuts: np.ndarray, bucket: int) -> list[tuple]:
+    """The vertices whose incoming edge has its angle in ``bucket``; ``alone``: all partial hulls had one vertex."""
+    hull = hull_ccw(xs, ys)
+    if len(hull) == 1:
+        return hull if alone and bucket == 0 else []
+    into, _ = cones(*_columns(hull, xs, ys), np.zeros(len(hull)))
+    return [v for v, k in zip(hull, np.searchsorted(cuts, into, "right")) if k == bucket]
+
+
+def _columns(points: list[tuple], xs: np.ndarray, ys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    return np.array([p[0] for p in points], xs.dtype), np.array([p[1] for p in points], ys.dtype)
+
+
+def _arcs(into: np.ndarray, out: np.ndarray, lo: float, hi: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``row, start, end`` of the cones' parts between two angles, in order of angle."""
+    rows, start, end = [], [], []
+    lone = np.isnan(into)
+    for wrapped, a, b in ((False, into, out), (True, into, np.full(len(into), np.pi)), (True, np.full(len(into), -np.pi), out)):
+        use = ~lone & ((out < into) == wrapped) & (b + ANGLE_MARGIN >= lo) & (a - ANGLE_MARGIN <= hi)
+        rows.append(np.flatnonzero(use))
+        start.append(np.maximum(a[use], lo) - ANGLE_MARGIN)
+        end.append(np.minimum(b[use], hi) + ANGLE_MARGIN)
+    rows.append(np.flatnonzero(lone))
+    start.append(np.full(int(lone.sum()), lo))
+    end.append(np.full(int(lone.sum()), hi))
+    rows, start, end = map(np.concatenate, (rows, start, end))
+    order = np.argsort(start, kind="stable")
+    return rows[order], start[order], end[order]
+
+
+def farthest_in_bucket(near: tuple, far: tuple, cuts: np.ndarray, bucket: int) -> tuple[object, list[tuple]]:
+    """The farthest of the vertex pairs that are extreme in opposite directions, one of them in the bucket.
+
+    A diameter's ends are such a pair.  ``near`` and ``far`` are the ``(xs, ys)`` of
+    the points extreme in the bucket's directions and in the opposite ones.
+    """
+    lo = cuts[bucket - 1] if bucket else -np.pi
+    hi = cuts[bucket] if bucket < len(cuts) else np.pi
+    sides = []
+    for k, (xs, ys) in enumerate((near, far)):
+        hull = hull_ccw(xs, ys)
+        hx, hy = _columns(hull, xs, ys)
+        into, out = cones(hx, hy, np.zeros(len(hull)))
+        sides.append((hull, hx, hy, *_arcs(*((opposite(into), opposite(out)) if k else (into, out)), lo, hi)))
+    (a, ax, ay, i, a0, a1), (b, bx, by, j, b0, b1) = sides
+    begin = np.searchsorted(np.maximum.accumulate(b1) if len(b1) else b1, a0, "left")
+    size = np.maximum(np.searchsorted(b0, a1, "right") - begin, 0)
+    row = np.repeat(np.arange(len(a0)), size)
+    other = begin[row] + np.arange(len(row)) - np.repeat(np.cumsum(size) - size, size)
+    p, q = i[row], j[other]
+    if not len(p):
+        return None, []
+    rough = [np.array([float(v) for v in c.tolist()]) if c.dtype.kind == "O" else c.astype(np.float64)
+             for c in (ax, ay, bx, by)]
+    length = np.hypot(rough[0][p] - rough[2][q], rough[1][p] - rough[3][q])
+    # rounding of the doubles: of the coordinates, as they may be far from the origin, and of the sum
+    slack = 1e-9 * length.max() + 4e-16 * max(float(np.abs(c).max()) for c in rough) * 4
+    best, pairs = None, set()
+    for k in np.flatnonzero(length >= length.max() - slack).tolist():
+        u, v = sorted((a[p[k]], b[q[k]]))
+        if u == v:
+            continue
+        d = sq_dist_exact(*u, *v)
+        if best is None or d > best:
+            best, pairs = d, {(u, v)}
+        elif d == best:
+            pairs.add((u, v))
+    return best, sorted(pairs)

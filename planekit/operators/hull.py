@@ -15,8 +15,18 @@ Plan, all distributed:
    that of P source partitions no salted group receives more than P / FANIN
    partial hulls, and no final group more than ``FANIN``, even for a group
    holding a third of all rows.
-3. ``groupBy(keys).applyInPandas``: the final hull per group (or, for
-   farthest pairs, rotating calipers on it).
+3. The partial hulls are written once, each vertex with the angles of its two
+   edges.  A group with more than ``VERTICES`` of them is cut into buckets of
+   edge angles (quantiles of its own edges); a vertex goes to the buckets that
+   its angles span.  The vertices in a bucket decide the hull there, whatever
+   lies elsewhere, so each bucket is hulled by itself and keeps the vertices
+   whose incoming edge is its own: a hull as large as its input is spread over
+   tasks.  Angles are doubles with a margin; they only decide who meets whom,
+   orientation stays exact.
+4. ``groupBy(keys, bucket).applyInPandas``: the hull there.  For farthest pairs
+   a bucket also holds the vertices of opposite directions, as the ends of a
+   diameter are extreme in opposite ones; rotating calipers where a group is one
+   bucket.
 
 Coordinates keep their type: integer columns give exact results; doubles are
 exact too (orientation has a rational fallback), ties decided exactly.  Group
@@ -27,6 +37,7 @@ bigint key never becomes a float, with or without null keys).
 from __future__ import annotations
 
 import math
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -36,15 +47,28 @@ from pyspark.sql import functions as F
 
 from planekit.functions.geom import cross, finite_coords
 from planekit.operators import _geom_local
-from planekit.operators._geom_local import farthest_on_hull, group_hulls, hull_ccw
+from planekit.operators._geom_local import (
+    buckets_of,
+    cones,
+    farthest_in_bucket,
+    farthest_on_hull,
+    group_hulls,
+    hull_ccw,
+    hull_in_bucket,
+    opposite,
+)
 from planekit.plans.guard import size_guard
+from planekit.session import cut_lineage
 
 # the in-task helpers travel with the Pandas UDFs (pickled by value), so the
 # Python workers never need this package installed or on their path
 cloudpickle.register_pickle_by_value(_geom_local)
 
 FANIN = 64
-_KEY = "_hk"
+#: vertices of partial hulls that one group, or bucket of a group, holds at most about
+VERTICES = 50_000
+_BUCKET = "_hk"
+_INTO, _OUT = "_into", "_out"
 # fold the per-partition buffer into its hull past this many rows
 _BUFFER_ROWS = 50_000
 
@@ -159,14 +183,71 @@ def _partial_hull_fn(keys: list[str], x: str, y: str):
     return run
 
 
+def _with_cones_fn(keys: list[str], x: str, y: str):
+    """mapInPandas body: the hull per group, each vertex with the angles of its edges."""
+    fold = _partial_hull_fn(keys, x, y)
+
+    def run(batches):
+        for pdf in fold(batches):
+            group = pdf.groupby(keys, sort=False, dropna=False).ngroup().to_numpy() if keys else np.zeros(len(pdf))
+            into, out = cones(pdf[x].to_numpy(), pdf[y].to_numpy(), group)
+            yield pdf.assign(**{_INTO: into, _OUT: out})
+    return run
+
+
 def _partial_hulls(points: DataFrame, keys: list[str], x: str, y: str, fanin: int = FANIN) -> DataFrame:
-    """Partial hulls with text keys; at most ``fanin`` of them per group."""
+    """Partial hulls with text keys and edge angles, written once; at most ``fanin`` of them per group."""
     types = dict(points.dtypes)
     text = points.select(*[_key_to_text(k, types[k]) for k in keys], x, y)
     schema = _schema(text, keys, x, y)
-    fn = _partial_hull_fn(keys, x, y)
-    salted = text.mapInPandas(fn, schema).withColumn("_salt", F.spark_partition_id() % fanin)
-    return salted.repartition(*keys, "_salt").drop("_salt").mapInPandas(fn, schema)
+    salted = text.mapInPandas(_partial_hull_fn(keys, x, y), schema).withColumn("_salt", F.spark_partition_id() % fanin)
+    cones_schema = f"{schema}, {_INTO} double, {_OUT} double"
+    return cut_lineage(salted.repartition(*keys, "_salt").drop("_salt").mapInPandas(_with_cones_fn(keys, x, y), cones_schema))
+
+
+def _angle_cuts(partial: DataFrame, keys: list[str], vertices: int) -> dict[tuple, np.ndarray]:
+    """The angles that cut a group with more than ``vertices`` vertices into buckets (about as many numbers as buckets)."""
+    sizes = partial.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > vertices).collect()
+    if not sizes:
+        return {}
+    want = {tuple(r[k] for k in keys): -(-r["_n"] // vertices) for r in sizes}
+    parts = max(want.values())
+    angles = F.percentile_approx(_INTO, F.array(*[F.lit(i / parts) for i in range(1, parts)]), 100 * parts)
+    # edges of a lone vertex have no angle; quantiles skip NaN only if they are null
+    seen = partial.withColumn(_INTO, F.nanvl(_INTO, F.lit(None).cast("double")))
+    big = seen.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), angles.alias("_cuts")).where(F.col("_n") > vertices)
+    out = {}
+    for r in big.collect():
+        key = tuple(r[k] for k in keys)
+        even = np.arange(1, want[key]) * parts // want[key] - 1
+        out[key] = np.unique(np.array(r["_cuts"] or [], np.float64)[np.clip(even, 0, None)] if r["_cuts"] else np.zeros(0))
+    return out
+
+
+def _deal(partial: DataFrame, keys: list[str], x: str, y: str, cuts: dict[tuple, np.ndarray], both: bool) -> DataFrame:
+    """Vertices with their ``_BUCKET``; ``both``: also those of opposite directions, marked ``_far``."""
+    whole = partial.select(*keys, x, y, F.isnan(_INTO).alias("_alone"), F.lit(0).alias(_BUCKET), F.lit(False).alias("_far"))
+    if not cuts:
+        return whole
+    schema = f"{_schema(partial, keys, x, y)}, _alone boolean, {_BUCKET} int, _far boolean"
+
+    def deal(batches):
+        for pdf in batches:
+            pdf = pdf.assign(_alone=pdf[_INTO].isna())
+            groups = pdf.groupby(keys, sort=False, dropna=False) if keys else [((), pdf)]
+            for key, part in groups:
+                own = cuts.get(tuple(None if pd.isna(v) else v for v in (key if isinstance(key, tuple) else (key,))))
+                into, out = part[_INTO].to_numpy(), part[_OUT].to_numpy()
+                sides = [(False, into, out)] + [(True, opposite(into), opposite(out))] * (both and own is not None)
+                for far, a, b in sides:
+                    row, bucket = (np.arange(len(part)), 0) if own is None else buckets_of(a, b, own)
+                    yield part.iloc[row][keys + [x, y, "_alone"]].assign(**{_BUCKET: bucket, "_far": far})
+
+    return partial.mapInPandas(deal, schema)
+
+
+def _cuts_of(pdf: pd.DataFrame, keys: list[str], cuts: dict[tuple, np.ndarray]) -> np.ndarray | None:
+    return cuts.get(tuple(None if pd.isna(v) else v for v in (pdf[k].iloc[0] for k in keys)))
 
 
 def _prepare(points: DataFrame, x: str, y: str, keys: list[str], catalyst_prefilter: bool) -> DataFrame:
@@ -174,8 +255,8 @@ def _prepare(points: DataFrame, x: str, y: str, keys: list[str], catalyst_prefil
     return octagon_filter(pts, x, y, keys) if catalyst_prefilter else pts
 
 
-def convex_hull(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
-                fanin: int = FANIN, catalyst_prefilter: bool = False) -> DataFrame:
+def convex_hull(points: DataFrame, x: str = "x", y: str = "y", group_by=None, fanin: int = FANIN,
+                catalyst_prefilter: bool = False, vertices: int = VERTICES) -> DataFrame:
     """Strict hull vertices (``[group cols,] x, y``), distinct; sort with ``orderBy``.
 
     Points interior to a hull edge are not vertices; one point is its own
@@ -183,21 +264,23 @@ def convex_hull(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
     types = dict(points.dtypes)
-    cand = _partial_hulls(_prepare(points, x, y, keys, catalyst_prefilter), keys, x, y, fanin)
-    schema = _schema(cand, keys, x, y)
-    gkeys = keys or [_KEY]
-    if not keys:
-        cand = cand.withColumn(_KEY, F.lit(0))
+    partial = _partial_hulls(_prepare(points, x, y, keys, catalyst_prefilter), keys, x, y, fanin)
+    schema, cuts = _schema(partial, keys, x, y), _angle_cuts(partial, keys, vertices)
 
     def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        return group_hulls(pdf, keys, x, y)
-
-    out = cand.groupBy(*gkeys).applyInPandas(final, schema)
+        own = _cuts_of(pdf, keys, cuts)
+        if own is None:
+            return group_hulls(pdf, keys, x, y)
+        hull = hull_in_bucket(pdf[x].to_numpy(), pdf[y].to_numpy(), bool(pdf["_alone"].all()), own, int(pdf[_BUCKET].iloc[0]))
+        out = pd.DataFrame({c: pd.Series([v[i] for v in hull], dtype=pdf[c].dtype) for i, c in enumerate((x, y))})
+        return out.assign(**{k: pdf[k].iloc[0] for k in keys})[keys + [x, y]]
+
+    out = _deal(partial, keys, x, y, cuts, both=False).groupBy(*keys, _BUCKET).applyInPandas(final, schema)
     return out.select(*[_text_to_key(k, types[k]) for k in keys], x, y)
 
 
-def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
-                   fanin: int = FANIN, catalyst_prefilter: bool = False) -> DataFrame:
+def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None, fanin: int = FANIN,
+                   catalyst_prefilter: bool = False, vertices: int = VERTICES) -> DataFrame:
     """All pairs of distinct points at maximum distance: ``ax ay bx by d2 dist``.
 
     ``(ax, ay) < (bx, by)`` in (x, y) order; ``d2`` is the squared distance
@@ -207,25 +290,25 @@ def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
     types = dict(points.dtypes)
-    cand = _partial_hulls(_prepare(points, x, y, keys, catalyst_prefilter), keys, x, y, fanin)
-    t = dict(cand.dtypes)
+    partial = _partial_hulls(_prepare(points, x, y, keys, catalyst_prefilter), keys, x, y, fanin)
+    cuts, t = _angle_cuts(partial, keys, vertices), dict(partial.dtypes)
     ints = ("tinyint", "smallint", "int", "bigint")
     integral = t[x] in ints and t[y] in ints
     floating = t[x] in ("double", "float") or t[y] in ("double", "float")
     # integers -> bigint (exact d2); doubles -> double; decimals keep their type
     ctype = "bigint" if integral else ("double" if floating or t[x] != t[y] else t[x])
     dtype = "bigint" if integral else "double"
-    schema = ", ".join([f"`{k}` {t[k]}" for k in keys]
-                       + [f"ax {ctype}", f"ay {ctype}", f"bx {ctype}", f"by {ctype}",
-                          f"d2 {dtype}", "dist double"])
-    gkeys = keys or [_KEY]
-    if not keys:
-        cand = cand.withColumn(_KEY, F.lit(0))
     cols = ["ax", "ay", "bx", "by", "d2", "dist"]
+    schema = ", ".join([f"`{k}` {t[k]}" for k in keys] + [f"{c} {ctype}" for c in cols[:4]]
+                       + [f"d2 {dtype}", "dist double", "_exact string"])
 
     def final(pdf: pd.DataFrame) -> pd.DataFrame:
-        hull = hull_ccw(pdf[x].to_numpy(), pdf[y].to_numpy())
-        best, pairs = farthest_on_hull(hull)
+        own, xs, ys = _cuts_of(pdf, keys, cuts), pdf[x].to_numpy(), pdf[y].to_numpy()
+        if own is None:
+            best, pairs = farthest_on_hull(hull_ccw(xs, ys))
+        else:
+            far = pdf["_far"].to_numpy()
+            best, pairs = farthest_in_bucket((xs[~far], ys[~far]), (xs[far], ys[far]), own, int(pdf[_BUCKET].iloc[0]))
         rows = []
         for (ax, ay), (bx, by) in pairs:
             d2 = int(best) if integral else float(best)
@@ -239,7 +322,25 @@ def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
             out = out.astype({"d2": np.float64})
         for k in keys:
             out[k] = pdf[k].iloc[0]
-        return out[keys + cols]
+        return out.assign(_exact=str(best))[keys + cols + ["_exact"]]
+
+    found = _deal(partial, keys, x, y, cuts, both=True).groupBy(*keys, _BUCKET).applyInPandas(final, schema)
+    if cuts:
+        found = _best_of_buckets(found, keys, t)
+    return found.select(*[_text_to_key(k, types[k]) for k in keys], *cols)
+
+
+def _best_of_buckets(found: DataFrame, keys: list[str], types: dict[str, str]) -> DataFrame:
+    """Of the buckets' best pairs those at their group's maximum, compared exactly (one number per bucket)."""
+    found = cut_lineage(found)
+
+    def most(pdf: pd.DataFrame) -> pd.DataFrame:
+        best = max(pdf["_exact"], key=Fraction)
+        return pd.DataFrame([{**{k: pdf[k].iloc[0] for k in keys}, "_best": best}])
 
-    out = cand.groupBy(*gkeys).applyInPandas(final, schema)
-    return out.select(*[_text_to_key(k, types[k]) for k in keys], *cols)
+    schema = ", ".join([f"`{k}` {types[k]}" for k in keys] + ["_best string"])
+    best = found.select(*keys, "_exact").distinct().withColumn("_one", F.lit(1)).groupBy(*keys, "_one").applyInPandas(most, schema)
+    same = F.col("_exact") == F.col("_best")
+    for k in keys:
+        same = same & found[k].eqNullSafe(best[k])
+    return found.join(best.hint("merge") if keys else F.broadcast(best), same, "left_semi").dropDuplicates()

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planekit.functions.geom import point_in_rect, rects_intersect, valid_coords, widened
+from planekit.operators.count import count_meeting, countable
 from planekit.plans.guard import size_guard as _size_guard
 from planekit.plans.grid import (
     SideStats,
@@ -277,15 +278,74 @@ def match_counts(matches: DataFrame) -> DataFrame:
     return matches.select("probe_id", F.size("matches").cast("bigint").alias("n_matches"))
 
 
+def _pair_counts(probes: DataFrame, windows: DataFrame, predicate: str, cell: float | None) -> DataFrame:
+    """``probe_id, n_matches`` by listing the pairs of prepared frames: distinct window ids per probe id."""
+    wcols, pcols = ("_wx1", "_wy1", "_wx2", "_wy2"), ("_px1", "_py1", "_px2", "_py2")
+    if predicate == "intersects":
+        pairs = join_rects_rects(probes, windows, pcols, wcols, cell=cell)
+    else:
+        pairs = join_points_rects(probes, windows, "_px1", "_py1", wcols, closed=predicate == "within_closed", cell=cell)
+    return pairs.groupBy(F.col("_pid").alias("probe_id")).agg(F.count_distinct("_wid").alias("n_matches"))
+
+
+def _repeated_ids(df: DataFrame, col: str) -> DataFrame:
+    return df.groupBy(col).agg(F.count(F.lit(1)).alias("_n")).where((F.col("_n") > 1) | F.col(col).isNull()).select(
+        F.col(col).alias("_again"))
+
+
+def _count_without_pairs(P: DataFrame, W: DataFrame, predicate: str, cell: float | None) -> list[DataFrame]:
+    """Parts ``probe_id, n_matches`` that add up, by probe id; only ids that stand on several rows are listed as pairs."""
+    again = [_repeated_ids(P, "_pid"), _repeated_ids(W, "_wid")]
+    some = {r["side"] for r in again[0].select(F.lit(0).alias("side")).unionByName(
+        again[1].select(F.lit(1).alias("side"))).distinct().collect()}
+    parts, once_p, once_w = [], P, W
+    if 0 in some:
+        same = F.col("_pid").eqNullSafe(F.col("_again"))
+        parts.append(_pair_counts(P.join(again[0], same, "left_semi"), W, predicate, cell))
+        once_p = P.join(again[0], same, "left_anti")
+    if 1 in some:
+        same = F.col("_wid") == F.col("_again")
+        parts.append(_pair_counts(once_p, W.join(again[1], same, "left_semi"), predicate, cell))
+        once_w = W.join(again[1], same, "left_anti")
+    id_type = dict(P.dtypes)["_pid"]
+    counted = count_meeting(once_p.withColumn("_pid", F.col("_pid").cast("string")), once_w, closed=predicate != "within")
+    return [counted.select(F.col("_pid").cast(id_type).alias("probe_id"), F.col("n").alias("n_matches")), *parts]
+
+
 def spatial_count(probes: DataFrame, windows: DataFrame, predicate: str = "within",
                   how: str = "inner", probe_id: str = "id", window_id: str = "id",
-                  cell: float | None = None, **kw) -> DataFrame:
-    """Per probe id, how many distinct windows it meets; ``how='left'`` keeps zeros."""
+                  x: str = "x", y: str = "y", probe_rect=("x1", "y1", "x2", "y2"),
+                  window_rect=("x1", "y1", "x2", "y2"), cell: float | None = None) -> DataFrame:
+    """Per probe id, how many distinct windows it meets; ``how='left'`` keeps zeros.
+
+    Counted without listing pairs (``planekit.operators.count``) where ids are
+    unique; rows that share an id with others are joined, as their matches may
+    coincide.  Windows without an id do not count.  Streams, and coordinates
+    other than integers and doubles, are joined and counted.
+    """
     if how not in ("inner", "left"):
         raise ValueError("how must be 'inner' or 'left'")
-    pairs = spatial_join(probes, windows, predicate, probe_id, window_id, cell=cell, **kw)
-    src = _with_unmatched(pairs, probes if how == "left" else None, probe_id)
-    return src.groupBy("probe_id").agg(F.count_distinct("window_id").alias("n_matches"))
+    if predicate not in PREDICATES:
+        raise ValueError(f"predicate must be one of {PREDICATES}")
+    rects = probe_rect if predicate == "intersects" else (x, y, x, y)
+    P, W = _prep_rects(probes, probe_id, rects, "p"), _prep_rects(windows, window_id, window_rect, "w")
+    W = W.where(F.col("_wid").isNotNull())
+    pcols, wcols = ("_px1", "_py1", "_px2", "_py2"), ("_wx1", "_wy1", "_wx2", "_wy2")
+    same = dict(P.dtypes)["_px1"] == dict(W.dtypes)["_wx1"]
+    if probes.isStreaming or windows.isStreaming or not (same and countable(P, pcols) and countable(W, wcols)):
+        parts = [_pair_counts(P, W, predicate, cell)]
+    else:
+        parts = _count_without_pairs(P, W, predicate, cell)
+    add_up = len(parts) > 1
+    if how == "left":  # probes that no part has: unmatched, or without coordinates
+        parts.append(probes.select(F.col(probe_id).alias("probe_id"), F.lit(0).cast("long").alias("n_matches")))
+        add_up = True
+    out = parts[0]
+    for part in parts[1:]:
+        out = out.unionByName(part)
+    if add_up:
+        out = out.groupBy("probe_id").agg(F.sum("n_matches").alias("n_matches"))
+    return out if how == "left" else out.where("n_matches > 0")
 
 
 def matches_text(matches: DataFrame) -> DataFrame:

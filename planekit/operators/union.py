@@ -1,105 +1,87 @@
-"""Boundary vertices of the union of axis-parallel rectangles, relationally.
-
-Every vertex of the union's boundary (outer shells and holes) is a rectangle
-corner or a crossing of one rectangle's vertical edge with another's
-horizontal edge.  For each such candidate the four quadrants around it are
-tested for coverage (closed containment join against the rectangles, a
-4-bit mask combined with ``bit_or``):
-
-* 15 (all covered) or 0: not on the boundary;
-* 1 or 3 quadrants, or two diagonal ones: a true corner of the union;
-* two adjacent quadrants: a point on a straight stretch of the boundary,
-  kept only with ``keep_collinear=True`` and only where it is a corner of an
-  input rectangle (the vertices a polygon-union library leaves in place).
-
-Both joins are grid equi-joins (``planekit.operators.join``); there is no
-polygon object, no one-task cascade and no all-pairs step.  Rectangles of
-zero width or height add no area and are dropped first.
+"""Boundary vertices of the union of axis-parallel rectangles.
+
+Around a point the rectangles cover some of its four quadrants.  One or three
+covered quadrants, or two diagonal ones, make it a corner of the union (of its outer
+border or of a hole); two adjacent ones a point on a straight stretch, kept only
+with ``keep_collinear=True`` and only where it is a corner of an input rectangle (the
+vertices a polygon-union library leaves in place).
+
+The plane is cut into tiles by a tree over a bounded sample: each cut is the median
+edge, on the axis that leaves fewer edges in tiles not covered by one rectangle.  One
+pass sends every rectangle, clipped, to the tiles that it touches without covering
+them; tiles that a sampled rectangle covers take nothing, as no vertex lies there.
+So the shuffle follows the border, not the crossings of edges: under deep overlap
+almost all crossings lie in covered tiles.  Clipped rectangles that look alike within
+a tile are one row, which takes care of many rectangles with a common edge or
+corner.  A task cuts a tile further, down to a bounded number of edge crossings, and
+finds the quadrants by a difference array over its edge lines.
+
+The sample decides only how the plane is cut, never the result.  Coordinates of any
+type are compared, never computed with, so results are exact.  Rectangles of zero
+width or height add no area and are dropped first; null and NaN coordinates too.
 """
 
 from __future__ import annotations
 
+import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from planekit.functions.geom import valid_coords
-from planekit.operators.join import join_points_rects, join_rects_rects, points_outside_rects
-from planekit.plans.grid import SideStats
+from planekit.operators import _tiles_local
+from planekit.operators._tiles_local import COLS, TileTree, tile_vertices, whole
 
-NE, NW, SW, SE = 1, 2, 4, 8
-CORNER_MASKS = (1, 2, 4, 8, 7, 11, 13, 14, NE | SW, NW | SE)
-STRAIGHT_MASKS = (NE | NW, NW | SW, SW | SE, SE | NE)
+cloudpickle.register_pickle_by_value(_tiles_local)
+
+#: rectangles (clipped) that a tile holds at most about
+ROWS_PER_TILE = 8192
+#: rectangles that the tiles are cut by, at most about; a tile gets at least ``LEAST`` of them
+SAMPLE, LEAST = 100_000, 16
 
 
 def _rects(df: DataFrame, cols) -> DataFrame:
     x1, y1, x2, y2 = cols
     d = df.where(valid_coords(df, x1, y1, x2, y2)).select(
-        F.least(x1, x2).alias("rx1"), F.least(y1, y2).alias("ry1"),
-        F.greatest(x1, x2).alias("rx2"), F.greatest(y1, y2).alias("ry2"))
-    return d.where((F.col("rx1") < F.col("rx2")) & (F.col("ry1") < F.col("ry2")))
-
-
-def _edges(R: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Vertical edges as zero-width rectangles, horizontal ones as zero-height."""
-    V = R.select(F.explode(F.array("rx1", "rx2")).alias("vx"), "ry1", "ry2").select(
-        F.col("vx").alias("vx1"), F.col("ry1").alias("vy1"), F.col("vx").alias("vx2"), F.col("ry2").alias("vy2"))
-    H = R.select(F.explode(F.array("ry1", "ry2")).alias("hy"), "rx1", "rx2").select(
-        F.col("rx1").alias("hx1"), F.col("hy").alias("hy1"), F.col("rx2").alias("hx2"), F.col("hy").alias("hy2"))
-    return V, H
-
-
-VCOLS, HCOLS, RCOLS = ("vx1", "vy1", "vx2", "vy2"), ("hx1", "hy1", "hx2", "hy2"), ("rx1", "ry1", "rx2", "ry2")
-
-
-def boundary_candidates(R: DataFrame, cell: float | None = None, stats=None) -> DataFrame:
-    """Distinct candidate points ``x, y, corner`` (corner = 1 if a rectangle corner)."""
-    corners = R.select(F.explode(F.array(
-        F.struct(F.col("rx1").alias("x"), F.col("ry1").alias("y")),
-        F.struct(F.col("rx1").alias("x"), F.col("ry2").alias("y")),
-        F.struct(F.col("rx2").alias("x"), F.col("ry1").alias("y")),
-        F.struct(F.col("rx2").alias("x"), F.col("ry2").alias("y")),
-    )).alias("p")).select("p.x", "p.y", F.lit(1).alias("corner"))
-    V, H = _edges(R)
-    cross = join_rects_rects(V, H, VCOLS, HCOLS, cell=cell, stats=stats)
-    crossings = cross.select(F.col("vx1").alias("x"), F.col("hy1").alias("y"), F.lit(0).alias("corner"))
-    return corners.unionByName(crossings).groupBy("x", "y").agg(F.max("corner").alias("corner"))
-
-
-def quadrant_masks(R: DataFrame, cand: DataFrame, cell: float | None = None, stats=None) -> DataFrame:
-    """``x, y, corner, mask``: which quadrants around each candidate are covered."""
-    px, py = F.col("x"), F.col("y")
-    x1, y1, x2, y2 = F.col("rx1"), F.col("ry1"), F.col("rx2"), F.col("ry2")
-    east, west = (x1 <= px) & (px < x2), (x1 < px) & (px <= x2)
-    north, south = (y1 <= py) & (py < y2), (y1 < py) & (py <= y2)
-    bits = (F.when(east & north, NE).otherwise(0)
-            .bitwiseOR(F.when(west & north, NW).otherwise(0))
-            .bitwiseOR(F.when(west & south, SW).otherwise(0))
-            .bitwiseOR(F.when(east & south, SE).otherwise(0)))
-    hits = join_points_rects(cand, R, "x", "y", RCOLS, closed=True, cell=cell, stats=stats)
-    return hits.groupBy("x", "y", "corner").agg(F.bit_or(bits).alias("mask"))
+        F.least(x1, x2).alias("x1"), F.least(y1, y2).alias("y1"),
+        F.greatest(x1, x2).alias("x2"), F.greatest(y1, y2).alias("y2"))
+    return d.where((F.col("x1") < F.col("x2")) & (F.col("y1") < F.col("y2")))
+
+
+def union_tiles(R: DataFrame, rows_per_tile: int = ROWS_PER_TILE, sample: int = SAMPLE) -> tuple[DataFrame, int]:
+    """``tile`` and the clipped rectangles (``COLS``) that it holds, and the number of tiles."""
+    n = R.count()
+    share = min(1.0, sample / n) if n else 1.0
+    some = (R if share == 1.0 else R.sample(False, share, seed=7)).toPandas()
+    tree = TileTree(whole(some), max(int(rows_per_tile * share), 1 if share == 1.0 else LEAST))
+
+    def cut(batches):
+        for pdf in batches:
+            for leaf, part in tree.cut(whole(pdf)):
+                yield part[COLS].assign(tile=leaf)
+
+    types = dict(R.dtypes)
+    flags = ", ".join(f"{c} boolean" for c in COLS[4:])
+    schema = ", ".join(f"{c} {types[c]}" for c in COLS[:4]) + f", {flags}, tile long"
+    return R.mapInPandas(cut, schema), tree.leaves
 
 
 def rect_union_vertices(rects: DataFrame, x1: str = "x1", y1: str = "y1", x2: str = "x2",
                         y2: str = "y2", keep_collinear: bool = False,
-                        cell: float | None = None, prune_interior: bool = False) -> DataFrame:
+                        rows_per_tile: int = ROWS_PER_TILE, sample: int = SAMPLE) -> DataFrame:
     """Distinct vertices ``x, y`` of the union's boundary (shells and holes).
 
-    ``prune_interior=True`` first drops candidates strictly inside some
-    rectangle with a per-level anti-join (no pair rows), so the mask join
-    only sees boundary candidates; it pays off when rectangles overlap
-    deeply and costs one extra join per grid level otherwise.
+    ``rows_per_tile`` and ``sample`` set how finely the plane is cut.  A table without
+    rectangles gives no row.  Repeated rectangles count once.
     """
     R = _rects(rects, (x1, y1, x2, y2))
-    V, H = _edges(R)
-    # grid statistics of edges and rectangles: one job
-    sv, sh, sr = SideStats.many([(V, VCOLS), (H, HCOLS), (R, RCOLS)])
-    cand = boundary_candidates(R, cell, (sv, sh))
-    if prune_interior:
-        # a candidate strictly inside any rectangle is interior (mask 15): drop
-        # it by anti-join first, so the mask join only sees boundary candidates
-        cand = points_outside_rects(cand, R, "x", "y", RCOLS, closed=False, cell=cell, stats=sr)
-    m = quadrant_masks(R, cand, cell, sr)
-    keep = F.col("mask").isin(*CORNER_MASKS)
-    if keep_collinear:
-        keep = keep | (F.col("mask").isin(*STRAIGHT_MASKS) & (F.col("corner") == 1))
-    return m.where(keep).select("x", "y")
+    tiles, n_tiles = union_tiles(R, rows_per_tile, sample)
+    types = dict(R.dtypes)
+
+    def vertices(pdf: pd.DataFrame) -> pd.DataFrame:
+        found = [pd.DataFrame({"x": x, "y": y}) for x, y in tile_vertices(pdf[COLS], keep_collinear)]
+        return pd.concat(found) if found else pd.DataFrame({"x": pdf["x1"][:0], "y": pdf["y1"][:0]})
+
+    # a tile's work is far more than its bytes say: tasks by the number of tiles
+    spread = tiles.repartition(max(1, min(n_tiles, 4096)), "tile")
+    return spread.groupBy("tile").applyInPandas(vertices, f"x {types['x1']}, y {types['y1']}")

@@ -8,6 +8,7 @@ Column names and types are aligned on both sides (ids and counts bigint).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -29,11 +30,15 @@ from planekit.operators.pairs import closest_pairs, coincident_points, distinct_
 from planekit.operators.range import range_query
 from planekit.operators.union import rect_union_vertices
 from planekit.plans.views import cte, table, view
-from planekit.sources.sinks import pairs_as_points, row_text
+from planekit.session import shared_dir
+from planekit.sources.layout import write_points
+from planekit.sources.sinks import match_lines, pairs_as_points, row_text
 from planekit.sources.text import parse_probes, parse_shapes, read_matches, read_points, read_rects, take_window
 
 # the range-query window, corners deliberately given in reversed order
 RANGE_WINDOW = (20_000_000, 20_000_000, 5_000_000, 5_000_000)
+# a hundredth of the square that iso covers
+ISO_WINDOW = (400_000, 300_000, 500_000, 400_000)
 
 
 def q_range_query(spark: SparkSession, d: str) -> DataFrame:
@@ -248,6 +253,29 @@ def q_join_mixed_scale_rects(spark: SparkSession, d: str) -> DataFrame:
     return spatial_count(w, w, "intersects")
 
 
+def q_range_query_layout(spark: SparkSession, d: str) -> DataFrame:
+    # the points stored along a Hilbert curve, then queried from there
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    write_points(view(spark, d, "iso"), path, files=16)
+    return range_query(spark.read.parquet(path), ISO_WINDOW).select("id")
+
+
+def q_match_lines(spark: SparkSession, d: str) -> DataFrame:
+    # row text of match lists put together from their pieces, probes without a match too
+    p = view(spark, d, "pts")
+    return match_lines(spatial_join(p, view(spark, d, "win"), "within"), probes=p)
+
+
+def q_spatial_count_mixed_left(spark: SparkSession, d: str) -> DataFrame:
+    # points counted in windows of very different sizes, without listing pairs
+    return spatial_count(view(spark, d, "iso"), view(spark, d, "mixwin"), "within", how="left")
+
+
+def q_rect_union_mixed(spark: SparkSession, d: str) -> DataFrame:
+    # deep overlap: a few windows cover most of the others
+    return rect_union_vertices(view(spark, d, "mixwin"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "range_query": q_range_query,
     "range_query_raw": q_range_query_raw,
@@ -290,6 +318,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "convex_hull_nullkey": q_convex_hull_nullkey,
     "join_mixed_scale": q_join_mixed_scale,
     "join_mixed_scale_rects": q_join_mixed_scale_rects,
+    "range_query_layout": q_range_query_layout,
+    "match_lines": q_match_lines,
+    "spatial_count_mixed_left": q_spatial_count_mixed_left,
+    "rect_union_mixed": q_rect_union_mixed,
 }
 
 _W = RANGE_WINDOW
@@ -370,13 +402,13 @@ def _pairs_sql(src: str, agg: str) -> str:
     )
 
 
-def _union_sql(collinear: bool) -> str:
+def _union_sql(collinear: bool, src: str = "rects") -> str:
     keep = "mask IN (1, 2, 4, 8, 7, 11, 13, 14, 5, 10)"
     if collinear:
         keep += " OR (mask IN (3, 6, 12, 9) AND corner = 1)"
     return (
         "R AS (SELECT least(x1, x2) AS x1, least(y1, y2) AS y1, greatest(x1, x2) AS x2,"
-        " greatest(y1, y2) AS y2 FROM rects WHERE x1 <> x2 AND y1 <> y2),\n"
+        f" greatest(y1, y2) AS y2 FROM {src} WHERE x1 <> x2 AND y1 <> y2),\n"
         "V AS (SELECT x1 AS x, y1, y2 FROM R UNION ALL SELECT x2, y1, y2 FROM R),\n"
         "H AS (SELECT y1 AS y, x1, x2 FROM R UNION ALL SELECT y2, x1, x2 FROM R),\n"
         "C AS (SELECT x1 AS x, y1 AS y, 1 AS corner FROM R UNION ALL SELECT x1, y2, 1 FROM R"
@@ -462,4 +494,13 @@ ORACLE.update({
     "join_mixed_scale_rects": cte("mixwin") + (
         "SELECT a.id AS probe_id, count(DISTINCT b.id) AS n_matches "
         f"FROM mixwin a JOIN mixwin b ON {_RR} GROUP BY a.id"),
+    "range_query_layout": cte("iso") + (
+        f"SELECT id FROM iso WHERE x BETWEEN {ISO_WINDOW[0]} AND {ISO_WINDOW[2]} AND y BETWEEN {ISO_WINDOW[1]} AND {ISO_WINDOW[3]}"),
+    "match_lines": cte("pts", "win") + (
+        "SELECT p.id AS probe_id, p.id || CASE WHEN count(w.id) > 0 THEN ',' || array_to_string(list_sort(list_distinct(list(w.id) FILTER (w.id IS NOT NULL))), ',') ELSE '' END AS value"
+        f" FROM pts p LEFT JOIN win w ON {_PT_IN_WIN} GROUP BY p.id"),
+    "spatial_count_mixed_left": cte("iso", "mixwin") + (
+        "SELECT p.id AS probe_id, count(DISTINCT w.id) AS n_matches "
+        f"FROM iso p LEFT JOIN mixwin w ON {_PT_IN_WIN} GROUP BY p.id"),
+    "rect_union_mixed": cte("mixwin") + ", " + _union_sql(False, "mixwin"),
 })

@@ -102,7 +102,7 @@ def test_union_vs_raster(spark, rects):
     df = spark.createDataFrame(rects, "x1 long, y1 long, x2 long, y2 long")
     expect = _raster_vertices(rects)
     assert rows(rect_union_vertices(df)) == expect
-    assert rows(rect_union_vertices(df, prune_interior=True)) == expect
+    assert rows(rect_union_vertices(df, rows_per_tile=2)) == expect
 
 
 @SETTINGS
