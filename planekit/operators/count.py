@@ -21,6 +21,7 @@ Ids must be unique here; ``spatial_count`` takes care of the others.
 
 from __future__ import annotations
 
+import sys
 from dataclasses import dataclass
 
 import numpy as np
@@ -33,6 +34,7 @@ from planekit.operators import _rank_local
 from planekit.operators._rank_local import Dominance, borders, strip_of
 
 cloudpickle.register_pickle_by_value(_rank_local)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: windows that every task may hold (four coordinates each: 2 MB)
 LOCAL = 1 << 16

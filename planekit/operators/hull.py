@@ -37,6 +37,7 @@ bigint key never becomes a float, with or without null keys).
 from __future__ import annotations
 
 import math
+import sys
 from fractions import Fraction
 
 import numpy as np
@@ -63,6 +64,7 @@ from planekit.session import cut_lineage
 # the in-task helpers travel with the Pandas UDFs (pickled by value), so the
 # Python workers never need this package installed or on their path
 cloudpickle.register_pickle_by_value(_geom_local)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 FANIN = 64
 #: vertices of partial hulls that one group, or bucket of a group, holds at most about

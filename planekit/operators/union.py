@@ -35,7 +35,7 @@ from planekit.operators._tiles_local import COLS, TileTree, tile_vertices, whole
 cloudpickle.register_pickle_by_value(_tiles_local)
 
 #: rectangles (clipped) that a tile holds at most about
-ROWS_PER_TILE = 8192
+ROWS_PER_TILE = 1024
 #: rectangles that the tiles are cut by, at most about; a tile gets at least ``LEAST`` of them
 SAMPLE, LEAST = 100_000, 16
 

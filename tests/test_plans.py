@@ -22,7 +22,7 @@ def test_range_reads_only_needed_columns(spark):
 
 
 def test_grid_joins_are_equi_joins(spark):
-    for name in ("join_point_rect", "join_rect_rect", "join_mixed", "spatial_count_rect",
+    for name in ("join_point_rect", "join_rect_rect", "join_mixed", "collect_matches",
                  "closest_pairs"):
         p = _plan(QUERIES[name](spark, SF01))
         assert "CartesianProduct" not in p, name
