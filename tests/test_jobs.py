@@ -62,3 +62,30 @@ def test_python_workers_need_no_package_on_path(spark, tmpdir_path):
                        cwd="/", env=env, capture_output=True, text=True, timeout=600)
     assert r.returncode == 0, r.stderr[-2000:]
     assert sorted(_lines(spark, f"{d}/h")) == ["0.0,0.0", "0.0,10.0", "10.0,0.0", "10.0,10.0"]
+
+
+def test_new_operators_need_no_package_on_workers_either(tmpdir_path):
+    import subprocess
+    import sys
+    repo = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    script = _write(f"{tmpdir_path}/run.py", f"""
+import sys
+sys.path.insert(0, {repo!r})
+from planekit import convex_hull, farthest_pairs, rect_union_vertices, spatial_count
+from planekit.operators.count import count_meeting
+from planekit.session import local_session
+from planekit.sources.sinks import match_chunks
+s = local_session(2)
+s.sparkContext.setCheckpointDir({tmpdir_path!r})
+r = s.createDataFrame([(i, i, i, i + 3, i + 3) for i in range(40)], "id long, x1 long, y1 long, x2 long, y2 long")
+p = s.createDataFrame([(k, k * k) for k in range(-40, 40)], "x long, y long")
+w = r.toDF("_wid", "_wx1", "_wy1", "_wx2", "_wy2").drop("_wid")
+q = r.selectExpr("cast(id as string) _pid", "x1 _px1", "y1 _py1", "x2 _px2", "y2 _py2")
+print("OUT", spatial_count(r, r, "intersects").count(), count_meeting(q, w, local=0, strips=3, group=8).count(),
+      rect_union_vertices(r, rows_per_tile=8).count(), convex_hull(p, vertices=10).count(),
+      farthest_pairs(p, vertices=10).count(), match_chunks(r.selectExpr("id % 3 probe_id", "id window_id")).count())
+""")
+    env = {k: v for k, v in os.environ.items() if k != "PYTHONPATH"}
+    r = subprocess.run([sys.executable, script], cwd="/", env=env, capture_output=True, text=True, timeout=600)
+    assert r.returncode == 0, r.stderr[-2000:]
+    assert "OUT 40 40 160 80 1 3" in r.stdout, r.stdout
