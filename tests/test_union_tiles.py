@@ -28,12 +28,13 @@ def _staircase(n, side):
 
 def test_staircase_rows_grow_with_the_border_not_with_crossings(spark):
     held = {}
-    for n in (400, 3200):
+    for n in (800, 3200):
         rects, want = _staircase(n, 200)
         df = spark.createDataFrame(rects, SCHEMA).repartition(4)
         assert rows(rect_union_vertices(df, rows_per_tile=400)) == want
         held[n] = union_tiles(df, rows_per_tile=400)[0].count()
-    assert held[3200] < 12 * held[400] and held[3200] < 12 * 3200
+    # about 200 crossings for each square, but a bounded number of rows
+    assert all(rows_held < 3 * n for n, rows_held in held.items())
 
 
 @pytest.mark.parametrize("sample", [20, 100_000])
