@@ -36,8 +36,7 @@ def _shapes(rng, n, points=False, first=0):
     return at if points else [(i, x + side(), y, x, y + side()) for i, x, y in at]
 
 
-@pytest.mark.parametrize("predicate", ["within", "within_closed", "intersects"])
-@pytest.mark.parametrize("repeat", [False, True])
+@pytest.mark.parametrize("predicate,repeat", [("within", True), ("within_closed", False), ("intersects", False), ("intersects", True)])
 def test_counts_match_all_pairs(spark, predicate, repeat):
     rng = random.Random(len(predicate) + repeat)
     points = predicate != "intersects"
@@ -52,8 +51,7 @@ def test_counts_match_all_pairs(spark, predicate, repeat):
     assert rows(spatial_count(P, W, predicate)) == [r for r in want if r[1]]
 
 
-@pytest.mark.parametrize("closed", [True, False])
-@pytest.mark.parametrize("strips,group", [(2, 10), (7, 16)])
+@pytest.mark.parametrize("closed,strips,group", [(True, 7, 16), (False, 2, 10)])
 def test_strips_and_slices_count_the_same(spark, closed, strips, group):
     rng = random.Random(strips)
     points = [(str(i), rng.randint(0, 20), rng.randint(0, 20)) for i in range(150)]
