@@ -239,12 +239,10 @@ def test_odd_scripts_have_scores(spark, docs):
     assert all(v is not None and 0 <= v <= 1 for v in got.values()) and got[33] > 0.5
 
 
-def test_many_languages_fit(spark, docs):
-    frames = [docs([(k, f"word{'abcdefghij'[k % 10] * 3} and {'xyzuvw'[k % 6]}")], f"l{k:03d}") for k in range(40)]
-    rows = frames[0]
-    for f in frames[1:]:
-        rows = rows.union(f)
-    assert rows.count() == len(langid.identify(rows, iterations=1).collect()) == 40
+def test_many_languages_fit(spark):
+    rows = [(k, f"word{'abcdefghij'[k % 10] * 3} and {'xyzuvw'[k % 6]}", f"l{k:03d}") for k in range(40)]
+    got = langid.identify(spark.createDataFrame(rows, "doc_id long, text string, lang string"), iterations=1)
+    assert got.count() == 40
 
 
 def test_language_id_on_held_out_documents(spark):
