@@ -27,6 +27,10 @@ from planekit.operators import (  # noqa: E402,F401
     spatial_join_shapes,
 )
 from planekit.sources import (  # noqa: E402,F401
+    hilbert_key,
+    hilbert_order,
+    match_chunks,
+    match_lines,
     pairs_as_points,
     parse_probes,
     parse_shapes,
@@ -38,4 +42,6 @@ from planekit.sources import (  # noqa: E402,F401
     row_text,
     take_window,
     write_csv,
+    write_matches,
+    write_points,
 )

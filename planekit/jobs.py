@@ -32,11 +32,11 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from planekit.operators.hull import convex_hull, farthest_pairs  # noqa: E402
-from planekit.operators.join import collect_matches, spatial_join_shapes  # noqa: E402
+from planekit.operators.join import spatial_join_shapes  # noqa: E402
 from planekit.operators.pairs import closest_pairs  # noqa: E402
 from planekit.operators.range import range_query  # noqa: E402
 from planekit.operators.union import rect_union_vertices  # noqa: E402
-from planekit.sources.sinks import pairs_as_points, write_csv  # noqa: E402
+from planekit.sources.sinks import pairs_as_points, write_csv, write_matches  # noqa: E402
 from planekit.sources.text import read_points, read_probes, read_rects, take_window  # noqa: E402
 
 
@@ -50,8 +50,7 @@ def run_range_query(spark, points, window, out, overwrite=True):
 
 
 def run_join(spark, windows, probes, out, overwrite=False):
-    m = collect_matches(_pairs(spark, windows, probes))
-    write_csv(m.orderBy("probe_id"), out, "overwrite" if overwrite else "errorifexists")
+    write_matches(_pairs(spark, windows, probes), out, "overwrite" if overwrite else "errorifexists")
 
 
 def run_aggregation(spark, windows, probes, out, overwrite=False):

@@ -1,3 +1,4 @@
+from planekit.operators.count import count_meeting  # noqa: F401
 from planekit.operators.hull import convex_hull, farthest_pairs, octagon_filter  # noqa: F401
 from planekit.operators.join import (  # noqa: F401
     collect_matches,
