@@ -38,6 +38,7 @@ from __future__ import annotations
 
 import math
 import sys
+from decimal import Decimal
 from fractions import Fraction
 
 import numpy as np
@@ -281,13 +282,20 @@ def convex_hull(points: DataFrame, x: str = "x", y: str = "y", group_by=None, fa
     return out.select(*[_text_to_key(k, types[k]) for k in keys], x, y)
 
 
+def _squares_fit(partial: DataFrame, x: str, y: str) -> bool:
+    """Whether a bigint holds the square of the bounding box's diagonal."""
+    r = partial.agg(F.min(x), F.max(x), F.min(y), F.max(y)).first()
+    return r[0] is None or (r[1] - r[0]) ** 2 + (r[3] - r[2]) ** 2 < 1 << 63
+
+
 def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None, fanin: int = FANIN,
                    catalyst_prefilter: bool = False, vertices: int = VERTICES) -> DataFrame:
     """All pairs of distinct points at maximum distance: ``ax ay bx by d2 dist``.
 
     ``(ax, ay) < (bx, by)`` in (x, y) order; ``d2`` is the squared distance
-    (exact for integer input), ``dist`` its root.  Fewer than 2 distinct
-    points give no row.  Pairs are found by rotating calipers on the hull,
+    (exact for integer input: a bigint, or decimal(38,0) where the points span
+    so much that a bigint could not hold it), ``dist`` its root.  Fewer than 2
+    distinct points give no row.  Pairs are found by rotating calipers on the hull,
     never by an all-pairs join.
     """
     keys = [group_by] if isinstance(group_by, str) else list(group_by or [])
@@ -299,7 +307,7 @@ def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
     floating = t[x] in ("double", "float") or t[y] in ("double", "float")
     # integers -> bigint (exact d2); doubles -> double; decimals keep their type
     ctype = "bigint" if integral else ("double" if floating or t[x] != t[y] else t[x])
-    dtype = "bigint" if integral else "double"
+    dtype = ("bigint" if _squares_fit(partial, x, y) else "decimal(38,0)") if integral else "double"
     cols = ["ax", "ay", "bx", "by", "d2", "dist"]
     schema = ", ".join([f"`{k}` {t[k]}" for k in keys] + [f"{c} {ctype}" for c in cols[:4]]
                        + [f"d2 {dtype}", "dist double", "_exact string"])
@@ -317,7 +325,8 @@ def farthest_pairs(points: DataFrame, x: str = "x", y: str = "y", group_by=None,
             rows.append((ax, ay, bx, by, d2, math.sqrt(float(best))))
         out = pd.DataFrame(rows, columns=cols)
         if integral:
-            out = out.astype({c: np.int64 for c in cols[:5]})
+            out = out.astype({c: np.int64 for c in cols[:4]})
+            out["d2"] = out["d2"].astype(np.int64) if dtype == "bigint" else out["d2"].map(Decimal)
         elif ctype == "double":
             out = out.astype({c: np.float64 for c in cols[:5]})
         else:

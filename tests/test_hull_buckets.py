@@ -94,3 +94,17 @@ def test_cones_go_round_once_and_buckets_cover_them():
         assert (k, int(np.searchsorted(cuts, a, "right"))) in pairs
         assert (k, int(np.searchsorted(cuts, out[k], "right"))) in pairs
     assert np.allclose(opposite(opposite(into)), into) and ANGLE_MARGIN < 1e-9
+
+
+@pytest.mark.parametrize("vertices", [4, 50_000])
+def test_farthest_pairs_whose_square_no_bigint_holds(spark, vertices):
+    wide = 27_000_000_000
+    points = [(0, 0), (wide, 0), (wide, 50_000_000), (0, 50_000_000), *((k * 3_000_000_000, 7 * k) for k in range(1, 9))]
+    df = spark.createDataFrame(points, "x long, y long").repartition(3)
+    got = farthest_pairs(df, vertices=vertices)
+    d2 = wide ** 2 + 50_000_000 ** 2
+    assert d2 > 1 << 63
+    assert rows(got) == [(0, 0, wide, 50_000_000, d2, math.sqrt(d2)), (0, 50_000_000, wide, 0, d2, math.sqrt(d2))]
+    # a bigint wherever it is wide enough
+    near = spark.createDataFrame([(0, 0), (2_000_000_000, 5)], "x long, y long")
+    assert dict(farthest_pairs(near).dtypes)["d2"] == "bigint"
