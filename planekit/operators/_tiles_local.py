@@ -9,45 +9,71 @@ a rectangle that is flagged on all sides is covered, and holds no vertex.
 
 from __future__ import annotations
 
+from collections import deque
+
 import numpy as np
 import pandas as pd
 
 COLS = ["x1", "y1", "x2", "y2", "w", "s", "e", "n"]
-#: per axis: low coordinate, high coordinate, flags "begins before" and "ends beyond"
-AXES = (("x1", "x2", "w", "e"), ("y1", "y2", "s", "n"))
 #: a tile of so many crossings of its edge lines is swept at once
 CELLS = 1 << 20
 
-
-def clip(r: pd.DataFrame, axis: int, cut, side: int) -> pd.DataFrame:
-    """The rectangles of the tile on one side of ``cut`` (0: below it, 1: from it on), clipped, each once."""
-    low, high, before, beyond = AXES[axis]
+#: rectangles as arrays in the order of COLS; on axis 0 or 1: low coordinate ``[axis]``, high coordinate
+#: ``[2 + axis]``, flags "begins before" ``[4 + axis]`` and "ends beyond" ``[6 + axis]``
+Rects = list[np.ndarray]
+
+
+def once(r: Rects) -> Rects:
+    """Each rectangle once."""
+    if len(r[0]) < 2:
+        return r
+    if any(c.dtype.kind == "O" for c in r[:4]):
+        rows = pd.DataFrame(dict(enumerate(r))).duplicated().to_numpy()
+        return [c[~rows] for c in r]
+    flags = r[4] | r[5].astype(np.uint8) << 1 | r[6].astype(np.uint8) << 2 | r[7].astype(np.uint8) << 3
+    order = np.lexsort((flags, *r[:4]))
+    fresh = np.zeros(len(order), bool)
+    fresh[0] = True
+    for c in (flags, *r[:4]):
+        c = c[order]
+        fresh[1:] |= c[1:] != c[:-1]
+    keep = order[fresh]
+    return [c[keep] for c in r]
+
+
+def clip(r: Rects, axis: int, cut, side: int) -> Rects:
+    """The rectangles of the tile on one side of ``cut`` (0: below it, 1: from it on), clipped."""
+    low, high, before, beyond = axis, 2 + axis, 4 + axis, 6 + axis
+    keep = np.flatnonzero(r[before] | (r[low] < cut) if side == 0 else r[beyond] | (r[high] >= cut))
+    part = [c[keep] for c in r]
     if side == 0:
-        part = r[r[before] | (r[low] < cut)]
-        over = part[beyond] | (part[high] >= cut)
-        part = part.assign(**{beyond: over, high: part[high].mask(over, cut)})
+        part[beyond] |= part[high] >= cut
+        part[high][part[beyond]] = cut
     else:
-        part = r[r[beyond] | (r[high] >= cut)]
-        over = part[before] | (part[low] < cut)
-        part = part.assign(**{before: over, low: part[low].mask(over, cut)})
-    return part.drop_duplicates()
+        part[before] |= part[low] < cut
+        part[low][part[before]] = cut
+    return part
+
+
+def covering(r: Rects) -> np.ndarray:
+    """Which rectangles cover the tile."""
+    return r[4] & r[5] & r[6] & r[7]
 
 
-def covered(r: pd.DataFrame) -> bool:
-    return bool((r["w"] & r["s"] & r["e"] & r["n"]).any())
+def covered(r: Rects) -> bool:
+    return bool(covering(r).any())
 
 
-def edges(r: pd.DataFrame, axis: int) -> np.ndarray:
+def edges(r: Rects, axis: int) -> np.ndarray:
     """The coordinates of the edges inside the tile, with repetition."""
-    low, high, before, beyond = AXES[axis]
-    return np.concatenate([r[low].to_numpy()[~r[before].to_numpy()], r[high].to_numpy()[~r[beyond].to_numpy()]])
+    return np.concatenate([r[axis][~r[4 + axis]], r[2 + axis][~r[6 + axis]]])
 
 
-def _weight(r: pd.DataFrame) -> int:
-    return 0 if covered(r) else int(4 * len(r) - r[["w", "s", "e", "n"]].to_numpy().sum())
+def _weight(r: Rects) -> int:
+    return 0 if covered(r) else int(4 * len(r[0]) - sum(map(np.count_nonzero, r[4:])))
 
 
-def best_cut(r: pd.DataFrame):
+def best_cut(r: Rects):
     """``axis, cut, children``: of both axes' median edges the one that leaves fewer edges in uncovered tiles; None if there is none."""
     best = None
     for axis in (0, 1):
@@ -57,8 +83,7 @@ def best_cut(r: pd.DataFrame):
         cut = at[len(at) // 2]
         if cut == at[0]:
             cut = at[np.searchsorted(at, cut, "right")]
-        cut = cut.item() if hasattr(cut, "item") else cut
-        children = [clip(r, axis, cut, side) for side in (0, 1)]
+        children = [once(clip(r, axis, cut, side)) for side in (0, 1)]
         weight = sum(map(_weight, children))
         if best is None or weight < best[0]:
             best = weight, axis, cut, children
@@ -68,17 +93,17 @@ def best_cut(r: pd.DataFrame):
 class TileTree:
     """Tiles with about ``rows`` rectangles each, cut by a sample; ``nodes``: ``axis, cut, low child, high child`` or ``-1, leaf``."""
 
-    def __init__(self, sample: pd.DataFrame, rows: int):
+    def __init__(self, sample: Rects, rows: int):
         self.nodes, self.leaves = [], 0
-        most = 64 + 8 * len(sample) // max(1, rows)
-        waiting = [(sample.drop_duplicates(), None, 0)]
+        most = 64 + 8 * len(sample[0]) // max(1, rows)
+        waiting = deque([(once(sample), None, 0)])
         while waiting:
-            r, parent, side = waiting.pop(0)  # breadth first, so that ``most`` cuts evenly
+            r, parent, side = waiting.popleft()  # breadth first, so that ``most`` cuts evenly
             if parent is not None:
                 self.nodes[parent][2 + side] = len(self.nodes)
-            found = best_cut(r) if len(r) > rows and len(self.nodes) < 2 * most and not covered(r) else None
+            dead = covered(r)
+            found = best_cut(r) if len(r[0]) > rows and len(self.nodes) < 2 * most and not dead else None
             if found is None:
-                dead = covered(r)
                 self.nodes.append([-1, -1 if dead else self.leaves, 0, 0])
                 self.leaves += not dead
                 continue
@@ -86,28 +111,31 @@ class TileTree:
             waiting += [(child, len(self.nodes), side) for side, child in enumerate(children)]
             self.nodes.append([axis, cut, 0, 0])
 
-    def cut(self, r: pd.DataFrame):
-        """``leaf, rectangles`` of every uncovered tile that ``r`` touches."""
-        waiting = [(0, r.drop_duplicates())]
+    def cut(self, r: Rects):
+        """``leaf, rectangles`` of every uncovered tile that ``r`` touches; of a tile that one of them covers, only that one."""
+        waiting = [(0, once(r))]
         while waiting:
             node, part = waiting.pop()
             axis, cut, *children = self.nodes[node]
-            if not len(part) or (axis < 0 and cut < 0):
+            if not len(part[0]) or (axis < 0 and cut < 0):
                 continue
+            if len(part[0]) > 1 and (all_over := covering(part)).any():
+                k = int(all_over.argmax())
+                part = [c[k:k + 1] for c in part]
             if axis < 0:
-                yield cut, part
+                yield cut, once(part)
             else:
                 waiting += [(child, clip(part, axis, cut, side)) for side, child in enumerate(children)]
 
 
-def whole(pdf: pd.DataFrame) -> pd.DataFrame:
+def whole(pdf: pd.DataFrame) -> Rects:
     """Rectangles ``x1, y1, x2, y2`` in the tile that is the plane."""
-    return pdf[["x1", "y1", "x2", "y2"]].assign(w=False, s=False, e=False, n=False)
+    return [pdf[c].to_numpy() for c in COLS[:4]] + [np.zeros(len(pdf), bool) for _ in COLS[4:]]
 
 
-def tile_vertices(r: pd.DataFrame, collinear: bool, cells: int = CELLS):
+def tile_vertices(r: Rects, collinear: bool, cells: int = CELLS):
     """``x, y`` arrays of the vertices that a tile owns; large tiles are cut further."""
-    waiting = [r.drop_duplicates()]
+    waiting = [once(r)]
     while waiting:
         part = waiting.pop()
         if covered(part):
@@ -121,12 +149,12 @@ def tile_vertices(r: pd.DataFrame, collinear: bool, cells: int = CELLS):
             yield _swept(part, xs, ys, collinear)
 
 
-def _swept(r: pd.DataFrame, xs: np.ndarray, ys: np.ndarray, collinear: bool) -> tuple[np.ndarray, np.ndarray]:
+def _swept(r: Rects, xs: np.ndarray, ys: np.ndarray, collinear: bool) -> tuple[np.ndarray, np.ndarray]:
     """The coverage of the cells between edge lines, and the corners it turns at."""
     spans = []
-    for (low, high, before, beyond), at in zip(AXES, (xs, ys)):
-        first = np.where(r[before], 0, np.searchsorted(at, r[low].to_numpy()) + 1)
-        last = np.where(r[beyond], len(at) + 1, np.searchsorted(at, r[high].to_numpy()) + 1)
+    for axis, at in enumerate((xs, ys)):
+        first = np.where(r[4 + axis], 0, np.searchsorted(at, r[axis]) + 1)
+        last = np.where(r[6 + axis], len(at) + 1, np.searchsorted(at, r[2 + axis]) + 1)
         spans.append((first, last))
     (x0, x1), (y0, y1) = spans
     shape = len(xs) + 2, len(ys) + 2
@@ -139,9 +167,9 @@ def _swept(r: pd.DataFrame, xs: np.ndarray, ys: np.ndarray, collinear: bool) ->
     keep = (quadrants == 1) | (quadrants == 3) | ((quadrants == 2) & (ne == sw))
     if collinear:
         corner = np.zeros(keep.shape, bool)
-        for i, hidden_x in ((x0, r["w"]), (x1, r["e"])):
-            for j, hidden_y in ((y0, r["s"]), (y1, r["n"])):
-                seen = ~(hidden_x | hidden_y).to_numpy()
+        for i, hidden_x in ((x0, r[4]), (x1, r[6])):
+            for j, hidden_y in ((y0, r[5]), (y1, r[7])):
+                seen = ~(hidden_x | hidden_y)
                 corner[i[seen] - 1, j[seen] - 1] = True
         keep |= (quadrants == 2) & (ne != sw) & corner
     i, j = np.nonzero(keep)

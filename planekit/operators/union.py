@@ -23,6 +23,10 @@ width or height add no area and are dropped first; null and NaN coordinates too.
 
 from __future__ import annotations
 
+import sys
+from collections.abc import Iterable, Iterator
+
+import numpy as np
 import pandas as pd
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
@@ -33,11 +37,14 @@ from planekit.operators import _tiles_local
 from planekit.operators._tiles_local import COLS, TileTree, tile_vertices, whole
 
 cloudpickle.register_pickle_by_value(_tiles_local)
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
 #: rectangles (clipped) that a tile holds at most about
 ROWS_PER_TILE = 1024
 #: rectangles that the tiles are cut by, at most about; a tile gets at least ``LEAST`` of them
 SAMPLE, LEAST = 100_000, 16
+#: rectangles that a task takes through the tree at once, and clipped ones that it gives back at once
+TAKEN, GIVEN = 200_000, 50_000
 
 
 def _rects(df: DataFrame, cols) -> DataFrame:
@@ -48,6 +55,19 @@ def _rects(df: DataFrame, cols) -> DataFrame:
     return d.where((F.col("x1") < F.col("x2")) & (F.col("y1") < F.col("y2")))
 
 
+def _gathered(parts: Iterable[list[np.ndarray]], rows: int = TAKEN) -> Iterator[list[np.ndarray]]:
+    """The arrays of several parts joined to at least ``rows`` rows each time (fewer at the end)."""
+    held, n = [], 0
+    for part in parts:
+        held.append(part)
+        n += len(part[0])
+        if n >= rows:
+            yield [np.concatenate(c) for c in zip(*held)]
+            held, n = [], 0
+    if held:
+        yield [np.concatenate(c) for c in zip(*held)]
+
+
 def union_tiles(R: DataFrame, rows_per_tile: int = ROWS_PER_TILE, sample: int = SAMPLE) -> tuple[DataFrame, int]:
     """``tile`` and the clipped rectangles (``COLS``) that it holds, and the number of tiles."""
     n = R.count()
@@ -56,9 +76,10 @@ def union_tiles(R: DataFrame, rows_per_tile: int = ROWS_PER_TILE, sample: int =
     tree = TileTree(whole(some), max(int(rows_per_tile * share), 1 if share == 1.0 else LEAST))
 
     def cut(batches):
-        for pdf in batches:
-            for leaf, part in tree.cut(whole(pdf)):
-                yield part[COLS].assign(tile=leaf)
+        for r in _gathered(map(whole, batches)):
+            dealt = ([*part, np.full(len(part[0]), leaf)] for leaf, part in tree.cut(r))
+            for rows in _gathered(dealt, GIVEN):
+                yield pd.DataFrame(dict(zip([*COLS, "tile"], rows)))
 
     types = dict(R.dtypes)
     flags = ", ".join(f"{c} boolean" for c in COLS[4:])
@@ -79,7 +100,7 @@ def rect_union_vertices(rects: DataFrame, x1: str = "x1", y1: str = "y1", x2: st
     types = dict(R.dtypes)
 
     def vertices(pdf: pd.DataFrame) -> pd.DataFrame:
-        found = [pd.DataFrame({"x": x, "y": y}) for x, y in tile_vertices(pdf[COLS], keep_collinear)]
+        found = [pd.DataFrame({"x": x, "y": y}) for x, y in tile_vertices([pdf[c].to_numpy() for c in COLS], keep_collinear)]
         return pd.concat(found) if found else pd.DataFrame({"x": pdf["x1"][:0], "y": pdf["y1"][:0]})
 
     # a tile's work is far more than its bytes say: tasks by the number of tiles

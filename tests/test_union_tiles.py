@@ -9,6 +9,7 @@ import pytest
 
 from conftest import rows
 from planekit import rect_union_vertices
+from planekit.operators import union
 from planekit.operators._tiles_local import TileTree, covered, tile_vertices, whole
 from planekit.operators.union import union_tiles
 from test_properties import _raster_vertices
@@ -93,3 +94,25 @@ def test_tiles_are_cut_until_few_crossings_are_left():
     assert points(50) == points(1 << 20)
     tree = TileTree(r, 20)
     assert tree.leaves > 10 and not any(covered(part) for _, part in tree.cut(r))
+
+
+def test_a_task_takes_many_batches_through_the_tree_at_once():
+    rng = np.random.default_rng(2)
+    at = rng.integers(0, 3000, (4000, 2))
+    df = pd.DataFrame(np.hstack([at, at + rng.integers(1, 40, (4000, 2))]), columns=["x1", "y1", "x2", "y2"])
+    tree = TileTree(whole(df), 40)
+    taken = list(union._gathered((whole(df[k:k + 100]) for k in range(0, 4000, 100)), 1500))
+    assert [len(r[0]) for r in taken] == [1500, 1500, 1000]
+    held = sorted((leaf, *row) for r in taken for leaf, part in tree.cut(r) for row in zip(*(c.tolist() for c in part)))
+    assert set(held) == {(leaf, *row) for leaf, part in tree.cut(whole(df)) for row in zip(*(c.tolist() for c in part))}
+
+
+def test_a_covered_tile_takes_one_rectangle():
+    small = pd.DataFrame([(x, y, x + 1, y + 1) for x in range(0, 200, 10) for y in range(0, 200, 10)],
+                         columns=["x1", "y1", "x2", "y2"])
+    tree = TileTree(whole(small), 10)
+    large = pd.DataFrame([(-5 - k, -5, 900, 900) for k in range(50)], columns=small.columns)
+    parts = dict(tree.cut(whole(pd.concat([small, large]))))
+    alone = dict(tree.cut(whole(large)))
+    inner = [leaf for leaf, part in alone.items() if covered(part)]
+    assert inner and all(len(parts[leaf][0]) == 1 and covered(parts[leaf]) for leaf in inner)
