@@ -10,10 +10,9 @@ a time.  A character without a piece is spelled by bytes, each at the vocabulary
 floor probability.  A text's log-likelihood is the sum over its words; the
 score is the posterior of the best language under equal priors.
 
-Training: expectation-maximisation.  Word counts per language come from a
-sample of about ``per_lang`` labelled documents of each language (all, where
-there are fewer): a language with n documents takes those whose hashed id is
-below per_lang / n.  Each iteration spreads every word's count over its
+Training: expectation-maximisation.  Word counts per language come from every
+labelled document (with ``per_lang``, from about so many of each language: those
+whose hashed id is below per_lang / n).  Each iteration spreads every word's count over its
 segmentations by forward-backward in the tasks and sums expected piece counts;
 the model is languages x vocabulary numbers, however large the corpus, and what a
 task computes with besides is bounded by ``CELLS`` numbers, whatever the number of
@@ -23,7 +22,7 @@ languages.
 which holds every piece for equally likely.  A text is in a known language iff
 its best language's lead over the background, per letter, and its share of
 letters among characters other than white space each reach a margin: half of
-what all but 0.1 % of the held-out labelled texts have (that itself, where it is
+what all but 0.1 % of all held-out labelled texts have (that itself, where it is
 negative; 0 without such texts).  Both count as if ``TYPICAL`` more characters of
 the held-out median stood in the text, so a short text is not judged by a few.  With few training rows a text in an unlearned
 language, spelled by the same short pieces, can pass.  Without training rows
@@ -47,7 +46,6 @@ from planekit.llm.common import split_of
 from planekit.llm.pieces import VOCABULARY, Pieces, by_length, edge_ids, spans
 from planekit.session import cut_lineage
 
-PER_LANG = 1000
 ITERATIONS = 3
 #: added to every expected count; the floor of a piece that a language never uses
 SMOOTHING = 0.1
@@ -195,11 +193,17 @@ class LanguageModel:
         return langs, scores
 
 
-def _sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_lang: int) -> tuple[list, DataFrame]:
-    """The languages, and ``id, text, lang`` of about ``per_lang`` rows of each."""
-    rows = labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
+def _labelled(labelled: DataFrame, id_col: str, text_col: str, lang_col: str) -> DataFrame:
+    """``id, text, lang`` of the rows that have a language and a text."""
+    return labelled.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"),
                            F.col(lang_col).cast("string").alias("lang")).where("lang is not null and text is not null")
+
+
+def _languages(rows: DataFrame, per_lang: int | None) -> tuple[list, DataFrame]:
+    """The languages of ``rows``, and the rows; with ``per_lang`` about so many of each."""
     sizes = rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy("lang").collect()  # one row a language
+    if per_lang is None:
+        return [r["lang"] for r in sizes], rows
     keep = F.lit(False)
     unit = (F.xxhash64(F.lit("sample"), "id").bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52))
     for r in sizes:
@@ -208,11 +212,11 @@ def _sample(labelled: DataFrame, id_col: str, text_col: str, lang_col: str, per_
 
 
 def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
-          per_lang: int = PER_LANG, iterations: int = ITERATIONS, vocabulary: str = VOCABULARY) -> LanguageModel:
+          per_lang: int | None = None, iterations: int = ITERATIONS, vocabulary: str = VOCABULARY) -> LanguageModel:
     """Learn from the rows of ``labelled`` whose language and text are not null."""
     spark = labelled.sparkSession
     pieces = Pieces.read(vocabulary)
-    langs, sampled = _sample(labelled, id_col, text_col, lang_col, per_lang)
+    langs, rows = _languages(_labelled(labelled, id_col, text_col, lang_col), per_lang)
     if not langs:
         return LanguageModel([], np.zeros((0, pieces.size + 1)), pieces)
 
@@ -225,8 +229,9 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
                 [pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()),
                  pa.array(list(found.values()), pa.int64())], names=["lang", "word", "n"])
 
-    counted = sampled.select("text", "lang").mapInArrow(count, "lang string, word string, n long")
-    words = cut_lineage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")))
+    counted = rows.select("text", "lang").mapInArrow(count, "lang string, word string, n long")
+    # words of one language and length next to each other: a task computes them together
+    words = cut_lineage(counted.groupBy("lang", "word").agg(F.sum("n").alias("n")).sortWithinPartitions("lang", F.length("word")))
     shared = spark.sparkContext.broadcast(pieces.tables())
     probs = np.full((len(langs), pieces.size + 1), 1.0 / pieces.size)
     probs[:, -1] = 0.0
@@ -294,12 +299,12 @@ def _lead(model: LanguageModel, spark, text: Column) -> Column:
 
 
 def in_known_language(model: LanguageModel, text: Column, held: DataFrame, id_col: str = "doc_id",
-                      text_col: str = "text", lang_col: str = "lang", per_lang: int = PER_LANG) -> Column:
-    """Whether a language of ``model`` explains a text; ``held``, not trained on, sets the margins."""
+                      text_col: str = "text", lang_col: str = "lang") -> Column:
+    """Whether a language of ``model`` explains a text; all labelled rows of ``held``, not trained on, set the margins."""
     spark = held.sparkSession
     if not model.langs:
         return F.coalesce(text.rlike(r"\p{L}"), F.lit(False))
-    _, known = _sample(held, id_col, text_col, lang_col, per_lang)
+    known = _labelled(held, id_col, text_col, lang_col)
     seen = known.select(_lead(model, spark, F.col("text")).alias("p")).agg(
         *[F.percentile_approx(f"p.{c}", [0.001, 0.5]) for c in ("lead", "share")]).first()
     found, good = _lead(model, spark, text), F.lit(True)

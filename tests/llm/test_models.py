@@ -369,3 +369,18 @@ def test_lm_edge_cases(docs):
 def test_split_is_crc32_of_the_id_as_text(spark):
     got = spark.range(200).select("id", split_of(F.col("id"), 7).alias("k")).collect()
     assert all(r.k == zlib.crc32(str(r.id).encode()) % 7 for r in got)
+
+
+def test_margins_and_counts_come_from_all_labelled_rows(spark, docs):
+    rows = docs([(i, "the cat and the dog") for i in range(1300)])
+    langs, all_rows = langid._languages(langid._labelled(rows, "doc_id", "text", "lang"), None)
+    assert langs == ["en"] and all_rows.count() == 1300
+    # five odd texts among 2505, with ids that a sample by hashed id left out, set the lowest share
+    unit = F.xxhash64(F.lit("sample"), "id").bitwiseAND(F.lit((1 << 52) - 1)) / float(1 << 52)
+    late = [r.id for r in spark.range(3000, 5000).where(unit > 0.9).limit(5).collect()]
+    model = langid.train(rows)
+    usual, text = [(k, "the cat and the dog") for k in range(2500)], "1234567890 " * 20 + "the"
+    odd = [(k, text) for k in late]
+    probe = docs([(1, odd[0][1])], None)
+    judged = lambda held: probe.select(langid.in_known_language(model, F.col("text"), held).alias("k")).first().k
+    assert judged(docs(usual + odd)) and not judged(docs(usual))
