@@ -4,6 +4,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import SF01, rows
 from planekit import spatial_count
@@ -114,3 +115,19 @@ def test_dominance_and_strips_match_a_scan():
         first, second = borders(a, b, 5)
         want = [sum((f, s) <= (x, y) for f, s in zip(first, second)) for x, y in zip(a, b)]
         assert strip_of(first, second, a, b).tolist() == want
+
+
+def test_probes_are_counted_in_tasks_of_bounded_size(spark, monkeypatch):
+    from planekit.operators import join as J
+    monkeypatch.setattr(J, "SPREAD", 100)
+    df = spark.range(1000).coalesce(1)
+    sizes = [r["count"] for r in J._spread(df, 1000).groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 200
+    assert J._spread(df, 90) is df
+    probes = spark.createDataFrame([(i % 900, i % 37, i % 41) for i in range(1000)], "id long, x long, y long")
+    windows = spark.createDataFrame([(k, k, k, k + 9, k + 9) for k in range(30)], "id long, x1 long, y1 long, x2 long, y2 long")
+    got = dict(rows(spatial_count(probes, windows, "within", how="left")))
+    want = {}
+    for i in range(1000):
+        want.setdefault(i % 900, set()).update(k for k in range(30) if k < i % 37 < k + 9 and k < i % 41 < k + 9)
+    assert got == {i: len(s) for i, s in want.items()}

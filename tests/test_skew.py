@@ -65,3 +65,38 @@ def test_hull_with_hot_group(spark):
         sub = df.where(F.col("g") == k)
         assert [r[1:] for r in per_group if r[0] == k] == rows(convex_hull(sub.coalesce(1)))
     assert len(rows(farthest_pairs(df))) >= 1
+
+
+def test_large_windows_do_not_share_one_cell(spark):
+    from planekit.operators.join import _own_cells
+    from planekit.plans.grid import SideStats, point_cells
+    rng = np.random.default_rng(4)
+    points = [(i, int(x), int(y)) for i, (x, y) in enumerate(rng.integers(0, 1_000_000, (2000, 2)))]
+    size = lambda k: 600_000 if k % 25 == 0 else 900
+    windows = [(k, int(x), int(y), int(x) + size(k), int(y) + size(k)) for k, (x, y) in enumerate(rng.integers(0, 1_000_000, (500, 2)))]
+    p = spark.createDataFrame(points, "id long, x long, y long")
+    w = spark.createDataFrame(windows, "id long, x1 long, y1 long, x2 long, y2 long")
+    cols = ("x1", "y1", "x2", "y2")
+    stats = SideStats(w, cols)
+    levels = stats.levels()
+    finer = stats.finer(levels)
+    assert finer[20] > 0
+    own = _own_cells(w, cols, levels, finer).groupBy("id").count()
+    assert own.agg(F.max("count")).first()[0] <= stats.fine_cells(finer)
+    cells = point_cells(p, levels, "x", "y", finer=finer).where("_L = 20").groupBy("_cx", "_cy").count()
+    assert cells.agg(F.max("count")).first()[0] < 200  # all 2000 in one cell of the plain level
+    want = sorted((i, k) for i, x, y in points for k, a, b, c, d in windows if a < x < c and b < y < d)
+    assert rows(spatial_join(p, w, "within")) == want
+
+
+def test_join_tasks_follow_rows_not_bytes(spark):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        r = spark.createDataFrame([(k, k % 100 * 10, k // 100 * 10, k % 100 * 10 + 15, k // 100 * 10 + 15) for k in range(2000)],
+                                  "id long, x1 long, y1 long, x2 long, y2 long")
+        j = spatial_join(r, r, "intersects")
+        # bytes of a few tasks at most, which adaptive execution would join to one
+        assert j.rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
