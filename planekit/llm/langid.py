@@ -35,6 +35,7 @@ rows every text is ``und``.  Ties go to the first language in sorted order.
 import re
 from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -59,13 +60,22 @@ UNKNOWN = "und"
 #: usual characters that a text's evidence is mixed with
 TYPICAL = 20
 
+#: characters of the texts whose new words are looked up together, about
+PART = 1_000_000
+
 _LETTERS = re.compile(r"[^\W\d_]+")
+_ASCII_LETTERS = str.maketrans({chr(c): " " for c in range(128) if not chr(c).isalpha()})
 
 
 def words_in(text: str | None) -> list[str]:
     """Lower-cased letter runs, with a start mark."""
-    out = []
-    for w in _LETTERS.findall((text or "").lower()):
+    text = (text or "").lower()
+    if text.isascii():
+        return [" " + w for w in text.translate(_ASCII_LETTERS).split()]
+    found, out = _LETTERS.findall(text), []
+    if "".join(found).isalpha():
+        return [" " + w for w in found]
+    for w in found:
         if not w.isalpha():  # numerals such as superscripts are word characters, not letters
             w = "".join(filter(str.isalpha, w))
             if not w:
@@ -74,20 +84,32 @@ def words_in(text: str | None) -> list[str]:
     return out
 
 
+def _parts(texts) -> Iterator[list]:
+    part, size = [], 0
+    for t in texts:
+        part.append(t)
+        size += len(t or "")
+        if size >= PART:
+            yield part
+            part, size = [], 0
+    yield part
+
+
 def _logs(probs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Log-probabilities ``(langs, V + 1)`` and each language's floor."""
+    """Log-probabilities ``(V + 1, langs)``, a piece's next to each other, and each language's floor."""
     with np.errstate(divide="ignore"):
-        logs = np.log(probs)
-    return logs, logs[:, :-1].min(axis=1)
+        logs = np.ascontiguousarray(np.log(probs).T)
+    return logs, logs[:-1].min(axis=0)
 
 
 def _edges(words: list[str], lo: int, hi: int, pieces: Pieces, logs: np.ndarray, floor: np.ndarray):
-    """Of the characters ``lo`` to ``hi``: spans, piece ids ``(words, edges)`` and logs ``(edges, langs, words)``."""
+    """Of the characters ``lo`` to ``hi``: spans, piece ids ``(words, edges)`` and logs ``(edges, words, langs)``."""
     ids = edge_ids([w[lo:hi] for w in words], hi - lo, pieces, pieces.size)
-    out = logs[:, np.maximum(ids, 0)]
-    if (lost := ids < 0).any():
-        out[:, lost] = floor[:, None] * -ids[lost]
-    return spans(hi - lo, pieces.longest), ids, out.transpose(2, 0, 1)
+    by_edge = np.ascontiguousarray(ids.T)
+    out = logs.take(np.maximum(by_edge, 0), axis=0)
+    if (lost := by_edge < 0).any():
+        out[lost] = floor * -by_edge[lost][:, None]
+    return spans(hi - lo, pieces.longest), ids, out
 
 
 def _log_sum(terms: np.ndarray) -> np.ndarray:
@@ -96,8 +118,8 @@ def _log_sum(terms: np.ndarray) -> np.ndarray:
 
 
 def _forward(words: list[str], n: int, pieces: Pieces, logs: np.ndarray, floor: np.ndarray) -> Iterator[np.ndarray]:
-    """Log of the summed probability of all ways to each position 0 to ``n``: ``(langs, words)`` each."""
-    window = [np.zeros((len(logs), len(words)))]
+    """Log of the summed probability of all ways to each position 0 to ``n``: ``(words, langs)`` each."""
+    window = [np.zeros((len(words), logs.shape[1]))]
     yield window[0]
     for start in range(0, n, SEGMENT):
         lo, hi = max(0, start - pieces.longest), min(n, start + SEGMENT)
@@ -125,7 +147,7 @@ def log_likelihoods(words: list[str], pieces: Pieces, probs: np.ndarray) -> np.n
         for part in _blocks(group, n, len(probs), pieces.longest):
             for last in _forward(part, n, pieces, logs, floor):
                 pass
-            out[[place[w] for w in part]] = last.T
+            out[[place[w] for w in part]] = last
     return out
 
 
@@ -136,7 +158,7 @@ def _expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces, probs
     logs, floor = _logs(probs)
     for n, group in by_length(words).items():
         for part in _blocks(group, n, 1, pieces.longest):
-            ahead = [a[0] for a in _forward(part, n, pieces, logs, floor)]
+            ahead = [a[:, 0] for a in _forward(part, n, pieces, logs, floor)]
             scale = np.array([weight[w] for w in part])
             behind = {n: np.zeros(len(part))}
             for start in range((n - 1) // SEGMENT * SEGMENT, -1, -SEGMENT):
@@ -146,7 +168,7 @@ def _expected_counts(words: list[str], counts: np.ndarray, pieces: Pieces, probs
                 for e, (i, _) in enumerate(at):
                     of.setdefault(start + i, []).append(e)
                 for i in range(end - 1, start - 1, -1):
-                    terms = edges[of[i], 0] + np.stack([behind[start + at[e][1]] for e in of[i]])
+                    terms = edges[of[i], :, 0] + np.stack([behind[start + at[e][1]] for e in of[i]])
                     behind[i] = _log_sum(terms)
                     behind.pop(i + pieces.longest, None)
                     share = np.exp(ahead[i] + terms - ahead[n]) * scale
@@ -166,19 +188,27 @@ class LanguageModel:
         """Each text's words and the languages' log-likelihoods (null without words or languages)."""
         if not hasattr(self, "_known"):
             self._known, self._table = {}, []
-        for part in (texts[i:i + 256] for i in range(0, len(texts), 256)):
+        for part in _parts(texts):
             words = [words_in(t) for t in part]
-            fresh = list({w for ws in words for w in ws if w not in self._known})
-            if len(self._known) + len(fresh) > min(CACHE, CELLS // max(1, len(self.langs))):
-                self._known, self._table, fresh = {}, [], list({w for ws in words for w in ws})
-            if fresh and self.langs:
+            if not self.langs:
+                yield from ((ws, None) for ws in words)
+                continue
+            coded = pa.array(list(chain.from_iterable(words)), pa.large_string()).dictionary_encode()
+            distinct = coded.dictionary.to_pylist()
+            fresh = [w for w in distinct if w not in self._known]
+            if len(self._known) + len(fresh) > min(CACHE, CELLS // len(self.langs)):
+                self._known, self._table, fresh = {}, [], distinct
+            if fresh:
                 start = len(self._known)
                 self._known.update((w, start + k) for k, w in enumerate(fresh))
                 self._table.append(log_likelihoods(fresh, self.pieces, self.probs))
             if len(self._table) > 1:
                 self._table = [np.concatenate(self._table)]
+            rows = np.array([self._known[w] for w in distinct], np.intp)[coded.indices.to_numpy()]
+            end = 0
             for ws in words:
-                yield ws, (self._table[0][[self._known[w] for w in ws]].sum(axis=0) if ws and self.langs else None)
+                start, end = end, end + len(ws)
+                yield ws, self._table[0].take(rows[start:end], axis=0).sum(axis=0) if ws else None
 
     def score(self, texts) -> tuple[list, list]:
         langs, scores = [], []
@@ -222,12 +252,13 @@ def train(labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", l
 
     def count(batches):
         for b in batches:
-            found: Counter = Counter()
+            found: dict[str, Counter] = {}
             for lang, text in zip(b.column(1).to_pylist(), b.column(0).to_pylist()):
-                found.update((lang, w) for w in words_in(text))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([k[0] for k in found], pa.string()), pa.array([k[1] for k in found], pa.string()),
-                 pa.array(list(found.values()), pa.int64())], names=["lang", "word", "n"])
+                found.setdefault(lang, Counter()).update(words_in(text))
+            for lang, n in found.items():
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array([lang] * len(n), pa.string()), pa.array(list(n), pa.string()),
+                     pa.array(list(n.values()), pa.int64())], names=["lang", "word", "n"])
 
     counted = rows.select("text", "lang").mapInArrow(count, "lang string, word string, n long")
     # words of one language and length next to each other: a task computes them together

@@ -11,11 +11,11 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 MARK = "▁"
+#: of a hash, to rule out spans without a look-up
+LOW_BITS = (1 << 20) - 1
 
 
 class Pieces:
@@ -30,6 +30,11 @@ class Pieces:
             owners += [self.ids[w] for w in group]
         self.hashes = np.concatenate(hashes)
         self.owners = np.array(owners, np.int32)
+        by_hash = np.argsort(self.hashes)
+        self.hashes, self.owners = self.hashes[by_hash], self.owners[by_hash]
+        #: whether a piece's hash has these low bits: most spans are no piece
+        self.likely = np.zeros(LOW_BITS + 1, bool)
+        self.likely[self.hashes & np.uint64(LOW_BITS)] = True
         self.texts = [b""] * size
         for piece, i in self.ids.items():
             self.texts[i] = piece.encode()
@@ -93,9 +98,14 @@ def edge_ids(words: list[str], n: int, pieces: Pieces, missing: int) -> np.ndarr
     ``-k``, minus the number of its bytes.
     """
     at = spans(n, pieces.longest)
-    found = pc.index_in(pa.array(_span_hashes(words, n, at).ravel()), value_set=pa.array(pieces.hashes))
-    found = found.fill_null(-1).to_numpy()
-    ids = np.where(found < 0, missing, pieces.owners[found]).reshape(len(at), len(words)).T.copy()
+    hashes = _span_hashes(words, n, at).ravel()
+    likely = np.flatnonzero(pieces.likely[hashes & np.uint64(LOW_BITS)])
+    some = hashes[likely]
+    place = np.minimum(np.searchsorted(pieces.hashes, some), len(pieces.hashes) - 1)
+    found = pieces.hashes[place] == some
+    ids = np.full(len(hashes), missing, np.result_type(pieces.owners, np.min_scalar_type(missing)))
+    ids[likely[found]] = pieces.owners[place[found]]
+    ids = ids.reshape(len(at), len(words)).T.copy()
     single = [e for e, (i, j) in enumerate(at) if j - i == 1]
     for r, c in zip(*np.nonzero(ids[:, single] == missing)):
         ids[r, single[c]] = -len(words[r][at[single[c]][0]].encode("utf-8", "surrogatepass"))

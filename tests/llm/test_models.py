@@ -384,3 +384,31 @@ def test_margins_and_counts_come_from_all_labelled_rows(spark, docs):
     probe = docs([(1, odd[0][1])], None)
     judged = lambda held: probe.select(langid.in_known_language(model, F.col("text"), held).alias("k")).first().k
     assert judged(docs(usual + odd)) and not judged(docs(usual))
+
+
+def test_new_words_of_many_short_texts_are_looked_up_at_once(pieces, monkeypatch):
+    calls = []
+    plain = langid.log_likelihoods
+    monkeypatch.setattr(langid, "log_likelihoods", lambda *a: calls.append(a) or plain(*a))
+    probs = np.append(np.full((2, pieces.size), 1 / pieces.size), [[0.0], [0.0]], axis=1)
+    texts = [f"the {chr(97 + i % 26)}{chr(97 + i // 26)} été" for i in range(600)] + [None, "", "12"]
+    got = list(langid.LanguageModel(["a", "b"], probs, pieces).totals(texts))
+    assert len(calls) == 1
+    for text, (words, total) in zip(texts, got):
+        assert words == langid.words_in(text)
+        assert total is None if not words else np.allclose(total, plain(words, pieces, probs).sum(axis=0))
+
+
+def test_words_are_the_letter_runs_of_lowered_text():
+    for text in ("A b_c1d E's", "x²y ½ Éaͅ ΑΣ", "ⅷ ab", "Don't\tSTOP\x1cnow", " naïve ", "漢字 1٣a"):
+        runs = ("".join(filter(str.isalpha, w)) for w in langid._LETTERS.findall(text.lower()))
+        assert langid.words_in(text) == [" " + w for w in runs if w]
+
+
+def test_spans_are_found_as_by_the_piece_table(pieces):
+    from planekit.llm.pieces import edge_ids, spans
+    words = [" heré", " 𝒜abc"]
+    for word, ids in zip(words, edge_ids(words, 5, pieces, pieces.size)):
+        for (i, j), k in zip(spans(5, pieces.longest), ids):
+            lost = -len(word[i:j].encode()) if j - i == 1 else pieces.size
+            assert k == pieces.ids.get(word[i:j], lost)
