@@ -6,8 +6,8 @@ vocabulary's word-start mark and one is put in front, so no piece spans from
 one *chunk* (spaces, then other characters) into the next: the lattice is a
 chain of chunk lattices, and chunks repeat.
 
-1. Forward Viterbi over the distinct chunks of a batch, all chunks of a length
-   at once, gives the best score up to every position.
+1. Forward Viterbi over the distinct chunks of a batch, many chunks at once,
+   longest first, edge by edge, gives the best score up to every position.
 2. Backward A-star from a chunk's end: a hypothesis is a suffix of pieces, its
    priority is its own score plus the forward score at its start, which is
    exact, so complete segmentations leave the queue in order of score.
@@ -39,7 +39,7 @@ import heapq
 import math
 import re
 from array import array
-from collections.abc import Iterator
+from collections.abc import Callable, Collection, Iterator
 from functools import lru_cache
 
 import numpy as np
@@ -48,7 +48,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from planekit.llm.pieces import VOCABULARY, Pieces, by_length, edge_ids, spans
+from planekit.llm.pieces import VOCABULARY, Pieces, found_edges
 
 N_BEST = 3
 #: distinct chunks whose best segmentations a task keeps
@@ -59,6 +59,9 @@ CACHE_BYTES = 64_000_000
 LONG = 64
 #: bytes of text that are coded at a time (or one text)
 SLICE_BYTES = 4_000_000
+SLICE_ROWS = 8192
+#: spans of the chunks that are coded together
+GROUP_SPANS = 1_000_000
 
 _CHUNK = re.compile(r" *[^ ]+| +$")
 
@@ -91,7 +94,7 @@ class Coder:
         self.held = 0
         self.best_of = lru_cache(maxsize=20_000)(self._n_best)
 
-    def learn(self, chunks: set[str]) -> None:
+    def learn(self, chunks: Collection[str]) -> None:
         fresh = [c for c in chunks if c not in self.known]
         if len(self.known) + len(fresh) > CACHE or self.held + 8 * sum(map(len, fresh)) > CACHE_BYTES:
             self.known, self.held, fresh = {}, 0, list(chunks)
@@ -101,47 +104,57 @@ class Coder:
                 found = self._walk(c, 2)
                 less = found[0][0] - found[1][0] if len(found) > 1 else math.inf
                 self.known[c] = (found[0][1].tobytes(), found[0][0], less)
-        for n, group in by_length([c for c in fresh if len(c) <= LONG]).items():
-            step = max(1, min(4096, 200_000 // n))
-            for at in range(0, len(group), step):
-                self._viterbi(group[at:at + step], n)
-
-    def _lattice(self, words: list[str], n: int):
-        ids = edge_ids(words, n, self.pieces, self.pieces.size)
+        short = sorted((c for c in fresh if len(c) <= LONG), key=len, reverse=True)
+        at = 0
+        while at < len(short):
+            step = max(1, GROUP_SPANS // (len(short[at]) * min(len(short[at]), self.pieces.longest)))
+            self._viterbi(short[at:at + step])
+            at += step
+
+    def _viterbi(self, words: list[str]) -> None:
+        """Codes words sorted by falling length, all at once, edge by edge."""
+        at, bounds, rows, ids = found_edges(words, self.pieces)
         scores = self.scored[np.maximum(ids, 0)]
         lost = ids < 0
         scores[lost] = -ids[lost] * self.byte_score
-        return ids, scores
-
-    def _viterbi(self, words: list[str], n: int) -> None:
-        at = spans(n, self.pieces.longest)
-        ids, scores = self._lattice(words, n)
+        lengths, every = np.fromiter(map(len, words), np.int64, len(words)), np.arange(len(words))
+        n = int(lengths[0])
         alpha = np.full((n + 1, len(words)), -np.inf)
         beta = np.full((n + 1, len(words)), -np.inf)
         last = np.zeros((n + 1, len(words)), np.int64)
-        alpha[0], beta[n] = 0.0, 0.0
-        for e, (i, j) in enumerate(at):
-            now = alpha[i] + scores[:, e]
-            better = now > alpha[j]
-            alpha[j][better] = now[better]
-            last[j][better] = e
-        for e in range(len(at) - 1, -1, -1):
-            i, j = at[e]
-            np.maximum(beta[i], beta[j] + scores[:, e], out=beta[i])
-        starts, rows = np.array([i for i, _ in at]), np.arange(len(words))
-        on_path, j = np.zeros(ids.shape, bool), np.full(len(words), n)
-        while (live := rows[j > 0]).size:
+        alpha[0], beta[lengths, every] = 0.0, 0.0
+        edges = [(i, j, lo, hi) for (i, j), lo, hi in zip(at, bounds.tolist(), bounds[1:].tolist()) if lo < hi]
+        for i, j, lo, hi in edges:
+            own = rows[lo:hi]
+            now = alpha[i][own] + scores[lo:hi]
+            better = np.flatnonzero(now > alpha[j][own])
+            own = own[better]
+            alpha[j][own] = now[better]
+            last[j][own] = better + lo
+        for i, j, lo, hi in reversed(edges):
+            own = rows[lo:hi]
+            beta[i][own] = np.maximum(beta[i][own], beta[j][own] + scores[lo:hi])
+        starts, ends = (np.repeat(np.array(side), np.diff(bounds)) for side in zip(*at))
+        on_path, j, live = np.zeros(len(ids), bool), lengths.copy(), every
+        while live.size:
             e = last[j[live], live]
-            on_path[live, e] = True
+            on_path[e] = True
             j[live] = starts[e]
-        through = alpha[starts].T + scores + beta[[j for _, j in at]].T
+            live = live[j[live] > 0]
+        through = alpha[starts, rows] + scores + beta[ends, rows]
         through[on_path] = -np.inf
-        loss = alpha[n] - through.max(axis=1, initial=-np.inf)
-        # edges are ordered by end, so a path's pieces come out in reading order
-        flat, ends = ids[on_path], np.cumsum(on_path.sum(axis=1)).tolist()
+        second = np.full(len(words), -np.inf)
+        np.maximum.at(second, rows, through)
+        totals = alpha[lengths, every]
+        loss = totals - second
+        # edges are ordered by end, so a word's pieces come out in reading order
+        path = np.flatnonzero(on_path)
+        path = path[np.argsort(rows[path], kind="stable")]
+        flat, stops = ids[path], np.cumsum(np.bincount(rows[path], minlength=len(words))).tolist()
         raw, start = flat.astype(np.int32).tobytes(), 0
-        spelled = (on_path & (ids < 0)).any(axis=1).tolist()
-        for word, end, total, less, bytewise in zip(words, ends, alpha[n].tolist(), loss.tolist(), spelled):
+        spelled = np.zeros(len(words), bool)
+        spelled[rows[path[flat < 0]]] = True
+        for word, end, total, less, bytewise in zip(words, stops, totals.tolist(), loss.tolist(), spelled.tolist()):
             if bytewise:
                 own, at_char = [], 0
                 for piece in flat[start:end].tolist():
@@ -234,17 +247,30 @@ class Coder:
         known = self.known
         return b"".join([known[c][0] for c in chunks])
 
+    def look_up(self, chunks: list[str]) -> tuple[tuple, tuple, tuple]:
+        """The chunks' best segmentations, their scores, and what the second best lose; they must have been learned."""
+        return tuple(zip(*map(self.known.__getitem__, chunks))) if chunks else ((), (), ())
+
     def n_best(self, chunks: list[str], n_best: int) -> list[tuple[float, list[tuple[int, tuple]]]]:
         """``(score, [(chunk position, its pieces)])``: what differs from the best, best first."""
-        known = self.known
-        base = math.fsum([known[c][1] for c in chunks])
-        if n_best < 2 or not chunks:
+        _, totals, losses = self.look_up(chunks)
+        return self.ranked(np.array(totals, np.float64), np.array(losses, np.float64), chunks.__getitem__, n_best)
+
+    def ranked(self, totals: np.ndarray, losses: np.ndarray, chunk_at: Callable[[int], str],
+               n_best: int) -> list[tuple[float, list[tuple[int, tuple]]]]:
+        """``n_best`` of a text's chunks, from their ``losses``; ``chunk_at`` gives the chunk at a position."""
+        base = math.fsum(totals.tolist())
+        if n_best < 2 or not len(totals):
             return [(base, [])]
-        close = heapq.nsmallest(n_best - 1, range(len(chunks)), key=lambda k: (known[chunks[k]][2], k))
+        close = np.arange(len(losses))
+        if len(losses) >= n_best:
+            close = np.flatnonzero(losses <= np.partition(losses, n_best - 2)[n_best - 2])
+        close = close[np.argsort(losses[close], kind="stable")[:n_best - 1]].tolist()
         options = []
         for k in sorted(close):
             # a long chunk's segmentations are too large to keep
-            found = (self.best_of if len(chunks[k]) <= LONG else self._walk)(chunks[k], n_best)
+            chunk = chunk_at(k)
+            found = (self.best_of if len(chunk) <= LONG else self._walk)(chunk, n_best)
             options.append((k, [(found[0][0] - s, own) for s, own in found]))
         # each state picks one alternative per close chunk; a step worsens one of them
         queue, seen, out = [(0.0, (0,) * len(options))], {(0,) * len(options)}, []
@@ -264,11 +290,11 @@ class Coder:
 
 
 def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of at most 512 rows and ``SLICE_BYTES`` bytes of text (or one row)."""
+    """Parts of at most ``SLICE_ROWS`` rows and ``SLICE_BYTES`` bytes of text (or one row)."""
     sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_pylist()
     start = held = 0
     for i, size in enumerate(sizes):
-        if i > start and (i - start == 512 or held + size > SLICE_BYTES):
+        if i > start and (i - start == SLICE_ROWS or held + size > SLICE_BYTES):
             yield batch.slice(start, i - start)
             start, held = i, 0
         held += size
@@ -276,6 +302,73 @@ def slices(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
         yield batch.slice(start)
 
 
+def _strings(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The bytes of a column without nulls, and where each value begins (and the last ends)."""
+    _, offsets, data = column.buffers()
+    at = np.frombuffer(offsets, np.int32)[column.offset:column.offset + len(column) + 1]
+    raw = np.frombuffer(data, np.uint8) if data is not None else np.empty(0, np.uint8)
+    return raw[at[0]:at[-1]], at - at[0]
+
+
+def chunk_column(texts: pa.Array) -> tuple[pa.Array, np.ndarray, pa.Array]:
+    """``chunks_of`` all texts: the chunks, where each text's begin (and the last's end), the texts with their space."""
+    marked = pc.if_else(pc.equal(pc.binary_length(texts), 0), "", pc.binary_join_element_wise("", texts, " "))
+    raw, at = _strings(marked)
+    space = raw == 32
+    first = space.copy()
+    first[1:] &= ~space[:-1]
+    first[at[:-1][at[:-1] < at[1:]]] = True
+    begins = np.flatnonzero(first)
+    offsets = np.append(begins, len(raw)).astype(np.int32)
+    chunks = pa.Array.from_buffers(pa.string(), len(begins), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+    return chunks, np.searchsorted(begins, at), marked
+
+
+class _Slice:
+    """The best segmentations of a column of texts, text after text; chunks are looked up once for all texts."""
+
+    def __init__(self, coder: Coder, texts: pa.Array):
+        chunks, self.chunk_at, self.marked = chunk_column(texts)
+        coded = chunks.dictionary_encode()
+        self.coder, self.distinct = coder, coded.dictionary.to_pylist()
+        self.codes = coded.indices.to_numpy()
+        coder.learn(self.distinct)
+        best, totals, losses = coder.look_up(self.distinct)
+        known = np.frombuffer(b"".join(best), np.int32)
+        sizes = np.fromiter(map(len, best), np.int64, len(best)) // 4
+        self.totals, self.losses = np.array(totals, np.float64), np.array(losses, np.float64)
+        each = sizes[self.codes]
+        self.piece_at = np.concatenate([[0], np.cumsum(each)])
+        shift = (np.cumsum(sizes) - sizes)[self.codes] - self.piece_at[:-1]
+        self.ids = known[np.arange(self.piece_at[-1]) + np.repeat(shift, each)]
+        self.offsets = self.piece_at[self.chunk_at]
+
+    def ranked(self, row: int, n_best: int) -> list[tuple[float, int, str]]:
+        """``score, n_pieces, ids_sha256`` of a text's best segmentations."""
+        lo, hi = self.chunk_at[row:row + 2].tolist()
+        codes, view, out = self.codes[lo:hi], memoryview(self.ids).cast("B"), []
+        begin, end = self.offsets[row:row + 2].tolist()
+        for score, changes in self.coder.ranked(self.totals[codes], self.losses[codes],
+                                                lambda k: self.distinct[codes[k]], n_best):
+            digest, at, size = hashlib.sha256(), begin, end - begin
+            for k, own in changes:
+                start, stop = self.piece_at[lo + k:lo + k + 2].tolist()
+                digest.update(view[4 * at:4 * start])
+                digest.update(np.array(own, np.int32).tobytes())
+                at, size = stop, size + len(own) - (stop - start)
+            digest.update(view[4 * at:4 * end])
+            out.append((score, size, digest.hexdigest()))
+        return out
+
+    def round_trips(self, spelled: pa.Array) -> list[bool]:
+        """Whether the pieces, by their bytes ``spelled``, give back each text."""
+        back, ends = _strings(spelled.take(pa.array(self.ids)))
+        text, at = _strings(self.marked)
+        back, text = memoryview(back), memoryview(text)
+        got, want = ends[self.offsets].tolist(), at.tolist()
+        return [back[a:b] == text[c:d] for a, b, c, d in zip(got, got[1:], want, want[1:])]
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_best: int = N_BEST,
            vocabulary: str = VOCABULARY, with_ids: bool = True) -> DataFrame:
     """One row per input row: ``doc_id, n_chars, n_pieces, ids, ids_sha256, round_trip, n_best``.
@@ -285,38 +378,25 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_be
     hash is over the ids as little-endian 32-bit integers.
     """
     shared = docs.sparkSession.sparkContext.broadcast(Pieces.read(vocabulary).tables())
-    best = pa.list_(pa.struct([("score", pa.float64()), ("n_pieces", pa.int64()), ("ids_sha256", pa.string())]))
 
     def run(batches):
         coder = Coder(Pieces(*shared.value))
+        spelled = pa.array(coder.pieces.texts, pa.binary())
         for whole in batches:
             for b in slices(whole):
-                texts = [t or "" for t in b.column(1).to_pylist()]
-                split = [chunks_of(t) for t in texts]
-                coder.learn({c for chunks in split for c in chunks})
-                cols: list[list] = [[] for _ in range(6)]
-                for text, chunks in zip(texts, split):
-                    raw = coder.encode(chunks)
-                    ids = np.frombuffer(raw, np.int32)
-                    ranked = []
-                    for score, changes in coder.n_best(chunks, n_best):
-                        parts = [coder.known[c][0] for c in chunks] if changes else []
-                        for k, own in changes:
-                            parts[k] = np.array(own, np.int32).tobytes()
-                        other = b"".join(parts) if changes else raw
-                        ranked.append({"score": score, "n_pieces": len(other) // 4,
-                                       "ids_sha256": hashlib.sha256(other).hexdigest()})
-                    row = (len(text), len(ids), ids, ranked[0]["ids_sha256"],
-                           coder.decode(ids.tolist()) == text, ranked)
-                    for col, value in zip(cols, row):
-                        col.append(value)
-                offsets = np.cumsum([0] + cols[1], dtype=np.int32)
-                flat = np.concatenate(cols[2]) if cols[2] else np.empty(0, np.int32)
-                out = [b.column(0), pa.array(cols[0], pa.int64()), pa.array(cols[1], pa.int64()),
-                       pa.array(cols[3], pa.string()), pa.array(cols[4], pa.bool_()), pa.array(cols[5], best)]
+                texts = pc.fill_null(b.column(1), "")
+                part = _Slice(coder, texts)
+                ranked = [part.ranked(row, n_best) for row in range(len(texts))]
+                score, size, digest = zip(*(r for best in ranked for r in best))
+                best = pa.ListArray.from_arrays(
+                    pa.array(np.cumsum([0] + [len(best) for best in ranked]), pa.int32()),
+                    pa.StructArray.from_arrays([pa.array(score, pa.float64()), pa.array(size, pa.int64()),
+                                                pa.array(digest, pa.string())], ["score", "n_pieces", "ids_sha256"]))
+                out = [b.column(0), pc.utf8_length(texts).cast(pa.int64()), pa.array(np.diff(part.offsets), pa.int64()),
+                       pa.array([r[0][2] for r in ranked], pa.string()), pa.array(part.round_trips(spelled)), best]
                 names = ["doc_id", "n_chars", "n_pieces", "ids_sha256", "round_trip", "n_best"]
                 if with_ids:
-                    out.insert(3, pa.ListArray.from_arrays(pa.array(offsets), pa.array(flat)))
+                    out.insert(3, pa.ListArray.from_arrays(pa.array(part.offsets, pa.int32()), pa.array(part.ids)))
                     names.insert(3, "ids")
                 yield pa.RecordBatch.from_arrays(out, names=names)
 

@@ -56,6 +56,14 @@ class Pieces:
         """What the constructor takes: plain data, to broadcast."""
         return self.ids, self.byte_ids, self.size
 
+    def find(self, hashes: np.ndarray, also: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+        """The hashes that may be a piece's (or are marked in ``also``), by position, and their pieces (-1: none)."""
+        maybe = self.likely[hashes & np.uint64(LOW_BITS)]
+        where = np.flatnonzero(maybe if also is None else maybe | also)
+        some = hashes[where]
+        place = np.minimum(np.searchsorted(self.hashes, some), len(self.hashes) - 1)
+        return where, np.where(self.hashes[place] == some, self.owners[place], np.int32(-1))
+
     def bytes_of(self, char: str) -> list[int]:
         """The byte pieces of a character without a piece of its own."""
         return [self.byte_ids[b] for b in char.encode("utf-8", "surrogatepass")]
@@ -99,14 +107,50 @@ def edge_ids(words: list[str], n: int, pieces: Pieces, missing: int) -> np.ndarr
     """
     at = spans(n, pieces.longest)
     hashes = _span_hashes(words, n, at).ravel()
-    likely = np.flatnonzero(pieces.likely[hashes & np.uint64(LOW_BITS)])
-    some = hashes[likely]
-    place = np.minimum(np.searchsorted(pieces.hashes, some), len(pieces.hashes) - 1)
-    found = pieces.hashes[place] == some
+    where, owners = pieces.find(hashes)
+    found = owners >= 0
     ids = np.full(len(hashes), missing, np.result_type(pieces.owners, np.min_scalar_type(missing)))
-    ids[likely[found]] = pieces.owners[place[found]]
+    ids[where[found]] = owners[found]
     ids = ids.reshape(len(at), len(words)).T.copy()
     single = [e for e, (i, j) in enumerate(at) if j - i == 1]
     for r, c in zip(*np.nonzero(ids[:, single] == missing)):
         ids[r, single[c]] = -len(words[r][at[single[c]][0]].encode("utf-8", "surrogatepass"))
     return ids
+
+
+def found_edges(words: list[str], pieces: Pieces) -> tuple[list[tuple[int, int]], np.ndarray, np.ndarray, np.ndarray]:
+    """The edges that exist, of words sorted by falling length: ``spans, bounds, rows, ids``.
+
+    Span ``e`` has the edges ``bounds[e]`` to ``bounds[e + 1]``, each of the word
+    ``rows`` with the piece ``ids``; a character without a piece gets ``-k``,
+    minus the number of its bytes.  Only the words that reach a span are hashed.
+    """
+    lengths = np.fromiter(map(len, words), np.int64, len(words))
+    n, begins = int(lengths[0]), np.cumsum(lengths) - lengths
+    flat = np.frombuffer("".join(words).encode("utf-32-le", "surrogatepass"), np.uint32)
+    chars = np.zeros((n, len(words)), np.uint64)
+    chars[np.arange(len(flat)) - np.repeat(begins, lengths), np.repeat(np.arange(len(words)), lengths)] = flat
+    reach = np.searchsorted(-lengths, -np.arange(n + 1), side="right").tolist()  # words of at least so many characters
+    at = spans(n, pieces.longest)
+    starts = np.cumsum([0] + [reach[j] for _, j in at])
+    place = dict(zip(at, starts.tolist()))
+    hashes, single = np.empty(starts[-1], np.uint64), np.zeros(starts[-1], bool)
+    for i in range(n):
+        h = np.full(reach[i + 1], 0x9E3779B97F4A7C15, np.uint64)
+        for j in range(i + 1, min(n, i + pieces.longest) + 1):
+            out = hashes[place[i, j]:place[i, j] + reach[j]]
+            np.bitwise_xor(h[:reach[j]], chars[j - 1, :reach[j]], out=out)
+            out *= np.uint64(0xD6E8FEB86659FD93)
+            out ^= out >> np.uint64(32)
+            h = out
+        single[place[i, i + 1]:place[i, i + 1] + reach[i + 1]] = True
+    cells, ids = pieces.find(hashes, single)
+    kept = (ids >= 0) | single[cells]
+    cells, ids = cells[kept], ids[kept]
+    bounds = np.searchsorted(cells, starts)
+    span = np.repeat(np.arange(len(at)), np.diff(bounds))
+    rows = cells - starts[span]
+    if (lost := np.flatnonzero(ids < 0)).size:
+        code = chars[np.array([i for i, _ in at])[span[lost]], rows[lost]]
+        ids[lost] = -1 - (code >= 0x80).astype(np.int32) - (code >= 0x800) - (code >= 0x10000)
+    return at, bounds, rows, ids

@@ -412,3 +412,61 @@ def test_spans_are_found_as_by_the_piece_table(pieces):
         for (i, j), k in zip(spans(5, pieces.longest), ids):
             lost = -len(word[i:j].encode()) if j - i == 1 else pieces.size
             assert k == pieces.ids.get(word[i:j], lost)
+
+
+def test_chunks_of_many_lengths_are_coded_at_once(pieces, monkeypatch):
+    groups, plain = [], Coder._viterbi
+    monkeypatch.setattr(Coder, "_viterbi", lambda self, *a: groups.append(len(a[0])) or plain(self, *a))
+    rng = random.Random(8)
+    texts = [" ".join("".join(rng.choice("theringéß😀") for _ in range(n)) for n in range(1, 60)) for _ in range(10)]
+    chunks, coder = {c for t in texts for c in chunks_of(t)}, Coder(pieces)
+    coder.learn(chunks)
+    assert len(groups) == 1 and groups[0] == len(chunks) == len(coder.known)
+    alone = Coder(pieces)
+    for c in sorted(chunks):
+        alone.learn({c})
+    assert alone.known == coder.known
+
+
+def test_chunks_of_a_column_are_those_of_its_texts():
+    import pyarrow as pa
+    from planekit.llm.piece_coding import chunk_column
+    rng = random.Random(9)
+    texts = TEXTS + ["   ", "\n", " \n", "a \n", "x" * 70, ""] + [
+        "".join(rng.choice("a  é\n😀") for _ in range(rng.randrange(12))) for _ in range(300)]
+    for skip in (0, 5):
+        chunks, at, _ = chunk_column(pa.array([""] * skip + texts, pa.string()).slice(skip))
+        assert [chunks[a:b].to_pylist() for a, b in zip(at.tolist(), at[1:].tolist())] == [chunks_of(t) for t in texts]
+    assert chunk_column(pa.array(["", ""], pa.string()))[1].tolist() == [0, 0, 0]
+
+
+def test_found_edges_are_the_vocabulary_lookup(pieces):
+    from planekit.llm.pieces import found_edges
+    rng = random.Random(10)
+    words = ["".join(rng.choice(" theringéß😀的") for _ in range(n)) for n in (40, 17, 17, 16, 5, 2, 1, 1)]
+    at, bounds, rows, ids = found_edges(words, pieces)
+    got = {(r, *at[e]): i for e in range(len(at))
+           for r, i in zip(rows[bounds[e]:bounds[e + 1]].tolist(), ids[bounds[e]:bounds[e + 1]].tolist())}
+    want = {(r, i, j): pieces.ids.get(w[i:j], -len(w[i:j].encode())) for r, w in enumerate(words)
+            for i, j in spans(len(w), pieces.longest) if j == i + 1 or w[i:j] in pieces.ids}
+    assert got == want
+
+
+def test_n_best_hashes_are_of_whole_segmentations(spark, docs, pieces):
+    import hashlib
+    texts = ["the other thing", "", "é", "x" * 100 + " the", "a b a b"]
+    coder = Coder(pieces)
+    rows = by_id(encode(docs(list(enumerate(texts)))), "n_chars", "n_pieces", "ids", "ids_sha256", "n_best")
+    for k, text in enumerate(texts):
+        chunks = chunks_of(text)
+        coder.learn(set(chunks))
+        want = []
+        for total, changes in coder.n_best(chunks, 3):
+            parts = [coder.known[c][0] for c in chunks]
+            for c, own in changes:
+                parts[c] = np.array(own, np.int32).tobytes()
+            raw = b"".join(parts)
+            want.append((total, len(raw) // 4, hashlib.sha256(raw).hexdigest()))
+        n_chars, n, ids, digest, best = rows[k]
+        assert [tuple(b) for b in best] == want and digest == want[0][2] and n_chars == len(text)
+        assert n == len(ids) and np.array(ids, np.int32).tobytes() == coder.encode(chunks)
