@@ -52,13 +52,13 @@ from planekit.llm.pieces import VOCABULARY, Pieces, found_edges
 
 N_BEST = 3
 #: distinct chunks whose best segmentations a task keeps
-CACHE = 500_000
+CACHE = 150_000
 #: and the bytes, of chunks and their pieces, that it keeps
-CACHE_BYTES = 64_000_000
+CACHE_BYTES = 24_000_000
 #: chunks of more characters are walked, not listed span by span
 LONG = 64
 #: bytes of text that are coded at a time (or one text)
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 SLICE_ROWS = 8192
 #: spans of the chunks that are coded together
 GROUP_SPANS = 1_000_000
@@ -97,7 +97,9 @@ class Coder:
     def learn(self, chunks: Collection[str]) -> None:
         fresh = [c for c in chunks if c not in self.known]
         if len(self.known) + len(fresh) > CACHE or self.held + 8 * sum(map(len, fresh)) > CACHE_BYTES:
-            self.known, self.held, fresh = {}, 0, list(chunks)
+            # what these texts share with those before stays: most of it is common
+            self.known = {c: self.known[c] for c in chunks if c in self.known}
+            self.held = 8 * sum(map(len, self.known))
         self.held += 8 * sum(map(len, fresh))
         for c in fresh:
             if len(c) > LONG:
@@ -369,6 +371,25 @@ class _Slice:
         return [back[a:b] == text[c:d] for a, b, c, d in zip(got, got[1:], want, want[1:])]
 
 
+def _coded(b: pa.RecordBatch, coder: Coder, spelled: pa.Array, n_best: int, with_ids: bool) -> pa.RecordBatch:
+    """``encode``'s rows of one slice; nothing else of the slice is held when the next is coded."""
+    texts = pc.fill_null(b.column(1), "")
+    part = _Slice(coder, texts)
+    ranked = [part.ranked(row, n_best) for row in range(len(texts))]
+    score, size, digest = zip(*(r for best in ranked for r in best))
+    best = pa.ListArray.from_arrays(
+        pa.array(np.cumsum([0] + [len(best) for best in ranked]), pa.int32()),
+        pa.StructArray.from_arrays([pa.array(score, pa.float64()), pa.array(size, pa.int64()),
+                                    pa.array(digest, pa.string())], ["score", "n_pieces", "ids_sha256"]))
+    out = [b.column(0), pc.utf8_length(texts).cast(pa.int64()), pa.array(np.diff(part.offsets), pa.int64()),
+           pa.array([r[0][2] for r in ranked], pa.string()), pa.array(part.round_trips(spelled)), best]
+    names = ["doc_id", "n_chars", "n_pieces", "ids_sha256", "round_trip", "n_best"]
+    if with_ids:
+        out.insert(3, pa.ListArray.from_arrays(pa.array(part.offsets, pa.int32()), pa.array(part.ids)))
+        names.insert(3, "ids")
+    return pa.RecordBatch.from_arrays(out, names=names)
+
+
 def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_best: int = N_BEST,
            vocabulary: str = VOCABULARY, with_ids: bool = True) -> DataFrame:
     """One row per input row: ``doc_id, n_chars, n_pieces, ids, ids_sha256, round_trip, n_best``.
@@ -384,21 +405,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_be
         spelled = pa.array(coder.pieces.texts, pa.binary())
         for whole in batches:
             for b in slices(whole):
-                texts = pc.fill_null(b.column(1), "")
-                part = _Slice(coder, texts)
-                ranked = [part.ranked(row, n_best) for row in range(len(texts))]
-                score, size, digest = zip(*(r for best in ranked for r in best))
-                best = pa.ListArray.from_arrays(
-                    pa.array(np.cumsum([0] + [len(best) for best in ranked]), pa.int32()),
-                    pa.StructArray.from_arrays([pa.array(score, pa.float64()), pa.array(size, pa.int64()),
-                                                pa.array(digest, pa.string())], ["score", "n_pieces", "ids_sha256"]))
-                out = [b.column(0), pc.utf8_length(texts).cast(pa.int64()), pa.array(np.diff(part.offsets), pa.int64()),
-                       pa.array([r[0][2] for r in ranked], pa.string()), pa.array(part.round_trips(spelled)), best]
-                names = ["doc_id", "n_chars", "n_pieces", "ids_sha256", "round_trip", "n_best"]
-                if with_ids:
-                    out.insert(3, pa.ListArray.from_arrays(pa.array(part.offsets, pa.int32()), pa.array(part.ids)))
-                    names.insert(3, "ids")
-                yield pa.RecordBatch.from_arrays(out, names=names)
+                yield _coded(b, coder, spelled, n_best, with_ids)
 
     ids = "ids array<int>, " if with_ids else ""
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).alias("text")).mapInArrow(

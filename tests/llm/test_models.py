@@ -139,6 +139,43 @@ def test_text_without_spaces_needs_bounded_memory(pieces):
     assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000
 
 
+def test_full_cache_keeps_what_the_next_texts_share(pieces, monkeypatch):
+    from planekit.llm import piece_coding
+    monkeypatch.setattr(piece_coding, "CACHE", 4)
+    coded, plain = [], Coder._viterbi
+    monkeypatch.setattr(Coder, "_viterbi", lambda self, words: coded.extend(words) or plain(self, words))
+    coder = Coder(pieces)
+    coder.learn([" the", " other", " thing"])
+    coder.learn([" the", " new", " words"])
+    assert sorted(coded) == sorted([" the", " other", " thing", " new", " words"])
+    assert set(coder.known) == {" the", " new", " words"} and coder.held == 8 * sum(map(len, coder.known))
+
+
+def test_a_coding_task_holds_few_chunks_and_one_slice(pieces, monkeypatch):
+    import gc
+    import weakref
+    import pyarrow as pa
+    from planekit.llm import piece_coding
+    rng = random.Random(14)
+    batch = pa.RecordBatch.from_arrays([pa.array(range(200), pa.int64()), pa.array(
+        [" ".join("".join(rng.choices("theringab", k=7)) for _ in range(1_500)) for _ in range(200)])], names=["id", "text"])
+    alive, most = weakref.WeakSet(), []
+
+    class Watched(piece_coding._Slice):
+        def __init__(self, *a):
+            gc.collect()
+            most.append((len(alive), sum(map(len, a[1].to_pylist()))))
+            alive.add(self)
+            super().__init__(*a)
+
+    monkeypatch.setattr(piece_coding, "_Slice", Watched)
+    coder, spelled = Coder(pieces), pa.array(pieces.texts, pa.binary())
+    for b in piece_coding.slices(batch):
+        rows = piece_coding._coded(b, coder, spelled, 3, True)
+        assert len(coder.known) <= 200_000 and all(rows.column("round_trip").to_pylist())
+    assert len(most) > 2 and all(n == 0 and size <= 1_500_000 for n, size in most)
+
+
 def test_cache_is_bounded_by_bytes(pieces, monkeypatch):
     from planekit.llm import piece_coding
     monkeypatch.setattr(piece_coding, "CACHE_BYTES", 10_000)
