@@ -258,8 +258,11 @@ def spatial_join(probes: DataFrame, windows: DataFrame, predicate: str = "within
         whole = _gathered(P, W, pcols, F.col("_pid"), F.lit(predicate == "within"), over=GROUP)
         if whole is not None:
             return whole
-    if predicate != "intersects" and cell is None and not (probes.isStreaming or windows.isStreaming):
-        stats = None, SideStats(W, wcols)
+    if cell is None and not (probes.isStreaming or windows.isStreaming):
+        if predicate != "intersects":
+            stats = None, SideStats(W, wcols)
+        elif stats is None:
+            stats = tuple(SideStats.many([(P, pcols), (W, wcols)]))
         if (pairs := _by_tile(P, W, pcols, wcols, stats, predicate)) is not None:
             return _grouped(pairs) if lists else pairs
     if predicate == "intersects":
