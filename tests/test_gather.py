@@ -6,6 +6,7 @@ from conftest import SF001
 from planekit.operators import gather
 from planekit.operators.join import collect_matches, spatial_join_shapes
 from planekit.plans.catalog import QUERIES
+from planekit.sources.text import read_matches
 
 SHAPES = "id bigint, x1 bigint, y1 bigint, x2 bigint, y2 bigint, is_point boolean"
 WINDOWS = "id bigint, x1 bigint, y1 bigint, x2 bigint, y2 bigint"
@@ -62,3 +63,27 @@ def test_point_and_rectangle_lists_by_probe_id(spark, monkeypatch):
         pairs, lists = (collect_matches(join.spatial_join(p, w, predicate, x="x1", y="y1", lists=lists)) for lists in (False, True))
         assert sorted(pairs.collect()) == sorted(lists.collect())
         assert "collect_set" not in spark._jvm.PythonSQLUtils.explainString(lists._jdf.queryExecution(), "simple")
+
+
+def test_lists_over_parts_of_a_batch_come_sorted(spark, monkeypatch):
+    monkeypatch.setattr(gather, "LOOKED_UP", 30)
+    monkeypatch.setattr(gather, "HANDED", 100)
+    rng = random.Random(8)
+    windows = [(rng.choice([None, *range(150)]), *_box(rng, rng.choice([1, 8, 60, 900]))) for _ in range(900)]
+    shapes = []
+    for i in range(900):
+        x, y, x2, y2 = _box(rng, rng.choice([2, 40, 1200]))
+        point = rng.random() < 0.5
+        shapes.append((rng.choice([None, 7, i, i // 2]), x, y, x if point else x2, y if point else y2, point))
+    pairs, lists = _both(spark, shapes, windows)
+    assert len(pairs) > 300 and pairs == lists
+    s, w = spark.createDataFrame(shapes, SHAPES), spark.createDataFrame(windows, WINDOWS)
+    assert all(r.window_id == sorted(r.window_id) for r in spatial_join_shapes(s, w, lists=True).collect())
+
+
+def test_match_rows_are_read_and_written_by_compiled_casts(spark):
+    df = QUERIES["match_counts"](spark, SF001)
+    plan = spark._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "simple")
+    assert "lambda" not in plan and "concat_ws" in plan and "split" in plan
+    back = read_matches(spark.createDataFrame([(" 1, 2 ,3",), ("4",)], "value string"))
+    assert [tuple(r) for r in back.collect()] == [(1, [2, 3]), (4, [])]
